@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from adlake.functions.columns import (blank_key, customer_key, last_non_null, load_ts,
                                       strip_account_prefix, sum0)
 from adlake.operators.dedup import latest_by
-from adlake.operators.joins import (best_effective_lookup, bounded_broadcast, effective_lookup,
-                                    keyword_rule_match, resolve_effective_segments)
+from adlake.operators.joins import (best_effective_lookup, bounded_broadcast, effective_lookup, fits,
+                                    keyword_rank, keyword_rule_match, resolve_effective_segments)
 from adlake.session import Window
 
 UNKNOWN = "UNKNOWN"
@@ -20,8 +20,7 @@ MAP_PRIORITY = ("effective_start_date", "updated_at")
 
 def account_segments(account_map: DataFrame) -> DataFrame:
     """Non-overlapping (channel, account) -> branch segments; newest start wins."""
-    m = account_map.withColumn("__eff", F.col("effective_start_date"))
-    return resolve_effective_segments(m, ["channel_key", "account_id_norm"], ["branch_id"],
+    return resolve_effective_segments(account_map, ["channel_key", "account_id_norm"], ["branch_id"],
                                       priority=MAP_PRIORITY)
 
 
@@ -30,80 +29,111 @@ def branch_by_account(facts: DataFrame, account_map: DataFrame, date_col: str,
     """Effective-dated account -> branch lookup; NULL end is open, default UNKNOWN.
 
     Overlapping active mappings resolve to the newest effective start, then
-    the newest update (resolved on the map side, so one match per fact row).
+    the newest update. The overlap is resolved on the (small) map side, so
+    every fact row matches at most one segment and needs no deduplication.
     """
     seg = account_segments(account_map).withColumnRenamed("branch_id", "__seg_branch")
     out = effective_lookup(facts, seg, [F.col("channel_key"), F.col("account_id_norm")],
-                           ["channel_key", "account_id_norm"], date_col, ["__seg_branch"])
+                           ["channel_key", "account_id_norm"], date_col, ["__seg_branch"],
+                           small=fits(account_map))
     return out.withColumn(out_col, F.coalesce(F.col("__seg_branch"), F.lit(UNKNOWN))).drop("__seg_branch")
 
 
-def rule_priority():
+def rule_order():
     """Best keyword rule first: priority asc, longer keyword, newest, rule id."""
+    return [F.col("priority").asc(), F.length("match_keyword").desc(), F.col("updated_at").desc(),
+            F.col("rule_id").desc()]
+
+
+def rule_priority():
+    """The same ranking as a struct whose maximum is the best rule."""
     return [(-F.col("priority")).alias("p0"), F.length("match_keyword").alias("p1"),
             F.col("updated_at").alias("p2"), F.col("rule_id").alias("p3")]
 
 
+def _rule_per_name(df: DataFrame, rules: DataFrame, name_col: str) -> DataFrame:
+    """Fallback for very large rule sets: best rule per distinct name via join."""
+    pr = rules.withColumn("rule_p", F.struct(*rule_priority()))
+    per_name = keyword_rule_match(df, name_col, pr, ["branch_id", "rule_p"],
+                                  priority=[F.col("rule_p").alias("p")])
+    return per_name.select(F.col(name_col).alias("__nm"), F.col("branch_id").alias("__rb"),
+                           F.col("rule_p").alias("__rp"))
+
+
 def branch_by_rule(facts: DataFrame, rules: DataFrame, name_col: str,
                    out_col: str = "branch_id") -> DataFrame:
     """Keyword rules: ``lower(name)`` contains the keyword; default UNKNOWN.
 
-    Rules are matched against the distinct names only, then joined back on
-    the name (equi-join).
+    A small rule list becomes a CASE expression (no join); a large one is
+    matched against the distinct names and joined back on the name.
     """
-    best = keyword_rule_match(facts, name_col, rules, ["branch_id"], priority=rule_priority())
-    best = bounded_broadcast(best.select(F.col(name_col).alias("__rn_name"),
-                                         F.col("branch_id").alias("__rule_branch")))
-    out = facts.join(best, facts[name_col].eqNullSafe(best["__rn_name"]), "left").drop("__rn_name")
-    return out.withColumn(out_col, F.coalesce(F.col("__rule_branch"), F.lit(UNKNOWN))).drop("__rule_branch")
+    kr = keyword_rank(rules, F.col(name_col), rule_order())
+    if kr is not None:
+        rank, value = kr
+        return facts.withColumn(out_col, F.coalesce(value(rank), F.lit(UNKNOWN)))
+    pn = _rule_per_name(facts, rules, name_col)
+    out = facts.join(pn, facts[name_col] == pn["__nm"], "left").drop("__nm", "__rp")
+    return out.withColumn(out_col, F.coalesce(F.col("__rb"), F.lit(UNKNOWN))).drop("__rb")
+
+
+NAVER_GROUP = ["account_id_norm", "campaign_id", "stat_date"]
 
 
 def naver_rule_branch(naver_rows: DataFrame, rules: DataFrame) -> DataFrame:
-    """Best rule per (account, campaign, ad group, day) over all its names.
+    """Best rule per (account, campaign, ad group, day) over all names it had.
 
-    Returns the keys (ad group as a blank key) and ``rule_branch_id``.
+    Returns the keys (ad group as blank key ``__ag``) and ``rule_branch_id``.
+    The aggregation is partial (map-side), so a hot ad group cannot pile up.
     """
-    keys = ["account_id_norm", "campaign_id", "stat_date"]
-    pr = rules.withColumn("rule_p", F.struct(*rule_priority()))
-    per_name = keyword_rule_match(naver_rows, "ad_group_name", pr, ["branch_id", "rule_p"],
-                                  priority=[F.col("rule_p").alias("p")])
-    per_name = bounded_broadcast(per_name.select(F.col("ad_group_name").alias("__nm"),
-                                                 F.col("branch_id").alias("__b"), F.col("rule_p").alias("__p")))
-    rows = naver_rows.select(*keys, blank_key("ad_group_id").alias("__ag"), "ad_group_name")
-    j = rows.join(per_name, rows.ad_group_name == per_name.__nm, "inner")
-    return (j.groupBy(*keys, "__ag").agg(F.max_by("__b", "__p").alias("rule_branch_id")))
+    rows = naver_rows.select(*NAVER_GROUP, blank_key("ad_group_id").alias("__ag"), "ad_group_name")
+    kr = keyword_rank(rules, F.col("ad_group_name"), rule_order())
+    if kr is not None:
+        rank, value = kr
+        best = rows.select(*NAVER_GROUP, "__ag", rank.alias("__rk")).groupBy(*NAVER_GROUP, "__ag") \
+                   .agg(F.min("__rk").alias("__rk"))
+        return best.select(*NAVER_GROUP, "__ag", value(F.col("__rk")).alias("rule_branch_id"))
+    pn = _rule_per_name(rows, rules, "ad_group_name")
+    j = rows.join(pn, rows.ad_group_name == pn.__nm, "inner")
+    return j.groupBy(*NAVER_GROUP, "__ag").agg(F.max_by("__rb", "__rp").alias("rule_branch_id"))
 
 
 def fact_marketing(stg: DataFrame, account_map: DataFrame, rules: DataFrame, dim_branch: DataFrame,
                    w: Window, tiebreak: Sequence[str] = ()) -> DataFrame:
     """Ad-level daily fact with branch and currency, latest row per fact key.
 
-    Naver rows take the branch of the best keyword rule for their ad group;
-    other channels use the effective-dated account map. Currency is the
-    row's own, else KRW for Naver, else the branch currency, else USD.
+    Naver rows take the branch of the best keyword rule over all names their
+    ad group had that day; other channels use the effective-dated account
+    map. Currency is the row's own, else KRW for Naver, else the branch
+    currency, else USD.
+
+    The branch is constant within a fact key (it depends on channel, account,
+    campaign, ad group and day only), so deduplication runs first and the
+    lookups touch one row per key.
     """
     s = stg.filter(w.contains("stat_date"))
-    s = branch_by_account(s, account_map, "stat_date", "__acct_branch")
-    naver = s.filter(F.col("channel_key") == "NAVER_ADS")
-    rb = naver_rule_branch(naver, rules)
+    rb = naver_rule_branch(s.filter(F.col("channel_key") == "NAVER_ADS"), rules)
+    s = s.select("stat_date", "channel_key", "account_id_norm", "campaign_id", "ad_group_id", "ad_id",
+                 "impressions", "clicks", "spend_micros", "conversion_count", "conversion_value_micros",
+                 "load_ts", "currency_code", *tiebreak)
+    d = latest_by(s, ["stat_date", "channel_key", "account_id_norm", "campaign_id", "ad_group_id", "ad_id"],
+                  ["load_ts"], tiebreak, blank_keys=["ad_group_id", "ad_id"])
+    d = branch_by_account(d, account_map, "stat_date", "__acct_branch")
     rb = rb.select(F.col("account_id_norm").alias("__ra"), F.col("campaign_id").alias("__rc"),
                    F.col("stat_date").alias("__rd"), F.col("__ag").alias("__rg"), "rule_branch_id")
-    s = s.join(rb, (F.col("channel_key") == "NAVER_ADS") & (s.account_id_norm == rb.__ra)
-               & (s.campaign_id == rb.__rc) & (s.stat_date == rb.__rd)
-               & (blank_key(s.ad_group_id) == rb.__rg), "left").drop("__ra", "__rc", "__rd", "__rg")
-    s = s.withColumn("branch_id", F.when(F.col("channel_key") == "NAVER_ADS",
+    d = d.join(rb, (F.col("channel_key") == "NAVER_ADS") & (d.account_id_norm == rb.__ra)
+               & (d.campaign_id == rb.__rc) & (d.stat_date == rb.__rd)
+               & (blank_key(d.ad_group_id) == rb.__rg), "left").drop("__ra", "__rc", "__rd", "__rg")
+    d = d.withColumn("branch_id", F.when(F.col("channel_key") == "NAVER_ADS",
                                          F.coalesce("rule_branch_id", F.lit(UNKNOWN)))
                      .otherwise(F.col("__acct_branch"))).drop("rule_branch_id", "__acct_branch")
     b = bounded_broadcast(dim_branch.select(F.col("branch_id").alias("__bb"), F.col("currency").alias("__bc")))
-    s = s.join(b, s.branch_id == b.__bb, "left").withColumn(
+    d = d.join(b, d.branch_id == b.__bb, "left").withColumn(
         "currency_code", F.coalesce(F.col("currency_code"),
                                     F.when(F.col("channel_key") == "NAVER_ADS", F.lit("KRW")),
                                     F.col("__bc"), F.lit("USD"))).drop("__bb", "__bc")
-    s = s.select("stat_date", "channel_key", "account_id_norm", "campaign_id", "ad_group_id", "ad_id",
-                 "impressions", "clicks", "spend_micros", "conversion_count", "conversion_value_micros",
-                 "load_ts", "branch_id", "currency_code", *tiebreak)
-    return latest_by(s, ["stat_date", "channel_key", "account_id_norm", "campaign_id", "ad_group_id", "ad_id"],
-                     ["load_ts"], tiebreak, blank_keys=["ad_group_id", "ad_id"])
+    return d.select("stat_date", "channel_key", "account_id_norm", "campaign_id", "ad_group_id", "ad_id",
+                    "impressions", "clicks", "spend_micros", "conversion_count", "conversion_value_micros",
+                    "load_ts", "branch_id", "currency_code", *tiebreak)
 
 
 def fact_campaign_daily(fact: DataFrame, dim_campaign: DataFrame | None, w: Window) -> DataFrame:
@@ -117,9 +147,9 @@ def fact_campaign_daily(fact: DataFrame, dim_campaign: DataFrame | None, w: Wind
         c = dim_campaign.filter(F.col("is_current") == F.lit(True)) if "is_current" in dim_campaign.columns \
             else dim_campaign
         c = c.filter(F.col("effective_from_date") <= F.lit(w.end))
-        c = bounded_broadcast(c.select(F.col("channel_key").alias("__cc"), F.col("account_id_norm").alias("__ca"),
-                                       F.col("campaign_id").alias("__ci"), F.col("campaign_name").alias("__cn"),
-                                       F.col("load_ts").alias("__cl")))
+        c = c.select(F.col("channel_key").alias("__cc"), F.col("account_id_norm").alias("__ca"),
+                     F.col("campaign_id").alias("__ci"), F.col("campaign_name").alias("__cn"),
+                     F.col("load_ts").alias("__cl"))
         f = f.join(c, (f.channel_key == c.__cc) & (f.account_id_norm == c.__ca) & (f.campaign_id == c.__ci), "left")
         name = last_non_null("__cn", "__cl")
     else:
@@ -153,8 +183,8 @@ def fact_web_event(stg_web: DataFrame, property_map: DataFrame, w: Window) -> Da
     s = stg_web.filter(w.contains("event_date"))
     seg = map_segments(property_map, ["property_id"])
     return best_effective_lookup(s, [(seg, [F.col("property_id")], ["property_id"])], "event_date",
-                                 ["branch_id"], ["__es", "__up"], default={"branch_id": UNKNOWN}
-                                 ).drop("__es", "__up")
+                                 ["branch_id"], ["__es", "__up"], default={"branch_id": UNKNOWN},
+                                 small=fits(property_map)).drop("__es", "__up")
 
 
 def fact_order_line(stg_orders: DataFrame, fever_map: DataFrame, sales_map: DataFrame,
@@ -177,7 +207,7 @@ def fact_order_line(stg_orders: DataFrame, fever_map: DataFrame, sales_map: Data
         (map_segments(sales_map, ["source_system"]), [F.when(is_sales, F.col("source_system"))], ["source_system"]),
     ]
     out = best_effective_lookup(s, lookups, "order_date", ["branch_id"], ["__es", "__up"],
-                                default={"branch_id": UNKNOWN})
+                                default={"branch_id": UNKNOWN}, small=fits(fever_map) and fits(sales_map))
     return out.drop("__es", "__up", "customer_email_hash", "customer_phone_hash")
 
 
@@ -194,7 +224,7 @@ def fact_survey(stg_survey: DataFrame, survey_map: DataFrame, w: Window) -> Data
          ["survey_source"]),
     ]
     out = best_effective_lookup(s, lookups, "response_date", ["branch_id"], ["__es", "__up"],
-                                default={"branch_id": UNKNOWN})
+                                default={"branch_id": UNKNOWN}, small=fits(survey_map))
     return out.drop("__es", "__up", "customer_email_hash", "customer_phone_hash")
 
 

@@ -16,15 +16,29 @@ BROADCAST_MAX_ROWS = 200_000
 OPEN_END = _dt.date(9999, 12, 31)
 
 
+_FITS: dict = {}
+
+
+def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
+    """True when ``df`` provably has ``<= max_rows`` rows.
+
+    Reads at most ``max_rows + 1`` rows (a limited job that stops early for a
+    big input). Use it on small base tables (governance maps, rule lists,
+    dimensions), not on derived fact-sized plans. Memoized per plan.
+    """
+    key = (df.semanticHash(), max_rows)
+    if key not in _FITS:
+        _FITS[key] = df.limit(max_rows + 1).count() <= max_rows
+    return _FITS[key]
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Return ``broadcast(df)`` only when ``df`` provably has ``<= max_rows`` rows.
+    """``broadcast(df)`` when ``df`` provably fits the bound, else ``df`` as is.
 
-    The check reads at most ``max_rows + 1`` rows (a limited job), so it is
-    cheap for the small side and stops early for a big one; beyond the bound the
-    plain DataFrame is returned and Catalyst/AQE pick a shuffle join.
+    Beyond the bound Catalyst plans a shuffle join and AQE may still switch
+    to a broadcast from the measured runtime size.
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if fits(df, max_rows) else df
 
 
 def resolve_effective_segments(mapping: DataFrame, keys: Sequence[str], value_cols: Sequence[str],
@@ -67,17 +81,19 @@ def resolve_effective_segments(mapping: DataFrame, keys: Sequence[str], value_co
 
 def effective_lookup(facts: DataFrame, segments: DataFrame, fact_keys: Sequence[Column],
                      seg_keys: Sequence[str], date_col: str | Column,
-                     value_cols: Sequence[str]) -> DataFrame:
+                     value_cols: Sequence[str], small: bool = False) -> DataFrame:
     """Left-join each fact row to the segment covering its date (0 or 1 match).
 
-    Equi keys drive a broadcast hash join when the segment table is within the
-    broadcast bound (range condition evaluated on the probe side), else a
-    sort-merge join on the equi keys.
+    With ``small`` (the caller proved the map's size, and segments are at most
+    twice the map rows) the segments are broadcast and the range condition is
+    evaluated in the broadcast hash join; otherwise a sort-merge join on the
+    equi keys (AQE may still broadcast from the measured size).
     """
     seg = segments.select(*[F.col(k).alias(f"__m_{k}") for k in seg_keys],
                           F.col("seg_start").alias("__m_s"), F.col("seg_end").alias("__m_e"),
                           *[F.col(v).alias(f"__m_{v}") for v in value_cols])
-    seg = bounded_broadcast(seg)
+    if small:
+        seg = F.broadcast(seg)
     d = F.col(date_col) if isinstance(date_col, str) else date_col
     cond = [fk == F.col(f"__m_{sk}") for fk, sk in zip(fact_keys, seg_keys)]
     cond.append(d.between(F.col("__m_s"), F.col("__m_e")))
@@ -91,6 +107,37 @@ def effective_lookup(facts: DataFrame, segments: DataFrame, fact_keys: Sequence[
     return out
 
 
+RULE_CASE_MAX = 2_000
+
+
+def keyword_rank(rules: DataFrame, text: Column, order: Sequence[Column], value_col: str = "branch_id",
+                 keyword_col: str = "match_keyword", active_col: str | None = "is_active"):
+    """Best keyword rule for ``text`` as a projection, or ``None`` if too many rules.
+
+    The (size-checked, at most ``RULE_CASE_MAX`` rows) active rules are ranked
+    by ``order`` and compiled into one ``CASE WHEN instr(lower(text), kw) > 0``
+    chain: the first rule that matches is the best one. Returns
+    ``(rank_column, value_for_rank_function)``; rank is NULL when no rule
+    matches. No join and no shuffle; the CASE stays in whole-stage codegen.
+    """
+    r = rules
+    if active_col:
+        r = r.filter(F.col(active_col) == F.lit(True))
+    r = r.filter(F.col(keyword_col).isNotNull() & (F.col(keyword_col) != ""))
+    if not fits(r, RULE_CASE_MAX):
+        return None
+    ranked = r.orderBy(*order).select(F.lower(F.col(keyword_col)).alias("kw"), F.col(value_col).alias("v")).collect()
+    if not ranked:
+        return F.lit(None).cast("int"), (lambda rank: F.lit(None).cast("string"))
+    lt = F.lower(F.coalesce(text, F.lit("")))
+    rank = None
+    for i, row in enumerate(ranked, start=1):
+        cond = F.instr(lt, F.lit(row["kw"])) > 0
+        rank = F.when(cond, F.lit(i)) if rank is None else rank.when(cond, F.lit(i))
+    values = F.array(*[F.lit(row["v"]) for row in ranked])
+    return rank, (lambda rk: F.when(rk.isNotNull(), F.element_at(values, F.coalesce(rk, F.lit(1)))))
+
+
 def keyword_rule_match(names: DataFrame, name_col: str, rules: DataFrame,
                        value_cols: Sequence[str] = ("branch_id",),
                        keyword_col: str = "match_keyword",
@@ -132,7 +179,7 @@ def keyword_rule_match(names: DataFrame, name_col: str, rules: DataFrame,
 
 def best_effective_lookup(facts: DataFrame, lookups, date_col: str | Column,
                           value_cols: Sequence[str], priority_cols: Sequence[str],
-                          default: dict | None = None) -> DataFrame:
+                          default: dict | None = None, small: bool = False) -> DataFrame:
     """Resolve one value set per fact row from several effective-dated lookups.
 
     ``lookups`` is a list of ``(segments, fact_key_columns, segment_key_names)``
@@ -148,7 +195,7 @@ def best_effective_lookup(facts: DataFrame, lookups, date_col: str | Column,
         seg_i = seg.select(*skeys, "seg_start", "seg_end", F.lit(True).alias(f"__l{i}_hit"),
                            *[F.col(v).alias(f"__l{i}_{v}") for v in carried])
         out = effective_lookup(out, seg_i, fkeys, list(skeys), date_col,
-                               [f"__l{i}_hit"] + [f"__l{i}_{v}" for v in carried])
+                               [f"__l{i}_hit"] + [f"__l{i}_{v}" for v in carried], small)
     win = F.lit(None).cast("int")
     best = None
     for i in range(len(lookups)):

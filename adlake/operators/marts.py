@@ -27,11 +27,11 @@ def mart_ad_daily(fact: DataFrame, dim_branch: DataFrame, dim_campaign: DataFram
     """Ad-day fact with branch, current campaign and ad names and ratios."""
     f = _with_branch(fact, dim_branch)
     c = dim_campaign.filter((F.col("is_current") == F.lit(True)) & (F.col("effective_from_date") <= F.lit(today)))
-    c = bounded_broadcast(c.select(F.col("channel_key").alias("__cc"), F.col("account_id_norm").alias("__ca"),
-                                   F.col("campaign_id").alias("__ci"), "campaign_name"))
+    c = c.select(F.col("channel_key").alias("__cc"), F.col("account_id_norm").alias("__ca"),
+                 F.col("campaign_id").alias("__ci"), "campaign_name")
     a = dim_ad.filter((F.col("is_current") == F.lit(True)) & (F.col("effective_from_date") <= F.lit(today)))
-    a = bounded_broadcast(a.select(F.col("channel_key").alias("__ac"), F.col("account_id_norm").alias("__aa"),
-                                   F.col("ad_id").alias("__ai"), "ad_name"))
+    a = a.select(F.col("channel_key").alias("__ac"), F.col("account_id_norm").alias("__aa"),
+                 F.col("ad_id").alias("__ai"), "ad_name")
     f = f.join(c, (f.channel_key == c.__cc) & (f.account_id_norm == c.__ca) & (f.campaign_id == c.__ci), "left")
     f = f.join(a, (f.channel_key == a.__ac) & (f.account_id_norm == a.__aa) & (f.ad_id == a.__ai), "left")
     return f.select(
