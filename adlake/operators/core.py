@@ -316,3 +316,54 @@ def dim_campaign_current(meta: DataFrame, google: DataFrame, tiktok: DataFrame,
                   F.max("load_ts").alias("load_ts"))
              .withColumn("effective_to_date", F.lit(None).cast("date"))
              .withColumn("is_current", F.lit(True)))
+
+
+def dim_ad_current(meta: DataFrame, google: DataFrame, tiktok: DataFrame, naver: DataFrame,
+                   w: Window, now=None) -> DataFrame:
+    """Current ad attributes: campaign, ad group, name, status last non-null."""
+    null = F.lit(None).cast("string")
+    base = {"campaign_id": "campaign_id", "ad_group_id": "ad_group_id", "ad_id": "ad_id"}
+    parts = [
+        _grouped(meta, "META", strip_account_prefix("account_id"),
+                 {**base, "ad_name": "ad_name", "status": null}, "stat_date", w, now),
+        _grouped(google, "GOOGLE_ADS", F.col("customer_id").cast("string"),
+                 {**base, "ad_name": "ad_name", "status": null}, "stat_date", w, now),
+        _grouped(tiktok, "TIKTOK_ADS", F.col("advertiser_id").cast("string"),
+                 {**base, "ad_name": null, "status": null}, "stat_date", w, now),
+        _grouped(naver, "NAVER_ADS", F.col("account_id").cast("string"),
+                 {**base, "ad_name": "ad_name", "status": "status"}, "stat_date", w, now),
+    ]
+    u = parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    u = u.filter(F.col("ad_id").isNotNull() & (F.col("ad_id") != ""))
+    o = ("load_ts", "effective_from_date")
+    return (u.groupBy("channel_key", "account_id_norm", "ad_id")
+             .agg(last_non_null("campaign_id", *o).alias("campaign_id"),
+                  last_non_null("ad_group_id", *o).alias("ad_group_id"),
+                  last_non_null("ad_name", *o).alias("ad_name"),
+                  last_non_null("status", *o).alias("status"),
+                  F.max("effective_from_date").alias("effective_from_date"),
+                  F.max("load_ts").alias("load_ts"))
+             .withColumn("effective_to_date", F.lit(None).cast("date"))
+             .withColumn("is_current", F.lit(True)))
+
+
+def dim_customer(stg_orders: DataFrame, stg_survey: DataFrame, w: Window) -> DataFrame:
+    """Customers from orders and surveys: key, hashes, first and last seen.
+
+    The anonymous key (no email and no phone) is dropped. Each source is
+    pre-aggregated per hash pair before the union (partial aggregation).
+    """
+    def src(df, date_col, ts_col):
+        return (df.filter(w.contains(date_col))
+                  .groupBy(F.col("customer_email_hash").alias("email_hash"),
+                           F.col("customer_phone_hash").alias("phone_hash"))
+                  .agg(F.min(ts_col).alias("first_seen_ts"), F.max(ts_col).alias("latest_seen_ts"),
+                       F.max("load_ts").alias("load_ts")))
+    u = src(stg_orders, "order_date", "order_ts").unionByName(src(stg_survey, "response_date", "response_ts"))
+    u = u.withColumn("customer_key", F.sha2(F.concat(F.coalesce("email_hash", F.lit("")), F.lit("|"),
+                                                     F.coalesce("phone_hash", F.lit(""))), 256))
+    u = u.filter(F.col("customer_key") != F.sha2(F.lit("|"), 256))
+    return (u.groupBy("customer_key")
+             .agg(F.max("email_hash").alias("email_hash"), F.max("phone_hash").alias("phone_hash"),
+                  F.min("first_seen_ts").alias("first_seen_ts"), F.max("latest_seen_ts").alias("latest_seen_ts"),
+                  F.max("load_ts").alias("load_ts")))

@@ -103,6 +103,34 @@ class Ctx:
         return self._memo("fact_action", lambda: core.fact_action(
             self.stg_action(), self.gov["account_map"], self.w))
 
+    def stg_web(self):
+        return self._memo("stg_web", lambda: staging.stg_web_event(fx.ga4_raw(self.spark, self.sf), self.w, NOW))
+
+    def fact_web(self):
+        return self._memo("fact_web", lambda: core.fact_web_event(self.stg_web(), self.gov["property_map"], self.w))
+
+    def stg_orders(self):
+        return self._memo("stg_orders", lambda: staging.stg_order_line(
+            fx.sales_raw(self.spark, self.sf), fx.fever_raw(self.spark, self.sf), self.w, NOW, TIE))
+
+    def fact_orders(self):
+        g = self.gov
+        return self._memo("fact_orders", lambda: core.fact_order_line(
+            self.stg_orders(), g["fever_map"], g["sales_map"], self.w))
+
+    def stg_survey(self):
+        return self._memo("stg_survey", lambda: staging.stg_survey_response(
+            fx.survey_raw(self.spark, self.sf), self.w, NOW))
+
+    def fact_survey(self):
+        return self._memo("fact_survey", lambda: core.fact_survey(
+            self.stg_survey(), self.gov["survey_map"], self.w))
+
+    def dim_ad(self):
+        r = self.raws
+        return self._memo("dim_ad", lambda: core.dim_ad_current(
+            r["meta"], r["google"], r["tiktok"], r["naver"], self.w, NOW))
+
     def mart_campaign(self):
         return self._memo("mart_campaign", lambda: marts.mart_campaign_daily(
             self.fact_campaign(), self.fact_action(), fx.external_raw(self.spark, self.sf),
@@ -164,3 +192,95 @@ def q_mart_campaign_daily(spark, sf):
 @query("mart_branch_channel_daily")
 def q_mart_branch_channel_daily(spark, sf):
     return finish(marts.mart_branch_channel_daily(Ctx(spark, sf).mart_campaign()))
+
+
+@query("dim_account")
+def q_dim_account(spark, sf):
+    c = Ctx(spark, sf)
+    r = c.raws
+    return finish(core.dim_account(r["meta"], r["google"], r["tiktok"], r["naver"], c.w, NOW))
+
+
+@query("dim_ad_current")
+def q_dim_ad_current(spark, sf):
+    return finish(Ctx(spark, sf).dim_ad())
+
+
+@query("dim_channel")
+def q_dim_channel(spark, sf):
+    # The channel dimension is literal; keep the channels that occur in the
+    # landed ad performance so the query reads the tables.
+    c = Ctx(spark, sf)
+    seen = c.stg_perf().select("channel_key").distinct()
+    return finish(core.dim_channel(spark, NOW).join(seen, "channel_key", "left_semi"))
+
+
+@query("mart_ad_daily")
+def q_mart_ad_daily(spark, sf):
+    c = Ctx(spark, sf)
+    return finish(marts.mart_ad_daily(c.fact_mkt(), c.gov["dim_branch"], c.dim_campaign(), c.dim_ad(), TODAY))
+
+
+@query("stg_web_event")
+def q_stg_web_event(spark, sf):
+    return finish(Ctx(spark, sf).stg_web())
+
+
+@query("fact_web_event")
+def q_fact_web_event(spark, sf):
+    return finish(Ctx(spark, sf).fact_web())
+
+
+@query("mart_web_daily")
+def q_mart_web_daily(spark, sf):
+    c = Ctx(spark, sf)
+    return finish(marts.mart_web_daily(c.fact_web(), c.gov["dim_branch"]))
+
+
+@query("stg_order_line")
+def q_stg_order_line(spark, sf):
+    return finish(Ctx(spark, sf).stg_orders())
+
+
+@query("fact_order_line")
+def q_fact_order_line(spark, sf):
+    return finish(Ctx(spark, sf).fact_orders())
+
+
+@query("mart_business_daily")
+def q_mart_business_daily(spark, sf):
+    c = Ctx(spark, sf)
+    return finish(marts.mart_business_daily(c.fact_orders(), c.gov["dim_branch"]))
+
+
+@query("stg_survey_response")
+def q_stg_survey_response(spark, sf):
+    return finish(Ctx(spark, sf).stg_survey())
+
+
+@query("fact_survey")
+def q_fact_survey(spark, sf):
+    return finish(Ctx(spark, sf).fact_survey())
+
+
+@query("mart_survey_daily")
+def q_mart_survey_daily(spark, sf):
+    c = Ctx(spark, sf)
+    return finish(marts.mart_survey_daily(c.fact_survey(), c.gov["dim_branch"]))
+
+
+@query("mart_blended_daily")
+def q_mart_blended_daily(spark, sf):
+    c = Ctx(spark, sf)
+    b = c.gov["dim_branch"]
+    return finish(marts.mart_blended_daily(
+        c.mart_campaign(), marts.mart_business_daily(c.fact_orders(), b), marts.mart_web_daily(c.fact_web(), b),
+        marts.mart_survey_daily(c.fact_survey(), b), b))
+
+
+@query("dim_customer")
+def q_dim_customer(spark, sf):
+    c = Ctx(spark, sf)
+    d = core.dim_customer(c.stg_orders(), c.stg_survey(), c.w)
+    return finish(d.withColumn("first_seen_date", F.to_date("first_seen_ts"))
+                   .withColumn("latest_seen_date", F.to_date("latest_seen_ts")))

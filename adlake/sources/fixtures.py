@@ -348,6 +348,7 @@ def ads_perf_raws(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
               "tie1", "tie2"]
     meta = raw.filter(F.col("channel_key") == "META").select(
         F.concat(F.lit("act_"), F.col("account_id_norm")).alias("account_id"), *common, "campaign_type",
+        F.when(F.col("tie1") % 3 != 0, F.concat(F.lit("Account "), F.col("account_id_norm"))).alias("account_name"),
         _micros_text("cost_micros").alias("spend"))
     google = raw.filter(F.col("channel_key") == "GOOGLE_ADS").select(
         F.col("account_id_norm").alias("customer_id"), *common, "cost_micros",
@@ -397,3 +398,39 @@ def google_action_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def external_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return view(spark, sf_dir, "fx_external")
+
+
+def ga4_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_load_times(view(spark, sf_dir, "fx_web"))
+
+
+def _orders(spark, sf_dir):
+    o = with_load_times(view(spark, sf_dir, "fx_orders"))
+    return (o.withColumn("order_ts", F.col("order_date").cast("timestamp"))
+             .withColumn("gross_amount_micros", F.col("gross_cents") * F.lit(10_000))
+             .withColumn("discount_amount_micros", F.col("discount_cents") * F.lit(10_000))
+             .withColumn("net_amount_micros", (F.col("gross_cents") - F.col("discount_cents")) * F.lit(10_000))
+             .withColumn("payment_status", F.lit("PAID")))
+
+
+def sales_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed SALES order lines."""
+    return _orders(spark, sf_dir).filter(F.col("order_source") == "SALES").drop(
+        "order_source", "venue_name", "gross_cents", "discount_cents")
+
+
+def fever_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed FEVER ticket orders; every 4th ticket has no event id."""
+    o = _orders(spark, sf_dir).filter(F.col("order_source") == "FEVER")
+    return o.select(F.col("order_id").alias("fever_order_id"), F.col("order_line_id").alias("ticket_id"),
+                    F.when(F.col("load_seq") % 4 != 0, F.col("product_id")).alias("event_id"),
+                    "venue_name", "customer_email", "order_ts", "order_date", "quantity", "gross_amount_micros",
+                    "discount_amount_micros", "net_amount_micros", "currency", "payment_status",
+                    "ingestion_ts", "source_extract_ts", "load_seq", "tie1", "tie2")
+
+
+def survey_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    s = with_load_times(view(spark, sf_dir, "fx_survey"))
+    return (s.withColumn("response_ts", F.col("response_date").cast("timestamp"))
+             .withColumn("answer_type", F.lit("SCORE"))
+             .withColumn("answer_text", F.lit(None).cast("string")))
