@@ -22,7 +22,7 @@ from adlake.sources import fixtures as fx
 
 NOW = "2024-02-01 00:00:00"
 TODAY = _dt.date(2024, 2, 1)
-TIE = ["tie1", "tie2"]
+TIE = ["tie1", "tie2", "tie3", "tie4", "tie5"]
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 

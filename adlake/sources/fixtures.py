@@ -74,7 +74,10 @@ SELECT CASE l_linenumber % 4 WHEN 0 THEN 'META' WHEN 1 THEN 'GOOGLE_ADS'
          * CAST(ROUND(l_tax * 100) AS BIGINT) * 100                   AS conv_value_micros,
        l_orderkey % 11 = 0                                            AS spend_blank,
        l_orderkey * 10 + l_linenumber                                 AS load_seq,
-       l_partkey AS tie1, l_suppkey AS tie2
+       l_partkey AS tie1, l_suppkey AS tie2,
+       CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS tie3,
+       CAST(ROUND(l_discount * 100) AS BIGINT) * 100 + CAST(ROUND(l_tax * 100) AS BIGINT) AS tie4,
+       CAST(l_shipdate AS DATE) AS tie5
 FROM lineitem JOIN part ON l_partkey = p_partkey
 """)
 
@@ -158,7 +161,10 @@ SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'FEVER' ELSE 'SALES' END AS order_sourc
        CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS gross_cents,
        CAST(ROUND(l_extendedprice * l_discount * 100) AS BIGINT) AS discount_cents,
        CASE WHEN o_custkey % 2 = 0 THEN 'USD' ELSE 'KRW' END AS currency,
-       o_orderkey * 10 + l_linenumber AS load_seq, l_partkey AS tie1, l_suppkey AS tie2
+       o_orderkey * 10 + l_linenumber AS load_seq, l_partkey AS tie1, l_suppkey AS tie2,
+       CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS tie3,
+       CAST(ROUND(l_discount * 100) AS BIGINT) * 100 + CAST(ROUND(l_tax * 100) AS BIGINT) AS tie4,
+       CAST(l_shipdate AS DATE) AS tie5
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """)
 
@@ -345,7 +351,7 @@ def ads_perf_raws(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     raw = with_load_times(view(spark, sf_dir, "fx_ads_raw"))
     common = ["campaign_id", "campaign_name", "ad_group_id", "ad_group_name", "ad_id", "ad_name",
               "status", "stat_date", "impressions", "clicks", "ingestion_ts", "source_extract_ts",
-              "tie1", "tie2"]
+              "tie1", "tie2", "tie3", "tie4", "tie5"]
     meta = raw.filter(F.col("channel_key") == "META").select(
         F.concat(F.lit("act_"), F.col("account_id_norm")).alias("account_id"), *common, "campaign_type",
         F.when(F.col("tie1") % 3 != 0, F.concat(F.lit("Account "), F.col("account_id_norm"))).alias("account_name"),
@@ -426,7 +432,7 @@ def fever_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.when(F.col("load_seq") % 4 != 0, F.col("product_id")).alias("event_id"),
                     "venue_name", "customer_email", "order_ts", "order_date", "quantity", "gross_amount_micros",
                     "discount_amount_micros", "net_amount_micros", "currency", "payment_status",
-                    "ingestion_ts", "source_extract_ts", "load_seq", "tie1", "tie2")
+                    "ingestion_ts", "source_extract_ts", "load_seq", "tie1", "tie2", "tie3", "tie4", "tie5")
 
 
 def survey_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
