@@ -351,7 +351,7 @@ def ads_perf_raws(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     raw = with_load_times(view(spark, sf_dir, "fx_ads_raw"))
     common = ["campaign_id", "campaign_name", "ad_group_id", "ad_group_name", "ad_id", "ad_name",
               "status", "stat_date", "impressions", "clicks", "ingestion_ts", "source_extract_ts",
-              "tie1", "tie2", "tie3", "tie4", "tie5"]
+              "tie1", "tie2", "tie3", "tie4", "tie5", "load_seq"]
     meta = raw.filter(F.col("channel_key") == "META").select(
         F.concat(F.lit("act_"), F.col("account_id_norm")).alias("account_id"), *common, "campaign_type",
         F.when(F.col("tie1") % 3 != 0, F.concat(F.lit("Account "), F.col("account_id_norm"))).alias("account_name"),
