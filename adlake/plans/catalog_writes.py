@@ -185,3 +185,38 @@ def q_load_json_typed(spark, sf):
     df = io.load_json_typed(spark, path, EVENT_SCHEMA)
     return df.select("event_id", "user_id", "event_type", "value",
                      F.col("_corrupt_record").isNotNull().alias("is_corrupt"))
+
+
+# ------------------------------------------------------------------ SCD2
+from adlake.operators import scd2 as S2  # noqa: E402
+
+
+def _epoch(df):
+    out = df
+    for c in ("valid_from_ts", "valid_to_ts"):
+        if c in out.columns:
+            out = out.withColumn(c.replace("_ts", "_epoch"), F.unix_timestamp(c))
+    return out
+
+
+def _two_batches(fn, snap):
+    first = fn(snap.filter(F.col("load_seq") % 2 == 0), None)
+    return fn(snap, first)
+
+
+@query("scd2_creative")
+def q_scd2_creative(spark, sf):
+    snap = fx.creative_snapshot(spark, sf)
+    return finish(_epoch(_two_batches(S2.scd2_creative, snap)))
+
+
+@query("scd2_creative_asset")
+def q_scd2_creative_asset(spark, sf):
+    snap = fx.creative_snapshot(spark, sf)
+    return finish(_epoch(_two_batches(S2.scd2_creative_asset, snap)))
+
+
+@query("scd2_bridge_ad_creative")
+def q_scd2_bridge_ad_creative(spark, sf):
+    snap = fx.creative_snapshot(spark, sf)
+    return finish(_two_batches(S2.scd2_bridge_ad_creative, snap))

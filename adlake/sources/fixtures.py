@@ -180,6 +180,23 @@ SELECT d.source AS survey_source, CAST(l.doc_id AS STRING) AS response_id,
 FROM labels l JOIN documents d ON l.doc_id = d.doc_id
 """)
 
+# Creative snapshots from documents: copies of a text are unchanged content.
+_view("fx_creative", ("documents",), """
+SELECT 'META' AS channel_key, source AS account_id_norm,
+       CAST(doc_id % 97 AS STRING) AS creative_id, CAST(doc_id % 89 AS STRING) AS ad_id,
+       'Creative ' || CAST(doc_id % 97 AS STRING) AS creative_name,
+       CAST('2024-01-01' AS DATE) + CAST(doc_id % 30 AS INT) AS valid_date,
+       text, lang, n_chars,
+       CASE WHEN doc_id % 2 = 0 THEN 'IMAGE' ELSE 'VIDEO' END AS asset_type,
+       CAST(1 + doc_id % 3 AS INT) AS asset_seq,
+       CASE WHEN doc_id % 11 = 0 THEN '' ELSE 'https://cdn/' || lang || '/' || CAST(n_chars % 5 AS STRING) END AS asset_url,
+       CASE WHEN doc_id % 2 = 1 THEN 'v' || CAST(n_chars % 3 AS STRING) END AS video_id,
+       'h' || CAST(n_chars % 4 AS STRING) AS image_hash,
+       'https://thumb/' || source AS thumbnail_url,
+       doc_id AS load_seq
+FROM documents
+""")
+
 _view("fx_account_map", ("supplier",), """
 SELECT CAST(s_suppkey AS STRING) AS account_id_norm,
        'VENUE_0' || CAST(s_suppkey % 7 + 1 AS STRING) AS branch_id,
@@ -440,3 +457,11 @@ def survey_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (s.withColumn("response_ts", F.col("response_date").cast("timestamp"))
              .withColumn("answer_type", F.lit("SCORE"))
              .withColumn("answer_text", F.lit(None).cast("string")))
+
+
+def creative_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Staged creative rows: content hash over the whole text, midnight validity."""
+    c = view(spark, sf_dir, "fx_creative")
+    return (c.withColumn("content_hash", F.sha2(F.concat_ws("|", F.col("creative_name"), F.col("text")), 256))
+             .withColumn("valid_from_ts", F.col("valid_date").cast("timestamp"))
+             .withColumn("load_ts", _ts("load_seq")))
