@@ -284,3 +284,88 @@ def q_dim_customer(spark, sf):
     d = core.dim_customer(c.stg_orders(), c.stg_survey(), c.w)
     return finish(d.withColumn("first_seen_date", F.to_date("first_seen_ts"))
                    .withColumn("latest_seen_date", F.to_date("latest_seen_ts")))
+
+
+# ------------------------------------------------------------------ breakdowns
+from adlake.operators import breakdown as BD  # noqa: E402
+
+BD_TODAY = _dt.date(2024, 3, 1)
+
+
+class BCtx(Ctx):
+    def long(self):
+        def mk():
+            wide = fx.breakdown_wide(self.spark, self.sf)
+            keep_m = ["account_id", "campaign_id", "campaign_name", "stat_date", "impressions", "clicks",
+                      "spend_micros", "attribution_setting", "ingestion_ts", "source_extract_ts", "load_seq"]
+            keep_g = ["customer_id", "campaign_id", "campaign_name", "stat_date", "impressions", "clicks",
+                      "cost_micros", "conversions", "conversion_value_micros", "ingestion_ts", "source_extract_ts",
+                      "load_seq"]
+            return (BD.unpivot_breakdown(wide["meta"], BD.META_KEYS, keep_m),
+                    BD.unpivot_breakdown(wide["google"], BD.GOOGLE_KEYS, keep_g))
+        return self._memo("bd_long", mk)
+
+    def stg_bd(self):
+        m, g = self.long()
+        return self._memo("stg_bd", lambda: BD.stg_breakdown(m, g, self.w, NOW))
+
+    def fact_bd(self):
+        return self._memo("fact_bd", lambda: BD.fact_breakdown(self.stg_bd(), self.gov["account_map"], self.w))
+
+    def geo_map(self):
+        def mk():
+            _, g = self.long()
+            fx.register(self.spark, self.sf, ["fx_geo_meta"])
+            return BD.geo_map_build(BD.geo_ids_distinct(g, self.w), self.spark.table("fx_geo_meta"))
+        return self._memo("geo_map", mk)
+
+    def mart_bd(self):
+        return self._memo("mart_bd", lambda: BD.mart_breakdown_recent(
+            self.fact_bd(), self.gov["dim_branch"], self.geo_map(), BD_TODAY))
+
+
+@query("norm_meta_breakdown")
+def q_norm_meta_breakdown(spark, sf):
+    m, _ = BCtx(spark, sf).long()
+    return finish(m.select("account_id", "campaign_id", "stat_date", "breakdown_key", "breakdown_value",
+                           "impressions", "load_seq"))
+
+
+@query("norm_google_breakdown")
+def q_norm_google_breakdown(spark, sf):
+    _, g = BCtx(spark, sf).long()
+    return finish(g.select("customer_id", "campaign_id", "stat_date", "breakdown_key", "breakdown_value",
+                           "impressions", "load_seq"))
+
+
+@query("stg_breakdown")
+def q_stg_breakdown(spark, sf):
+    return finish(BCtx(spark, sf).stg_bd())
+
+
+@query("fact_breakdown")
+def q_fact_breakdown(spark, sf):
+    return finish(BCtx(spark, sf).fact_bd())
+
+
+@query("geo_ids_distinct")
+def q_geo_ids_distinct(spark, sf):
+    c = BCtx(spark, sf)
+    return finish(BD.geo_ids_distinct(c.long()[1], c.w))
+
+
+@query("geo_map_build")
+def q_geo_map_build(spark, sf):
+    return finish(BCtx(spark, sf).geo_map())
+
+
+@query("mart_breakdown_recent")
+def q_mart_breakdown_recent(spark, sf):
+    return finish(BCtx(spark, sf).mart_bd())
+
+
+@query("dq_unknown_geo")
+def q_dq_unknown_geo(spark, sf):
+    from adlake.session import Window as Win
+    c = BCtx(spark, sf)
+    return finish(BD.dq_unknown_geo(c.mart_bd(), Win.of("2024-02-01", "2024-02-29"), NOW))

@@ -197,6 +197,39 @@ SELECT 'META' AS channel_key, source AS account_id_norm,
 FROM documents
 """)
 
+# Wide audience insight rows (one per order): channel, campaign, day, codes.
+_view("fx_breakdown_wide", ("orders", "customer"), """
+SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'META' ELSE 'GOOGLE_ADS' END AS channel_key,
+       CAST(c_nationkey AS STRING) AS account_id_norm,
+       CASE WHEN o_orderkey % 17 = 0 THEN '' ELSE CAST(o_custkey % 30 AS STRING) END AS campaign_id,
+       'Campaign ' || CAST(o_custkey % 30 AS STRING) AS campaign_name,
+       CAST('2024-01-01' AS DATE) + CAST(o_orderkey % 60 AS INT) AS stat_date,
+       CASE c_mktsegment WHEN 'MACHINERY' THEN '18_24' WHEN 'BUILDING' THEN '25_34'
+            WHEN 'AUTOMOBILE' THEN '35_44' WHEN 'HOUSEHOLD' THEN '65_UP' ELSE 'UNDETERMINED' END AS age_code,
+       CASE o_custkey % 3 WHEN 0 THEN 'male' WHEN 1 THEN 'female' ELSE ' ' END AS gender,
+       CASE o_custkey % 5 WHEN 0 THEN '2840' WHEN 1 THEN '2124' WHEN 2 THEN 'others'
+            WHEN 3 THEN '9999' ELSE '2410' END AS country,
+       CASE o_orderkey % 4 WHEN 0 THEN '21137' WHEN 1 THEN '1012873' WHEN 2 THEN '' ELSE ' 20009' END AS region,
+       o_custkey % 100 AS impressions, o_custkey % 7 AS clicks,
+       CAST(ROUND(o_totalprice * 100) AS BIGINT) * 10000 AS cost_micros,
+       CAST(o_orderkey % 3 AS DOUBLE) AS conversions,
+       (o_orderkey % 5) * 1000000 AS conversion_value_micros,
+       CASE WHEN o_orderkey % 2 = 0 THEN '7d_click' END AS attribution_setting,
+       o_orderkey AS load_seq
+FROM orders JOIN customer ON o_custkey = c_custkey
+""")
+
+_view("fx_geo_meta", (), """
+SELECT * FROM (VALUES
+  ('2840', 'COUNTRY', 'US', 'United States', 'United States'),
+  ('2124', 'COUNTRY', 'CA', 'Canada', 'Canada'),
+  ('2410', 'COUNTRY', 'KR', 'South Korea', 'South Korea'),
+  ('21137', 'STATE', 'US', 'United States', 'California'),
+  ('1012873', 'CITY', 'CA', 'Canada', 'Toronto, canada'),
+  ('20009', 'REGION', 'KR', 'South Korea', 'Seoul')
+) AS t(geo_target_constant_id, target_type, country_code, country_name, target_name)
+""")
+
 _view("fx_account_map", ("supplier",), """
 SELECT CAST(s_suppkey AS STRING) AS account_id_norm,
        'VENUE_0' || CAST(s_suppkey % 7 + 1 AS STRING) AS branch_id,
@@ -465,3 +498,22 @@ def creative_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (c.withColumn("content_hash", F.sha2(F.concat_ws("|", F.col("creative_name"), F.col("text")), 256))
              .withColumn("valid_from_ts", F.col("valid_date").cast("timestamp"))
              .withColumn("load_ts", _ts("load_seq")))
+
+
+def breakdown_wide(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Landed wide insight rows: Meta (age, gender, country, region) and
+    Google (age_range, gender, geo_target_country, geo_target_region)."""
+    b = with_load_times(view(spark, sf_dir, "fx_breakdown_wide"))
+    meta_age = F.when(F.col("age_code") == "65_UP", F.lit("65+")).when(
+        F.col("age_code") != "UNDETERMINED", F.regexp_replace("age_code", "_", "-")).otherwise(F.lit("unknown"))
+    common = ["campaign_id", "campaign_name", "stat_date", "impressions", "clicks", "ingestion_ts",
+              "source_extract_ts", "load_seq"]
+    meta = b.filter(F.col("channel_key") == "META").select(
+        F.concat(F.lit("act_"), F.col("account_id_norm")).alias("account_id"), *common,
+        F.col("cost_micros").alias("spend_micros"), "attribution_setting",
+        meta_age.alias("age"), "gender", "country", "region")
+    google = b.filter(F.col("channel_key") == "GOOGLE_ADS").select(
+        F.col("account_id_norm").alias("customer_id"), *common, "cost_micros", "conversions",
+        "conversion_value_micros", F.concat(F.lit("AGE_RANGE_"), F.col("age_code")).alias("age_range"),
+        "gender", F.col("country").alias("geo_target_country"), F.col("region").alias("geo_target_region"))
+    return {"meta": meta, "google": google}
