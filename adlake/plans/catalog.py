@@ -369,3 +369,59 @@ def q_dq_unknown_geo(spark, sf):
     from adlake.session import Window as Win
     c = BCtx(spark, sf)
     return finish(BD.dq_unknown_geo(c.mart_bd(), Win.of("2024-02-01", "2024-02-29"), NOW))
+
+
+# ------------------------------------------------------------------ governance, usage
+from adlake.operators import governance as GV, usage as US  # noqa: E402
+
+USAGE_W = None
+
+
+def _usage_window():
+    from adlake.session import Window as Win
+    return Win.of("2024-01-05", "2024-01-20")
+
+
+@query("source_readiness")
+def q_source_readiness(spark, sf):
+    g = fx.governance(spark, sf)
+    return finish(GV.source_readiness(fx.view(spark, sf, "fx_source_config"), g["rules"]))
+
+
+@query("source_activation")
+def q_source_activation(spark, sf):
+    g = fx.governance(spark, sf)
+    return finish(GV.source_activation(fx.view(spark, sf, "fx_source_config"), g["rules"], g["account_map"]))
+
+
+@query("unmatched_adgroups")
+def q_unmatched_adgroups(spark, sf):
+    c = Ctx(spark, sf)
+    return finish(GV.unmatched_adgroups(c.raws["naver"], c.gov["rules"], _dt.date(2001, 6, 1), tiebreak=TIE))
+
+
+@query("usage_by_user")
+def q_usage_by_user(spark, sf):
+    return finish(US.usage_by_user(fx.view(spark, sf, "fx_job_log"), _usage_window()))
+
+
+@query("usage_by_workload")
+def q_usage_by_workload(spark, sf):
+    return finish(US.usage_by_workload(fx.view(spark, sf, "fx_job_log"), _usage_window()))
+
+
+@query("usage_free_tier")
+def q_usage_free_tier(spark, sf):
+    return finish(US.usage_free_tier(fx.view(spark, sf, "fx_job_log"), _usage_window()))
+
+
+@query("usage_month_state")
+def q_usage_month_state(spark, sf):
+    return finish(US.usage_month_state(fx.view(spark, sf, "fx_query_log"), _dt.datetime(2024, 1, 15, 12),
+                                       budget=100 * 1024 ** 3))
+
+
+@query("usage_estimate")
+def q_usage_estimate(spark, sf):
+    q = fx.view(spark, sf, "fx_query_log").select("id", "date_from", "date_to")
+    return finish(US.usage_estimate(q))

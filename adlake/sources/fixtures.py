@@ -230,6 +230,59 @@ SELECT * FROM (VALUES
 ) AS t(geo_target_constant_id, target_type, country_code, country_name, target_name)
 """)
 
+# Ingest source configuration, one source per supplier.
+_view("fx_source_config", ("supplier",), """
+SELECT 'src_' || CAST(s_suppkey AS STRING) AS source_id,
+       'VENUE_0' || CAST(s_suppkey % 7 + 1 AS STRING) AS branch_id,
+       CASE s_suppkey % 4 WHEN 0 THEN 'META' WHEN 1 THEN 'GOOGLE_ADS' WHEN 2 THEN 'TIKTOK_ADS' ELSE 'NAVER_ADS' END
+         AS channel_key,
+       CASE s_suppkey % 4 WHEN 0 THEN 'meta' WHEN 1 THEN 'google' WHEN 2 THEN 'tiktok' ELSE 'naver' END AS provider_key,
+       CASE s_suppkey % 5 WHEN 1 THEN 'PENDING_SETUP' WHEN 2 THEN 'PAUSED' ELSE 'ACTIVE' END AS status,
+       CASE WHEN s_suppkey % 2 = 0 THEN 'tier1' ELSE 'tier2' END AS tier,
+       CAST(s_suppkey % 10 AS INT) AS priority,
+       CASE s_suppkey % 6 WHEN 0 THEN 'SECRET_MANAGER' WHEN 1 THEN 'env' WHEN 2 THEN NULL ELSE 'secret_manager' END
+         AS credential_mode,
+       CASE WHEN s_suppkey % 11 = 0 THEN NULL WHEN s_suppkey % 13 = 0 THEN ' ' ELSE CAST(s_suppkey AS STRING) END
+         AS account_id_norm,
+       CASE WHEN s_suppkey % 3 = 0 THEN 'sm://' || CAST(s_suppkey AS STRING) WHEN s_suppkey % 3 = 1 THEN '' END
+         AS secret_ref,
+       s_suppkey % 2 = 0 AS run_warehouse_after_ingest
+FROM supplier
+""")
+
+# Warehouse job log (one root or child job per event).
+_view("fx_job_log", ("events",), """
+SELECT 'job_' || CAST(event_id AS STRING) AS job_id,
+       CASE WHEN user_id % 2 = 0 THEN 'US' ELSE 'asia-northeast3' END AS region,
+       'user' || CAST(user_id % 7 AS STRING) || '@example.com' AS user_email,
+       ts AS creation_time,
+       CASE WHEN event_id % 19 = 0 THEN 'LOAD' ELSE 'QUERY' END AS job_type,
+       CASE WHEN event_id % 13 = 0 THEN 'RUNNING' ELSE 'DONE' END AS state,
+       CASE WHEN event_id % 11 = 0 THEN 'job_' || CAST(event_id - 1 AS STRING) END AS parent_job_id,
+       CAST(ROUND(value * 1000000000) AS BIGINT) AS total_bytes_billed,
+       CASE event_type WHEN 'click' THEN 'CALL `proj.ops.sp_load_all`()'
+            WHEN 'view' THEN 'CALL `proj.ops.sp_load_stg`()'
+            WHEN 'signup' THEN 'BEGIN TRANSACTION; DELETE FROM `proj.raw_ads.meta_ads_performance_raw` WHERE TRUE'
+            WHEN 'purchase' THEN 'SELECT 1' ELSE 'DECLARE x INT64' END AS query,
+       CASE event_type WHEN 'purchase' THEN 'SELECT'
+            WHEN 'error' THEN CASE WHEN event_id % 2 = 0 THEN 'SCRIPT' END ELSE 'SCRIPT' END AS statement_type
+FROM events
+""")
+
+# The dashboard's query log (estimated and actual bytes per semantic query).
+_view("fx_query_log", ("events",), """
+SELECT event_id AS id, 'user' || CAST(user_id % 5 AS STRING) AS user_id,
+       CASE event_id % 3 WHEN 0 THEN ts - INTERVAL 20 DAY WHEN 1 THEN ts ELSE ts + INTERVAL 20 DAY END AS created_at,
+       CASE WHEN event_type = 'error' THEN 'error'
+            WHEN event_type = 'signup' AND event_id % 2 = 0 THEN 'blocked' ELSE 'ok' END AS status,
+       CAST(ROUND(value * 1000000) AS BIGINT) AS estimated_bytes,
+       CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(ROUND(value * 900000) AS BIGINT) END AS actual_bytes,
+       CASE WHEN event_id % 7 = 0 THEN 'last 90 days' ELSE CAST(CAST(ts AS DATE) AS STRING) END AS date_from,
+       CASE WHEN event_id % 7 = 0 THEN NULL
+            ELSE CAST(CAST(ts AS DATE) + CAST(event_id % 100 AS INT) AS STRING) END AS date_to
+FROM events
+""")
+
 _view("fx_account_map", ("supplier",), """
 SELECT CAST(s_suppkey AS STRING) AS account_id_norm,
        'VENUE_0' || CAST(s_suppkey % 7 + 1 AS STRING) AS branch_id,
