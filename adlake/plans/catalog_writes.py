@@ -220,3 +220,62 @@ def q_scd2_creative_asset(spark, sf):
 def q_scd2_bridge_ad_creative(spark, sf):
     snap = fx.creative_snapshot(spark, sf)
     return finish(_two_batches(S2.scd2_bridge_ad_creative, snap))
+
+
+# ------------------------------------------------------------------ sheets
+from adlake.sources import sheets as SH  # noqa: E402
+
+
+def _write_sheets(spark, sf):
+    """Per-branch CSV sheets (spend, impressions, clicks, CR) landed in the shared folder.
+
+    Rows come from the external-sheet view in order-key order; some rows are
+    short, have a blank channel, an unparsable date or a ` 0:00:00` suffix.
+    """
+    base = _shared(spark, "sheets")
+    e = fx.external_raw(spark, sf)
+    k = F.col("okey")
+    date_txt = (F.when(k % 31 == 0, F.lit("n/a"))
+                 .when(k % 2 == 0, F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit(" 0:00:00")))
+                 .otherwise(F.date_format("date", "yyyy-MM-dd")))
+    code = F.when(k % 29 == 0, F.lit("")).otherwise(F.col("channel_code"))
+    quoted = lambda c: F.concat(F.lit('"'), c, F.lit('"'))  # noqa: E731 - cells with commas are quoted
+    spend = quoted(F.concat(F.lit("$"), F.format_number(F.col("spend_usd_micros") / F.lit(1e6), 2)))
+    paths = {}
+    for name, header, cells, short_mod in [
+        ("spend", "DATE,CD_MKT_CHANNEL,SPEND", [spend], 23),
+        ("impressions", "DATE,CD_MKT_CHANNEL,IMPRESSIONS", [quoted(F.format_number(F.col("impressions"), 0))], 23),
+        ("clicks", "DATE,CD_MKT_CHANNEL,CLICKS", [F.col("clicks").cast("string")], 37),
+        ("cr", "DATE,CD_MKT_CHANNEL,MXP_TRANSACTIONS,MXP_PLAN_VIEWS,CR",
+         [F.col("transactions").cast("string"), F.col("plan_views").cast("string"),
+          F.concat(F.format_number(F.col("transactions") * 100 / (F.col("plan_views") + 1), 1), F.lit("%"))], 19),
+    ]:
+        line = F.when(k % short_mod == 0, F.concat_ws(",", date_txt, code)).otherwise(
+            F.concat_ws(",", date_txt, code, *cells))
+        rows = e.withColumn("okey", F.col("order_key")).select("branch_id", "okey", line.alias("value"))
+        heads = rows.select("branch_id").distinct().select("branch_id", F.lit(-1).cast("bigint").alias("okey"),
+                                                           F.lit(header).alias("value"))
+        path = f"{base}/{name}"
+        (rows.unionByName(heads).repartition("branch_id").sortWithinPartitions("branch_id", "okey")
+             .select("branch_id", "value").write.partitionBy("branch_id").text(path))
+        paths[name] = path
+    return paths
+
+
+@query("read_metric_sheet")
+def q_read_metric_sheet(spark, sf):
+    p = _write_sheets(spark, sf)
+    return SH.read_metric_sheet(spark, p["spend"]).drop("__idx")
+
+
+@query("read_cr_sheet")
+def q_read_cr_sheet(spark, sf):
+    p = _write_sheets(spark, sf)
+    return SH.read_cr_sheet(spark, p["cr"]).drop("__idx")
+
+
+@query("combine_metric_sheets")
+def q_combine_metric_sheets(spark, sf):
+    p = _write_sheets(spark, sf)
+    return SH.combine_metric_sheets(SH.read_metric_sheet(spark, p["spend"]), SH.read_metric_sheet(spark, p["impressions"]),
+                                    SH.read_metric_sheet(spark, p["clicks"]), SH.read_cr_sheet(spark, p["cr"]))

@@ -329,7 +329,8 @@ SELECT CAST(o_orderdate AS DATE) AS date,
        o_custkey % 1000 AS impressions,
        CASE WHEN o_orderkey % 8 = 0 THEN 0 ELSE o_custkey % 37 END AS clicks,
        o_orderkey % 3 AS transactions,
-       o_orderkey % 5 AS plan_views
+       o_orderkey % 5 AS plan_views,
+       o_orderkey AS order_key
 FROM orders JOIN customer ON o_custkey = c_custkey
 """)
 

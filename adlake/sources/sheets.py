@@ -48,9 +48,12 @@ def parse_currency(text: Column) -> Column:
 def _read_rows(spark: SparkSession, path: str, ncols: int) -> DataFrame:
     """Read CSV cells as text (no header handling, no inference) with a line index."""
     raw = spark.read.text(path).withColumn("__idx", F.monotonically_increasing_id())
-    cells = F.split(F.col("value"), ",", -1)
-    return raw.select("__idx", F.size(cells).alias("__n"), *[F.element_at(cells, i + 1).alias(f"c{i}")
-                                                             for i in range(ncols)])
+    # CSV cells: split on commas outside double quotes, then unquote.
+    cells = F.transform(F.split(F.col("value"), r',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1),
+                        lambda x: F.regexp_replace(F.regexp_replace(x, r'^"|"$', ""), '""', '"'))
+    extra = [c for c in raw.columns if c not in ("value", "__idx")]   # e.g. a branch_id partition folder
+    return raw.select(*extra, "__idx", F.size(cells).alias("__n"),
+                      *[F.when(F.size(cells) > i, F.element_at(cells, i + 1)).alias(f"c{i}") for i in range(ncols)])
 
 
 def _parse_date(c: Column) -> Column:
@@ -68,37 +71,49 @@ def sheet_rows(raw: DataFrame, ncols: int) -> DataFrame:
 
 def read_metric_sheet(spark: SparkSession, path: str) -> DataFrame:
     """(date, channel_code, value, __idx) from a DATE, channel, metric sheet."""
-    rows = sheet_rows(_read_rows(spark, path, 3), 3)
-    return rows.select("date", F.trim("c1").alias("channel_code"), parse_currency(F.col("c2")).alias("value"), "__idx")
+    raw = _read_rows(spark, path, 3)
+    extra = [c for c in raw.columns if c not in ("__idx", "__n", "c0", "c1", "c2")]
+    rows = sheet_rows(raw, 3)
+    return rows.select(*extra, "date", F.trim("c1").alias("channel_code"), parse_currency(F.col("c2")).alias("value"),
+                       "__idx")
 
 
 def read_cr_sheet(spark: SparkSession, path: str) -> DataFrame:
     """(date, channel_code, transactions, plan_views, cr_pct, __idx) from the CR sheet."""
-    rows = sheet_rows(_read_rows(spark, path, 5), 5)
-    return rows.select("date", F.trim("c1").alias("channel_code"),
+    raw = _read_rows(spark, path, 5)
+    extra = [c for c in raw.columns if c not in ("__idx", "__n", "c0", "c1", "c2", "c3", "c4")]
+    rows = sheet_rows(raw, 5)
+    return rows.select(*extra, "date", F.trim("c1").alias("channel_code"),
                        parse_currency(F.col("c2")).alias("transactions"),
                        parse_currency(F.col("c3")).alias("plan_views"),
                        parse_currency(F.col("c4")).alias("cr_pct"), "__idx")
 
 
-def _per_key(df: DataFrame, value_cols, combine: str) -> DataFrame:
+def _per_key(df: DataFrame, keys, value_cols, combine: str) -> DataFrame:
     k = df.withColumn("channel_key", channel_key_of(F.col("channel_code")))
     if combine == "sum":
-        return k.groupBy("date", "channel_key").agg(*[F.sum(c).alias(c) for c in value_cols])
+        return k.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in value_cols])
     # last row wins: two codes of one channel overwrite, they do not add
-    return k.groupBy("date", "channel_key").agg(
-        *[F.max_by(F.col(c), F.col("__idx")).alias(c) for c in value_cols])
+    return k.groupBy(*keys).agg(*[F.max_by(F.col(c), F.col("__idx")).alias(c) for c in value_cols])
 
 
 def combine_metric_sheets(spend: DataFrame, impressions: DataFrame, clicks: DataFrame, cr: DataFrame,
-                          branch_id: str, combine: str = "last") -> DataFrame:
-    """Outer-join the four sheets on (date, channel key) into external-ads rows."""
-    s = _per_key(spend.withColumnRenamed("value", "spend_usd"), ["spend_usd"], combine)
-    i = _per_key(impressions.withColumnRenamed("value", "impressions"), ["impressions"], combine)
-    c = _per_key(clicks.withColumnRenamed("value", "clicks"), ["clicks"], combine)
-    r = _per_key(cr, ["transactions", "plan_views", "cr_pct"], combine)
-    out = (s.join(i, ["date", "channel_key"], "full").join(c, ["date", "channel_key"], "full")
-            .join(r, ["date", "channel_key"], "full"))
-    return out.select("date", F.lit(branch_id).alias("branch_id"), "channel_key", "spend_usd",
+                          branch_id: str | None = None, combine: str = "last") -> DataFrame:
+    """Outer-join the four sheets on (branch, date, channel key) into external-ads rows.
+
+    Sheets of all branches are combined at once when they carry a
+    ``branch_id`` column (one folder per branch); otherwise ``branch_id``
+    names the single branch.
+    """
+    if branch_id is not None:
+        spend, impressions, clicks, cr = [d.withColumn("branch_id", F.lit(branch_id))
+                                          for d in (spend, impressions, clicks, cr)]
+    keys = ["branch_id", "date", "channel_key"]
+    s = _per_key(spend.withColumnRenamed("value", "spend_usd"), keys, ["spend_usd"], combine)
+    i = _per_key(impressions.withColumnRenamed("value", "impressions"), keys, ["impressions"], combine)
+    c = _per_key(clicks.withColumnRenamed("value", "clicks"), keys, ["clicks"], combine)
+    r = _per_key(cr, keys, ["transactions", "plan_views", "cr_pct"], combine)
+    out = s.join(i, keys, "full").join(c, keys, "full").join(r, keys, "full")
+    return out.select("date", "branch_id", "channel_key", "spend_usd",
                       F.col("impressions").cast("bigint").alias("impressions"),
                       F.col("clicks").cast("bigint").alias("clicks"), "transactions", "plan_views", "cr_pct")
