@@ -425,3 +425,28 @@ def q_usage_month_state(spark, sf):
 def q_usage_estimate(spark, sf):
     q = fx.view(spark, sf, "fx_query_log").select("id", "date_from", "date_to")
     return finish(US.usage_estimate(q))
+
+
+# ------------------------------------------------------------------ assets
+from adlake.operators import asset as AS  # noqa: E402
+
+
+def _asset_fact(c: Ctx):
+    raw = fx.with_load_times(fx.view(c.spark, c.sf, "fx_asset_raw"))
+    return AS.fact_asset(AS.stg_asset(raw, c.w, NOW, TIE), c.gov["account_map"], c.w)
+
+
+@query("stg_asset")
+def q_stg_asset(spark, sf):
+    c = Ctx(spark, sf)
+    return finish(AS.stg_asset(fx.with_load_times(fx.view(spark, sf, "fx_asset_raw")), c.w, NOW, TIE))
+
+
+@query("fact_asset")
+def q_fact_asset(spark, sf):
+    return finish(_asset_fact(Ctx(spark, sf)))
+
+
+@query("mart_asset_daily")
+def q_mart_asset_daily(spark, sf):
+    return finish(AS.mart_asset_daily(_asset_fact(Ctx(spark, sf))))

@@ -283,6 +283,35 @@ SELECT event_id AS id, 'user' || CAST(user_id % 5 AS STRING) AS user_id,
 FROM events
 """)
 
+# Google asset performance rows (ad-group assets and PMax asset-group assets).
+_view("fx_asset_raw", ("lineitem",), """
+SELECT CAST(l_suppkey AS STRING) AS customer_id, CAST(l_partkey % 40 AS STRING) AS campaign_id,
+       CASE l_orderkey % 5 WHEN 0 THEN NULL WHEN 1 THEN 'search' WHEN 2 THEN 'DISPLAY'
+            WHEN 3 THEN 'PERFORMANCE_MAX' ELSE NULL END AS campaign_channel_type,
+       CASE WHEN l_orderkey % 5 = 0 THEN '{"campaign":{"advertising_channel_type":"VIDEO"}}' ELSE '{}' END
+         AS source_payload,
+       l_linenumber % 3 = 0 AS is_pmax,
+       CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE CAST(l_partkey % 200 AS STRING) END AS ad_group_id,
+       CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE CAST(l_partkey % 500 AS STRING) END AS ad_id,
+       CASE WHEN l_linenumber % 3 = 0 THEN 'AG' || CAST(l_partkey % 50 AS STRING) END AS asset_group_id,
+       CASE WHEN l_orderkey % 41 = 0 THEN '' ELSE CAST(l_partkey % 300 AS STRING) END AS asset_id,
+       CASE l_partkey % 6 WHEN 0 THEN 'MARKETING_IMAGE' WHEN 1 THEN 'headline' WHEN 2 THEN 'DESCRIPTION'
+            WHEN 3 THEN 'YOUTUBE_VIDEO' WHEN 4 THEN 'SQUARE_MARKETING_IMAGE' ELSE 'LOGO' END AS field_type,
+       CASE WHEN l_tax > 0.04 THEN 'GOOD' ELSE 'LOW' END AS performance_label,
+       CAST(l_shipdate AS DATE) AS stat_date,
+       CAST(l_quantity * 10 AS BIGINT) AS impressions, CAST(l_quantity AS BIGINT) % 7 AS clicks,
+       CAST(ROUND(l_extendedprice * 100) AS BIGINT) * 100 AS cost_micros,
+       CAST(l_linenumber % 4 AS DOUBLE) AS conversions,
+       CAST(ROUND(l_extendedprice * 100) AS BIGINT) * 300 AS conversions_value_micros,
+       CASE WHEN l_linenumber % 3 = 0 THEN 'asset_group_asset' ELSE 'ad_group_ad_asset_view' END AS source_view,
+       l_orderkey * 10 + l_linenumber AS load_seq,
+       l_partkey AS tie1, l_suppkey AS tie2,
+       CAST(ROUND(l_extendedprice * 100) AS BIGINT) AS tie3,
+       CAST(ROUND(l_discount * 100) AS BIGINT) * 100 + CAST(ROUND(l_tax * 100) AS BIGINT) AS tie4,
+       CAST(l_shipdate AS DATE) AS tie5
+FROM lineitem
+""")
+
 _view("fx_account_map", ("supplier",), """
 SELECT CAST(s_suppkey AS STRING) AS account_id_norm,
        'VENUE_0' || CAST(s_suppkey % 7 + 1 AS STRING) AS branch_id,
