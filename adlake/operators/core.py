@@ -367,3 +367,33 @@ def dim_customer(stg_orders: DataFrame, stg_survey: DataFrame, w: Window) -> Dat
              .agg(F.max("email_hash").alias("email_hash"), F.max("phone_hash").alias("phone_hash"),
                   F.min("first_seen_ts").alias("first_seen_ts"), F.max("latest_seen_ts").alias("latest_seen_ts"),
                   F.max("load_ts").alias("load_ts")))
+
+
+def enrich_branch(fact: DataFrame, account_map: DataFrame, rules: DataFrame, w: Window,
+                  naver_rows: DataFrame | None = None, date_col: str = "stat_date") -> DataFrame:
+    """Recompute the branch of fact rows in the window after map or rule changes.
+
+    Returns the whole fact with ``branch_id`` updated and ``branch_changed``
+    set on rows whose branch moved (so a writer rewrites only the partitions
+    that hold a change). Keys are compared NULL-safely, so rows with NULL ad
+    group or ad ids are enriched too (the reference's plain ``=`` skips them).
+    Naver rows take the best keyword rule over their ad group's names that
+    day (``naver_rows``: staged Naver rows with ``ad_group_name``).
+    """
+    inside = w.contains(date_col)
+    f_in = fact.filter(inside)
+    f_out = fact.filter(~inside | F.col(date_col).isNull()).withColumn("branch_changed", F.lit(False))
+    e = branch_by_account(f_in, account_map, date_col, "__acct_branch")
+    new = F.col("__acct_branch")
+    if naver_rows is not None:
+        rb = naver_rule_branch(naver_rows.filter(inside & (F.col("channel_key") == "NAVER_ADS")), rules)
+        rb = rb.select(F.col("account_id_norm").alias("__ra"), F.col("campaign_id").alias("__rc"),
+                       F.col(date_col).alias("__rd"), F.col("__ag").alias("__rg"), "rule_branch_id")
+        e = e.join(rb, (F.col("channel_key") == "NAVER_ADS") & (e.account_id_norm == rb.__ra)
+                   & (e.campaign_id == rb.__rc) & (e[date_col] == rb.__rd)
+                   & (blank_key(e.ad_group_id) == rb.__rg), "left").drop("__ra", "__rc", "__rd", "__rg")
+        new = F.when(F.col("channel_key") == "NAVER_ADS", F.coalesce("rule_branch_id", F.lit(UNKNOWN))).otherwise(new)
+    e = (e.withColumn("branch_changed", F.coalesce(F.col("branch_id"), F.lit("")) != new)
+          .withColumn("branch_id", new))
+    e = e.drop(*[c for c in ("__acct_branch", "rule_branch_id") if c in e.columns])
+    return f_out.unionByName(e.select(*f_out.columns))

@@ -450,3 +450,14 @@ def q_fact_asset(spark, sf):
 @query("mart_asset_daily")
 def q_mart_asset_daily(spark, sf):
     return finish(AS.mart_asset_daily(_asset_fact(Ctx(spark, sf))))
+
+
+@query("enrich_branch")
+def q_enrich_branch(spark, sf):
+    """Facts built with an older map and rule list, then re-enriched with the current ones."""
+    c = Ctx(spark, sf)
+    g = c.gov
+    old_map = g["account_map"].filter(F.col("updated_seq") == 1)
+    old_rules = g["rules"].filter(F.col("rule_id").isin("R1", "R2", "R3"))
+    old = core.fact_marketing(c.stg_perf(), old_map, old_rules, g["dim_branch"], c.w, TIE)
+    return finish(core.enrich_branch(old, g["account_map"], g["rules"], c.w, naver_rows=c.stg_perf()))
