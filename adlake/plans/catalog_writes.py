@@ -279,3 +279,12 @@ def q_combine_metric_sheets(spark, sf):
     p = _write_sheets(spark, sf)
     return SH.combine_metric_sheets(SH.read_metric_sheet(spark, p["spend"]), SH.read_metric_sheet(spark, p["impressions"]),
                                     SH.read_metric_sheet(spark, p["clicks"]), SH.read_cr_sheet(spark, p["cr"]))
+
+
+@query("run_history")
+def q_run_history(spark, sf):
+    from adlake.operators.runlog import run_history
+    log = fx.view(spark, sf, "fx_run_log").withColumn("event_ts", F.col("event_ts").cast("timestamp"))
+    out = run_history(log, _dt.date(2024, 1, 25))
+    return finish(out.withColumn("started_epoch", F.unix_timestamp("started_at"))
+                     .withColumn("ended_epoch", F.unix_timestamp("ended_at")))

@@ -312,6 +312,19 @@ SELECT CAST(l_suppkey AS STRING) AS customer_id, CAST(l_partkey % 40 AS STRING)
 FROM lineitem
 """)
 
+# Warehouse run events: a RUNNING event with the load window, then the outcome.
+_view("fx_run_log", ("events",), """
+SELECT 'run_' || CAST(CAST(FLOOR(event_id / 2) AS BIGINT) AS STRING) AS run_id,
+       CASE WHEN user_id % 10 = 0 THEN 'other' ELSE 'all' END AS source_name,
+       'warehouse_v2' AS pipeline_name, ts AS event_ts,
+       CASE WHEN event_id % 2 = 0 THEN 'RUNNING' WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+       CASE WHEN event_id % 2 = 1 AND event_type = 'error' THEN 'boom ' || CAST(event_id AS STRING) END AS error_message,
+       CASE WHEN event_id % 2 = 0 THEN
+         '{"start_date":"' || CAST(CAST(ts AS DATE) - CAST(user_id % 3 AS INT) AS STRING)
+         || '","end_date":"' || CAST(CAST(ts AS DATE) AS STRING) || '"}' END AS metadata
+FROM events
+""")
+
 _view("fx_account_map", ("supplier",), """
 SELECT CAST(s_suppkey AS STRING) AS account_id_norm,
        'VENUE_0' || CAST(s_suppkey % 7 + 1 AS STRING) AS branch_id,
