@@ -325,6 +325,16 @@ SELECT 'run_' || CAST(CAST(FLOOR(event_id / 2) AS BIGINT) AS STRING) AS run_id,
 FROM events
 """)
 
+# Naver campaign and ad-group entity lists (one row per entity).
+_view("fx_naver_entities", ("fx_ads_raw",), """
+SELECT 'campaign' AS kind, account_id_norm AS customer_id, campaign_id, CAST(NULL AS STRING) AS ad_group_id,
+       'Campaign ' || campaign_id AS name
+FROM fx_ads_raw WHERE channel_key = 'NAVER_ADS' GROUP BY account_id_norm, campaign_id
+UNION ALL
+SELECT 'adgroup', account_id_norm, MIN(campaign_id), ad_group_id, MIN(ad_group_name)
+FROM fx_ads_raw WHERE channel_key = 'NAVER_ADS' AND ad_group_id IS NOT NULL GROUP BY account_id_norm, ad_group_id
+""")
+
 _view("fx_account_map", ("supplier",), """
 SELECT CAST(s_suppkey AS STRING) AS account_id_norm,
        'VENUE_0' || CAST(s_suppkey % 7 + 1 AS STRING) AS branch_id,
@@ -471,6 +481,8 @@ def oracle(body: str, names) -> str:
     """DuckDB text: adapter views as CTEs in front of ``body``."""
     ctes = ",\n".join(f"{n} AS (\n{VIEWS[n][0]}\n)" for n in _deps_closure(names))
     b = body.strip()
+    if not ctes:
+        return b
     if b[:4].upper() == "WITH":
         return f"WITH {ctes},\n{b[4:].lstrip()}"
     return f"WITH {ctes}\n{b}"
@@ -613,3 +625,119 @@ def breakdown_wide(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "conversion_value_micros", F.concat(F.lit("AGE_RANGE_"), F.col("age_code")).alias("age_range"),
         "gender", F.col("country").alias("geo_target_country"), F.col("region").alias("geo_target_region"))
     return {"meta": meta, "google": google}
+
+
+# ---------------------------------------------------------------- landed payloads
+def _date_txt(c):
+    return F.date_format(F.col(c), "yyyy-MM-dd")
+
+
+def meta_insight_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = view(spark, sf_dir, "fx_ads_raw").filter(F.col("channel_key") == "META")
+    ins = F.struct(
+        F.concat(F.lit("act_"), F.col("account_id_norm")).alias("account_id"),
+        F.concat(F.lit("Account "), F.col("account_id_norm")).alias("account_name"),
+        "campaign_id", "campaign_name", F.col("ad_group_id").alias("adset_id"),
+        F.col("ad_group_name").alias("adset_name"), "ad_id", "ad_name", _date_txt("stat_date").alias("date_start"),
+        F.lit("7d_click").alias("attribution_setting"),
+        F.when(F.col("load_seq") % 9 == 0, F.lit("")).otherwise(F.col("impressions").cast("string")).alias("impressions"),
+        F.when(F.col("tie1") % 2 == 0, F.concat(F.col("clicks").cast("string"), F.lit(".7")))
+         .otherwise(F.col("clicks").cast("string")).alias("clicks"),
+        F.col("clicks").cast("string").alias("inline_link_clicks"),
+        _micros_text("cost_micros").alias("spend"),
+        F.array(F.struct(F.lit("link_click").alias("action_type"), F.col("clicks").cast("string").alias("value")))
+         .alias("actions"))
+    return r.select(F.to_json(ins).alias("payload"))
+
+
+def google_perf_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = view(spark, sf_dir, "fx_ads_raw").filter(F.col("channel_key") == "GOOGLE_ADS")
+    row = F.struct(
+        F.struct(F.col("campaign_id").alias("id"), F.col("campaign_name").alias("name")).alias("campaign"),
+        F.when(F.col("ad_group_id").isNotNull(),
+               F.struct(F.col("ad_group_id").alias("id"), F.col("ad_group_name").alias("name"))).alias("ad_group"),
+        F.struct(F.struct(F.col("ad_id").alias("id"), F.col("ad_name").alias("name")).alias("ad")).alias("ad_group_ad"),
+        F.struct(_date_txt("stat_date").alias("date")).alias("segments"),
+        F.struct("impressions", "clicks", "cost_micros", "conversions",
+                 (F.col("conv_value_micros") / F.lit(1e6)).alias("conversions_value")).alias("metrics"))
+    return r.select(F.col("account_id_norm").alias("customer_id"), F.to_json(row).alias("payload"))
+
+
+def google_action_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register(spark, sf_dir, [])
+    e = spark.table("events")
+    res = F.when(F.col("event_id") % 10 == 0, F.concat(F.lit("customers/1/assets/"), (F.col("event_id") % 6).cast("string"))) \
+           .otherwise(F.concat(F.lit("customers/"), (F.col("user_id") % 20).cast("string"), F.lit("/conversionActions/"),
+                               (F.col("event_id") % 6).cast("string")))
+    name = (F.when(F.col("event_id") % 4 == 0, F.lit("Website Purchase!!")).when(F.col("event_id") % 4 == 1, F.lit("Lead — Form"))
+             .when(F.col("event_id") % 4 == 2, F.lit("")))
+    cat = F.when(F.col("event_id") % 3 == 0, F.lit("PURCHASE")).when(F.col("event_id") % 3 == 1, F.lit("DEFAULT"))
+    val = F.concat(F.round(F.col("value") * 100).cast("bigint").cast("string"), F.lit("."),
+                   F.lpad((F.col("event_id") % 10000000).cast("string"), 7, "0"))
+    row = F.struct(
+        F.struct((F.col("user_id") % 40).cast("string").alias("id"),
+                 F.concat(F.lit("Campaign "), (F.col("user_id") % 40).cast("string")).alias("name")).alias("campaign"),
+        F.struct(F.when(F.col("event_id") % 17 == 0, F.lit("")).otherwise(F.date_format(F.col("ts"), "yyyy-MM-dd"))
+                 .alias("date"), res.alias("conversion_action"), name.alias("conversion_action_name"),
+                 cat.alias("conversion_action_category")).alias("segments"),
+        F.struct(((F.col("event_id") % 5) - 1).cast("double").alias("all_conversions"),
+                 val.alias("all_conversions_value")).alias("metrics"))
+    return e.select((F.col("user_id") % 20).cast("string").alias("customer_id"), F.to_json(row).alias("payload"))
+
+
+def google_conv_dim_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    register(spark, sf_dir, [])
+    e = spark.table("events")
+    k = (F.col("event_id") % 13).cast("string")
+    ca = F.struct(
+        F.when(F.col("event_id") % 29 == 0, F.lit("")).otherwise(
+            F.concat(F.lit("customers/"), (F.col("user_id") % 20).cast("string"), F.lit("/conversionActions/"), k))
+         .alias("resource_name"),
+        F.when(F.col("event_id") % 31 == 0, F.lit("")).otherwise(k).alias("id"),
+        F.concat(F.lit("Action "), k, F.lit(" v"), (F.col("event_id") % 3).cast("string")).alias("name"),
+        F.lit("PURCHASE").alias("category"), F.lit("WEBPAGE").alias("type"),
+        F.when(F.col("event_id") % 2 == 0, F.lit("ENABLED")).otherwise(F.lit("REMOVED")).alias("status"),
+        (F.col("event_id") % 2 == 0).alias("primary_for_goal"),
+        (F.col("event_id") % 3 == 0).alias("include_in_conversions_metric"))
+    return e.select((F.col("user_id") % 20).cast("string").alias("customer_id"), F.col("event_id").alias("ingest_seq"),
+                    F.to_json(F.struct(ca.alias("conversion_action"))).alias("payload"))
+
+
+def tiktok_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = view(spark, sf_dir, "fx_ads_raw").filter(F.col("channel_key") == "TIKTOK_ADS")
+    m = F.struct(
+        "campaign_id", F.col("ad_group_id").alias("adgroup_id"),
+        F.concat(F.col("impressions").cast("string"), F.lit(".0")).alias("impressions"),
+        F.when(F.col("load_seq") % 7 != 0, F.col("clicks").cast("string")).alias("clicks"),
+        _micros_text("cost_micros").alias("spend"),
+        F.round(F.col("conversions") * 100).cast("bigint").cast("string").alias("conversion"),
+        _micros_text("conv_value_micros").alias("value"))
+    d = F.struct("ad_id", F.concat(_date_txt("stat_date"), F.lit(" 00:00:00")).alias("stat_time_day"))
+    return r.select(F.col("account_id_norm").alias("advertiser_id"),
+                    F.to_json(F.struct(d.alias("dimensions"), m.alias("metrics"))).alias("payload"))
+
+
+def naver_payloads(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    register(spark, sf_dir, ["fx_naver_entities"])
+    r = view(spark, sf_dir, "fx_ads_raw").filter(F.col("channel_key") == "NAVER_ADS")
+    s = F.col("load_seq")
+    stat = F.struct(
+        F.when(s % 3 != 0, F.col("ad_group_id")).alias("adgroupId"),
+        F.when(s % 3 == 0, F.col("ad_group_id")).alias("nccAdgroupId"),
+        F.when(s % 4 != 0, F.col("campaign_id")).alias("campaignId"),
+        F.when(s % 5 != 0, F.col("ad_group_name")).alias("adgroupName"),
+        F.when(s % 6 != 0, _date_txt("stat_date")).alias("date"),
+        F.when(s % 2 == 0, F.col("impressions").cast("string")).alias("impressions"),
+        F.when(s % 2 == 1, F.col("impressions").cast("string")).alias("impCnt"),
+        F.when(s % 2 == 0, F.col("clicks").cast("string")).alias("clicks"),
+        F.when(s % 2 == 1, F.col("clicks").cast("string")).alias("clkCnt"),
+        F.when(s % 2 == 0, _micros_text("cost_micros")).alias("cost"),
+        F.when(s % 2 == 1, _micros_text("cost_micros")).alias("salesAmt"))
+    stats = r.select(F.col("account_id_norm").alias("customer_id"), F.to_json(stat).alias("payload"))
+    ent = spark.table("fx_naver_entities")
+    camps = ent.filter(F.col("kind") == "campaign").select(
+        "customer_id", F.to_json(F.struct(F.col("campaign_id").alias("nccCampaignId"), "name")).alias("payload"))
+    groups = ent.filter(F.col("kind") == "adgroup").select(
+        "customer_id", F.to_json(F.struct(F.col("ad_group_id").alias("nccAdgroupId"),
+                                          F.col("campaign_id").alias("nccCampaignId"), "name")).alias("payload"))
+    return {"stats": stats, "campaigns": camps, "adgroups": groups}
