@@ -58,3 +58,42 @@ def q_agg_google_breakdown(spark, sf):
                     (F.col("conversion_value_micros") / F.lit(1e6)).alias("conversions_value"),
                     "source_extract_ts", "ingestion_ts", F.col("load_seq").alias("ingest_seq"))
     return finish(N.agg_google_breakdown(rows))
+
+
+# ------------------------------------------------------------------ creatives
+from adlake.operators import creative as CR  # noqa: E402
+
+
+def _meta_creatives(spark, sf):
+    p = fx.creative_payloads(spark, sf).withColumn("ingest_seq", F.col("doc_id"))
+    return CR.norm_meta_creative(p, 1_000_000_000, RUN, NOW, NOW)
+
+
+@query("extract_creative_assets")
+def q_extract_creative_assets(spark, sf):
+    p = fx.creative_payloads(spark, sf)
+    return finish(CR.extract_creative_assets(p, "creative_json", ["doc_id", "ad_id"]))
+
+
+@query("extract_creative_texts")
+def q_extract_creative_texts(spark, sf):
+    p = fx.creative_payloads(spark, sf)
+    return finish(CR.extract_creative_texts(p, "creative_json", ["doc_id", "ad_id"]))
+
+
+@query("norm_meta_creative")
+def q_norm_meta_creative(spark, sf):
+    p = fx.creative_payloads(spark, sf).withColumn("ingest_seq", F.col("doc_id"))
+    return finish(CR.norm_meta_creative(p, 8, RUN, NOW, NOW), drop=("ingestion_id", "assets_json"))
+
+
+@query("stg_creative_snapshot")
+def q_stg_creative_snapshot(spark, sf):
+    out = CR.stg_creative_snapshot(_meta_creatives(spark, sf), Window.of("2024-01-01", "2024-12-31"))
+    return finish(out.withColumn("valid_from_date", F.to_date("valid_from_ts")))
+
+
+@query("stg_creative_asset")
+def q_stg_creative_asset(spark, sf):
+    out = CR.stg_creative_asset(_meta_creatives(spark, sf), Window.of("2024-01-01", "2024-12-31"))
+    return finish(out.withColumn("valid_from_date", F.to_date("valid_from_ts")))

@@ -186,13 +186,26 @@ SELECT 'META' AS channel_key, source AS account_id_norm,
        CAST(doc_id % 97 AS STRING) AS creative_id, CAST(doc_id % 89 AS STRING) AS ad_id,
        'Creative ' || CAST(doc_id % 97 AS STRING) AS creative_name,
        CAST('2024-01-01' AS DATE) + CAST(doc_id % 30 AS INT) AS valid_date,
-       text, lang, n_chars,
+       text, lang, n_chars, doc_id,
        CASE WHEN doc_id % 2 = 0 THEN 'IMAGE' ELSE 'VIDEO' END AS asset_type,
        CAST(1 + doc_id % 3 AS INT) AS asset_seq,
        CASE WHEN doc_id % 11 = 0 THEN '' ELSE 'https://cdn/' || lang || '/' || CAST(n_chars % 5 AS STRING) END AS asset_url,
        CASE WHEN doc_id % 2 = 1 THEN 'v' || CAST(n_chars % 3 AS STRING) END AS video_id,
        'h' || CAST(n_chars % 4 AS STRING) AS image_hash,
        'https://thumb/' || source AS thumbnail_url,
+       CASE WHEN doc_id % 4 = 0 THEN '' ELSE 'https://thumb/' || source END AS c_thumb,
+       CASE WHEN doc_id % 3 = 0 THEN 'h' || CAST(n_chars % 4 AS STRING) ELSE '' END AS c_hash,
+       doc_id % 5 <> 0 AS has_spec,
+       'https://pic/' || lang AS link_pic, 'lh' || CAST(doc_id % 2 AS STRING) AS link_hash,
+       'Headline ' || lang AS link_name, CASE WHEN doc_id % 6 = 0 THEN 'Desc ' || lang END AS link_desc,
+       CASE WHEN doc_id % 4 = 1 THEN 'LEARN_MORE' WHEN doc_id % 4 = 2 THEN 'SHOP_NOW' END AS cta_type,
+       doc_id % 7 = 0 AS has_c1, 'https://c1/' || lang AS c1_pic,
+       doc_id % 2 = 1 AS has_c2, 'https://c2/' || lang AS c2_pic, 'v' || CAST(doc_id % 3 AS STRING) AS c2_vid,
+       doc_id % 2 = 1 AS has_video, 'https://vimg/' || lang AS v_img, 'v' || CAST(n_chars % 3 AS STRING) AS v_id,
+       'Title ' || lang AS v_title,
+       doc_id % 3 = 1 AS has_feed, 'https://pic/' || lang AS f1_url, 'lh' || CAST(doc_id % 2 AS STRING) AS f1_hash,
+       'https://feed/' || CAST(doc_id % 4 AS STRING) AS f2_url, 'fh' || CAST(doc_id % 4 AS STRING) AS f2_hash,
+       'v' || CAST(n_chars % 3 AS STRING) AS fv_id, '  Body ' || lang || '  ' AS f_body,
        doc_id AS load_seq
 FROM documents
 """)
@@ -445,6 +458,28 @@ def _deps_closure(names) -> list[str]:
 
 _REGISTERED: dict = {}
 
+# Fact-sized adapter views are landed once per session as Parquet in the
+# shared checkpoint folder (like an ingest writes raw tables), partitioned by
+# channel where readers filter on it; later reads prune partitions and columns.
+LANDED = {"fx_ads_raw": "channel_key", "fx_orders": "order_source", "fx_web": None,
+          "fx_meta_actions_raw": None, "fx_google_actions_raw": None, "fx_external": None,
+          "fx_breakdown_wide": "channel_key", "fx_asset_raw": None, "fx_job_log": None,
+          "fx_query_log": None, "fx_run_log": None, "fx_creative": None}
+
+
+def _land(spark: SparkSession, sf_dir: str, name: str, df: DataFrame) -> DataFrame:
+    import hashlib
+    import uuid
+    from adlake.session import checkpoint_dir
+    tag = hashlib.sha1(sf_dir.encode()).hexdigest()[:10]
+    path = f"{checkpoint_dir(spark).rstrip('/')}/landed-{tag}-{uuid.uuid4().hex[:8]}/{name}"
+    part = LANDED[name]
+    w = df.write.mode("overwrite")
+    if part:
+        w = w.partitionBy(part)
+    w.parquet(path)
+    return spark.read.parquet(path)
+
 
 def register(spark: SparkSession, sf_dir: str, names=None) -> None:
     """Register the driver tables and (a closure of) the adapter views.
@@ -468,7 +503,10 @@ def register(spark: SparkSession, sf_dir: str, names=None) -> None:
         _REGISTERED[key] = state
     for n in _deps_closure(names or list(VIEWS)):
         if n not in state["views"]:
-            spark.sql(VIEWS[n][0]).createOrReplaceTempView(n)
+            df = spark.sql(VIEWS[n][0])
+            if n in LANDED:
+                df = _land(spark, sf_dir, n, df)
+            df.createOrReplaceTempView(n)
             state["views"].add(n)
 
 
@@ -741,3 +779,49 @@ def naver_payloads(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         "customer_id", F.to_json(F.struct(F.col("ad_group_id").alias("nccAdgroupId"),
                                           F.col("campaign_id").alias("nccCampaignId"), "name")).alias("payload"))
     return {"stats": stats, "campaigns": camps, "adgroups": groups}
+
+
+CREATIVE_JSON = ("struct<id:string,name:string,object_type:string,status:string,body:string,thumbnail_url:string,"
+                 "image_hash:string,object_story_spec:struct<link_data:struct<picture:string,image_hash:string,"
+                 "message:string,name:string,description:string,call_to_action:struct<type:string>,"
+                 "child_attachments:array<struct<picture:string,image_hash:string,video_id:string>>>,"
+                 "video_data:struct<image_url:string,image_hash:string,video_id:string,message:string,title:string>>,"
+                 "asset_feed_spec:struct<images:array<struct<url:string,hash:string>>,"
+                 "videos:array<struct<video_id:string>>,bodies:array<struct<text:string>>,"
+                 "titles:array<struct<text:string>>,descriptions:array<struct<text:string>>,"
+                 "call_to_action_types:array<string>>>")
+
+
+def creative_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed Meta insight + creative JSON per ad (creative fields from documents)."""
+    c = view(spark, sf_dir, "fx_creative")
+    col = F.col
+    nz = lambda x: F.when(x != "", x)  # noqa: E731 - absent rather than empty
+    children = F.filter(F.array(
+        F.when(col("has_c1"), F.struct(col("c1_pic").alias("picture"), F.lit("c1h").alias("image_hash"),
+                                       F.lit(None).cast("string").alias("video_id"))),
+        F.when(col("has_c2"), F.struct(col("c2_pic").alias("picture"), F.lit(None).cast("string").alias("image_hash"),
+                                       col("c2_vid").alias("video_id")))), lambda x: x.isNotNull())
+    link = F.struct(col("link_pic").alias("picture"), col("link_hash").alias("image_hash"), col("text").alias("message"),
+                    col("link_name").alias("name"), col("link_desc").alias("description"),
+                    F.when(col("cta_type").isNotNull(), F.struct(col("cta_type").alias("type"))).alias("call_to_action"),
+                    children.alias("child_attachments"))
+    video = F.when(col("has_video"), F.struct(col("v_img").alias("image_url"), F.lit(None).cast("string").alias("image_hash"),
+                                              col("v_id").alias("video_id"), F.lit(None).cast("string").alias("message"),
+                                              col("v_title").alias("title")))
+    spec = F.when(col("has_spec"), F.struct(link.alias("link_data"), video.alias("video_data")))
+    feed = F.when(col("has_feed"), F.struct(
+        F.array(F.struct(col("f1_url").alias("url"), col("f1_hash").alias("hash")),
+                F.struct(col("f2_url").alias("url"), col("f2_hash").alias("hash"))).alias("images"),
+        F.array(F.struct(col("fv_id").alias("video_id"))).alias("videos"),
+        F.array(F.struct(col("f_body").alias("text"))).alias("bodies"),
+        F.array(F.struct(col("v_title").alias("text"))).alias("titles"),
+        F.array(F.struct(col("link_desc").alias("text"))).alias("descriptions"),
+        F.array(F.lit("SHOP_NOW"), F.lit("LEARN_MORE")).alias("call_to_action_types")))
+    creative = F.struct(col("creative_id").alias("id"), col("creative_name").alias("name"),
+                        F.lit("SHARE").alias("object_type"), F.lit("ACTIVE").alias("status"),
+                        F.lit(None).cast("string").alias("body"), nz(col("c_thumb")).alias("thumbnail_url"),
+                        nz(col("c_hash")).alias("image_hash"), spec.alias("object_story_spec"),
+                        feed.alias("asset_feed_spec"))
+    return c.select(F.col("account_id_norm").alias("account_id"), "ad_id", "doc_id",
+                    F.col("valid_date").alias("collected_date"), F.to_json(creative).alias("creative_json"))
