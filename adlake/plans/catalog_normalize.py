@@ -97,3 +97,26 @@ def q_stg_creative_snapshot(spark, sf):
 def q_stg_creative_asset(spark, sf):
     out = CR.stg_creative_asset(_meta_creatives(spark, sf), Window.of("2024-01-01", "2024-12-31"))
     return finish(out.withColumn("valid_from_date", F.to_date("valid_from_ts")))
+
+
+# ------------------------------------------------------------------ streaming ingest
+@query("stream_ingest_meta_perf")
+def q_stream_ingest_meta_perf(spark, sf):
+    """Meta insight payloads landed as JSON files in three drops, ingested by a
+    file stream (two files per micro-batch) with a latest-wins merge per batch."""
+    import uuid
+    from adlake.session import checkpoint_dir
+    from adlake.streaming.ingest import ingest_landed, read_table
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-q-{uuid.uuid4().hex}"
+    p = fx.meta_insight_payloads(spark, sf).withColumn("__h", F.abs(F.hash("payload")) % 3)
+    for drop in range(3):
+        p.filter(F.col("__h") == drop).select("payload").write.mode("overwrite").json(f"{base}/landing/drop={drop}")
+    ingest_landed(spark, f"{base}/landing/*", f"{base}/table",
+                  lambda df: N.norm_meta_perf(df, RUN, NOW, NOW),
+                  keys=["account_id", "campaign_id", "ad_group_id", "ad_group_name", "ad_id", "stat_date"],
+                  order=["ingestion_ts", "spend_micros", "clicks", "impressions", "campaign_name", "ad_name"],
+                  blank_keys=["ad_group_id", "ad_group_name"], name=uuid.uuid4().hex, max_files_per_trigger=12,
+                  partition_col="stat_month")
+    return finish(read_table(spark, f"{base}/table").drop("stat_month"),
+                  drop=("ingestion_id", "source_payload", "actions_json", "action_values_json",
+                        "conversions_json", "conversion_values_json"))
