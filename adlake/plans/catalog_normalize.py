@@ -120,3 +120,30 @@ def q_stream_ingest_meta_perf(spark, sf):
     return finish(read_table(spark, f"{base}/table").drop("stat_month"),
                   drop=("ingestion_id", "source_payload", "actions_json", "action_values_json",
                         "conversions_json", "conversion_values_json"))
+
+
+# ------------------------------------------------------------------ creative / asset normalisers
+@query("norm_google_creative")
+def q_norm_google_creative(spark, sf):
+    out = N.norm_google_creative(fx.google_creative_payloads(spark, sf), W, RUN, NOW, NOW)
+    return finish(out.withColumn("final_urls", F.array_join("final_urls", "|"))
+                     .withColumn("image_urls", F.array_join("image_urls", "|"))
+                     .withColumn("youtube_video_ids", F.array_join("youtube_video_ids", "|")), drop=("ingestion_id",))
+
+
+@query("norm_google_asset")
+def q_norm_google_asset(spark, sf):
+    p = fx.google_asset_payloads(spark, sf)
+    return finish(N.norm_google_asset(p["ad"], p["pmax"], W, RUN, NOW, NOW), drop=("ingestion_id",))
+
+
+@query("norm_tiktok_creative")
+def q_norm_tiktok_creative(spark, sf):
+    return finish(N.norm_tiktok_creative(fx.tiktok_ad_payloads(spark, sf), W, RUN, NOW, NOW), drop=("ingestion_id",))
+
+
+@query("norm_naver_creative")
+def q_norm_naver_creative(spark, sf):
+    groups = fx.naver_payloads(spark, sf)["adgroups"]
+    return finish(N.norm_naver_creative(fx.naver_ad_payloads(spark, sf), groups, W, RUN, NOW, NOW),
+                  drop=("ingestion_id",))

@@ -825,3 +825,65 @@ def creative_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
                         feed.alias("asset_feed_spec"))
     return c.select(F.col("account_id_norm").alias("account_id"), "ad_id", "doc_id",
                     F.col("valid_date").alias("collected_date"), F.to_json(creative).alias("creative_json"))
+
+
+def google_creative_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = view(spark, sf_dir, "fx_asset_raw")
+    k = F.col("load_seq")
+    ad = F.struct(F.col("ad_id").alias("id"), F.concat(F.lit("Ad "), F.col("ad_id")).alias("name"),
+                  F.when(k % 2 == 0, F.lit("IMAGE_AD")).otherwise(F.lit("VIDEO_AD")).alias("type"),
+                  F.array(F.concat(F.lit("https://land/"), F.col("campaign_id"))).alias("final_urls"),
+                  F.when(k % 2 == 0, F.struct(F.concat(F.lit("https://img/"), F.col("asset_id")).alias("image_url")))
+                   .alias("image_ad"),
+                  F.when(k % 2 == 1, F.struct(F.struct(F.concat(F.lit("customers/1/assets/"), F.col("asset_id"))
+                                                       .alias("asset")).alias("video"))).alias("video_ad"))
+    row = F.struct(F.struct(F.col("campaign_id").alias("id")).alias("campaign"),
+                   F.struct(F.col("ad_group_id").alias("id")).alias("ad_group"),
+                   F.struct(F.when(k % 5 != 0, F.date_format("stat_date", "yyyy-MM-dd")).alias("date")).alias("segments"),
+                   F.struct(F.lit("GOOD").alias("ad_strength"), F.lit("ENABLED").alias("status"),
+                            F.when(F.col("ad_id").isNotNull(), ad).alias("ad")).alias("ad_group_ad"))
+    return r.select("customer_id", F.to_json(row).alias("payload"))
+
+
+def google_asset_payloads(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    r = view(spark, sf_dir, "fx_asset_raw")
+    res = F.when(F.col("asset_id") != "", F.concat(F.lit("customers/"), F.col("customer_id"), F.lit("/assets/"),
+                                                   F.col("asset_id")))
+    v = F.struct(res.alias("asset"), F.upper("field_type").alias("field_type"), F.col("performance_label"))
+    m = F.struct("impressions", "clicks", "cost_micros", "conversions",
+                 (F.col("conversions_value_micros") / F.lit(1e6)).alias("conversions_value"))
+    common = [F.struct(F.col("campaign_id").alias("id"),
+                       F.upper(F.coalesce("campaign_channel_type", F.lit("UNKNOWN"))).alias("advertising_channel_type"))
+              .alias("campaign"), F.struct(F.date_format("stat_date", "yyyy-MM-dd").alias("date")).alias("segments"),
+              m.alias("metrics")]
+    ad = r.filter(~F.col("is_pmax")).select("customer_id", F.to_json(F.struct(
+        *common, F.struct(F.col("ad_group_id").alias("id")).alias("ad_group"),
+        F.struct(F.struct(F.col("ad_id").alias("id")).alias("ad")).alias("ad_group_ad"),
+        v.alias("ad_group_ad_asset_view"))).alias("payload"))
+    pmax = r.filter(F.col("is_pmax")).select("customer_id", F.to_json(F.struct(
+        *common, F.struct(F.col("asset_group_id").alias("id")).alias("asset_group"),
+        v.alias("asset_group_asset"))).alias("payload"))
+    return {"ad": ad, "pmax": pmax}
+
+
+def tiktok_ad_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = view(spark, sf_dir, "fx_ads_raw").filter(F.col("channel_key") == "TIKTOK_ADS")
+    ad = F.struct("ad_id", "campaign_id", F.col("ad_group_id").alias("adgroup_id"), "ad_name",
+                  F.when(F.col("load_seq") % 2 == 0, F.lit("SINGLE_VIDEO")).otherwise(F.lit("SINGLE_IMAGE")).alias("ad_format"),
+                  F.concat(F.lit("Text "), F.col("ad_id")).alias("ad_text"),
+                  F.when(F.col("load_seq") % 2 == 0, F.concat(F.lit("vid"), F.col("ad_id"))).alias("video_id"),
+                  F.concat(F.lit("https://img/"), F.col("ad_id")).alias("image_url"))
+    return r.select(F.col("account_id_norm").alias("advertiser_id"), F.to_json(ad).alias("payload"))
+
+
+def naver_ad_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    r = view(spark, sf_dir, "fx_ads_raw").filter(F.col("channel_key") == "NAVER_ADS")
+    s = F.col("load_seq")
+    ad = F.struct(F.when(s % 2 == 0, F.col("ad_id")).alias("nccAdId"), F.when(s % 2 == 1, F.col("ad_id")).alias("adId"),
+                  F.when(s % 3 != 0, F.col("campaign_id")).alias("nccCampaignId"),
+                  F.col("ad_group_id").alias("nccAdgroupId"), F.col("ad_name").alias("adName"),
+                  F.lit("TEXT_45").alias("type"),
+                  F.struct(F.concat(F.lit("Head "), F.col("ad_id")).alias("headline"),
+                           F.col("ad_group_name").alias("description"),
+                           F.struct(F.concat(F.lit("https://n/"), F.col("ad_id")).alias("url")).alias("image")).alias("ad"))
+    return r.select(F.col("account_id_norm").alias("customer_id"), F.to_json(ad).alias("payload"))

@@ -215,3 +215,111 @@ def agg_google_breakdown(rows: DataFrame, order_col: str = "ingest_seq") -> Data
         F.max("source_extract_ts").alias("source_extract_ts"), F.max("ingestion_ts").alias("ingestion_ts"),
         *first)
         .withColumn("conversions_value", decimal_half_up(F.col("conversions_value"))))
+
+
+GOOGLE_CREATIVE = ("struct<campaign:struct<id:string>,ad_group:struct<id:string>,segments:struct<date:string>,"
+                   "ad_group_ad:struct<ad_strength:string,status:string,ad:struct<id:string,name:string,type:string,"
+                   "final_urls:array<string>,image_ad:struct<image_url:string>,video_ad:struct<video:struct<asset:string>>>>>")
+GOOGLE_ASSET = ("struct<campaign:struct<id:string,advertising_channel_type:string>,ad_group:struct<id:string>,"
+                "ad_group_ad:struct<ad:struct<id:string>>,asset_group:struct<id:string>,"
+                "ad_group_ad_asset_view:struct<asset:string,field_type:string,performance_label:string>,"
+                "asset_group_asset:struct<asset:string,field_type:string,performance_label:string>,"
+                "segments:struct<date:string>,metrics:struct<impressions:bigint,clicks:bigint,cost_micros:bigint,"
+                "conversions:double,conversions_value:double>>")
+TIKTOK_AD = ("struct<ad_id:string,campaign_id:string,adgroup_id:string,ad_name:string,ad_format:string,ad_text:string,"
+             "video_id:string,image_ids:array<string>,image_url:string,video_url:string,landing_page_url:string>")
+NAVER_AD = ("struct<nccAdId:string,adId:string,id:string,nccCampaignId:string,campaignId:string,nccAdgroupId:string,"
+            "adgroupId:string,adName:string,name:string,type:string,adType:string,"
+            "ad:struct<headline:string,description:string,image:struct<url:string>>>")
+
+
+def norm_google_creative(payload: DataFrame, w: Window, ingestion_id: str, now, extract_ts) -> DataFrame:
+    """Google ads -> creative rows (creative id = ad id), url and video-id arrays;
+    text fields are not collected (assets-only policy)."""
+    p = payload.select("customer_id", F.from_json("payload", GOOGLE_CREATIVE).alias("r"))
+    ad = F.col("r.ad_group_ad.ad")
+    img = ad.image_ad.image_url
+    vid = ad.video_ad.video.asset
+    none = F.lit(None).cast("string")
+    return p.filter(ad.isNotNull()).select(
+        *_ctx_cols(ingestion_id, now, extract_ts),
+        F.coalesce(F.to_date(F.when(F.coalesce(F.col("r.segments.date"), F.lit("")) != "", F.col("r.segments.date"))),
+                   F.lit(w.end)).alias("collected_date"), "customer_id",
+        F.col("r.campaign.id").alias("campaign_id"), F.col("r.ad_group.id").alias("ad_group_id"),
+        F.coalesce(ad.id, F.lit("")).alias("ad_id"), F.coalesce(ad.id, F.lit("")).alias("creative_id"),
+        F.coalesce(ad["name"], F.lit("")).alias("creative_name"), ad["type"].alias("ad_type"),
+        F.col("r.ad_group_ad.ad_strength").alias("ad_strength"), F.col("r.ad_group_ad.status").alias("status"),
+        none.alias("headline_1"), none.alias("headline_2"), none.alias("headline_3"), none.alias("description_1"),
+        none.alias("description_2"), none.alias("business_name"), none.alias("call_to_action"),
+        F.coalesce(ad.final_urls, F.array().cast("array<string>")).alias("final_urls"),
+        F.when(F.coalesce(img, F.lit("")) != "", F.array(img)).otherwise(F.array().cast("array<string>")).alias("image_urls"),
+        F.when(F.coalesce(vid, F.lit("")) != "",
+               F.array(F.when(F.coalesce(resource_tail(vid), F.lit("")) != "", resource_tail(vid)).otherwise(vid)))
+         .otherwise(F.array().cast("array<string>")).alias("youtube_video_ids"))
+
+
+def norm_google_asset(ad_rows: DataFrame, pmax_rows: DataFrame, w: Window, ingestion_id: str, now,
+                      extract_ts) -> DataFrame:
+    """Asset performance rows: ad-group assets and PMax asset-group assets
+    (``is_pmax``, ``source_view``); rows without an asset id are dropped."""
+    def side(df, view, pmax):
+        p = df.select("customer_id", F.from_json("payload", GOOGLE_ASSET).alias("r"))
+        v, m = F.col(f"r.{view}"), F.col("r.metrics")
+        res = F.coalesce(v.asset, F.lit(""))
+        return p.select(
+            *_ctx_cols(ingestion_id, now, extract_ts),
+            F.coalesce(F.to_date(F.when(F.coalesce(F.col("r.segments.date"), F.lit("")) != "", F.col("r.segments.date"))),
+                       F.lit(w.end)).alias("stat_date"), "customer_id",
+            F.col("r.campaign.id").alias("campaign_id"),
+            F.col("r.campaign.advertising_channel_type").alias("campaign_channel_type"),
+            (F.col("r.asset_group.id") if pmax else F.lit(None).cast("string")).alias("asset_group_id"),
+            (F.lit(None).cast("string") if pmax else F.col("r.ad_group.id")).alias("ad_group_id"),
+            (F.lit(None).cast("string") if pmax else F.col("r.ad_group_ad.ad.id")).alias("ad_id"),
+            resource_tail(res).alias("asset_id"), F.when(res != "", res).alias("asset_resource_name"),
+            v.field_type.alias("field_type"), v.performance_label.alias("performance_label"),
+            F.lit(pmax).alias("is_pmax"),
+            F.coalesce(m.impressions, F.lit(0)).alias("impressions"), F.coalesce(m.clicks, F.lit(0)).alias("clicks"),
+            F.coalesce(m.cost_micros, F.lit(0)).alias("cost_micros"),
+            F.coalesce(m.conversions, F.lit(0.0)).alias("conversions"),
+            F.coalesce(m.conversions_value, F.lit(0.0)).alias("conversions_value"),
+            F.lit(view).alias("source_view"))
+    out = side(ad_rows, "ad_group_ad_asset_view", False).unionByName(side(pmax_rows, "asset_group_asset", True))
+    return out.filter(F.col("asset_id").isNotNull() & (F.col("asset_id") != ""))
+
+
+def norm_tiktok_creative(ads: DataFrame, w: Window, ingestion_id: str, now, extract_ts) -> DataFrame:
+    """TikTok ads -> creative rows: creative id = ad id, thumbnail = image."""
+    p = ads.select("advertiser_id", F.from_json("payload", TIKTOK_AD).alias("a"))
+    a = F.col("a")
+    e = lambda c: F.coalesce(c, F.lit(""))
+    return p.select(
+        *_ctx_cols(ingestion_id, now, extract_ts), F.lit(w.end).alias("collected_date"), "advertiser_id",
+        e(a.campaign_id).alias("campaign_id"), e(a.adgroup_id).alias("ad_group_id"), e(a.ad_id).alias("ad_id"),
+        e(a.ad_id).alias("creative_id"), e(a.ad_name).alias("creative_name"), e(a.ad_format).alias("ad_format"),
+        e(a.ad_text).alias("body_text"), e(a.video_id).alias("video_id"), e(a.image_url).alias("image_url"),
+        e(a.image_url).alias("thumbnail_url"), e(a.video_url).alias("video_url"),
+        e(a.landing_page_url).alias("landing_page_url"))
+
+
+def norm_naver_creative(ads: DataFrame, adgroups: DataFrame, w: Window, ingestion_id: str, now,
+                        extract_ts) -> DataFrame:
+    """Naver ads -> creative rows; campaign from the ad, else from its ad group."""
+    p = ads.select("customer_id", F.from_json("payload", NAVER_AD).alias("a"))
+    a = adgroups.select(F.col("customer_id").alias("__ac"), F.from_json("payload", NAVER_ENTITY).alias("e"))
+    a = a.select("__ac", first_nonblank(F.col("e.nccAdgroupId"), F.col("e.adgroupId"), F.col("e.id")).alias("__aid"),
+                 F.coalesce(first_nonblank(F.col("e.nccCampaignId"), F.col("e.campaignId")), F.lit("")).alias("__acid"))
+    a = a.filter(F.col("__aid").isNotNull()).groupBy("__ac", "__aid").agg(F.last("__acid").alias("__acid"))
+    ag = first_nonblank(F.col("a.nccAdgroupId"), F.col("a.adgroupId"))
+    p = p.withColumn("__ag", ag)
+    p = p.join(a, (p.customer_id == a.__ac) & (p.__ag == a.__aid), "left")
+    ad_id = first_nonblank(F.col("a.nccAdId"), F.col("a.adId"), F.col("a.id"))
+    camp = F.coalesce(first_nonblank(F.col("a.nccCampaignId"), F.col("a.campaignId")),
+                      F.when(F.col("__acid") != "", F.col("__acid")))
+    return p.select(
+        *_ctx_cols(ingestion_id, now, extract_ts), F.lit(w.end).alias("collected_date"),
+        F.col("customer_id").alias("account_id"), camp.alias("campaign_id"), F.col("__ag").alias("ad_group_id"),
+        ad_id.alias("ad_id"), ad_id.alias("creative_id"),
+        first_nonblank(F.col("a.adName"), F.col("a.name")).alias("creative_name"),
+        first_nonblank(F.col("a.type"), F.col("a.adType")).alias("ad_type"),
+        F.col("a.ad.headline").alias("headline"), F.col("a.ad.description").alias("body_text"),
+        F.col("a.ad.image.url").alias("thumbnail_url"))
