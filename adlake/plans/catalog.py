@@ -461,3 +461,31 @@ def q_enrich_branch(spark, sf):
     old_rules = g["rules"].filter(F.col("rule_id").isin("R1", "R2", "R3"))
     old = core.fact_marketing(c.stg_perf(), old_map, old_rules, g["dim_branch"], c.w, TIE)
     return finish(core.enrich_branch(old, g["account_map"], g["rules"], c.w, naver_rows=c.stg_perf()))
+
+
+@query("geo_display_name")
+def q_geo_display_name(spark, sf):
+    """Display names (English and Korean) for the geo ids seen in the breakdowns."""
+    c = BCtx(spark, sf)
+    ids = BD.geo_ids_distinct(c.long()[1], c.w)
+    fx.register(spark, sf, ["fx_geo_meta"])
+    md = spark.table("fx_geo_meta")
+    j = ids.join(md, "geo_target_constant_id", "inner")
+    args = (F.col("target_name"), F.col("country_name"), F.col("target_type"), F.col("geo_target_constant_id"))
+    return finish(j.select("geo_target_constant_id", BD.geo_display_name(*args).alias("display_name"),
+                           BD.geo_display_name_ko(*args).alias("display_name_ko")))
+
+
+@query("geo_map_upsert")
+def q_geo_map_upsert(spark, sf):
+    """A map built earlier (metadata with older names, odd ids only) upserted with
+    the current build: matched ids take the new values, others are kept."""
+    from adlake.operators.upsert import upsert
+    c = BCtx(spark, sf)
+    _, g = c.long()
+    fx.register(spark, sf, ["fx_geo_meta"])
+    md = spark.table("fx_geo_meta")
+    old_md = md.withColumn("target_name", F.concat(F.col("target_name"), F.lit(" (old)")))
+    ids = BD.geo_ids_distinct(g, c.w)
+    old = BD.geo_map_build(ids.filter(F.length("geo_target_constant_id") % 2 == 1), old_md)
+    return finish(upsert(old, c.geo_map(), ["geo_target_constant_id"]))
