@@ -147,3 +147,17 @@ def q_norm_naver_creative(spark, sf):
     groups = fx.naver_payloads(spark, sf)["adgroups"]
     return finish(N.norm_naver_creative(fx.naver_ad_payloads(spark, sf), groups, W, RUN, NOW, NOW),
                   drop=("ingestion_id",))
+
+
+@query("norm_google_asset_ad")
+def q_norm_google_asset_ad(spark, sf):
+    p = fx.google_asset_payloads(spark, sf)
+    out = N.norm_google_asset(p["ad"], p["pmax"].limit(0), W, RUN, NOW, NOW)
+    return finish(out, drop=("ingestion_id",))
+
+
+@query("norm_google_asset_pmax")
+def q_norm_google_asset_pmax(spark, sf):
+    p = fx.google_asset_payloads(spark, sf)
+    out = N.norm_google_asset(p["ad"].limit(0), p["pmax"], W, RUN, NOW, NOW)
+    return finish(out, drop=("ingestion_id",))
