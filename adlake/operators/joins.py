@@ -126,7 +126,11 @@ def keyword_rank(rules: DataFrame, text: Column, order: Sequence[Column], value_
     r = r.filter(F.col(keyword_col).isNotNull() & (F.col(keyword_col) != ""))
     if not fits(r, RULE_CASE_MAX):
         return None
-    ranked = r.orderBy(*order).select(F.lower(F.col(keyword_col)).alias("kw"), F.col(value_col).alias("v")).collect()
+    ranked_df = r.orderBy(*order).select(F.lower(F.col(keyword_col)).alias("kw"), F.col(value_col).alias("v"))
+    key = ("rules", ranked_df.semanticHash())
+    if key not in _FITS:
+        _FITS[key] = ranked_df.collect()   # bounded: at most RULE_CASE_MAX rows (checked above)
+    ranked = _FITS[key]
     if not ranked:
         return F.lit(None).cast("int"), (lambda rank: F.lit(None).cast("string"))
     lt = F.lower(F.coalesce(text, F.lit("")))

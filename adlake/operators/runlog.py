@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 TERMINAL = ["SUCCESS", "FAILED"]
@@ -33,6 +32,10 @@ def run_history(log: DataFrame, today: _dt.date, lookback_days: int = 30,
     cutoff = _dt.datetime.combine(today - _dt.timedelta(days=lookback_days), _dt.time())
     eligible = ((F.col("status") == "SUCCESS") & (F.col("pipeline_name") == pipeline)
                 & (F.col("source_name") == source) & (F.col("started_at") >= F.lit(cutoff)))
-    w = W.partitionBy(eligible, "start_date", "end_date").orderBy(F.col("started_at").desc(), F.col("run_id").desc())
-    return (runs.withColumn("__rn", F.row_number().over(w))
-                .withColumn("is_latest_success", eligible & (F.col("__rn") == 1)).drop("__rn"))
+    # newest eligible run per load window: a partial (map-side) aggregation, so
+    # many runs of one window never pile up in one task
+    latest = (runs.filter(eligible).groupBy("start_date", "end_date")
+                  .agg(F.max_by("run_id", F.struct("started_at", "run_id")).alias("__latest"))
+                  .select("__latest"))
+    out = runs.join(latest, runs.run_id == latest.__latest, "left")
+    return out.select(*[runs[c] for c in runs.columns], F.col("__latest").isNotNull().alias("is_latest_success"))

@@ -16,20 +16,38 @@ ALL = ["1990-01-01", "2030-12-31"]
 ROUND = {"Surveys__avgScore"}
 
 
+class _Sources(dict):
+    """Cube sources built on first use (a query touches one or a few cubes)."""
+
+    def __init__(self, spark, sf):
+        super().__init__()
+        self.c = Ctx(spark, sf)
+        self.spark, self.sf = spark, sf
+
+    def __missing__(self, cube):
+        c = self.c
+        if cube == "AdsCampaign":
+            v = c.mart_campaign()
+        elif cube == "Orders":
+            v = marts.mart_business_daily(c.fact_orders(), c.gov["dim_branch"])
+        elif cube == "Surveys":
+            v = marts.mart_survey_daily(c.fact_survey(), c.gov["dim_branch"])
+        elif cube == "Branch":
+            v = c.gov["dim_branch"].withColumn("country_code", F.lit(None).cast("string"))
+        elif cube == "Channel":
+            ext = fx.external_raw(self.spark, self.sf)
+            chan_map = (ext.select(F.trim("channel_code").alias("raw_code")).distinct()
+                           .withColumn("channel_key", channel_key_of(F.col("raw_code")))
+                           .withColumn("is_active", F.col("channel_key") != "OTHER"))
+            v = SQ.channel_cube_source(chan_map)
+        else:
+            raise KeyError(cube)
+        self[cube] = v
+        return v
+
+
 def sources(spark, sf):
-    c = Ctx(spark, sf)
-    b = c.gov["dim_branch"]
-    ext = fx.external_raw(spark, sf)
-    chan_map = (ext.select(F.trim("channel_code").alias("raw_code")).distinct()
-                   .withColumn("channel_key", channel_key_of(F.col("raw_code")))
-                   .withColumn("is_active", F.col("channel_key") != "OTHER"))
-    return {
-        "AdsCampaign": c.mart_campaign(),
-        "Orders": marts.mart_business_daily(c.fact_orders(), b),
-        "Surveys": marts.mart_survey_daily(c.fact_survey(), b),
-        "Branch": b.withColumn("country_code", F.lit(None).cast("string")),
-        "Channel": SQ.channel_cube_source(chan_map),
-    }
+    return _Sources(spark, sf)
 
 
 def run(spark, sf, q, today=_dt.date(2024, 2, 1)):
