@@ -106,53 +106,123 @@ def _nonblank(c: Column) -> Column:
     return c.isNotNull() & (F.trim(c) != "")
 
 
-def stg_creative_snapshot(meta_creative: DataFrame, w: Window, now=None) -> DataFrame:
-    """Meta creative snapshots: content hash over the channel's text fields,
-    validity from midnight of the collected date; latest row per snapshot key."""
-    m = meta_creative.filter(w.contains("collected_date")).select(
-        F.lit("META").alias("channel_key"), F.col("account_id").alias("account_id_norm"), "ad_id", "creative_id",
-        "creative_name", "body_text", "headline", "description_text", "call_to_action", "thumbnail_url",
-        content_hash("creative_name", "body_text", "headline", "description_text", "call_to_action",
-                     "thumbnail_url").alias("content_hash"),
+def _snapshot_rows(df: DataFrame, channel: str, account: str, name_cols: dict, hash_cols, w: Window, now) -> DataFrame:
+    cols = {k: (F.col(v) if isinstance(v, str) else v) for k, v in name_cols.items()}
+    return df.filter(w.contains("collected_date")).select(
+        F.lit(channel).alias("channel_key"), F.col(account).alias("account_id_norm"), "ad_id", "creative_id",
+        *[cols[k].cast("string").alias(k) for k in ("creative_name", "body_text", "headline", "description_text",
+                                                    "call_to_action", "thumbnail_url")],
+        content_hash(*hash_cols).alias("content_hash"),
         F.col("collected_date").cast("timestamp").alias("valid_from_ts"), load_ts(now).alias("load_ts"))
-    m = m.filter(_nonblank(F.col("creative_id")) & _nonblank(F.col("ad_id")))
-    return latest_by(m, ["channel_key", "account_id_norm", "ad_id", "creative_id", "valid_from_ts"], ["load_ts"])
-
-
-def stg_creative_asset(meta_creative: DataFrame, w: Window, now=None) -> DataFrame:
-    """Meta creative assets: JSON assets (1-based position) plus the fallback
-    IMAGE #1 / VIDEO #2 rows; a row is kept if it has any url, video,
-    thumbnail or hash. On a key tie the JSON asset wins over the fallback."""
-    m = meta_creative.filter(w.contains("collected_date"))
-    base = [F.lit("META").alias("channel_key"), F.col("account_id").alias("account_id_norm"), "ad_id", "creative_id"]
-    vf = F.col("collected_date").cast("timestamp").alias("valid_from_ts")
-    js = (m.select(*base, vf, load_ts(now).alias("load_ts"), F.col("thumbnail_url").alias("__thumb"),
-                   F.posexplode(F.from_json("assets_json", ASSET_JSON)).alias("__off", "a"))
-           .select("channel_key", "account_id_norm", "ad_id", "creative_id",
-                   F.upper(F.coalesce(F.when(F.col("a.asset_type") != "", F.col("a.asset_type")), F.lit("IMAGE")))
-                    .alias("asset_type"),
-                   (F.col("__off") + 1).cast("int").alias("asset_seq"),
-                   F.coalesce("a.asset_url", "a.url").alias("asset_url"),
-                   F.coalesce("a.thumbnail_url", "__thumb").alias("thumbnail_url"),
-                   F.col("a.image_hash").alias("image_hash"), F.col("a.video_id").alias("video_id"),
-                   F.col("a.width").try_cast("bigint").alias("width"), F.col("a.height").try_cast("bigint").alias("height"),
-                   F.col("a.duration").try_cast("bigint").alias("duration_sec"), "valid_from_ts", "load_ts",
-                   F.lit(1).alias("__src")))
+
+
+def stg_creative_snapshot(meta: DataFrame | None, w: Window, now=None, google: DataFrame | None = None,
+                          tiktok: DataFrame | None = None, naver: DataFrame | None = None,
+                          tiebreak: Sequence[str] = ("content_hash",)) -> DataFrame:
+    """Creative snapshots of the four channels with channel-specific content
+    hashes; validity from midnight of the collected date; latest row per
+    (channel, account, ad, creative, valid_from), ties broken by content hash."""
+    none = F.lit(None)
+    parts = []
+    if meta is not None:
+        parts.append(_snapshot_rows(meta, "META", "account_id",
+                                    {c: c for c in ("creative_name", "body_text", "headline", "description_text",
+                                                    "call_to_action", "thumbnail_url")},
+                                    ["creative_name", "body_text", "headline", "description_text", "call_to_action",
+                                     "thumbnail_url"], w, now))
+    if google is not None:
+        parts.append(_snapshot_rows(google, "GOOGLE_ADS", "customer_id",
+                                    {"creative_name": "creative_name", "body_text": "description_1",
+                                     "headline": "headline_1", "description_text": "description_2",
+                                     "call_to_action": "call_to_action", "thumbnail_url": none},
+                                    ["creative_name", "headline_1", "headline_2", "headline_3", "description_1",
+                                     "description_2", "call_to_action"], w, now))
+    if tiktok is not None:
+        t = tiktok if "call_to_action" in tiktok.columns else tiktok.withColumn("call_to_action", none.cast("string"))
+        parts.append(_snapshot_rows(t, "TIKTOK_ADS", "advertiser_id",
+                                    {"creative_name": "creative_name", "body_text": "body_text", "headline": none,
+                                     "description_text": none, "call_to_action": "call_to_action",
+                                     "thumbnail_url": "thumbnail_url"},
+                                    ["creative_name", "body_text", "call_to_action", "thumbnail_url", "video_url"],
+                                    w, now))
+    if naver is not None:
+        parts.append(_snapshot_rows(naver, "NAVER_ADS", "account_id",
+                                    {"creative_name": "creative_name", "body_text": "body_text",
+                                     "headline": "headline", "description_text": none, "call_to_action": none,
+                                     "thumbnail_url": "thumbnail_url"},
+                                    ["creative_name", "body_text", "headline", "thumbnail_url"], w, now))
+    u = parts[0]
+    for p_ in parts[1:]:
+        u = u.unionByName(p_)
+    u = u.filter(_nonblank(F.col("creative_id")) & _nonblank(F.col("ad_id")))
+    return latest_by(u, ["channel_key", "account_id_norm", "ad_id", "creative_id", "valid_from_ts"], ["load_ts"],
+                     list(tiebreak))
+
+
+ASSET_TIEBREAK = ("asset_url", "video_id", "thumbnail_url", "image_hash")
+
+
+def _asset_rows(df, channel, account, kind, seq, url, thumb, image_hash, video, w, now, src=0):
+    nul = F.lit(None)
+    c = lambda x: (F.col(x) if isinstance(x, str) else x).cast("string")
+    return df.filter(w.contains("collected_date")).select(
+        F.lit(channel).alias("channel_key"), F.col(account).alias("account_id_norm"), "ad_id", "creative_id",
+        F.lit(kind).alias("asset_type"), (F.lit(seq) if isinstance(seq, int) else seq).cast("int").alias("asset_seq"),
+        c(url).alias("asset_url"), c(thumb).alias("thumbnail_url"), c(image_hash).alias("image_hash"),
+        c(video).alias("video_id"), nul.cast("bigint").alias("width"), nul.cast("bigint").alias("height"),
+        nul.cast("bigint").alias("duration_sec"), F.col("collected_date").cast("timestamp").alias("valid_from_ts"),
+        load_ts(now).alias("load_ts"), F.lit(src).alias("__src"))
+
+
+def stg_creative_asset(meta: DataFrame | None, w: Window, now=None, google: DataFrame | None = None,
+                       tiktok: DataFrame | None = None) -> DataFrame:
+    """Creative assets: Meta JSON assets (1-based position) plus fallback IMAGE #1 /
+    VIDEO #2 rows, Google image urls and video ids (positions), TikTok image #1
+    and video #2. A row is kept if it has any url, video, thumbnail or hash;
+    on a key tie a Meta JSON asset wins over the fallback row."""
     nul = F.lit(None)
-    fb_img = m.select(*base, F.lit("IMAGE").alias("asset_type"), F.lit(1).alias("asset_seq"),
-                      F.col("permanent_image_url").alias("asset_url"), "thumbnail_url", "image_hash",
-                      nul.cast("string").alias("video_id"), nul.cast("bigint").alias("width"),
-                      nul.cast("bigint").alias("height"), nul.cast("bigint").alias("duration_sec"), vf,
-                      load_ts(now).alias("load_ts"), F.lit(0).alias("__src"))
-    fb_vid = m.select(*base, F.lit("VIDEO").alias("asset_type"), F.lit(2).alias("asset_seq"),
-                      nul.cast("string").alias("asset_url"), "thumbnail_url", nul.cast("string").alias("image_hash"),
-                      "video_id", nul.cast("bigint").alias("width"), nul.cast("bigint").alias("height"),
-                      nul.cast("bigint").alias("duration_sec"), vf, load_ts(now).alias("load_ts"), F.lit(0).alias("__src"))
-    u = js.unionByName(fb_img).unionByName(fb_vid)
+    parts = []
+    if meta is not None:
+        m = meta.filter(w.contains("collected_date"))
+        js = (m.select(F.col("account_id"), "ad_id", "creative_id", "collected_date", "thumbnail_url",
+                       "ingestion_ts", "source_extract_ts",
+                       F.posexplode(F.from_json("assets_json", ASSET_JSON)).alias("__off", "a")))
+        parts.append(js.select(
+            F.lit("META").alias("channel_key"), F.col("account_id").alias("account_id_norm"), "ad_id", "creative_id",
+            F.upper(F.coalesce(F.when(F.col("a.asset_type") != "", F.col("a.asset_type")), F.lit("IMAGE")))
+             .alias("asset_type"),
+            (F.col("__off") + 1).cast("int").alias("asset_seq"),
+            F.coalesce("a.asset_url", "a.url").alias("asset_url"),
+            F.coalesce("a.thumbnail_url", "thumbnail_url").alias("thumbnail_url"),
+            F.col("a.image_hash").alias("image_hash"), F.col("a.video_id").alias("video_id"),
+            F.col("a.width").try_cast("bigint").alias("width"), F.col("a.height").try_cast("bigint").alias("height"),
+            F.col("a.duration").try_cast("bigint").alias("duration_sec"),
+            F.col("collected_date").cast("timestamp").alias("valid_from_ts"),
+            load_ts(now).alias("load_ts"), F.lit(1).alias("__src")))
+        parts.append(_asset_rows(m, "META", "account_id", "IMAGE", 1, "permanent_image_url", "thumbnail_url",
+                                 "image_hash", nul, w, now))
+        parts.append(_asset_rows(m, "META", "account_id", "VIDEO", 2, nul, "thumbnail_url", nul, "video_id", w, now))
+    if google is not None:
+        g = google.filter(w.contains("collected_date"))
+        gi = g.select("customer_id", "ad_id", "creative_id", "collected_date", "ingestion_ts", "source_extract_ts",
+                      F.posexplode(F.coalesce("image_urls", F.array().cast("array<string>"))).alias("__off", "__v"))
+        gv = g.select("customer_id", "ad_id", "creative_id", "collected_date", "ingestion_ts", "source_extract_ts",
+                      F.posexplode(F.coalesce("youtube_video_ids", F.array().cast("array<string>"))).alias("__off", "__v"))
+        parts.append(_asset_rows(gi, "GOOGLE_ADS", "customer_id", "IMAGE", F.col("__off") + 1, "__v", nul, nul, nul,
+                                 w, now))
+        parts.append(_asset_rows(gv, "GOOGLE_ADS", "customer_id", "VIDEO", F.col("__off") + 1, nul, nul, nul, "__v",
+                                 w, now))
+    if tiktok is not None:
+        parts.append(_asset_rows(tiktok, "TIKTOK_ADS", "advertiser_id", "IMAGE", 1, "image_url", "thumbnail_url", nul,
+                                 nul, w, now))
+        parts.append(_asset_rows(tiktok, "TIKTOK_ADS", "advertiser_id", "VIDEO", 2, "video_url", "thumbnail_url", nul,
+                                 "video_id", w, now))
+    u = parts[0]
+    for p_ in parts[1:]:
+        u = u.unionByName(p_)
     keep = (_nonblank(F.col("creative_id")) & _nonblank(F.col("ad_id"))
             & (_nonblank(F.col("asset_url")) | _nonblank(F.col("video_id")) | _nonblank(F.col("thumbnail_url"))
                | _nonblank(F.col("image_hash"))))
-    u = u.filter(keep)
-    out = latest_by(u, ["channel_key", "account_id_norm", "ad_id", "creative_id", "asset_type", "asset_seq",
-                        "valid_from_ts"], ["load_ts", "__src"])
+    out = latest_by(u.filter(keep), ["channel_key", "account_id_norm", "ad_id", "creative_id", "asset_type",
+                                     "asset_seq", "valid_from_ts"], ["load_ts", "__src"], list(ASSET_TIEBREAK))
     return out.drop("__src")

@@ -87,15 +87,27 @@ def q_norm_meta_creative(spark, sf):
     return finish(CR.norm_meta_creative(p, 8, RUN, NOW, NOW), drop=("ingestion_id", "assets_json"))
 
 
+def _channel_creatives(spark, sf):
+    g = N.norm_google_creative(fx.google_creative_payloads(spark, sf), W, RUN, NOW, NOW)
+    t = N.norm_tiktok_creative(fx.tiktok_ad_payloads(spark, sf), W, RUN, NOW, NOW)
+    n = N.norm_naver_creative(fx.naver_ad_payloads(spark, sf), fx.naver_payloads(spark, sf)["adgroups"], W, RUN,
+                              NOW, NOW)
+    return g, t, n
+
+
 @query("stg_creative_snapshot")
 def q_stg_creative_snapshot(spark, sf):
-    out = CR.stg_creative_snapshot(_meta_creatives(spark, sf), Window.of("2024-01-01", "2024-12-31"))
+    from adlake.session import ALL_TIME
+    g, t, n = _channel_creatives(spark, sf)
+    out = CR.stg_creative_snapshot(_meta_creatives(spark, sf), ALL_TIME, google=g, tiktok=t, naver=n)
     return finish(out.withColumn("valid_from_date", F.to_date("valid_from_ts")))
 
 
 @query("stg_creative_asset")
 def q_stg_creative_asset(spark, sf):
-    out = CR.stg_creative_asset(_meta_creatives(spark, sf), Window.of("2024-01-01", "2024-12-31"))
+    from adlake.session import ALL_TIME
+    g, t, _ = _channel_creatives(spark, sf)
+    out = CR.stg_creative_asset(_meta_creatives(spark, sf), ALL_TIME, google=g, tiktok=t)
     return finish(out.withColumn("valid_from_date", F.to_date("valid_from_ts")))
 
 
