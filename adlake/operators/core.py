@@ -18,6 +18,25 @@ UNKNOWN = "UNKNOWN"
 MAP_PRIORITY = ("effective_start_date", "updated_at")
 
 
+_SEGMENTS: dict = {}
+
+
+def _small_cached(key, build, source: DataFrame) -> tuple[DataFrame, bool]:
+    """Segments of a size-checked small map, built once per plan and cached.
+
+    A map within the broadcast bound yields at most twice as many segments;
+    caching them keeps the many lookups of one session from re-deriving them.
+    Larger maps are returned uncached (and joined by shuffle).
+    """
+    small = fits(source)
+    if not small:
+        return build(), False
+    k = (key, source.semanticHash())
+    if k not in _SEGMENTS:
+        _SEGMENTS[k] = build().cache()
+    return _SEGMENTS[k], True
+
+
 def account_segments(account_map: DataFrame) -> DataFrame:
     """Non-overlapping (channel, account) -> branch segments; newest start wins."""
     return resolve_effective_segments(account_map, ["channel_key", "account_id_norm"], ["branch_id"],
@@ -32,10 +51,10 @@ def branch_by_account(facts: DataFrame, account_map: DataFrame, date_col: str,
     the newest update. The overlap is resolved on the (small) map side, so
     every fact row matches at most one segment and needs no deduplication.
     """
-    seg = account_segments(account_map).withColumnRenamed("branch_id", "__seg_branch")
+    seg, small = _small_cached("account", lambda: account_segments(account_map), account_map)
+    seg = seg.withColumnRenamed("branch_id", "__seg_branch")
     out = effective_lookup(facts, seg, [F.col("channel_key"), F.col("account_id_norm")],
-                           ["channel_key", "account_id_norm"], date_col, ["__seg_branch"],
-                           small=fits(account_map))
+                           ["channel_key", "account_id_norm"], date_col, ["__seg_branch"], small=small)
     return out.withColumn(out_col, F.coalesce(F.col("__seg_branch"), F.lit(UNKNOWN))).drop("__seg_branch")
 
 
@@ -117,15 +136,17 @@ def fact_marketing(stg: DataFrame, account_map: DataFrame, rules: DataFrame, dim
                  "load_ts", "currency_code", *tiebreak)
     d = latest_by(s, ["stat_date", "channel_key", "account_id_norm", "campaign_id", "ad_group_id", "ad_id"],
                   ["load_ts"], tiebreak, blank_keys=["ad_group_id", "ad_id"])
-    d = branch_by_account(d, account_map, "stat_date", "__acct_branch")
+    # Only Naver rows take the rule join; other channels use the account map.
     rb = rb.select(F.col("account_id_norm").alias("__ra"), F.col("campaign_id").alias("__rc"),
                    F.col("stat_date").alias("__rd"), F.col("__ag").alias("__rg"), "rule_branch_id")
-    d = d.join(rb, (F.col("channel_key") == "NAVER_ADS") & (d.account_id_norm == rb.__ra)
-               & (d.campaign_id == rb.__rc) & (d.stat_date == rb.__rd)
-               & (blank_key(d.ad_group_id) == rb.__rg), "left").drop("__ra", "__rc", "__rd", "__rg")
-    d = d.withColumn("branch_id", F.when(F.col("channel_key") == "NAVER_ADS",
-                                         F.coalesce("rule_branch_id", F.lit(UNKNOWN)))
-                     .otherwise(F.col("__acct_branch"))).drop("rule_branch_id", "__acct_branch")
+    is_naver = F.col("channel_key") == "NAVER_ADS"
+    dn = d.filter(is_naver)
+    dn = dn.join(rb, (dn.account_id_norm == rb.__ra) & (dn.campaign_id == rb.__rc) & (dn.stat_date == rb.__rd)
+                 & (blank_key(dn.ad_group_id) == rb.__rg), "left")
+    dn = dn.withColumn("branch_id", F.coalesce("rule_branch_id", F.lit(UNKNOWN)))
+    do = branch_by_account(d.filter(~is_naver), account_map, "stat_date", "branch_id")
+    keep = [c for c in d.columns] + ["branch_id"]
+    d = do.select(*keep).unionByName(dn.select(*keep))
     b = bounded_broadcast(dim_branch.select(F.col("branch_id").alias("__bb"), F.col("currency").alias("__bc")))
     d = d.join(b, d.branch_id == b.__bb, "left").withColumn(
         "currency_code", F.coalesce(F.col("currency_code"),
@@ -173,9 +194,12 @@ def fact_action(stg_action: DataFrame, account_map: DataFrame, w: Window) -> Dat
 
 def map_segments(m: DataFrame, keys: Sequence[str], value_cols=("branch_id",)) -> DataFrame:
     """Segments of a governance map, carrying the priority columns."""
-    m = (m.withColumn("__es", F.col("effective_start_date")).withColumn("__up", F.col("updated_at")))
-    return resolve_effective_segments(m, list(keys), list(value_cols) + ["__es", "__up"],
-                                      priority=MAP_PRIORITY)
+    def build():
+        mm = (m.withColumn("__es", F.col("effective_start_date")).withColumn("__up", F.col("updated_at")))
+        return resolve_effective_segments(mm, list(keys), list(value_cols) + ["__es", "__up"],
+                                          priority=MAP_PRIORITY)
+    seg, _ = _small_cached(("map", tuple(keys), tuple(value_cols)), build, m)
+    return seg
 
 
 def fact_web_event(stg_web: DataFrame, property_map: DataFrame, w: Window) -> DataFrame:

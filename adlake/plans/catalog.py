@@ -54,6 +54,25 @@ def finish(df: DataFrame, drop=(), rounded=ROUNDED) -> DataFrame:
 
 
 # ------------------------------------------------------------------ builders
+_CTX: dict = {}
+
+
+def ctx(spark: SparkSession, sf_dir: str, kind=None):
+    """The shared lazy plan builder for (session, data folder).
+
+    Queries of one session reuse the DataFrame objects (plans) built by earlier
+    queries instead of rebuilding identical plans; every query still executes
+    its whole plan from the landed tables.
+    """
+    kind = kind or Ctx
+    key = (id(spark), sf_dir, kind.__name__)
+    c = _CTX.get(key)
+    if c is None or c.spark is not spark:
+        c = kind(spark, sf_dir)
+        _CTX[key] = c
+    return c
+
+
 class Ctx:
     """Operator inputs for one (session, sf_dir); everything stays lazy."""
 
@@ -140,17 +159,17 @@ class Ctx:
 # ------------------------------------------------------------------ queries
 @query("stg_ads_performance")
 def q_stg_ads_performance(spark, sf):
-    return finish(Ctx(spark, sf).stg_perf())
+    return finish(ctx(spark, sf).stg_perf())
 
 
 @query("stg_ads_action")
 def q_stg_ads_action(spark, sf):
-    return finish(Ctx(spark, sf).stg_action())
+    return finish(ctx(spark, sf).stg_action())
 
 
 @query("branch_by_account")
 def q_branch_by_account(spark, sf):
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     f = c.stg_perf().select("channel_key", "account_id_norm", "campaign_id", "ad_group_id", "ad_group_name",
                             "ad_id", "stat_date", "load_ts", *TIE)
     return finish(core.branch_by_account(f, c.gov["account_map"], "stat_date"))
@@ -158,7 +177,7 @@ def q_branch_by_account(spark, sf):
 
 @query("branch_by_rule")
 def q_branch_by_rule(spark, sf):
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     f = c.stg_perf().select("channel_key", "account_id_norm", "campaign_id", "ad_group_id", "ad_group_name",
                             "ad_id", "stat_date", "load_ts", *TIE)
     return finish(core.branch_by_rule(f, c.gov["rules"], "ad_group_name"))
@@ -166,112 +185,112 @@ def q_branch_by_rule(spark, sf):
 
 @query("fact_marketing")
 def q_fact_marketing(spark, sf):
-    return finish(Ctx(spark, sf).fact_mkt())
+    return finish(ctx(spark, sf).fact_mkt())
 
 
 @query("dim_campaign_current")
 def q_dim_campaign_current(spark, sf):
-    return finish(Ctx(spark, sf).dim_campaign())
+    return finish(ctx(spark, sf).dim_campaign())
 
 
 @query("fact_campaign_daily")
 def q_fact_campaign_daily(spark, sf):
-    return finish(Ctx(spark, sf).fact_campaign())
+    return finish(ctx(spark, sf).fact_campaign())
 
 
 @query("fact_action")
 def q_fact_action(spark, sf):
-    return finish(Ctx(spark, sf).fact_action(), drop=("source_table",))
+    return finish(ctx(spark, sf).fact_action(), drop=("source_table",))
 
 
 @query("mart_campaign_daily")
 def q_mart_campaign_daily(spark, sf):
-    return finish(Ctx(spark, sf).mart_campaign())
+    return finish(ctx(spark, sf).mart_campaign())
 
 
 @query("mart_branch_channel_daily")
 def q_mart_branch_channel_daily(spark, sf):
-    return finish(marts.mart_branch_channel_daily(Ctx(spark, sf).mart_campaign()))
+    return finish(marts.mart_branch_channel_daily(ctx(spark, sf).mart_campaign()))
 
 
 @query("dim_account")
 def q_dim_account(spark, sf):
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     r = c.raws
     return finish(core.dim_account(r["meta"], r["google"], r["tiktok"], r["naver"], c.w, NOW))
 
 
 @query("dim_ad_current")
 def q_dim_ad_current(spark, sf):
-    return finish(Ctx(spark, sf).dim_ad())
+    return finish(ctx(spark, sf).dim_ad())
 
 
 @query("dim_channel")
 def q_dim_channel(spark, sf):
     # The channel dimension is literal; keep the channels that occur in the
     # landed ad performance so the query reads the tables.
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     seen = c.stg_perf().select("channel_key").distinct()
     return finish(core.dim_channel(spark, NOW).join(seen, "channel_key", "left_semi"))
 
 
 @query("mart_ad_daily")
 def q_mart_ad_daily(spark, sf):
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     return finish(marts.mart_ad_daily(c.fact_mkt(), c.gov["dim_branch"], c.dim_campaign(), c.dim_ad(), TODAY))
 
 
 @query("stg_web_event")
 def q_stg_web_event(spark, sf):
-    return finish(Ctx(spark, sf).stg_web())
+    return finish(ctx(spark, sf).stg_web())
 
 
 @query("fact_web_event")
 def q_fact_web_event(spark, sf):
-    return finish(Ctx(spark, sf).fact_web())
+    return finish(ctx(spark, sf).fact_web())
 
 
 @query("mart_web_daily")
 def q_mart_web_daily(spark, sf):
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     return finish(marts.mart_web_daily(c.fact_web(), c.gov["dim_branch"]))
 
 
 @query("stg_order_line")
 def q_stg_order_line(spark, sf):
-    return finish(Ctx(spark, sf).stg_orders())
+    return finish(ctx(spark, sf).stg_orders())
 
 
 @query("fact_order_line")
 def q_fact_order_line(spark, sf):
-    return finish(Ctx(spark, sf).fact_orders())
+    return finish(ctx(spark, sf).fact_orders())
 
 
 @query("mart_business_daily")
 def q_mart_business_daily(spark, sf):
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     return finish(marts.mart_business_daily(c.fact_orders(), c.gov["dim_branch"]))
 
 
 @query("stg_survey_response")
 def q_stg_survey_response(spark, sf):
-    return finish(Ctx(spark, sf).stg_survey())
+    return finish(ctx(spark, sf).stg_survey())
 
 
 @query("fact_survey")
 def q_fact_survey(spark, sf):
-    return finish(Ctx(spark, sf).fact_survey())
+    return finish(ctx(spark, sf).fact_survey())
 
 
 @query("mart_survey_daily")
 def q_mart_survey_daily(spark, sf):
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     return finish(marts.mart_survey_daily(c.fact_survey(), c.gov["dim_branch"]))
 
 
 @query("mart_blended_daily")
 def q_mart_blended_daily(spark, sf):
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     b = c.gov["dim_branch"]
     return finish(marts.mart_blended_daily(
         c.mart_campaign(), marts.mart_business_daily(c.fact_orders(), b), marts.mart_web_daily(c.fact_web(), b),
@@ -280,7 +299,7 @@ def q_mart_blended_daily(spark, sf):
 
 @query("dim_customer")
 def q_dim_customer(spark, sf):
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     d = core.dim_customer(c.stg_orders(), c.stg_survey(), c.w)
     return finish(d.withColumn("first_seen_date", F.to_date("first_seen_ts"))
                    .withColumn("latest_seen_date", F.to_date("latest_seen_ts")))
@@ -326,48 +345,48 @@ class BCtx(Ctx):
 
 @query("norm_meta_breakdown")
 def q_norm_meta_breakdown(spark, sf):
-    m, _ = BCtx(spark, sf).long()
+    m, _ = ctx(spark, sf, BCtx).long()
     return finish(m.select("account_id", "campaign_id", "stat_date", "breakdown_key", "breakdown_value",
                            "impressions", "load_seq"))
 
 
 @query("norm_google_breakdown")
 def q_norm_google_breakdown(spark, sf):
-    _, g = BCtx(spark, sf).long()
+    _, g = ctx(spark, sf, BCtx).long()
     return finish(g.select("customer_id", "campaign_id", "stat_date", "breakdown_key", "breakdown_value",
                            "impressions", "load_seq"))
 
 
 @query("stg_breakdown")
 def q_stg_breakdown(spark, sf):
-    return finish(BCtx(spark, sf).stg_bd())
+    return finish(ctx(spark, sf, BCtx).stg_bd())
 
 
 @query("fact_breakdown")
 def q_fact_breakdown(spark, sf):
-    return finish(BCtx(spark, sf).fact_bd())
+    return finish(ctx(spark, sf, BCtx).fact_bd())
 
 
 @query("geo_ids_distinct")
 def q_geo_ids_distinct(spark, sf):
-    c = BCtx(spark, sf)
+    c = ctx(spark, sf, BCtx)
     return finish(BD.geo_ids_distinct(c.long()[1], c.w))
 
 
 @query("geo_map_build")
 def q_geo_map_build(spark, sf):
-    return finish(BCtx(spark, sf).geo_map())
+    return finish(ctx(spark, sf, BCtx).geo_map())
 
 
 @query("mart_breakdown_recent")
 def q_mart_breakdown_recent(spark, sf):
-    return finish(BCtx(spark, sf).mart_bd())
+    return finish(ctx(spark, sf, BCtx).mart_bd())
 
 
 @query("dq_unknown_geo")
 def q_dq_unknown_geo(spark, sf):
     from adlake.session import Window as Win
-    c = BCtx(spark, sf)
+    c = ctx(spark, sf, BCtx)
     return finish(BD.dq_unknown_geo(c.mart_bd(), Win.of("2024-02-01", "2024-02-29"), NOW))
 
 
@@ -396,7 +415,7 @@ def q_source_activation(spark, sf):
 
 @query("unmatched_adgroups")
 def q_unmatched_adgroups(spark, sf):
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     return finish(GV.unmatched_adgroups(c.raws["naver"], c.gov["rules"], _dt.date(2001, 6, 1), tiebreak=TIE))
 
 
@@ -438,24 +457,24 @@ def _asset_fact(c: Ctx):
 
 @query("stg_asset")
 def q_stg_asset(spark, sf):
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     return finish(AS.stg_asset(fx.with_load_times(fx.view(spark, sf, "fx_asset_raw")), c.w, NOW, TIE))
 
 
 @query("fact_asset")
 def q_fact_asset(spark, sf):
-    return finish(_asset_fact(Ctx(spark, sf)))
+    return finish(_asset_fact(ctx(spark, sf)))
 
 
 @query("mart_asset_daily")
 def q_mart_asset_daily(spark, sf):
-    return finish(AS.mart_asset_daily(_asset_fact(Ctx(spark, sf))))
+    return finish(AS.mart_asset_daily(_asset_fact(ctx(spark, sf))))
 
 
 @query("enrich_branch")
 def q_enrich_branch(spark, sf):
     """Facts built with an older map and rule list, then re-enriched with the current ones."""
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     g = c.gov
     old_map = g["account_map"].filter(F.col("updated_seq") == 1)
     old_rules = g["rules"].filter(F.col("rule_id").isin("R1", "R2", "R3"))
@@ -466,7 +485,7 @@ def q_enrich_branch(spark, sf):
 @query("geo_display_name")
 def q_geo_display_name(spark, sf):
     """Display names (English and Korean) for the geo ids seen in the breakdowns."""
-    c = BCtx(spark, sf)
+    c = ctx(spark, sf, BCtx)
     ids = BD.geo_ids_distinct(c.long()[1], c.w)
     fx.register(spark, sf, ["fx_geo_meta"])
     md = spark.table("fx_geo_meta")
@@ -481,7 +500,7 @@ def q_geo_map_upsert(spark, sf):
     """A map built earlier (metadata with older names, odd ids only) upserted with
     the current build: matched ids take the new values, others are kept."""
     from adlake.operators.upsert import upsert
-    c = BCtx(spark, sf)
+    c = ctx(spark, sf, BCtx)
     _, g = c.long()
     fx.register(spark, sf, ["fx_geo_meta"])
     md = spark.table("fx_geo_meta")

@@ -51,8 +51,8 @@ def q_norm_naver_perf(spark, sf):
 
 @query("agg_google_breakdown")
 def q_agg_google_breakdown(spark, sf):
-    from adlake.plans.catalog import BCtx
-    _, g = BCtx(spark, sf).long()
+    from adlake.plans.catalog import BCtx, ctx
+    _, g = ctx(spark, sf, BCtx).long()
     rows = g.select("customer_id", "campaign_id", "campaign_name", "stat_date", "breakdown_key", "breakdown_value",
                     "impressions", "clicks", "cost_micros", "conversions",
                     (F.col("conversion_value_micros") / F.lit(1e6)).alias("conversions_value"),

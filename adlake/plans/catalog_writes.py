@@ -15,7 +15,7 @@ from pyspark.sql.types import (DateType, DoubleType, LongType, StringType, Struc
 
 from adlake.operators import staging, upsert as U
 from adlake.operators.dedup import latest_by
-from adlake.plans.catalog import NOW, TIE, Ctx, finish, query
+from adlake.plans.catalog import NOW, TIE, Ctx, ctx, finish, query
 from adlake.session import ALL_TIME, Window, checkpoint_dir
 from adlake.sources import fixtures as fx
 from adlake.sources import io
@@ -35,7 +35,7 @@ def _perf_batches(c: Ctx):
 
 @query("upsert")
 def q_upsert(spark, sf):
-    t, s = _perf_batches(Ctx(spark, sf))
+    t, s = _perf_batches(ctx(spark, sf))
     out = U.upsert(t.drop(*TIE, "load_ts"), s.drop(*TIE, "load_ts"), PERF_KEYS,
                    blank_keys=["ad_group_name", "currency_code"], keep_if_null=["ad_group_name", "currency_code"],
                    window=ALL_TIME, date_col="stat_date")
@@ -44,7 +44,7 @@ def q_upsert(spark, sf):
 
 @query("upsert_unique_source")
 def q_upsert_unique_source(spark, sf):
-    r = Ctx(spark, sf).raws
+    r = ctx(spark, sf).raws
     g = r["google"].select(F.lit("GOOGLE_ADS").alias("channel_key"), F.col("customer_id").alias("account_id_norm"),
                            "campaign_id", "ad_group_id", "ad_group_name", "ad_id",
                            F.lit(None).cast("string").alias("currency_code"), "stat_date")
@@ -63,7 +63,7 @@ def q_insert_if_absent(spark, sf):
 
 @query("backfill_anti")
 def q_backfill_anti(spark, sf):
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     t, _ = _perf_batches(c)
     legacy = c.stg_perf()
     keys = ["stat_date", "channel_key", "account_id_norm", "campaign_id", "ad_group_id", "ad_id"]
@@ -72,7 +72,7 @@ def q_backfill_anti(spark, sf):
 
 @query("replace_range")
 def q_replace_range(spark, sf):
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     t, s = _perf_batches(c)
     accounts = [" 1", "2", "2", "3 ", "5", "8", "13", "21", "34", "55", "89"]
     rows = s.filter(F.col("stat_date").between(F.lit(_dt.date(1996, 1, 1)), F.lit(_dt.date(1997, 12, 31)))
@@ -84,7 +84,7 @@ def q_replace_range(spark, sf):
 
 @query("append_dedup")
 def q_append_dedup(spark, sf):
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     t, s = _perf_batches(c)
     t = t.withColumn("currency_code", F.lit(None).cast("string"))
     both = U.append_rows(t, s.withColumn("load_ts", F.col("load_ts") + F.expr("INTERVAL 1 DAY")))
@@ -93,20 +93,20 @@ def q_append_dedup(spark, sf):
 
 @query("delete_window")
 def q_delete_window(spark, sf):
-    f = Ctx(spark, sf).fact_mkt()
+    f = ctx(spark, sf).fact_mkt()
     w = Window.of("1997-01-01", "1997-12-31")
     return finish(U.delete_window(f, "stat_date", w, F.col("channel_key") == "META"))
 
 
 @query("purge_before")
 def q_purge_before(spark, sf):
-    return finish(U.purge_before(Ctx(spark, sf).fact_mkt(), "stat_date", _dt.date(1999, 1, 1)))
+    return finish(U.purge_before(ctx(spark, sf).fact_mkt(), "stat_date", _dt.date(1999, 1, 1)))
 
 
 @query("purge_rolling_30d")
 def q_purge_rolling_30d(spark, sf):
     today = _dt.date(2024, 2, 1)
-    return finish(U.purge_before(Ctx(spark, sf).stg_web(), "event_date", today - _dt.timedelta(days=30)))
+    return finish(U.purge_before(ctx(spark, sf).stg_web(), "event_date", today - _dt.timedelta(days=30)))
 
 
 GA4_SCHEMA = StructType([
@@ -127,7 +127,7 @@ def q_ensure_schema(spark, sf):
 
 @query("scan_window")
 def q_scan_window(spark, sf):
-    return finish(io.scan_window(Ctx(spark, sf).fact_mkt(), "stat_date", Window.of("1998-01-01", "1998-12-31")))
+    return finish(io.scan_window(ctx(spark, sf).fact_mkt(), "stat_date", Window.of("1998-01-01", "1998-12-31")))
 
 
 def _shared(spark, name):
@@ -153,7 +153,7 @@ WEB_SPEC = io.TableSpec("stg_web_event_daily", "event_date",
 @query("layout")
 def q_layout(spark, sf):
     path = _shared(spark, "layout")
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     io.write_window(spark, c.stg_web(), path, WEB_SPEC, ALL_TIME)
     return finish(spark.read.parquet(path))
 
@@ -161,7 +161,7 @@ def q_layout(spark, sf):
 @query("partition_ttl")
 def q_partition_ttl(spark, sf):
     path = _shared(spark, "ttl")
-    c = Ctx(spark, sf)
+    c = ctx(spark, sf)
     io.write_window(spark, c.stg_web(), path, WEB_SPEC, ALL_TIME)
     io.partition_ttl(spark, path, WEB_SPEC, _dt.date(2024, 2, 1))
     return finish(spark.read.parquet(path))
