@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.functions.columns import decimal_to_micros, load_ts, micros_to_double, safe_ratio
+from adlake.functions.columns import load_ts, micros_to_double, safe_ratio
 from adlake.operators.core import branch_by_account
 from adlake.operators.dedup import latest_by
 from adlake.session import Window

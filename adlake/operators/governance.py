@@ -7,7 +7,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.functions.columns import blank_key, is_blank, sum0
+from adlake.functions.columns import is_blank, sum0
 from adlake.operators.core import rule_order
 from adlake.operators.joins import bounded_broadcast, keyword_rank
 

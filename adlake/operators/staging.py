@@ -11,9 +11,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.functions.columns import (blank_key, decimal_to_micros, email_hash, is_blank,
-                                      latest_value, load_ts, money_text_to_micros, phone_hash,
-                                      strip_account_prefix)
+from adlake.functions.columns import (decimal_to_micros, email_hash, latest_value, load_ts,
+                                      money_text_to_micros, phone_hash, strip_account_prefix)
 from adlake.operators.dedup import latest_by
 from adlake.operators.joins import bounded_broadcast
 from adlake.session import Window

@@ -393,9 +393,6 @@ def q_dq_unknown_geo(spark, sf):
 # ------------------------------------------------------------------ governance, usage
 from adlake.operators import governance as GV, usage as US  # noqa: E402
 
-USAGE_W = None
-
-
 def _usage_window():
     from adlake.session import Window as Win
     return Win.of("2024-01-05", "2024-01-20")

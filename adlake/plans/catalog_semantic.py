@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from adlake.operators import marts
 from adlake.plans import semantic as SQ
-from adlake.plans.catalog import Ctx, ctx, finish, query
+from adlake.plans.catalog import ctx, finish, query
 from adlake.sources import fixtures as fx
 from adlake.sources.sheets import channel_key_of
 

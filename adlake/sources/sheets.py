@@ -8,7 +8,6 @@ joins on (date, channel) after picking the last row per key.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 # Sheet channel codes (lower-cased, trimmed) and their channel keys.
