@@ -80,12 +80,17 @@ def extract_creative_texts(df: DataFrame, json_col: str, keep: Sequence[str]) ->
     return out.select(*keep, (F.col("__pos") + 1).alias("text_pos"), "__t.*")
 
 
-def norm_meta_creative(insights: DataFrame, max_ads: int, ingestion_id: str, now, extract_ts,
+def norm_meta_creative(insights: DataFrame, max_ads: int | None, ingestion_id: str, now, extract_ts,
                        order_col: str = "ingest_seq") -> DataFrame:
     """One creative row per ad (first ``max_ads`` ads per account, the fetch cap);
-    text fields blanked by policy, ids default to ``''``, assets as JSON."""
-    rk = F.row_number().over(W.partitionBy("account_id").orderBy(order_col))
-    d = insights.filter(F.coalesce(F.col("ad_id"), F.lit("")) != "").withColumn("__rk", rk).filter(F.col("__rk") <= max_ads)
+    text fields blanked by policy, ids default to ``''``, assets as JSON.
+
+    The cap is a per-account top-k (Spark limits it map-side, so a large
+    account never sorts whole in one task); ``None`` keeps every ad."""
+    d = insights.filter(F.coalesce(F.col("ad_id"), F.lit("")) != "")
+    if max_ads is not None:
+        rk = F.row_number().over(W.partitionBy("account_id").orderBy(order_col))
+        d = d.withColumn("__rk", rk).filter(F.col("__rk") <= max_ads)
     cr = F.from_json(F.col("creative_json"), CREATIVE_JSON)
     blank = F.lit("")
     return d.select(

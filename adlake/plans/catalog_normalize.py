@@ -66,7 +66,7 @@ from adlake.operators import creative as CR  # noqa: E402
 
 def _meta_creatives(spark, sf):
     p = fx.creative_payloads(spark, sf).withColumn("ingest_seq", F.col("doc_id"))
-    return CR.norm_meta_creative(p, 1_000_000_000, RUN, NOW, NOW)
+    return CR.norm_meta_creative(p, None, RUN, NOW, NOW)
 
 
 @query("extract_creative_assets")
