@@ -18,12 +18,10 @@ SHINGLE_WORDS = 5
 #: Ids in one bucket of the neighbour search; it bounds what a window partition can hold.
 BUCKET_IDS = 1000
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
 
 def words(text: Column) -> Column:
-    """Words between ASCII white space, A-Z lower-cased."""
-    return F.filter(F.split(F.translate(text, _UPPER, _LOWER), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    """Lower-cased words between ASCII white space."""
+    return F.array_remove(F.split(F.lower(text), r"[\x20\x09-\x0D]+"), "")
 
 
 def sketch(words_col: str, k: int = K, shingle_words: int = SHINGLE_WORDS) -> Column:

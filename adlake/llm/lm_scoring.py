@@ -4,12 +4,15 @@ Counts of n-grams of orders 1 to ``order`` over the whole corpus are tables part
 their key; documents are exploded into n-grams, joined to the tables, and summed.
 
 Words become 32-bit hashed ids, so an n-gram's key is made of the ids of its words and a table
-row knows its context and its suffix. N-grams of order 2 and more with fewer than ``min_count``
+row knows its context and its suffix. Tables have one row a key, so they are the built side of
+hash joins and spread evenly over the partitions; the exploded side is not sorted. N-grams of order 2 and more with fewer than ``min_count``
 occurrences are pruned from the tables; a position scores by the longest n-gram found, each
 step down multiplying by ``alpha``:
 
     S(c | a b) = count(a b c) / count(a b), or alpha * S(c | b), down to count(c) / tokens.
 
+Context that is missing at the start of a text counts as backed off.
+
 An n-gram can only be found if its suffix is, so the log score of a position is the unigram's
 plus, for each longer n-gram found, the difference it makes. That difference is a property of the
 table row, so each order is one explode, one join, and one sum per document: no per-position
@@ -19,29 +22,21 @@ adaptive skew handling.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+import zlib
+from collections.abc import Iterator
 
-from adlake.llm.common import materialize
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+from adlake.llm.common import materialize, slices, texts
 
 
-def word_ids(text: Column) -> Column:
+def word_ids(text: str) -> np.ndarray:
     """32-bit ids of the words between ASCII white space, A-Z lower-cased."""
-    parts = F.split(F.translate(F.coalesce(text, F.lit("")), _UPPER, _LOWER), r"[\x20\x09-\x0D]+")
-    return F.transform(F.filter(parts, lambda w: w != ""), lambda w: F.hash(w))
-
-
-def _grams(ids: str, n: int) -> Column:
-    """All n-grams of an array of ids, as structs g0..; a pair is packed into one long."""
-    if n == 1:
-        return F.expr(f"transform({ids}, x -> struct(x as g0))")
-    if n == 2:
-        gram = f"struct(shiftleft(cast({ids}[i] as bigint), 32) | (cast({ids}[i + 1] as bigint) & 4294967295L) as g0)"
-    else:
-        gram = "struct(" + ", ".join(f"{ids}[i + {j}] as g{j}" for j in range(n)) + ")"
-    return F.expr(f"transform(if(size({ids}) >= {n}, sequence(0, size({ids}) - {n}), cast(array() as array<int>)), i -> {gram})")
+    words = text.encode("utf-8", "replace").lower().split()
+    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words)).view(np.int32)
 
 
 def _keys(n: int) -> list[str]:
@@ -60,9 +55,36 @@ def _key_of(parts: list[str]) -> list[str]:
     return parts
 
 
-def exploded(docs: DataFrame, n: int) -> DataFrame:
-    """(doc, g0..): every n-gram occurrence; ``docs`` has (doc, text)."""
-    return docs.select("doc", word_ids(F.col("text")).alias("ids")).select("doc", F.explode(_grams("ids", n)).alias("g")).select("doc", "g.*")
+def exploded(docs: DataFrame, n: int, by_doc: bool) -> DataFrame:
+    """N-grams of ``docs`` (doc, text) as rows (doc, g0.., n), or (g0.., n) without ``by_doc``; n: occurrences.
+
+    Repeated n-grams are combined within a slice of texts for orders 1 and 2, within a document
+    for order 1 with ``by_doc``; otherwise each occurrence is a row.
+    """
+    keys = _keys(n)
+    kind = "long" if n == 2 else "int"
+    fields = ([f"doc {docs.schema['doc'].dataType.simpleString()}"] if by_doc else []) + [f"{k} {kind}" for k in keys] + ["n long"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            ids = [word_ids(t) for t in texts(part, "text")]
+            size = np.array([max(0, len(x) - n + 1) for x in ids])
+            doc = np.repeat(np.arange(len(ids)), size)
+            columns = [np.concatenate([x[j:j + k] for x, k in zip(ids, size)]) for j in range(n)]
+            count = np.ones(len(doc), dtype=np.int64)
+            if n == 2:
+                columns = [columns[0].astype(np.int64) << 32 | columns[1].astype(np.int64) & 0xFFFFFFFF]
+            if n == 1 and by_doc:
+                both, count = np.unique(doc.astype(np.int64) << 32 | columns[0].astype(np.int64) & 0xFFFFFFFF, return_counts=True)
+                doc, columns = both >> 32, [(both & 0xFFFFFFFF).astype(np.uint32).view(np.int32)]
+            elif n <= 2 and not by_doc:
+                columns[0], count = np.unique(columns[0], return_counts=True)
+            out = [pa.array(c) for c in (*columns, count.astype(np.int64))]
+            if by_doc:
+                out.insert(0, part.column("doc").take(pa.array(doc, pa.int64())))
+            yield pa.RecordBatch.from_arrays(out, [f.split()[0] for f in fields])
+
+    return docs.select("doc", "text").mapInArrow(run, ", ".join(fields))
 
 
 def count_tables(docs: DataFrame, order: int = 2, min_count: int = 2, alpha: float = 0.4) -> tuple[list[DataFrame], int]:
@@ -72,13 +94,13 @@ def count_tables(docs: DataFrame, order: int = 2, min_count: int = 2, alpha: flo
     n-gram; v: what the n-gram adds to the score its suffix would give.
     """
     tables: list[DataFrame] = []
-    uni = materialize(exploded(docs, 1).groupBy("g0").agg(F.count("*").alias("c")), "lm-uni")
+    uni = materialize(exploded(docs, 1, False).groupBy("g0").agg(F.sum("n").alias("c")), "lm-uni")
     total = uni.agg(F.sum("c")).first()[0] or 0
     penalty = F.log(F.lit(float(alpha)))
     score = F.log(F.col("c") / F.lit(float(max(total, 1)))) + (order - 1) * penalty
     tables.append(uni.withColumn("s", score).withColumn("v", F.col("s")))
     for n in range(2, order + 1):
-        counts = materialize(exploded(docs, n).groupBy(*_keys(n)).agg(F.count("*").alias("c")).where(F.col("c") >= min_count), f"lm-{n}")
+        counts = materialize(exploded(docs, n, False).groupBy(*_keys(n)).agg(F.sum("n").alias("c")).where(F.col("c") >= min_count), f"lm-{n}")
         lower, parts = tables[-1], _parts(n)
         context = [F.expr(x).alias(f"x{j}") for j, x in enumerate(_key_of(parts[:-1]))]
         suffix = [F.expr(x).alias(f"y{j}") for j, x in enumerate(_key_of(parts[1:]))]
@@ -86,7 +108,7 @@ def count_tables(docs: DataFrame, order: int = 2, min_count: int = 2, alpha: flo
         own = _keys(n - 1)
         by_context = lower.select(*[F.col(k).alias(f"x{j}") for j, k in enumerate(own)], F.col("c").alias("cc"))
         by_suffix = lower.select(*[F.col(k).alias(f"y{j}") for j, k in enumerate(own)], F.col("s").alias("ss"))
-        joined = rows.join(by_context, [f"x{j}" for j in range(len(own))]).join(by_suffix, [f"y{j}" for j in range(len(own))])
+        joined = rows.join(by_context.hint("shuffle_hash"), [f"x{j}" for j in range(len(own))]).join(by_suffix.hint("shuffle_hash"), [f"y{j}" for j in range(len(own))])
         full = joined.withColumn("s", F.log(F.col("c") / F.col("cc")) + (order - n) * penalty)
         tables.append(materialize(full.select(*_keys(n), "c", "s", (F.col("s") - F.col("ss")).alias("v")), f"lm-table-{n}"))
     return tables, total
@@ -105,13 +127,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     tables, _ = count_tables(rows, order, min_count, alpha)
     sums = []
     for n, table in enumerate(tables, start=1):
-        found = exploded(rows, n).join(table.select(*_keys(n), "v"), _keys(n))
-        sums.append(materialize(
-            found.groupBy("doc").agg(F.sum("v").alias("v"), F.lit(n == 1).cast("long").alias("u"), F.count("*").alias("n")), f"lm-sum-{n}"))
+        found = exploded(rows, n, True).join(table.select(*_keys(n), "v").hint("shuffle_hash"), _keys(n))
+        words = F.sum("n") if n == 1 else F.sum(F.lit(0).cast("long"))  # every word is a unigram of the table
+        sums.append(materialize(found.groupBy("doc").agg(F.sum(F.col("v") * F.col("n")).alias("v"), words.alias("n")), f"lm-sum-{n}"))
     parts = sums[0]
     for more in sums[1:]:
         parts = parts.unionByName(more)
-    whole = parts.groupBy("doc").agg(F.sum("v").alias("v"), F.sum(F.col("u") * F.col("n")).alias("n"))
+    whole = parts.groupBy("doc").agg(F.sum("v").alias("v"), F.sum("n").alias("n"))
     out = rows.select("doc").alias("d").join(whole.alias("w"), F.col("d.doc").eqNullSafe(F.col("w.doc")), "left")
     n, v = F.coalesce("w.n", F.lit(0)).cast("long"), F.round(F.coalesce("w.v", F.lit(0.0)), 6)
     return out.select(
