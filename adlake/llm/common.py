@@ -58,7 +58,14 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     atexit.register(_remove, spark, path)
     with shuffles_freed(spark):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._scratch = path
+    return back
+
+
+def discard(table: DataFrame) -> None:
+    """Remove a table of ``materialize`` that nothing reads any more."""
+    _remove(table.sparkSession, table._scratch)
 
 
 def among(df: DataFrame, ids: list, id_col: str = "doc_id") -> DataFrame:

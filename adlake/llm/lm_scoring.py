@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import materialize, slices, texts
+from adlake.llm.common import discard, materialize, slices, texts
 
 
 def word_ids(text: str) -> np.ndarray:
@@ -56,14 +56,14 @@ def _key_of(parts: list[str]) -> list[str]:
 
 
 def exploded(docs: DataFrame, n: int, by_doc: bool) -> DataFrame:
-    """N-grams of ``docs`` (doc, text) as rows (doc, g0.., n), or (g0.., n) without ``by_doc``; n: occurrences.
+    """N-grams of ``docs`` (doc, text) as rows (doc, g0..), or (g0.., n) without ``by_doc``; n: occurrences.
 
-    Repeated n-grams are combined within a slice of texts for orders 1 and 2, within a document
-    for order 1 with ``by_doc``; otherwise each occurrence is a row.
+    Repeated n-grams are combined within a slice of texts for orders 1 and 2; with ``by_doc``
+    words are combined within a document (and have n), longer n-grams are a row an occurrence.
     """
     keys = _keys(n)
     kind = "long" if n == 2 else "int"
-    fields = ([f"doc {docs.schema['doc'].dataType.simpleString()}"] if by_doc else []) + [f"{k} {kind}" for k in keys] + ["n long"]
+    fields = ([f"doc {docs.schema['doc'].dataType.simpleString()}"] if by_doc else []) + [f"{k} {kind}" for k in keys] + (["n int"] if n == 1 or not by_doc else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
@@ -71,7 +71,7 @@ def exploded(docs: DataFrame, n: int, by_doc: bool) -> DataFrame:
             size = np.array([max(0, len(x) - n + 1) for x in ids])
             doc = np.repeat(np.arange(len(ids)), size)
             columns = [np.concatenate([x[j:j + k] for x, k in zip(ids, size)]) for j in range(n)]
-            count = np.ones(len(doc), dtype=np.int64)
+            count = np.ones(len(doc), dtype=np.int32)
             if n == 2:
                 columns = [columns[0].astype(np.int64) << 32 | columns[1].astype(np.int64) & 0xFFFFFFFF]
             if n == 1 and by_doc:
@@ -79,7 +79,9 @@ def exploded(docs: DataFrame, n: int, by_doc: bool) -> DataFrame:
                 doc, columns = both >> 32, [(both & 0xFFFFFFFF).astype(np.uint32).view(np.int32)]
             elif n <= 2 and not by_doc:
                 columns[0], count = np.unique(columns[0], return_counts=True)
-            out = [pa.array(c) for c in (*columns, count.astype(np.int64))]
+            out = [pa.array(c) for c in columns]
+            if n == 1 or not by_doc:
+                out.append(pa.array(count.astype(np.int32)))
             if by_doc:
                 out.insert(0, part.column("doc").take(pa.array(doc, pa.int64())))
             yield pa.RecordBatch.from_arrays(out, [f.split()[0] for f in fields])
@@ -88,7 +90,7 @@ def exploded(docs: DataFrame, n: int, by_doc: bool) -> DataFrame:
 
 
 def count_tables(docs: DataFrame, order: int = 2, min_count: int = 2, alpha: float = 0.4) -> tuple[list[DataFrame], int]:
-    """Per order the table (g0.., c, s, v) and the number of tokens.
+    """Per order the table (g0.., c, s, v), for the last one (g0.., v), and the number of tokens.
 
     c: occurrences in the whole corpus; s: log score of a position whose longest find is this
     n-gram; v: what the n-gram adds to the score its suffix would give.
@@ -98,7 +100,9 @@ def count_tables(docs: DataFrame, order: int = 2, min_count: int = 2, alpha: flo
     total = uni.agg(F.sum("c")).first()[0] or 0
     penalty = F.log(F.lit(float(alpha)))
     score = F.log(F.col("c") / F.lit(float(max(total, 1)))) + (order - 1) * penalty
-    tables.append(uni.withColumn("s", score).withColumn("v", F.col("s")))
+    first = uni.withColumn("s", score).withColumn("v", F.col("s"))
+    first._scratch = uni._scratch
+    tables.append(first)
     for n in range(2, order + 1):
         counts = materialize(exploded(docs, n, False).groupBy(*_keys(n)).agg(F.sum("n").alias("c")).where(F.col("c") >= min_count), f"lm-{n}")
         lower, parts = tables[-1], _parts(n)
@@ -110,7 +114,9 @@ def count_tables(docs: DataFrame, order: int = 2, min_count: int = 2, alpha: flo
         by_suffix = lower.select(*[F.col(k).alias(f"y{j}") for j, k in enumerate(own)], F.col("s").alias("ss"))
         joined = rows.join(by_context.hint("shuffle_hash"), [f"x{j}" for j in range(len(own))]).join(by_suffix.hint("shuffle_hash"), [f"y{j}" for j in range(len(own))])
         full = joined.withColumn("s", F.log(F.col("c") / F.col("cc")) + (order - n) * penalty)
-        tables.append(materialize(full.select(*_keys(n), "c", "s", (F.col("s") - F.col("ss")).alias("v")), f"lm-table-{n}"))
+        more = ["c", "s"] if n < order else []  # the next order needs them
+        tables.append(materialize(full.select(*_keys(n), *more, (F.col("s") - F.col("ss")).alias("v")), f"lm-table-{n}"))
+        discard(counts)
     return tables, total
 
 
@@ -128,8 +134,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     sums = []
     for n, table in enumerate(tables, start=1):
         found = exploded(rows, n, True).join(table.select(*_keys(n), "v").hint("shuffle_hash"), _keys(n))
-        words = F.sum("n") if n == 1 else F.sum(F.lit(0).cast("long"))  # every word is a unigram of the table
-        sums.append(materialize(found.groupBy("doc").agg(F.sum(F.col("v") * F.col("n")).alias("v"), words.alias("n")), f"lm-sum-{n}"))
+        if n == 1:  # every word is a unigram of the table
+            summed = found.groupBy("doc").agg(F.sum(F.col("v") * F.col("n")).alias("v"), F.sum("n").alias("n"))
+        else:
+            summed = found.groupBy("doc").agg(F.sum("v").alias("v"), F.lit(0).cast("long").alias("n"))
+        sums.append(materialize(summed, f"lm-sum-{n}"))
+        discard(table)
     parts = sums[0]
     for more in sums[1:]:
         parts = parts.unionByName(more)
