@@ -80,7 +80,7 @@ def strip_account_prefix(c: str | Column) -> Column:
 
 def decimal_to_micros(c: str | Column) -> Column:
     """Money as exact integer micros (LongType): fast, codegen-friendly sums."""
-    d = col(c).cast("decimal(38,9)")
+    d = col(c).try_cast("decimal(38,9)")  # blank text is no amount
     return F.round(d * F.lit(MICROS), 0).cast("bigint")
 
 

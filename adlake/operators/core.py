@@ -18,25 +18,6 @@ UNKNOWN = "UNKNOWN"
 MAP_PRIORITY = ("effective_start_date", "updated_at")
 
 
-_SEGMENTS: dict = {}
-
-
-def _small_cached(key, build, source: DataFrame) -> tuple[DataFrame, bool]:
-    """Segments of a size-checked small map, built once per plan and cached.
-
-    A map within the broadcast bound yields at most twice as many segments;
-    caching them keeps the many lookups of one session from re-deriving them.
-    Larger maps are returned uncached (and joined by shuffle).
-    """
-    small = fits(source)
-    if not small:
-        return build(), False
-    k = (key, source.semanticHash())
-    if k not in _SEGMENTS:
-        _SEGMENTS[k] = build().cache()
-    return _SEGMENTS[k], True
-
-
 def account_segments(account_map: DataFrame) -> DataFrame:
     """Non-overlapping (channel, account) -> branch segments; newest start wins."""
     return resolve_effective_segments(account_map, ["channel_key", "account_id_norm"], ["branch_id"],
@@ -51,8 +32,8 @@ def branch_by_account(facts: DataFrame, account_map: DataFrame, date_col: str,
     the newest update. The overlap is resolved on the (small) map side, so
     every fact row matches at most one segment and needs no deduplication.
     """
-    seg, small = _small_cached("account", lambda: account_segments(account_map), account_map)
-    seg = seg.withColumnRenamed("branch_id", "__seg_branch")
+    small = fits(account_map)
+    seg = account_segments(account_map).withColumnRenamed("branch_id", "__seg_branch")
     out = effective_lookup(facts, seg, [F.col("channel_key"), F.col("account_id_norm")],
                            ["channel_key", "account_id_norm"], date_col, ["__seg_branch"], small=small)
     return out.withColumn(out_col, F.coalesce(F.col("__seg_branch"), F.lit(UNKNOWN))).drop("__seg_branch")
@@ -60,13 +41,13 @@ def branch_by_account(facts: DataFrame, account_map: DataFrame, date_col: str,
 
 def rule_order():
     """Best keyword rule first: priority asc, longer keyword, newest, rule id."""
-    return [F.col("priority").asc(), F.length("match_keyword").desc(), F.col("updated_at").desc(),
+    return [F.col("priority").asc_nulls_first(), F.length("match_keyword").desc(), F.col("updated_at").desc(),
             F.col("rule_id").desc()]
 
 
 def rule_priority():
-    """The same ranking as a struct whose maximum is the best rule."""
-    return [(-F.col("priority")).alias("p0"), F.length("match_keyword").alias("p1"),
+    """The same ranking (NULL priority first) as a struct whose maximum is the best rule."""
+    return [F.col("priority").isNull().alias("pn"), (-F.col("priority")).alias("p0"), F.length("match_keyword").alias("p1"),
             F.col("updated_at").alias("p2"), F.col("rule_id").alias("p3")]
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from adlake.functions.columns import is_blank, sum0
 from adlake.operators.core import rule_order
-from adlake.operators.joins import bounded_broadcast, keyword_rank
+from adlake.operators.joins import bounded_broadcast, keyword_rank, keyword_rule_match
 
 
 def _any_active_rule(rules: DataFrame) -> DataFrame:
@@ -81,10 +81,11 @@ def unmatched_adgroups(naver_raw: DataFrame, rules: DataFrame, today: _dt.date,
     r = latest_by(r, ["account_id", "campaign_id", "ad_group_id", "stat_date"], ["__lt"], tiebreak,
                   blank_keys=["ad_group_id"])
     kr = keyword_rank(rules, F.col("ad_group_name"), rule_order())
-    if kr is None:
-        raise NotImplementedError("rule list too large for the CASE path")
-    rank, _ = kr
-    r = r.filter(rank.isNull())
+    if kr is not None:
+        r = r.filter(kr[0].isNull())
+    else:  # too many rules for one CASE: match the distinct names and drop those that have a rule
+        named = keyword_rule_match(r, "ad_group_name", rules).select(F.col("ad_group_name").alias("__nm"))
+        r = r.join(named, F.col("ad_group_name") == F.col("__nm"), "left_anti")
     spend = F.trim(F.col("spend")).try_cast("decimal(38,9)") * F.lit(1_000_000)
     return (r.groupBy("stat_date", "account_id", "campaign_id", "campaign_name", "ad_group_id", "ad_group_name")
              .agg(sum0("impressions").alias("impressions"), sum0("clicks").alias("clicks"),

@@ -16,20 +16,15 @@ BROADCAST_MAX_ROWS = 200_000
 OPEN_END = _dt.date(9999, 12, 31)
 
 
-_FITS: dict = {}
-
-
 def fits(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True when ``df`` provably has ``<= max_rows`` rows.
+    """True when ``df`` has ``<= max_rows`` rows now.
 
     Reads at most ``max_rows + 1`` rows (a limited job that stops early for a
     big input). Use it on small base tables (governance maps, rule lists,
-    dimensions), not on derived fact-sized plans. Memoized per plan.
+    dimensions), not on derived fact-sized plans. The answer holds for the plan
+    being built and is not kept: tables change within a session.
     """
-    key = (df.semanticHash(), max_rows)
-    if key not in _FITS:
-        _FITS[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _FITS[key]
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
@@ -127,10 +122,7 @@ def keyword_rank(rules: DataFrame, text: Column, order: Sequence[Column], value_
     if not fits(r, RULE_CASE_MAX):
         return None
     ranked_df = r.orderBy(*order).select(F.lower(F.col(keyword_col)).alias("kw"), F.col(value_col).alias("v"))
-    key = ("rules", ranked_df.semanticHash())
-    if key not in _FITS:
-        _FITS[key] = ranked_df.collect()   # bounded: at most RULE_CASE_MAX rows (checked above)
-    ranked = _FITS[key]
+    ranked = ranked_df.collect()   # bounded: at most RULE_CASE_MAX rows (checked above)
     if not ranked:
         return F.lit(None).cast("int"), (lambda rank: F.lit(None).cast("string"))
     lt = F.lower(F.coalesce(text, F.lit("")))
@@ -149,11 +141,11 @@ def keyword_rule_match(names: DataFrame, name_col: str, rules: DataFrame,
                        active_col: str | None = "is_active") -> DataFrame:
     """Best rule per distinct name: ``lower(name)`` contains ``lower(keyword)``.
 
-    Ranking is priority ascending, longer keyword first, newest update, then
-    rule id. The join runs on *distinct* names only; with a small rule list it
-    is a broadcast nested-loop join, otherwise each name is expanded into its
-    substrings of the lengths that rules actually use and joined on equality
-    (a shuffle join, no pairwise comparison).
+    Ranking is priority ascending (NULL first), longer keyword first, newest
+    update, then rule id. The join runs on *distinct* names only: each name is
+    expanded into its substrings of the lengths that rules actually use (their
+    number is bounded by the longest keyword) and joined on equality, so no
+    name is compared with every rule.
     Returns ``name_col`` plus ``value_cols`` (names with no rule are absent).
     """
     r = rules
@@ -161,21 +153,18 @@ def keyword_rule_match(names: DataFrame, name_col: str, rules: DataFrame,
         r = r.filter(F.col(active_col) == F.lit(True))
     r = r.filter(F.col(keyword_col).isNotNull() & (F.col(keyword_col) != ""))
     if priority is None:
-        priority = [(-F.col("priority")).alias("p0"), F.length(keyword_col).alias("p1"),
+        priority = [F.col("priority").isNull().alias("pn"), (-F.col("priority")).alias("p0"), F.length(keyword_col).alias("p1"),
                     F.col("updated_at").alias("p2"), (F.col("rule_id")).alias("p3")]
     r = r.select(F.lower(F.col(keyword_col)).alias("__kw"), *value_cols,
                  F.struct(*priority).alias("__p"))
     n = names.select(F.col(name_col)).distinct().withColumn("__lname", F.lower(F.coalesce(F.col(name_col), F.lit(""))))
-    n_rules = r.limit(BROADCAST_MAX_ROWS // 20 + 1).count()
-    if n_rules <= BROADCAST_MAX_ROWS // 20:
-        cand = n.join(F.broadcast(r), F.instr(F.col("__lname"), F.col("__kw")) > 0, "inner")
-    else:
-        lens = r.select(F.length("__kw").alias("__len")).distinct()
-        subs = (n.join(lens, F.length("__lname") >= F.col("__len"), "inner")
-                 .withColumn("__pos", F.explode(F.sequence(F.lit(1), F.length("__lname") - F.col("__len") + 1)))
-                 .withColumn("__kw", F.substring(F.col("__lname"), F.col("__pos"), F.col("__len")))
-                 .select(name_col, "__kw").distinct())
-        cand = subs.join(r, "__kw", "inner")
+    lens = sorted(x["len"] for x in r.select(F.length("__kw").alias("len")).distinct().collect())
+    subs = (n.withColumn("__len", F.explode(F.array(*[F.lit(x) for x in lens]) if lens else F.expr("cast(array() as array<int>)")))
+             .filter(F.length("__lname") >= F.col("__len"))
+             .withColumn("__pos", F.explode(F.sequence(F.lit(1), F.length("__lname") - F.col("__len") + 1)))
+             .withColumn("__kw", F.substring(F.col("__lname"), F.col("__pos"), F.col("__len")))
+             .select(name_col, "__kw").distinct())
+    cand = subs.join(r, "__kw", "inner")
     packed = F.struct(*[F.col(v) for v in value_cols])
     best = cand.groupBy(name_col).agg(F.max_by(packed, F.col("__p")).alias("__v"))
     return best.select(name_col, *[F.col(f"__v.{v}").alias(v) for v in value_cols])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adlake.session import Window
@@ -43,13 +44,16 @@ def workload_class():
              .otherwise(F.coalesce(t, F.lit("UNKNOWN"))))
 
 
-def usage_by_workload(job_log: DataFrame, w: Window, n: int = 10) -> DataFrame:
-    """Top ``n`` workload classes by billed bytes (a top-k report)."""
+def usage_by_workload(job_log: DataFrame, w: Window, n: int | None = None) -> DataFrame:
+    """Workload classes by region and billed bytes; with ``n`` the top ``n`` of each region."""
     j = _root_jobs(job_log, w).withColumn("workload", workload_class())
-    return (j.groupBy("region", "workload")
-             .agg(F.count(F.lit(1)).alias("root_jobs"), F.sum("total_bytes_billed").alias("billed_bytes"))
-             .withColumn("billed_gib", _gib(F.col("billed_bytes")))
-             .orderBy(F.col("billed_bytes").desc(), "region", "workload").limit(n))
+    out = (j.groupBy("region", "workload")
+            .agg(F.count(F.lit(1)).alias("root_jobs"), F.sum("total_bytes_billed").alias("billed_bytes"))
+            .withColumn("billed_gib", _gib(F.col("billed_bytes"))))
+    if n is None:
+        return out
+    rank = F.row_number().over(W.partitionBy("region").orderBy(F.col("billed_bytes").desc(), "workload"))
+    return out.withColumn("__rk", rank).filter(F.col("__rk") <= n).drop("__rk")
 
 
 def usage_free_tier(job_log: DataFrame, w: Window) -> DataFrame:

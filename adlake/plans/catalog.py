@@ -227,11 +227,11 @@ def q_dim_ad_current(spark, sf):
 
 @query("dim_channel")
 def q_dim_channel(spark, sf):
-    # The channel dimension is literal; keep the channels that occur in the
-    # landed ad performance so the query reads the tables.
+    # The whole literal dimension, with a flag for channels that have landed ad performance.
     c = ctx(spark, sf)
-    seen = c.stg_perf().select("channel_key").distinct()
-    return finish(core.dim_channel(spark, NOW).join(seen, "channel_key", "left_semi"))
+    seen = c.stg_perf().select("channel_key").distinct().withColumn("has_performance", F.lit(True))
+    return finish(core.dim_channel(spark, NOW).join(seen, "channel_key", "left")
+                  .withColumn("has_performance", F.coalesce("has_performance", F.lit(False))))
 
 
 @query("mart_ad_daily")

@@ -16,7 +16,7 @@ W = Window.of("1995-01-01", "2001-12-31")
 @query("norm_meta_perf")
 def q_norm_meta_perf(spark, sf):
     out = N.norm_meta_perf(fx.meta_insight_payloads(spark, sf), RUN, NOW, NOW)
-    return finish(out, drop=("ingestion_id", "source_payload", "actions_json", "action_values_json",
+    return finish(out, drop=("ingestion_id", "source_payload", "spend", "actions_json", "action_values_json",
                              "conversions_json", "conversion_values_json"))
 
 
@@ -39,7 +39,7 @@ def q_norm_google_conv_dim(spark, sf):
 
 @query("norm_tiktok_perf")
 def q_norm_tiktok_perf(spark, sf):
-    return finish(N.norm_tiktok_perf(fx.tiktok_payloads(spark, sf), RUN, NOW, NOW), drop=("ingestion_id",))
+    return finish(N.norm_tiktok_perf(fx.tiktok_payloads(spark, sf), RUN, NOW, NOW), drop=("ingestion_id", "source_payload"))
 
 
 @query("norm_naver_perf")
@@ -84,7 +84,7 @@ def q_extract_creative_texts(spark, sf):
 @query("norm_meta_creative")
 def q_norm_meta_creative(spark, sf):
     p = fx.creative_payloads(spark, sf).withColumn("ingest_seq", F.col("doc_id"))
-    return finish(CR.norm_meta_creative(p, 8, RUN, NOW, NOW), drop=("ingestion_id", "assets_json"))
+    return finish(CR.norm_meta_creative(p, None, RUN, NOW, NOW), drop=("ingestion_id", "assets_json"))
 
 
 def _channel_creatives(spark, sf):
@@ -130,7 +130,7 @@ def q_stream_ingest_meta_perf(spark, sf):
                   blank_keys=["ad_group_id", "ad_group_name"], name=uuid.uuid4().hex, max_files_per_trigger=12,
                   partition_col="stat_month")
     return finish(read_table(spark, f"{base}/table").drop("stat_month"),
-                  drop=("ingestion_id", "source_payload", "actions_json", "action_values_json",
+                  drop=("ingestion_id", "source_payload", "spend", "actions_json", "action_values_json",
                         "conversions_json", "conversion_values_json"))
 
 

@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from adlake.functions.columns import micros_to_double, safe_ratio
-from adlake.operators.joins import bounded_broadcast
 
 MAX_ROWS = 10_000
 GRANULARITIES = ("day", "week", "month", "year")
@@ -237,11 +236,26 @@ def _filter_expr(f: dict, dim_col: Callable[[str], Column], measure_names: set)
     return e, post
 
 
+def _filter_members(filters: list) -> list[str]:
+    """Members named anywhere in a filter tree."""
+    out = []
+    for f in filters:
+        if isinstance(f, dict):
+            out += [f["member"]] if f.get("member") else []
+            out += _filter_members((f.get("and") or []) + (f.get("or") or []))
+    return out
+
+
 def semantic_query(q: dict, sources: dict[str, DataFrame], today: _dt.date,
                    registry: dict[str, Cube] | None = None) -> DataFrame:
     """Compile a metrics query into one DataFrame plan."""
     reg = registry or default_registry()
     validate(q, reg)
+    for part in ("segments", "timezone"):
+        if q.get(part):
+            raise ValueError(f"{part} are not supported")
+    if q.get("limit") and int(q["limit"]) > MAX_ROWS:
+        raise ValueError(f"limit {q['limit']} is above {MAX_ROWS}")
     measures = list(q.get("measures") or [])
     dims = list(q.get("dimensions") or [])
     tds = [t for t in q.get("timeDimensions") or [] if isinstance(t, dict)]
@@ -256,15 +270,16 @@ def semantic_query(q: dict, sources: dict[str, DataFrame], today: _dt.date,
             lo, hi = date_range(t["dateRange"], today)
             df = df.filter(reg[cube].dimensions[name]().between(F.lit(lo), F.lit(hi)))
     # Many-to-one joins for dimension members of joined cubes.
-    joined = {_split(m)[0] for m in members + [f.get("member", "") for f in q.get("filters") or []
-                                               if isinstance(f, dict)] if "." in m} - {base_name}
+    filtered = _filter_members(q.get("filters") or [])
+    joined = {_split(m)[0] for m in members + filtered if "." in m} - {base_name}
+    hidden = [m for m in dict.fromkeys(filtered) if m not in measures and "." in m and _split(m)[0] == base_name
+              and _split(m)[1] in base.measures]  # filtered on, not asked for
     for cube_name in sorted(joined):
         if cube_name not in base.joins:
             raise ValueError(f"{base_name} has no join to {cube_name}")
         local, remote = base.joins[cube_name]
         rc = reg[cube_name]
         rdf = sources[cube_name].select(*[rc.dimensions[d]().alias(f"__{cube_name}__{d}") for d in rc.dimensions])
-        rdf = bounded_broadcast(rdf)
         df = df.join(rdf, base.dimensions[local]() == F.col(f"__{cube_name}__{remote}"), "left")
 
     def dim_col(member: str) -> Column:
@@ -273,16 +288,16 @@ def semantic_query(q: dict, sources: dict[str, DataFrame], today: _dt.date,
 
     pre, post = [], []
     for f in q.get("filters") or []:
-        e, is_post = _filter_expr(f, dim_col, set(measures))
+        e, is_post = _filter_expr(f, dim_col, set(measures) | set(hidden))
         (post if is_post else pre).append(e)
     for e in pre:
         df = df.filter(e)
     keys = [dim_col(m).alias(_out(m)) for m in dims]
     keys += [granularity(dim_col(t["dimension"]), t["granularity"]).alias(_out(t["dimension"], t["granularity"]))
              for t in tds if t.get("granularity")]
-    if measures:
+    if measures or hidden:
         aggs = []
-        for m in measures:
+        for m in measures + hidden:
             cube, name = _split(m)
             ms = reg[cube].measures[name]
             e = (F.sum(ms.expr()) if ms.kind == "sum" else F.avg(ms.expr()) if ms.kind == "avg" else ms.expr())
@@ -292,19 +307,20 @@ def semantic_query(q: dict, sources: dict[str, DataFrame], today: _dt.date,
         out = df.select(*keys).distinct()
     for e in post:
         out = out.filter(e)
+    out = out.drop(*[_out(m) for m in hidden])
     order = q.get("order")
     if order:
         items = order.items() if isinstance(order, dict) else order
         cols = []
         for member, direction in items:
-            c = F.col(_out(member))
+            grain = next((t["granularity"] for t in tds if t["dimension"] == member and t.get("granularity")), None)
+            c = F.col(_out(member, grain) if grain and member not in dims else _out(member))
             cols.append(c.desc_nulls_last() if str(direction).lower() == "desc" else c.asc_nulls_last())
         out = out.orderBy(*cols)
-    limit = min(int(q.get("limit") or MAX_ROWS), MAX_ROWS)
     offset = int(q.get("offset") or 0)
     if offset:
         out = out.offset(offset)
-    return out.limit(limit)
+    return out.limit(int(q["limit"])) if q.get("limit") else out
 
 
 def numeric_columns(df: DataFrame, cols) -> DataFrame:

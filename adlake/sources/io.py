@@ -82,29 +82,45 @@ def ensure_schema(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 def layout(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Cluster rows for writing: one shuffle by date, sorted by cluster keys.
+    """Cluster rows for writing: one range shuffle by date and cluster keys, then sorted.
 
-    Rows of a date land together and are sorted, so Parquet row-group min/max
+    Rows of a date land in neighbouring tasks (a large date in several) and are sorted, so Parquet row-group min/max
     statistics prune well on the cluster columns.
     """
-    out = df.repartition(F.col(spec.date_col))
+    out = df.repartitionByRange(F.col(spec.date_col), *spec.cluster_by)
     if spec.cluster_by:
         out = out.sortWithinPartitions(spec.date_col, *spec.cluster_by)
     return out
 
 
-def _stage(spark: SparkSession, df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Materialise ``df`` under the checkpoint folder; cuts lineage to the target."""
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table's folder is there; errors of the file system are raised, not taken for no."""
+    p, fs = _fs(spark, path)
+    return fs.exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of staged files."""
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _stage(spark: SparkSession, df: DataFrame, spec: TableSpec) -> tuple[DataFrame, str]:
+    """Materialise ``df`` under the checkpoint folder; cuts lineage to the target. Returns the copy and its folder."""
     path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{spec.name}-{uuid.uuid4().hex}"
-    layout(df, spec).write.mode("overwrite").partitionBy(spec.date_col).parquet(path)
-    return spark.read.parquet(path)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
 
 
 def _existing_dates(spark: SparkSession, path: str, spec: TableSpec, window: Window) -> list[_dt.date]:
-    try:
-        cur = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - table not created yet
+    if not path_exists(spark, path):
         return []
+    cur = spark.read.parquet(path)
     return [r[0] for r in cur.filter(window.contains(spec.date_col)).select(spec.date_col).distinct().collect()]
 
 
@@ -117,7 +133,7 @@ def write_window(spark: SparkSession, new_state: DataFrame, path: str, spec: Tab
     explicitly, since dynamic overwrite only replaces partitions it writes.
     """
     part = new_state.filter(window.contains(spec.date_col))
-    staged = _stage(spark, part, spec)
+    staged, stage = _stage(spark, part, spec)
     before = set(_existing_dates(spark, path, spec, window))
     (layout(staged, spec).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(spec.date_col).parquet(path))
@@ -129,6 +145,7 @@ def write_window(spark: SparkSession, new_state: DataFrame, path: str, spec: Tab
         for d in gone:
             p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{spec.date_col}={d.isoformat()}")
             p.getFileSystem(conf).delete(p, True)
+    remove_path(spark, stage)
 
 
 def truncate_load_guarded(spark: SparkSession, rows: DataFrame, path: str) -> None:
@@ -147,10 +164,9 @@ def append_table(rows: DataFrame, path: str, spec: TableSpec) -> None:
 
 def purge_partitions_before(spark: SparkSession, path: str, spec: TableSpec, cutoff: _dt.date) -> int:
     """Retention by partition: delete date partitions older than ``cutoff``."""
-    try:
-        cur = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001
+    if not path_exists(spark, path):
         return 0
+    cur = spark.read.parquet(path)
     old = [r[0] for r in cur.filter(F.col(spec.date_col) < F.lit(cutoff)).select(spec.date_col).distinct().collect()]
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -65,7 +65,7 @@ def norm_meta_perf(payload: DataFrame, ingestion_id: str, now, extract_ts) -> Da
         F.to_date(i("date_start")).alias("stat_date"), i("attribution_setting").alias("attribution_setting"),
         int_via_float(i("impressions")).alias("impressions"), int_via_float(i("clicks")).alias("clicks"),
         int_via_float(i("inline_link_clicks")).alias("link_clicks"),
-        money_text_to_micros(i("spend")).alias("spend_micros"),
+        i("spend").alias("spend"), money_text_to_micros(i("spend")).alias("spend_micros"),
         F.to_json(i("actions")).alias("actions_json"), F.to_json(i("action_values")).alias("action_values_json"),
         F.to_json(i("conversions")).alias("conversions_json"),
         F.to_json(i("conversion_values")).alias("conversion_values_json"),
@@ -143,14 +143,15 @@ def norm_google_conv_dim(payload: DataFrame, ingestion_id: str, now, extract_ts,
 
 def norm_tiktok_perf(payload: DataFrame, ingestion_id: str, now, extract_ts) -> DataFrame:
     """TikTok report rows: date = first 10 chars; numbers via float; missing -> 0."""
-    p = payload.select("advertiser_id", F.from_json("payload", TIKTOK_ROW).alias("r"))
+    p = payload.select("advertiser_id", F.from_json("payload", TIKTOK_ROW).alias("r"), "payload")
     m, d = F.col("r.metrics"), F.col("r.dimensions")
     num = lambda c: F.coalesce(int_via_float(F.coalesce(c, F.lit("0"))), F.lit(0))
     return p.select(
         *_ctx_cols(ingestion_id, now, extract_ts), "advertiser_id",
         F.coalesce(m.campaign_id, F.lit("")).alias("campaign_id"), F.coalesce(m.adgroup_id, F.lit("")).alias("ad_group_id"),
         F.coalesce(d.ad_id, F.lit("")).alias("ad_id"),
-        F.substring(F.coalesce(d.stat_time_day, F.lit("")), 1, 10).alias("stat_date"),
+        F.try_to_date(F.substring(F.coalesce(d.stat_time_day, F.lit("")), 1, 10), "yyyy-MM-dd").alias("stat_date"),
+        F.col("payload").alias("source_payload"),
         num(m.impressions).alias("impressions"), num(m.clicks).alias("clicks"),
         F.coalesce(m.spend, F.lit("")).alias("spend"), num(m.conversion).alias("conversions"),
         F.coalesce(F.coalesce(m.value, F.lit("0")).try_cast("double"), F.lit(0.0)).alias("conversions_value"))

@@ -45,8 +45,9 @@ def parse_currency(text: Column) -> Column:
 
 
 def _read_rows(spark: SparkSession, path: str, ncols: int) -> DataFrame:
-    """Read CSV cells as text (no header handling, no inference) with a line index."""
-    raw = spark.read.text(path).withColumn("__idx", F.monotonically_increasing_id())
+    """Read CSV cells as text (no header handling, no inference) with their order: file name, then place."""
+    raw = spark.read.text(path).withColumn("__idx", F.struct(
+        F.col("_metadata.file_name"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("line")))
     # CSV cells: split on commas outside double quotes, then unquote.
     cells = F.transform(F.split(F.col("value"), r',(?=(?:[^"]*"[^"]*")*[^"]*$)', -1),
                         lambda x: F.regexp_replace(F.regexp_replace(x, r'^"|"$', ""), '""', '"'))

@@ -19,6 +19,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from adlake.operators.dedup import latest_by
 from adlake.session import checkpoint_dir
+from adlake.sources.io import path_exists, remove_path
 
 PAYLOAD_SCHEMA = StructType([StructField("payload", StringType(), True)])
 
@@ -34,7 +35,7 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, keys: Se
     """
     current = _read(spark, table_path)
     if current is None:
-        (latest_by(batch, keys, order, blank_keys=blank_keys).repartition(partition_col)
+        (latest_by(batch, keys, order, blank_keys=blank_keys).repartitionByRange(partition_col, *keys)
          .write.mode("overwrite").partitionBy(partition_col).parquet(table_path))
         return
     cols = current.columns
@@ -42,16 +43,15 @@ def merge_batch(spark: SparkSession, batch: DataFrame, table_path: str, keys: Se
     merged = latest_by(current.join(touched, partition_col, "left_semi").unionByName(batch.select(*cols)),
                        keys, order, blank_keys=blank_keys)
     stage = f"{checkpoint_dir(spark).rstrip('/')}/merge-stage-{uuid.uuid4().hex}"
-    merged.repartition(partition_col).write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    merged.write.mode("overwrite").parquet(stage)
+    staged = spark.read.schema(merged.schema).parquet(stage)
+    (staged.repartitionByRange(partition_col, *keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(table_path))
+    remove_path(spark, stage)
 
 
 def _read(spark: SparkSession, table_path: str) -> DataFrame | None:
-    try:
-        return spark.read.parquet(table_path)
-    except Exception:  # noqa: BLE001 - table not created yet
-        return None
+    return spark.read.parquet(table_path) if path_exists(spark, table_path) else None
 
 
 def read_table(spark: SparkSession, table_path: str) -> DataFrame:
