@@ -205,22 +205,43 @@ class PrefixCounter:
         """table[k]: tokens of the first k code points of the normalised text."""
         out, base = [np.zeros(1, dtype=np.int32)], 0
         for piece, spans in self._pieces(text):
-            table = np.full(len(piece), base, dtype=np.int32)
-            if spans is None:
-                table[:-1] += [self._plain(piece[:k]) for k in range(1, len(piece))]
-                table[-1] += 1
-            for a, b in spans or ():
-                table[a:b] = base + np.array(self._counts(piece[a:b]))
-                base = int(table[b - 1])
-                table[b:] = base
+            table, done = np.empty(len(piece), dtype=np.int32), 0
             if spans is None:
+                table[:-1] = [base + self._plain(piece[:k]) for k in range(1, len(piece))]
                 base += 1
+                table[-1] = base
+                done = len(piece)
+            for a, b in spans or ():
+                table[done:a] = base
+                table[a:b] = self._counts(piece[a:b])
+                table[a:b] += base
+                base, done = int(table[b - 1]), b
+            table[done:] = base
             out.append(table)
         return np.concatenate(out)
 
     def fit(self, text: str, budget: int) -> int:
-        """Longest prefix of the normalised text, in code points, that has at most ``budget`` tokens."""
-        return int(np.flatnonzero(self.prefix_counts(text) <= budget)[-1])
+        """Longest prefix of the normalised text, in code points, that has at most ``budget`` tokens.
+
+        Counts at word ends only grow, so the answer lies before the end of the first word that
+        passes the budget; only that word's inner prefixes are looked up.
+        """
+        base = start = 0
+        for piece, spans in self._pieces(text):
+            if spans is None:
+                spans = [(0, len(piece))]
+                counts = lambda w: [self._plain(w[:k]) for k in range(1, len(w))] + [1]
+            else:
+                counts = self._counts
+            for a, b in spans:
+                word = piece[a:b]
+                n = 1 if word in self.special else self.word(word)
+                if base + n > budget:
+                    inner = [k + 1 for k, c in enumerate(counts(word)) if base + c <= budget]
+                    return start + a + max(inner, default=0)
+                base += n
+            start += len(piece)
+        return start
 
 
 @lru_cache(maxsize=4)
