@@ -122,10 +122,11 @@ def fit(posteriors: DataFrame, mix: Mix, targets: dict[str, float], total: float
     g = np.array(first[1:], dtype=float).reshape(n, n)
     inverse = np.linalg.pinv(g + 1e-9 * np.trace(g) / n * np.eye(n))
     for k in range(max_steps + 1):
-        now = np.array(posteriors.agg(*[F.sum(mix.rate("_p") * F.col("_t") * p[d]) for d in range(n)]).first(), dtype=float)
-        mix.residual = float(np.abs(now - goal).max() / goal.sum())
-        if mix.residual < tolerance or k == max_steps:
-            break
+        rated = posteriors.withColumn("_r", mix.rate("_p") * F.col("_t"))
+        now = np.array(rated.agg(*[F.sum(F.col("_r") * p[d]) for d in range(n)]).first(), dtype=float)
+        before, mix.residual = mix.residual, float(np.abs(now - goal).max() / goal.sum())
+        if mix.residual < tolerance or k == max_steps or k > 1 and mix.residual > 0.99 * before:
+            break  # met, or as close as least squares comes
         mix.steps.append([float(v) for v in inverse @ (now - goal)])
     return mix
 
