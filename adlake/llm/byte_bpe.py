@@ -23,10 +23,10 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from adlake.llm.common import SLICE_BYTES, slices, splitter, texts
+from adlake.llm.common import slices, splitter, texts
 
 #: Entries of a worker's memo of merged pre-tokens; a full memo starts anew.
-MEMO_ENTRIES = 800_000
+MEMO_ENTRIES = 400_000
 
 
 class PerfectHash:
@@ -158,6 +158,11 @@ class ByteBpe:
         np.cumsum([len(p) // 4 for p in parts], out=offsets[1:])
         return np.frombuffer(b"".join(parts), dtype="<i4"), offsets
 
+    def encode_lists(self, batch: list[str]) -> pa.ListArray:
+        """The ids of each text as a list."""
+        ids, offsets = self.encode(batch)
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+
     def decode(self, lists: pa.ListArray) -> pa.Array:
         """Bytes of each list of ids; null for a null list."""
         at = lists.offsets.to_numpy()
@@ -203,14 +208,27 @@ def encode(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocabulary, pattern)
-        for part in slices(batches, "text", 2 * SLICE_BYTES):
-            ids, offsets = codec.encode(texts(part, "text"))
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
-            yield pa.RecordBatch.from_arrays([part.column(0), lists], ["doc_id", "token_ids"])
+        for part in slices(batches, "text"):
+            yield pa.RecordBatch.from_arrays([part.column(0), codec.encode_lists(texts(part, "text"))], ["doc_id", "token_ids"])
 
     return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, token_ids array<int>")
 
 
+def round_trip(docs: DataFrame, rank_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``encode``, then ``decode`` of its ids, in one pass: (doc_id, token_ids, decoded), so a task needs one codec, not two."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    vocabulary = _shipped(docs.sparkSession, rank_path, pattern)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(vocabulary, pattern)
+        for part in slices(batches, "text"):
+            lists = codec.encode_lists(texts(part, "text"))
+            yield pa.RecordBatch.from_arrays([part.column(0), lists, codec.decode(lists)], ["doc_id", "token_ids", "decoded"])
+
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(
+        run, f"doc_id {kind}, token_ids array<int>, decoded binary")
+
+
 def decode(encoded: DataFrame, rank_path: str, pattern: str, ids_col: str = "token_ids") -> DataFrame:
     """Add ``decoded`` (binary): the bytes of each row's token ids; a null list gives null.
 

@@ -22,8 +22,7 @@ def domain_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def bpe_digests(docs: DataFrame, keep_ids: bool = False) -> DataFrame:
     """Encode and decode whole texts; (doc_id, n_tokens, ids_sha256, decoded_sha256)."""
-    path, pattern = public_tokenizers.path(RANKS), public_tokenizers.PATTERN
-    coded = byte_bpe.decode(byte_bpe.encode(docs, path, pattern), path, pattern)
+    coded = byte_bpe.round_trip(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     return coded.select(
         "doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),

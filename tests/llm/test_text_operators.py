@@ -31,6 +31,9 @@ def test_bpe_equals_the_library(documents, odd, empty):
             want[(i, len(ids), hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(t.encode()).hexdigest(), tuple(ids))] += n
         assert Counter((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256, tuple(r.token_ids)) for r in got) == want
     assert queries.bpe_digests(empty).collect() == []
+    one, two = byte_bpe.round_trip(odd, RANKS, P.PATTERN), byte_bpe.decode(byte_bpe.encode(odd, RANKS, P.PATTERN), RANKS, P.PATTERN)
+    row = lambda r: (str(r.doc_id), r.token_ids, r.decoded)
+    assert one.columns == two.columns and sorted(map(row, one.collect())) == sorted(map(row, two.collect()))
 
 
 def test_perfect_hash_is_minimal_and_null_lists_decode_to_null():
