@@ -25,6 +25,8 @@ from adlake.llm.common import among, materialize, slices, texts
 from adlake.llm.linear import multinomial, softmax
 
 DIMENSION = 1024
+#: Feature rows that a task holds at a time, however short the texts are.
+ROWS_AT_ONCE = 256
 
 #: Target shares of tokens by domain used by the registered query and the pipeline.
 TARGETS = {"en": 0.55, "fr": 0.18, "de": 0.15, "es": 0.12}
@@ -52,8 +54,14 @@ class Mix:
     def posteriors(self, own: list[str]) -> np.ndarray:
         if self.weights is None:
             return np.full((len(own), len(self.domains)), 1 / max(len(self.domains), 1))
-        x = np.array([np.append(text_features(t), 1.0) for t in own]).reshape(-1, DIMENSION + 1)
-        return softmax(x @ self.weights)
+        out = np.empty((len(own), len(self.domains)))
+        x = np.ones((min(len(own), ROWS_AT_ONCE), DIMENSION + 1))
+        for at in range(0, len(own), ROWS_AT_ONCE):
+            some = own[at:at + ROWS_AT_ONCE]
+            for row, t in zip(x, some):
+                row[:-1] = text_features(t)
+            out[at:at + len(some)] = softmax(x[:len(some)] @ self.weights)
+        return out
 
     def rate(self, p: str = "p") -> Column:
         """Rate of a row with posteriors in the array column ``p``."""
