@@ -141,28 +141,25 @@ def fact_marketing(stg: DataFrame, account_map: DataFrame, rules: DataFrame, dim
 def fact_campaign_daily(fact: DataFrame, dim_campaign: DataFrame | None, w: Window) -> DataFrame:
     """Campaign-day rollup of the ad fact; NULL metrics count as 0.
 
-    The campaign name is the current dimension row's (the dimension holds at
-    most one current row per campaign).
+    The campaign name is the current dimension row's, the latest with a name where
+    several are current. Ad rows are summed first (hash sums with map-side
+    combining), so the join sees one row per campaign and day.
     """
-    f = fact.filter(w.contains("stat_date"))
-    if dim_campaign is not None:
-        c = dim_campaign.filter(F.col("is_current") == F.lit(True)) if "is_current" in dim_campaign.columns \
-            else dim_campaign
-        c = c.filter(F.col("effective_from_date") <= F.lit(w.end))
-        c = c.select(F.col("channel_key").alias("__cc"), F.col("account_id_norm").alias("__ca"),
-                     F.col("campaign_id").alias("__ci"), F.col("campaign_name").alias("__cn"),
-                     F.col("load_ts").alias("__cl"))
-        f = f.join(c, (f.channel_key == c.__cc) & (f.account_id_norm == c.__ca) & (f.campaign_id == c.__ci), "left")
-        name = last_non_null("__cn", "__cl")
-    else:
-        name = F.lit(None).cast("string")
-    return (f.groupBy(F.col("stat_date").alias("report_date"), "branch_id", "channel_key", "account_id_norm",
-                      "campaign_id", "currency_code")
-             .agg(name.alias("campaign_name"), sum0("impressions").alias("impressions"),
-                  sum0("clicks").alias("clicks"), sum0("spend_micros").alias("spend_micros"),
+    keys = ["channel_key", "account_id_norm", "campaign_id"]
+    daily = (fact.filter(w.contains("stat_date"))
+             .groupBy(F.col("stat_date").alias("report_date"), "branch_id", *keys, "currency_code")
+             .agg(sum0("impressions").alias("impressions"), sum0("clicks").alias("clicks"),
+                  sum0("spend_micros").alias("spend_micros"),
                   sum0("conversion_count").cast("double").alias("conversions"),
                   sum0("conversion_value_micros").alias("conversion_value_micros"),
                   F.max("load_ts").alias("load_ts")))
+    if dim_campaign is None:
+        return daily.withColumn("campaign_name", F.lit(None).cast("string"))
+    c = dim_campaign.filter(F.col("is_current") == F.lit(True)) if "is_current" in dim_campaign.columns \
+        else dim_campaign
+    names = (c.filter(F.col("effective_from_date") <= F.lit(w.end))
+             .groupBy(*keys).agg(last_non_null("campaign_name", "load_ts").alias("campaign_name")))
+    return daily.join(names, keys, "left")
 
 
 def fact_action(stg_action: DataFrame, account_map: DataFrame, w: Window) -> DataFrame:
@@ -175,12 +172,8 @@ def fact_action(stg_action: DataFrame, account_map: DataFrame, w: Window) -> Dat
 
 def map_segments(m: DataFrame, keys: Sequence[str], value_cols=("branch_id",)) -> DataFrame:
     """Segments of a governance map, carrying the priority columns."""
-    def build():
-        mm = (m.withColumn("__es", F.col("effective_start_date")).withColumn("__up", F.col("updated_at")))
-        return resolve_effective_segments(mm, list(keys), list(value_cols) + ["__es", "__up"],
-                                          priority=MAP_PRIORITY)
-    seg, _ = _small_cached(("map", tuple(keys), tuple(value_cols)), build, m)
-    return seg
+    m = m.withColumn("__es", F.col("effective_start_date")).withColumn("__up", F.col("updated_at"))
+    return resolve_effective_segments(m, list(keys), list(value_cols) + ["__es", "__up"], priority=MAP_PRIORITY)
 
 
 def fact_web_event(stg_web: DataFrame, property_map: DataFrame, w: Window) -> DataFrame:
