@@ -6,7 +6,7 @@ Each function takes and returns ``Column`` objects built from
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 __all__ = [
@@ -14,7 +14,7 @@ __all__ = [
     "phone_hash", "customer_key", "ANONYMOUS_CUSTOMER_KEY", "strip_account_prefix",
     "money_text_to_micros", "decimal_to_micros", "micros_to_double", "int_via_float",
     "first_nonblank", "load_ts", "content_hash", "normalize_action_type",
-    "sum0", "last_non_null", "latest_value",
+    "sum0", "last_non_null", "latest_value", "parsed",
 ]
 
 MICROS = 1_000_000
@@ -149,3 +149,12 @@ def latest_value(value: str | Column, *order: str | Column) -> Column:
     """``ARRAY_AGG(v ORDER BY order DESC LIMIT 1)[OFFSET(0)]`` (NULL kept)."""
     key = F.struct(*[col(o) for o in order]) if len(order) > 1 else col(order[0])
     return F.max_by(col(value), key)
+
+
+def parsed(df: DataFrame, json_col: str, schema: str, name: str) -> DataFrame:
+    """``df`` with ``json_col`` parsed into the struct column ``name``, once a row.
+
+    The struct passes through a one-element generator, so later projections read its fields
+    instead of copying the parse into every expression. Unreadable text gives a null struct.
+    """
+    return df.select("*", F.explode(F.array(F.from_json(json_col, schema))).alias(name))

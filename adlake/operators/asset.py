@@ -18,6 +18,8 @@ SEARCH_FIELDS = ["HEADLINE", "DESCRIPTION"]
 
 ASSET_KEYS = ["channel_key", "account_id_norm", "campaign_id", "ad_group_id", "ad_id", "asset_group_id",
               "asset_id", "field_type", "stat_date", "source_view"]
+ASSET_COLUMNS = [*ASSET_KEYS, "campaign_channel_type", "performance_label", "impressions", "clicks", "spend_micros",
+                 "conversion_count", "conversion_value_micros", "is_pmax", "load_ts"]
 ASSET_BLANK = ["campaign_id", "ad_group_id", "ad_id", "asset_group_id", "source_view"]
 
 
@@ -43,7 +45,7 @@ def stg_asset(google_asset: DataFrame, w: Window, now=None, tiebreak: Sequence[s
                  "asset_id", "field_type", "performance_label", "stat_date", "impressions", "clicks",
                  F.col("cost_micros").alias("spend_micros"), F.col("conversions").alias("conversion_count"),
                  F.col("conversions_value_micros").alias("conversion_value_micros"), "is_pmax", "source_view",
-                 load_ts(now).alias("load_ts"), *tiebreak)
+                 load_ts(now).alias("load_ts"), *[c for c in tiebreak if c not in ASSET_COLUMNS])
          .filter(asset_keep()))
     return latest_by(s, ASSET_KEYS, ["load_ts"], tiebreak, blank_keys=ASSET_BLANK)
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from adlake.functions.columns import content_hash, load_ts
+from adlake.functions.columns import content_hash, load_ts, parsed
 from adlake.operators.dedup import latest_by
 from adlake.session import Window
 from adlake.sources.fixtures import CREATIVE_JSON
@@ -51,8 +51,8 @@ def creative_asset_array(cr: Column) -> Column:
 
 def extract_creative_assets(df: DataFrame, json_col: str, keep: Sequence[str]) -> DataFrame:
     """One row per asset with its 1-based position."""
-    cr = F.from_json(F.col(json_col), CREATIVE_JSON)
-    out = df.select(*keep, F.posexplode(creative_asset_array(cr)).alias("__pos", "__a"))
+    p = parsed(df.select(*keep, json_col), json_col, CREATIVE_JSON, "__cr")
+    out = p.select(*keep, F.posexplode(creative_asset_array(F.col("__cr"))).alias("__pos", "__a"))
     return out.select(*keep, (F.col("__pos") + 1).alias("asset_pos"), "__a.*")
 
 
@@ -75,8 +75,8 @@ def creative_text_array(cr: Column) -> Column:
 
 
 def extract_creative_texts(df: DataFrame, json_col: str, keep: Sequence[str]) -> DataFrame:
-    cr = F.from_json(F.col(json_col), CREATIVE_JSON)
-    out = df.select(*keep, F.posexplode(creative_text_array(cr)).alias("__pos", "__t"))
+    p = parsed(df.select(*keep, json_col), json_col, CREATIVE_JSON, "__cr")
+    out = p.select(*keep, F.posexplode(creative_text_array(F.col("__cr"))).alias("__pos", "__t"))
     return out.select(*keep, (F.col("__pos") + 1).alias("text_pos"), "__t.*")
 
 
@@ -91,7 +91,7 @@ def norm_meta_creative(insights: DataFrame, max_ads: int | None, ingestion_id: s
     if max_ads is not None:
         rk = F.row_number().over(W.partitionBy("account_id").orderBy(order_col))
         d = d.withColumn("__rk", rk).filter(F.col("__rk") <= max_ads)
-    cr = F.from_json(F.col("creative_json"), CREATIVE_JSON)
+    d, cr = parsed(d, "creative_json", CREATIVE_JSON, "__cr"), F.col("__cr")
     blank = F.lit("")
     return d.select(
         F.lit(ingestion_id).alias("ingestion_id"), F.lit(now).cast("timestamp").alias("ingestion_ts"),
@@ -101,7 +101,7 @@ def norm_meta_creative(insights: DataFrame, max_ads: int | None, ingestion_id: s
         blank.alias("headline"), blank.alias("description_text"), blank.alias("call_to_action"),
         _e(cr.thumbnail_url).alias("thumbnail_url"), blank.alias("permanent_image_url"),
         _e(cr.image_hash).alias("image_hash"), blank.alias("video_id"),
-        F.to_json(creative_asset_array(cr)).alias("assets_json"))
+        F.to_json(creative_asset_array(cr)).alias("assets_json"), F.col("creative_json").alias("source_payload"))
 
 
 ASSET_JSON = "array<struct<asset_type:string,asset_url:string,url:string,thumbnail_url:string,image_hash:string,video_id:string,width:string,height:string,duration:string>>"

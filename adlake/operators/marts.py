@@ -155,34 +155,25 @@ def mart_survey_daily(fact_survey: DataFrame, dim_branch: DataFrame) -> DataFram
 
 def mart_blended_daily(mart_campaign: DataFrame, mart_business: DataFrame, mart_web: DataFrame,
                        mart_survey: DataFrame, dim_branch: DataFrame) -> DataFrame:
-    """Spine of (date, branch, currency) keys from all four marts, left-joined.
+    """Measures of all four marts by (date, branch, currency).
 
-    Web and survey keys take the branch's currency; they join on date and
-    branch only, so their values repeat per currency (as the reference).
+    Ad, business and key rows are padded to one shape and grouped once. Web and survey keys take
+    the branch's currency; their values join on date and branch only, so they repeat per currency
+    (as the reference).
     """
-    ad = (mart_campaign.groupBy("report_date", "branch_id", "currency_code")
-          .agg(F.sum("impressions").alias("ad_impressions"), F.sum("clicks").alias("ad_clicks"),
-               F.sum("spend_native_micros").alias("ad_spend_native_micros"),
-               F.sum("conversions").alias("ad_conversions"),
-               F.sum("conversion_value_native_micros").alias("ad_conversion_value_native_micros")))
-    biz = (mart_business.groupBy("report_date", "branch_id", "currency_code")
-           .agg(F.sum("orders").alias("orders"), F.sum("net_revenue_native_micros").alias("net_revenue_native_micros")))
+    keys = ["report_date", "branch_id", "currency_code"]
+    ad = {"impressions": "ad_impressions", "clicks": "ad_clicks", "spend_native_micros": "ad_spend_native_micros",
+          "conversions": "ad_conversions", "conversion_value_native_micros": "ad_conversion_value_native_micros"}
+    biz = ["orders", "net_revenue_native_micros"]
     web = mart_web.select("report_date", "branch_id", "users", "sessions", "event_count")
     sv = mart_survey.select("report_date", "branch_id", "response_count", "avg_answer_score")
-    cur = bounded_broadcast(dim_branch.select(F.col("branch_id").alias("__cb"), F.col("currency").alias("__cur")))
-    wk = web.join(cur, web.branch_id == cur.__cb, "left").select("report_date", "branch_id",
-                                                                  F.col("__cur").alias("currency_code"))
-    sk = sv.join(cur, sv.branch_id == cur.__cb, "left").select("report_date", "branch_id",
-                                                                F.col("__cur").alias("currency_code"))
-    keys = (ad.select("report_date", "branch_id", "currency_code")
-            .unionByName(biz.select("report_date", "branch_id", "currency_code"))
-            .unionByName(wk).unionByName(sk).distinct())
-    k = _with_branch(keys, dim_branch)
-    out = (k.join(ad, ["report_date", "branch_id", "currency_code"], "left")
-            .join(biz, ["report_date", "branch_id", "currency_code"], "left")
-            .join(web, ["report_date", "branch_id"], "left")
-            .join(sv, ["report_date", "branch_id"], "left"))
-    return out.select("report_date", "branch_id", "branch_name", "currency_code", "ad_impressions", "ad_clicks",
-                      "ad_spend_native_micros", "ad_conversions", "ad_conversion_value_native_micros", "orders",
-                      "net_revenue_native_micros", "users", "sessions", "event_count", "response_count",
-                      "avg_answer_score")
+    cur = bounded_broadcast(dim_branch.select("branch_id", F.col("currency").alias("currency_code")))
+    seen = web.select("report_date", "branch_id").unionByName(sv.select("report_date", "branch_id")).join(cur, "branch_id", "left")
+    padded = (mart_campaign.select(*keys, *[F.col(c).alias(a) for c, a in ad.items()])
+              .unionByName(mart_business.select(*keys, *biz), allowMissingColumns=True)
+              .unionByName(seen.select(*keys), allowMissingColumns=True))
+    summed = padded.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in [*ad.values(), *biz]])
+    out = (_with_branch(summed, dim_branch).join(web, ["report_date", "branch_id"], "left")
+           .join(sv, ["report_date", "branch_id"], "left"))
+    return out.select("report_date", "branch_id", "branch_name", "currency_code", *ad.values(), *biz,
+                      "users", "sessions", "event_count", "response_count", "avg_answer_score")

@@ -26,7 +26,7 @@ def scd2(staged: DataFrame, history: DataFrame | None, keys: Sequence[str], chan
     """New full history for ``keys`` from ``staged`` snapshots and ``history``.
 
     ``staged`` is first collapsed to one row per key and validity start (the
-    latest load wins), so a key's history holds at most one row per start:
+    latest load wins, ties go to the greater change value, then attributes), so a key's history holds at most one row per start:
     the per-key window is bounded by the number of distinct starts, not by
     the number of loads. Existing versions keep their start; a staged row
     with the same start replaces it. ``change`` compares with NULL as ``''``.
@@ -34,7 +34,7 @@ def scd2(staged: DataFrame, history: DataFrame | None, keys: Sequence[str], chan
     chg = F.col(change) if isinstance(change, str) else change
     cols = list(keys) + [valid_from] + list(attrs)
     s = staged.withColumn("__chg", blank_key(chg)).withColumn("__src", F.lit(1))
-    s = latest_by(s, list(keys) + [valid_from], list(order))
+    s = latest_by(s, list(keys) + [valid_from], [*order, "__chg"], [a for a in attrs if a not in order])
     s = s.select(*cols, "__chg", "__src")
     if history is not None:
         h = history.withColumn("__chg", blank_key(chg)).withColumn("__src", F.lit(0)).select(*cols, "__chg", "__src")
@@ -59,13 +59,13 @@ def scd2_creative(snapshot: DataFrame, history: DataFrame | None = None) -> Data
     One row per creative and day first (the reference keys omit the ad, so
     several ads of one creative would otherwise compete).
     """
-    attrs = ["creative_name", "content_hash", "load_ts"]
+    attrs = ["creative_name", "body_text", "headline", "description_text", "call_to_action", "thumbnail_url", "content_hash", "load_ts"]
     return scd2(snapshot, history, ["channel_key", "account_id_norm", "creative_id"], "content_hash",
                 "valid_from_ts", "valid_to_ts", attrs)
 
 
 def scd2_creative_asset(assets: DataFrame, history: DataFrame | None = None) -> DataFrame:
-    attrs = ["asset_url", "video_id", "image_hash", "thumbnail_url", "load_ts"]
+    attrs = ["asset_url", "video_id", "image_hash", "thumbnail_url", "width", "height", "duration_sec", "load_ts"]
     a = assets.withColumn("asset_fingerprint", asset_fingerprint())
     h = None if history is None else history.withColumn("asset_fingerprint", asset_fingerprint())
     out = scd2(a, h, ["channel_key", "account_id_norm", "creative_id", "asset_type", "asset_seq"],

@@ -36,7 +36,7 @@ def _perf_branch(df: DataFrame, channel: str, account: F.Column, spend_micros: F
         F.col("clicks").cast("bigint").alias("clicks"),
         spend_micros.alias("spend_micros"), conv_count.cast("double").alias("conversion_count"),
         conv_value.alias("conversion_value_micros"), F.lit(table).alias("source_table"),
-        load_ts(now).alias("load_ts"), *extra)
+        load_ts(now).alias("load_ts"), *[c for c in extra if c not in PERF_COLUMNS])
 
 
 def stg_ads_performance(meta: DataFrame, google: DataFrame, tiktok: DataFrame, naver: DataFrame,
@@ -45,7 +45,8 @@ def stg_ads_performance(meta: DataFrame, google: DataFrame, tiktok: DataFrame, n
 
     Meta strips ``act_`` and keeps spend as numeric text; Google spend is
     ``cost_micros``; Naver spend is text (blank -> NULL); Meta and Naver have
-    no conversions. Money is carried as integer micros.
+    no conversions. Money is carried as integer micros. ``tiebreak`` names staged
+    columns or further columns of all four raw tables.
     """
     extra = list(tiebreak)
     null_d = F.lit(None).cast("double")

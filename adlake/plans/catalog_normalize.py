@@ -28,13 +28,14 @@ def q_norm_google_perf(spark, sf):
 
 @query("norm_google_action")
 def q_norm_google_action(spark, sf):
-    return finish(N.norm_google_action(fx.google_action_payloads(spark, sf), RUN, NOW, NOW, W), drop=("ingestion_id",))
+    return finish(N.norm_google_action(fx.google_action_payloads(spark, sf), RUN, NOW, NOW, W),
+                  drop=("ingestion_id", "source_payload"))
 
 
 @query("norm_google_conv_dim")
 def q_norm_google_conv_dim(spark, sf):
     return finish(N.norm_google_conv_dim(fx.google_conv_dim_payloads(spark, sf), RUN, NOW, NOW, W),
-                  drop=("ingestion_id",))
+                  drop=("ingestion_id", "source_payload"))
 
 
 @query("norm_tiktok_perf")
@@ -84,7 +85,7 @@ def q_extract_creative_texts(spark, sf):
 @query("norm_meta_creative")
 def q_norm_meta_creative(spark, sf):
     p = fx.creative_payloads(spark, sf).withColumn("ingest_seq", F.col("doc_id"))
-    return finish(CR.norm_meta_creative(p, None, RUN, NOW, NOW), drop=("ingestion_id", "assets_json"))
+    return finish(CR.norm_meta_creative(p, None, RUN, NOW, NOW), drop=("ingestion_id", "assets_json", "source_payload"))
 
 
 def _channel_creatives(spark, sf):
@@ -140,36 +141,88 @@ def q_norm_google_creative(spark, sf):
     out = N.norm_google_creative(fx.google_creative_payloads(spark, sf), W, RUN, NOW, NOW)
     return finish(out.withColumn("final_urls", F.array_join("final_urls", "|"))
                      .withColumn("image_urls", F.array_join("image_urls", "|"))
-                     .withColumn("youtube_video_ids", F.array_join("youtube_video_ids", "|")), drop=("ingestion_id",))
+                     .withColumn("youtube_video_ids", F.array_join("youtube_video_ids", "|")), drop=("ingestion_id", "source_payload"))
 
 
 @query("norm_google_asset")
 def q_norm_google_asset(spark, sf):
     p = fx.google_asset_payloads(spark, sf)
-    return finish(N.norm_google_asset(p["ad"], p["pmax"], W, RUN, NOW, NOW), drop=("ingestion_id",))
+    return finish(N.norm_google_asset(p["ad"], p["pmax"], W, RUN, NOW, NOW), drop=("ingestion_id", "source_payload"))
 
 
 @query("norm_tiktok_creative")
 def q_norm_tiktok_creative(spark, sf):
-    return finish(N.norm_tiktok_creative(fx.tiktok_ad_payloads(spark, sf), W, RUN, NOW, NOW), drop=("ingestion_id",))
+    return finish(N.norm_tiktok_creative(fx.tiktok_ad_payloads(spark, sf), W, RUN, NOW, NOW), drop=("ingestion_id", "source_payload"))
 
 
 @query("norm_naver_creative")
 def q_norm_naver_creative(spark, sf):
     groups = fx.naver_payloads(spark, sf)["adgroups"]
     return finish(N.norm_naver_creative(fx.naver_ad_payloads(spark, sf), groups, W, RUN, NOW, NOW),
-                  drop=("ingestion_id",))
+                  drop=("ingestion_id", "source_payload"))
 
 
 @query("norm_google_asset_ad")
 def q_norm_google_asset_ad(spark, sf):
     p = fx.google_asset_payloads(spark, sf)
     out = N.norm_google_asset(p["ad"], p["pmax"].limit(0), W, RUN, NOW, NOW)
-    return finish(out, drop=("ingestion_id",))
+    return finish(out, drop=("ingestion_id", "source_payload"))
 
 
 @query("norm_google_asset_pmax")
 def q_norm_google_asset_pmax(spark, sf):
     p = fx.google_asset_payloads(spark, sf)
     out = N.norm_google_asset(p["ad"].limit(0), p["pmax"], W, RUN, NOW, NOW)
-    return finish(out, drop=("ingestion_id",))
+    return finish(out, drop=("ingestion_id", "source_payload"))
+
+
+# ------------------------------------------------------------------ payloads through staging
+#: Payloads of one run share their load time; the staged columns themselves break ties.
+STAGED_TIES = ["spend_micros", "clicks", "impressions", "conversion_count", "conversion_value_micros", "ad_group_name"]
+ASSET_TIES = ["performance_label", "impressions", "clicks", "spend_micros", "conversion_count", "conversion_value_micros",
+              "campaign_channel_type", "campaign_id", "ad_group_id", "ad_id", "asset_group_id"]
+
+
+@query("stg_ads_performance_from_payloads")
+def q_stg_ads_performance_from_payloads(spark, sf):
+    """Vendor payloads of all four channels, normalised and staged."""
+    from adlake.operators.staging import stg_ads_performance
+    from adlake.session import ALL_TIME
+    n = fx.naver_payloads(spark, sf)
+    return finish(stg_ads_performance(
+        N.norm_meta_perf(fx.meta_insight_payloads(spark, sf), RUN, NOW, NOW),
+        N.norm_google_perf(fx.google_perf_payloads(spark, sf), RUN, NOW, NOW),
+        N.norm_tiktok_perf(fx.tiktok_payloads(spark, sf), RUN, NOW, NOW),
+        N.norm_naver_perf(n["stats"], n["campaigns"], n["adgroups"], W, RUN, NOW, NOW), ALL_TIME, NOW, STAGED_TIES))
+
+
+@query("stg_asset_from_payloads")
+def q_stg_asset_from_payloads(spark, sf):
+    """Google asset payloads, normalised and staged."""
+    from adlake.operators.asset import stg_asset
+    from adlake.session import ALL_TIME
+    p = fx.google_asset_payloads(spark, sf)
+    return finish(stg_asset(N.norm_google_asset(p["ad"], p["pmax"], W, RUN, NOW, NOW), ALL_TIME, NOW, ASSET_TIES))
+
+
+def _history(df):
+    out = df.withColumns({c.replace("_ts", "_epoch"): F.unix_timestamp(c) for c in ("valid_from_ts", "valid_to_ts")})
+    return finish(out)
+
+
+@query("scd2_creative_from_staging")
+def q_scd2_creative_from_staging(spark, sf):
+    """Creative history of the staged snapshots of all four channels."""
+    from adlake.operators.scd2 import scd2_creative
+    from adlake.session import ALL_TIME
+    g, t, n = _channel_creatives(spark, sf)
+    return _history(scd2_creative(CR.stg_creative_snapshot(_meta_creatives(spark, sf), ALL_TIME, google=g, tiktok=t, naver=n)))
+
+
+@query("scd2_creative_asset_from_staging")
+def q_scd2_creative_asset_from_staging(spark, sf):
+    """Asset history of the staged creative assets."""
+    from adlake.operators.scd2 import scd2_creative_asset
+    from adlake.session import ALL_TIME
+    g, t, _ = _channel_creatives(spark, sf)
+    return _history(scd2_creative_asset(CR.stg_creative_asset(_meta_creatives(spark, sf), ALL_TIME, google=g, tiktok=t)))

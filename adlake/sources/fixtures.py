@@ -643,6 +643,10 @@ def creative_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = view(spark, sf_dir, "fx_creative")
     return (c.withColumn("content_hash", F.sha2(F.concat_ws("|", F.col("creative_name"), F.col("text")), 256))
              .withColumn("valid_from_ts", F.col("valid_date").cast("timestamp"))
+             .withColumns({"body_text": F.col("f_body"), "headline": F.col("link_name"), "description_text": F.col("link_desc"),
+                           "call_to_action": F.col("cta_type"), "width": F.col("n_chars").cast("bigint"),
+                           "height": (F.col("n_chars") % 7).cast("bigint"),
+                           "duration_sec": F.when(F.col("doc_id") % 2 == 1, (F.col("n_chars") % 60).cast("bigint"))})
              .withColumn("load_ts", _ts("load_seq")))
 
 
@@ -774,9 +778,9 @@ def naver_payloads(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     stats = r.select(F.col("account_id_norm").alias("customer_id"), F.to_json(stat).alias("payload"))
     ent = spark.table("fx_naver_entities")
     camps = ent.filter(F.col("kind") == "campaign").select(
-        "customer_id", F.to_json(F.struct(F.col("campaign_id").alias("nccCampaignId"), "name")).alias("payload"))
+        "customer_id", F.lit(1).alias("ingest_seq"), F.to_json(F.struct(F.col("campaign_id").alias("nccCampaignId"), "name")).alias("payload"))
     groups = ent.filter(F.col("kind") == "adgroup").select(
-        "customer_id", F.to_json(F.struct(F.col("ad_group_id").alias("nccAdgroupId"),
+        "customer_id", F.lit(1).alias("ingest_seq"), F.to_json(F.struct(F.col("ad_group_id").alias("nccAdgroupId"),
                                           F.col("campaign_id").alias("nccCampaignId"), "name")).alias("payload"))
     return {"stats": stats, "campaigns": camps, "adgroups": groups}
 

@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from adlake.functions.columns import (first_nonblank, int_via_float, money_text_to_micros,
-                                      normalize_action_type, strip_account_prefix)
+from adlake.functions.columns import (decimal_to_micros, first_nonblank, int_via_float, money_text_to_micros,
+                                      normalize_action_type, parsed, strip_account_prefix)
 from adlake.session import Window
 
 ACTIONS = "array<struct<action_type:string,value:string>>"
@@ -53,7 +53,7 @@ def decimal_half_up(c: Column, scale: int = 6) -> Column:
 
 def norm_meta_perf(payload: DataFrame, ingestion_id: str, now, extract_ts) -> DataFrame:
     """Meta insight rows: adset -> ad group, ints via float, spend kept as numeric."""
-    p = payload.select(F.from_json("payload", META_INSIGHT).alias("i"), "payload")
+    p = parsed(payload.select("payload"), "payload", META_INSIGHT, "i")
     i = lambda n: F.col(f"i.{n}")
     return p.select(
         *_ctx_cols(ingestion_id, now, extract_ts),
@@ -74,7 +74,7 @@ def norm_meta_perf(payload: DataFrame, ingestion_id: str, now, extract_ts) -> Da
 
 def norm_google_perf(payload: DataFrame, ingestion_id: str, now, extract_ts) -> DataFrame:
     """Google ad rows: nested message -> columns; cost stays in micros."""
-    p = payload.select("customer_id", F.from_json("payload", GOOGLE_ROW).alias("r"), "payload")
+    p = parsed(payload.select("customer_id", "payload"), "payload", GOOGLE_ROW, "r")
     m = F.col("r.metrics")
     return p.select(
         *_ctx_cols(ingestion_id, now, extract_ts), "customer_id",
@@ -102,7 +102,7 @@ def norm_google_action(payload: DataFrame, ingestion_id: str, now, extract_ts, w
     """Campaign conversion actions: type = normalised category, else normalised
     name; rows without a type or with a non-positive count are skipped; value to
     6 places HALF_UP."""
-    p = payload.select("customer_id", F.from_json("payload", GOOGLE_ROW).alias("r"))
+    p = parsed(payload.select("customer_id", "payload"), "payload", GOOGLE_ROW, "r")
     seg, m = F.col("r.segments"), F.col("r.metrics")
     cat = seg.conversion_action_category
     name = F.coalesce(seg.conversion_action_name, F.lit(""))
@@ -116,14 +116,15 @@ def norm_google_action(payload: DataFrame, ingestion_id: str, now, extract_ts, w
         res.alias("conversion_action_resource_name"), resource_tail(res).alias("conversion_action_id"),
         F.when(name != "", name).alias("conversion_action_name"), F.when(cat != "", cat).alias("conversion_action_category"),
         atype.alias("action_type_raw"), count.alias("action_count"),
-        decimal_half_up(F.coalesce(m.all_conversions_value, F.lit("0"))).alias("action_value"))
+        decimal_half_up(F.coalesce(m.all_conversions_value, F.lit("0"))).alias("action_value"),
+        F.col("payload").alias("source_payload"))
     return out.filter(F.col("action_type_raw").isNotNull() & (F.col("action_count") > 0))
 
 
 def norm_google_conv_dim(payload: DataFrame, ingestion_id: str, now, extract_ts, w: Window,
                          order_col: str = "ingest_seq") -> DataFrame:
     """Conversion-action dimension: first row per resource name (else id) per account."""
-    p = payload.select("customer_id", order_col, F.from_json("payload", GOOGLE_ROW).alias("r"))
+    p = parsed(payload.select("customer_id", order_col, "payload"), "payload", GOOGLE_ROW, "r")
     ca = F.col("r.conversion_action")
     res, cid = F.coalesce(ca["resource_name"], F.lit("")), F.coalesce(ca["id"], F.lit(""))
     key = F.when(res != "", res).otherwise(cid)
@@ -138,12 +139,13 @@ def norm_google_conv_dim(payload: DataFrame, ingestion_id: str, now, extract_ts,
         ca["category"].alias("conversion_action_category"), ca["type"].alias("conversion_action_type"),
         ca["status"].alias("conversion_action_status"),
         F.coalesce(ca["primary_for_goal"], F.lit(False)).alias("primary_for_goal"),
-        F.coalesce(ca["include_in_conversions_metric"], F.lit(False)).alias("include_in_conversions_metric"))
+        F.coalesce(ca["include_in_conversions_metric"], F.lit(False)).alias("include_in_conversions_metric"),
+        F.col("payload").alias("source_payload"))
 
 
 def norm_tiktok_perf(payload: DataFrame, ingestion_id: str, now, extract_ts) -> DataFrame:
     """TikTok report rows: date = first 10 chars; numbers via float; missing -> 0."""
-    p = payload.select("advertiser_id", F.from_json("payload", TIKTOK_ROW).alias("r"), "payload")
+    p = parsed(payload.select("advertiser_id", "payload"), "payload", TIKTOK_ROW, "r")
     m, d = F.col("r.metrics"), F.col("r.dimensions")
     num = lambda c: F.coalesce(int_via_float(F.coalesce(c, F.lit("0"))), F.lit(0))
     return p.select(
@@ -157,25 +159,35 @@ def norm_tiktok_perf(payload: DataFrame, ingestion_id: str, now, extract_ts) ->
         F.coalesce(F.coalesce(m.value, F.lit("0")).try_cast("double"), F.lit(0.0)).alias("conversions_value"))
 
 
+def _naver_campaigns(campaigns: DataFrame, order_col: str) -> DataFrame:
+    """(__cc, __cid, __cname): the name of each campaign, the last list entry wins."""
+    e = parsed(campaigns.select(F.col("customer_id").alias("__cc"), order_col, "payload"), "payload", NAVER_ENTITY, "e")
+    c = e.select("__cc", order_col, first_nonblank(F.col("e.nccCampaignId"), F.col("e.campaignId"), F.col("e.id")).alias("__cid"),
+                 F.coalesce(first_nonblank(F.col("e.name"), F.col("e.campaignName")), F.lit("")).alias("__cname"))
+    return c.filter(F.col("__cid").isNotNull()).groupBy("__cc", "__cid").agg(F.max_by("__cname", order_col).alias("__cname"))
+
+
+def _naver_adgroups(adgroups: DataFrame, order_col: str) -> DataFrame:
+    """(__ac, __aid, __acid, __aname): campaign and name of each ad group, the last list entry wins."""
+    e = parsed(adgroups.select(F.col("customer_id").alias("__ac"), order_col, "payload"), "payload", NAVER_ENTITY, "e")
+    a = e.select("__ac", order_col, first_nonblank(F.col("e.nccAdgroupId"), F.col("e.adgroupId"), F.col("e.id")).alias("__aid"),
+                 F.coalesce(first_nonblank(F.col("e.nccCampaignId"), F.col("e.campaignId")), F.lit("")).alias("__acid"),
+                 F.coalesce(first_nonblank(F.col("e.name"), F.col("e.adgroupName")), F.lit("")).alias("__aname"))
+    return a.filter(F.col("__aid").isNotNull()).groupBy("__ac", "__aid").agg(
+        F.max_by("__acid", order_col).alias("__acid"), F.max_by("__aname", order_col).alias("__aname"))
+
+
 def norm_naver_perf(stats: DataFrame, campaigns: DataFrame, adgroups: DataFrame, w: Window,
-                    ingestion_id: str, now, extract_ts) -> DataFrame:
+                    ingestion_id: str, now, extract_ts, order_col: str = "ingest_seq") -> DataFrame:
     """Naver stats with alias picks and names looked up from the entity lists.
 
     ``stats``/``campaigns``/``adgroups`` carry ``customer_id`` and a JSON
-    ``payload``. Campaign id comes from the stat, else from its ad group; the
+    ``payload``, the lists also their position (``order_col``). Campaign id comes from the stat, else from its ad group; the
     date defaults to the window end; ad ids are always NULL.
     """
-    s = stats.select("customer_id", F.from_json("payload", NAVER_STAT).alias("s"), "payload")
-    c = campaigns.select(F.col("customer_id").alias("__cc"), F.from_json("payload", NAVER_ENTITY).alias("e"))
-    c = c.select("__cc", first_nonblank(F.col("e.nccCampaignId"), F.col("e.campaignId"), F.col("e.id")).alias("__cid"),
-                 F.coalesce(first_nonblank(F.col("e.name"), F.col("e.campaignName")), F.lit("")).alias("__cname"))
-    c = c.filter(F.col("__cid").isNotNull()).groupBy("__cc", "__cid").agg(F.last("__cname").alias("__cname"))
-    a = adgroups.select(F.col("customer_id").alias("__ac"), F.from_json("payload", NAVER_ENTITY).alias("e"))
-    a = a.select("__ac", first_nonblank(F.col("e.nccAdgroupId"), F.col("e.adgroupId"), F.col("e.id")).alias("__aid"),
-                 F.coalesce(first_nonblank(F.col("e.nccCampaignId"), F.col("e.campaignId")), F.lit("")).alias("__acid"),
-                 F.coalesce(first_nonblank(F.col("e.name"), F.col("e.adgroupName")), F.lit("")).alias("__aname"))
-    a = a.filter(F.col("__aid").isNotNull()).groupBy("__ac", "__aid").agg(
-        F.last("__acid").alias("__acid"), F.last("__aname").alias("__aname"))
+    s = parsed(stats.select("customer_id", "payload"), "payload", NAVER_STAT, "s")
+    c = _naver_campaigns(campaigns, order_col)
+    a = _naver_adgroups(adgroups, order_col)
     ag = first_nonblank(F.col("s.adgroupId"), F.col("s.nccAdgroupId"), F.col("s.id"))
     s = s.withColumn("__ag", ag)
     s = s.join(a, (s.customer_id == a.__ac) & (s.__ag == a.__aid), "left")
@@ -192,7 +204,7 @@ def norm_naver_perf(stats: DataFrame, campaigns: DataFrame, adgroups: DataFrame,
         F.coalesce(first_nonblank(F.col("s.adgroupName")), F.when(F.col("__aname") != "", F.col("__aname")))
          .alias("ad_group_name"),
         F.lit(None).cast("string").alias("ad_id"), F.lit(None).cast("string").alias("ad_name"),
-        F.coalesce(F.col("s.date"), F.lit(w.end.isoformat())).alias("stat_date"),
+        F.coalesce(F.try_to_date(F.col("s.date"), "yyyy-MM-dd"), F.lit(w.end)).alias("stat_date"),
         int_via_float(pick("impressions", "impCnt")).alias("impressions"),
         int_via_float(pick("clicks", "clkCnt")).alias("clicks"),
         F.coalesce(F.col("s.cost"), F.col("s.salesAmt"), F.lit("")).alias("spend"),
@@ -237,7 +249,7 @@ NAVER_AD = ("struct<nccAdId:string,adId:string,id:string,nccCampaignId:string,ca
 def norm_google_creative(payload: DataFrame, w: Window, ingestion_id: str, now, extract_ts) -> DataFrame:
     """Google ads -> creative rows (creative id = ad id), url and video-id arrays;
     text fields are not collected (assets-only policy)."""
-    p = payload.select("customer_id", F.from_json("payload", GOOGLE_CREATIVE).alias("r"))
+    p = parsed(payload.select("customer_id", "payload"), "payload", GOOGLE_CREATIVE, "r")
     ad = F.col("r.ad_group_ad.ad")
     img = ad.image_ad.image_url
     vid = ad.video_ad.video.asset
@@ -256,7 +268,7 @@ def norm_google_creative(payload: DataFrame, w: Window, ingestion_id: str, now,
         F.when(F.coalesce(img, F.lit("")) != "", F.array(img)).otherwise(F.array().cast("array<string>")).alias("image_urls"),
         F.when(F.coalesce(vid, F.lit("")) != "",
                F.array(F.when(F.coalesce(resource_tail(vid), F.lit("")) != "", resource_tail(vid)).otherwise(vid)))
-         .otherwise(F.array().cast("array<string>")).alias("youtube_video_ids"))
+         .otherwise(F.array().cast("array<string>")).alias("youtube_video_ids"), F.col("payload").alias("source_payload"))
 
 
 def norm_google_asset(ad_rows: DataFrame, pmax_rows: DataFrame, w: Window, ingestion_id: str, now,
@@ -264,7 +276,7 @@ def norm_google_asset(ad_rows: DataFrame, pmax_rows: DataFrame, w: Window, inges
     """Asset performance rows: ad-group assets and PMax asset-group assets
     (``is_pmax``, ``source_view``); rows without an asset id are dropped."""
     def side(df, view, pmax):
-        p = df.select("customer_id", F.from_json("payload", GOOGLE_ASSET).alias("r"))
+        p = parsed(df.select("customer_id", "payload"), "payload", GOOGLE_ASSET, "r")
         v, m = F.col(f"r.{view}"), F.col("r.metrics")
         res = F.coalesce(v.asset, F.lit(""))
         return p.select(
@@ -283,14 +295,15 @@ def norm_google_asset(ad_rows: DataFrame, pmax_rows: DataFrame, w: Window, inges
             F.coalesce(m.cost_micros, F.lit(0)).alias("cost_micros"),
             F.coalesce(m.conversions, F.lit(0.0)).alias("conversions"),
             F.coalesce(m.conversions_value, F.lit(0.0)).alias("conversions_value"),
-            F.lit(view).alias("source_view"))
+            decimal_to_micros(F.coalesce(m.conversions_value, F.lit(0.0))).alias("conversions_value_micros"),
+            F.lit(view).alias("source_view"), F.col("payload").alias("source_payload"))
     out = side(ad_rows, "ad_group_ad_asset_view", False).unionByName(side(pmax_rows, "asset_group_asset", True))
     return out.filter(F.col("asset_id").isNotNull() & (F.col("asset_id") != ""))
 
 
 def norm_tiktok_creative(ads: DataFrame, w: Window, ingestion_id: str, now, extract_ts) -> DataFrame:
     """TikTok ads -> creative rows: creative id = ad id, thumbnail = image."""
-    p = ads.select("advertiser_id", F.from_json("payload", TIKTOK_AD).alias("a"))
+    p = parsed(ads.select("advertiser_id", "payload"), "payload", TIKTOK_AD, "a")
     a = F.col("a")
     e = lambda c: F.coalesce(c, F.lit(""))
     return p.select(
@@ -299,17 +312,14 @@ def norm_tiktok_creative(ads: DataFrame, w: Window, ingestion_id: str, now, extr
         e(a.ad_id).alias("creative_id"), e(a.ad_name).alias("creative_name"), e(a.ad_format).alias("ad_format"),
         e(a.ad_text).alias("body_text"), e(a.video_id).alias("video_id"), e(a.image_url).alias("image_url"),
         e(a.image_url).alias("thumbnail_url"), e(a.video_url).alias("video_url"),
-        e(a.landing_page_url).alias("landing_page_url"))
+        e(a.landing_page_url).alias("landing_page_url"), F.col("payload").alias("source_payload"))
 
 
 def norm_naver_creative(ads: DataFrame, adgroups: DataFrame, w: Window, ingestion_id: str, now,
-                        extract_ts) -> DataFrame:
+                        extract_ts, order_col: str = "ingest_seq") -> DataFrame:
     """Naver ads -> creative rows; campaign from the ad, else from its ad group."""
-    p = ads.select("customer_id", F.from_json("payload", NAVER_AD).alias("a"))
-    a = adgroups.select(F.col("customer_id").alias("__ac"), F.from_json("payload", NAVER_ENTITY).alias("e"))
-    a = a.select("__ac", first_nonblank(F.col("e.nccAdgroupId"), F.col("e.adgroupId"), F.col("e.id")).alias("__aid"),
-                 F.coalesce(first_nonblank(F.col("e.nccCampaignId"), F.col("e.campaignId")), F.lit("")).alias("__acid"))
-    a = a.filter(F.col("__aid").isNotNull()).groupBy("__ac", "__aid").agg(F.last("__acid").alias("__acid"))
+    p = parsed(ads.select("customer_id", "payload"), "payload", NAVER_AD, "a")
+    a = _naver_adgroups(adgroups, order_col).drop("__aname")
     ag = first_nonblank(F.col("a.nccAdgroupId"), F.col("a.adgroupId"))
     p = p.withColumn("__ag", ag)
     p = p.join(a, (p.customer_id == a.__ac) & (p.__ag == a.__aid), "left")
@@ -323,4 +333,4 @@ def norm_naver_creative(ads: DataFrame, adgroups: DataFrame, w: Window, ingestio
         first_nonblank(F.col("a.adName"), F.col("a.name")).alias("creative_name"),
         first_nonblank(F.col("a.type"), F.col("a.adType")).alias("ad_type"),
         F.col("a.ad.headline").alias("headline"), F.col("a.ad.description").alias("body_text"),
-        F.col("a.ad.image.url").alias("thumbnail_url"))
+        F.col("a.ad.image.url").alias("thumbnail_url"), F.col("payload").alias("source_payload"))
