@@ -116,7 +116,7 @@ def train(rows: list[np.ndarray], meta: np.ndarray, y: np.ndarray, rounds: int =
         if view:
             return logistic(Dense(meta[own]), target, META_DIMENSION, trust, l2=1e-5)
         used = telling(Sparse([rows[i] for i in base], unit=True), y[base].astype(float))
-        return logistic(Sparse([rows[i][used[rows[i]]] for i in own], unit=True), target, DIMENSION, trust, l2=1e-4, steps=200)
+        return logistic(Sparse([rows[i][used[rows[i]]] for i in own], unit=True), target, DIMENSION, trust, l2=1e-5, steps=200)
 
     views = [fit(0), fit(1)]
     for _ in range(rounds):
@@ -154,7 +154,7 @@ def _featured(part: pa.RecordBatch, used: np.ndarray | None = None, memo: dict |
     return [content_features(t, used, memo) for t in own], np.array(meta).reshape(-1, META_DIMENSION)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 9000, max_pool: int = 2000, **options) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 14_000, max_pool: int = 2000, **options) -> Model | None:
     """Model from at most ``max_labelled`` labelled and ``max_pool`` unlabelled rows of ``docs`` (doc_id, text, lang, source).
 
     Good: quality 1 and not toxic (null toxic counts as 0). Several labels of a document count as
@@ -177,11 +177,18 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 9000, max_pool:
                 [part.column("doc_id"), pa.array(rows, pa.list_(pa.int64())), pa.array(list(meta), pa.list_(pa.float64()))], ["doc_id", "c", "m"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = sorted(among(docs, list(chosen)).mapInArrow(run, f"doc_id {kind}, c array<long>, m array<double>").toArrow().to_pylist(), key=lambda r: r["doc_id"])
-    unique = [r for a, r in zip([None, *got], got) if a is None or a["doc_id"] != r["doc_id"]]
-    rank = np.random.default_rng(5).permutation(len(unique))
-    unique = [unique[i] for i in rank]
-    return train([np.array(r["c"], dtype=np.int64) for r in unique], np.array([r["m"] for r in unique]), np.array([chosen[r["doc_id"]] for r in unique]), **options)
+    got = among(docs, list(chosen)).mapInArrow(run, f"doc_id {kind}, c array<long>, m array<double>").toArrow().combine_chunks()
+    ids = got.column("doc_id").to_pylist()
+    order = sorted(range(len(ids)), key=ids.__getitem__)
+    unique = [k for before, k in zip([None, *order], order) if before is None or ids[before] != ids[k]]
+    unique = [unique[i] for i in np.random.default_rng(5).permutation(len(unique))]
+
+    def lists(name: str) -> list[np.ndarray]:
+        column = got.column(name).chunk(0)
+        ends, values = column.offsets.to_numpy(), column.values.to_numpy()
+        return [values[ends[k]:ends[k + 1]] for k in unique]
+
+    return train(lists("c"), np.array(lists("m")), np.array([chosen[ids[k]] for k in unique]), **options) if ids else None
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source",
