@@ -33,6 +33,7 @@ def source_readiness(config: DataFrame, rules: DataFrame) -> DataFrame:
     readiness = (F.when(no_acct, "MISSING_SETUP").when(naver_no_rule, "MISSING_SETUP")
                   .when(secret_missing, "MISSING_SETUP").when(F.col("status") == "ACTIVE", "ACTIVE_READY")
                   .when(F.col("status") == "PENDING_SETUP", "MISSING_SETUP").otherwise("REVIEW"))
+    # The note texts.
     notes = (F.when(no_acct, "set account_id_norm first")
               .when(naver_no_rule, "seed naver_adgroup_branch_rule then API smoke test")
               .when(secret_missing, "set secret_ref or switch credential_mode to ENV")

@@ -36,6 +36,7 @@ def usage_by_user(job_log: DataFrame, w: Window) -> DataFrame:
 
 
 def workload_class():
+    # The workload names and the statement texts they are told by.
     q, t = F.col("query"), F.col("statement_type")
     return (F.when(q.like("CALL `%ops.sp_load_all`%"), "warehouse_call_sp_load_all")
              .when(q.like("CALL `%ops.sp_load_%"), "warehouse_other_proc_calls")

@@ -165,14 +165,14 @@ def q_norm_naver_creative(spark, sf):
 @query("norm_google_asset_ad")
 def q_norm_google_asset_ad(spark, sf):
     p = fx.google_asset_payloads(spark, sf)
-    out = N.norm_google_asset(p["ad"], p["pmax"].limit(0), W, RUN, NOW, NOW)
+    out = N.norm_google_asset(p["ad"], None, W, RUN, NOW, NOW)
     return finish(out, drop=("ingestion_id", "source_payload"))
 
 
 @query("norm_google_asset_pmax")
 def q_norm_google_asset_pmax(spark, sf):
     p = fx.google_asset_payloads(spark, sf)
-    out = N.norm_google_asset(p["ad"].limit(0), p["pmax"], W, RUN, NOW, NOW)
+    out = N.norm_google_asset(None, p["pmax"], W, RUN, NOW, NOW)
     return finish(out, drop=("ingestion_id", "source_payload"))
 
 

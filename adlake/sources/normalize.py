@@ -271,10 +271,11 @@ def norm_google_creative(payload: DataFrame, w: Window, ingestion_id: str, now,
          .otherwise(F.array().cast("array<string>")).alias("youtube_video_ids"), F.col("payload").alias("source_payload"))
 
 
-def norm_google_asset(ad_rows: DataFrame, pmax_rows: DataFrame, w: Window, ingestion_id: str, now,
+def norm_google_asset(ad_rows: DataFrame | None, pmax_rows: DataFrame | None, w: Window, ingestion_id: str, now,
                       extract_ts) -> DataFrame:
     """Asset performance rows: ad-group assets and PMax asset-group assets
-    (``is_pmax``, ``source_view``); rows without an asset id are dropped."""
+    (``is_pmax``, ``source_view``), either of which may be None; rows without
+    an asset id are dropped."""
     def side(df, view, pmax):
         p = parsed(df.select("customer_id", "payload"), "payload", GOOGLE_ASSET, "r")
         v, m = F.col(f"r.{view}"), F.col("r.metrics")
@@ -297,7 +298,9 @@ def norm_google_asset(ad_rows: DataFrame, pmax_rows: DataFrame, w: Window, inges
             F.coalesce(m.conversions_value, F.lit(0.0)).alias("conversions_value"),
             decimal_to_micros(F.coalesce(m.conversions_value, F.lit(0.0))).alias("conversions_value_micros"),
             F.lit(view).alias("source_view"), F.col("payload").alias("source_payload"))
-    out = side(ad_rows, "ad_group_ad_asset_view", False).unionByName(side(pmax_rows, "asset_group_asset", True))
+    sides = [side(df, view, pmax) for df, view, pmax in (
+        (ad_rows, "ad_group_ad_asset_view", False), (pmax_rows, "asset_group_asset", True)) if df is not None]
+    out = sides[0] if len(sides) == 1 else sides[0].unionByName(sides[1])
     return out.filter(F.col("asset_id").isNotNull() & (F.col("asset_id") != ""))
 
 
