@@ -9,7 +9,7 @@ from collections import Counter
 import xxhash
 from pyspark.sql import functions as F
 
-from adlake.llm import components, fingerprints, lm_scoring, simhash
+from adlake.llm import components, fingerprints, lm_scoring, queries, simhash
 
 
 def _simhash(text, size=3):
@@ -176,3 +176,12 @@ def test_backoff_scores_odd_rows(odd, empty):
         n, s = want[r.doc_id]
         assert r.n_tokens == n and abs(r.log_score - s) < 1e-3 * max(1, abs(s)) and (r.per_token is None) == (n == 0)
     assert lm_scoring.score(empty).collect() == []
+
+
+def test_backoff_query_counts_every_bigram(spark, documents):
+    want = _backoff([(r.doc_id, r.text) for r in documents.collect()], 2, least=1)
+    got = queries.op10_stupid_backoff(spark, "/root/testdata/sf0.001").collect()
+    assert len(got) == documents.count()
+    for r in got:
+        n, s = want[r.doc_id]
+        assert r.n_tokens == n and abs(r.log_score - s) < 1e-4 * max(1, abs(s))
