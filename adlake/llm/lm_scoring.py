@@ -3,92 +3,184 @@
 Counts of n-grams of orders 1 to ``order`` over the whole corpus are tables partitioned by
 their key; documents are exploded into n-grams, joined to the tables, and summed.
 
-Words become 32-bit hashed ids, so an n-gram's key is made of the ids of its words and a table
-row knows its context and its suffix. Tables have one row a key, so they are the built side of
-hash joins and spread evenly over the partitions; the exploded side is not sorted. N-grams of order 2 and more with fewer than ``min_count``
-occurrences are pruned from the tables; a position scores by the longest n-gram found, each
-step down multiplying by ``alpha``:
+Words become 64-bit hashes: two words share an id with odds of about m * m / 2 ** 65 among m
+words (3e-6 at 10 million). Tables have one row a key, so they are the built side of hash joins
+and spread evenly over the partitions; the exploded side is not sorted.
 
     S(c | a b) = count(a b c) / count(a b), or alpha * S(c | b), down to count(c) / tokens.
 
 Context that is missing at the start of a text counts as backed off.
 
-An n-gram can only be found if its suffix is, so the log score of a position is the unigram's
-plus, for each longer n-gram found, the difference it makes. That difference is a property of the
-table row, so each order is one explode, one join, and one sum per document: no per-position
-state is shuffled. Counts combine on the map side, and a frequent n-gram's join rows are split by
-adaptive skew handling.
+With ``min_count`` 1 every n-gram of the scored texts is in the tables, as the corpus is those
+texts, so positions back off at the start of a text only and the log scores telescope: a text's
+sum is that of log count over its n-grams of the highest order, less log count of the contexts
+of all but the first of them, and constants. A table is then a key and log count, n-grams seen
+once adding log 1 = 0. The key is a 64-bit hash of the n-gram's word ids.
+
+With a larger ``min_count``, n-grams of order 2 and more with fewer occurrences are pruned from
+the tables, and keys are the word ids, so that a table row knows its context and its suffix. An
+n-gram can only be found if its suffix is, so the log score of a position is the unigram's plus,
+for each longer n-gram found, the difference it makes. That difference is a property of the
+table row, so each order is one explode, one join, and one sum per document.
+
+No per-position state is shuffled. Counts combine within a slice of texts, and a frequent
+n-gram's join rows are split by adaptive skew handling.
 """
 
 from __future__ import annotations
 
-import zlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from adlake.llm.common import discard, materialize, slices, texts
 
 
-def word_ids(text: str) -> np.ndarray:
-    """32-bit ids of the words between ASCII white space, A-Z lower-cased."""
+class _Ids(dict):
+    """64-bit hashes of words, remembered."""
+
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
+
+def word_ids(text: str, known: _Ids) -> np.ndarray:
+    """64-bit ids of the words between ASCII white space, A-Z lower-cased."""
     words = text.encode("utf-8", "replace").lower().split()
-    return np.fromiter(map(zlib.crc32, words), np.uint32, len(words)).view(np.int32)
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
-def _keys(n: int) -> list[str]:
-    return ["g0"] if n <= 2 else [f"g{j}" for j in range(n)]
+class _Slice:
+    """Word ids of a slice of texts in one array, with the text, place and length of each."""
 
+    def __init__(self, part: pa.RecordBatch) -> None:
+        known = _Ids()
+        ids = [word_ids(t, known) for t in texts(part, "text")]
+        self.size = np.array([len(x) for x in ids], dtype=np.int64)
+        self.flat = np.concatenate(ids)
+        self.text = np.repeat(np.arange(len(ids)), self.size)
+        self.place = np.arange(len(self.flat)) - np.repeat(np.cumsum(self.size) - self.size, self.size)
+        self.length = self.size[self.text]
 
-def _parts(n: int) -> list[str]:
-    """SQL of the single word ids of an n-gram's key."""
-    return ["g0"] if n == 1 else ["cast(shiftright(g0, 32) as int)", "cast(shiftright(shiftleft(g0, 32), 32) as int)"] if n == 2 else [f"g{j}" for j in range(n)]
+    def starts(self, n: int) -> np.ndarray:
+        """Where n-grams of ``n`` words begin."""
+        return np.flatnonzero(self.place + n <= self.length)
 
+    def words(self, at: np.ndarray, n: int) -> list[np.ndarray]:
+        return [self.flat[at + j].view(np.int64) for j in range(n)]
 
-def _key_of(parts: list[str]) -> list[str]:
-    """SQL of the key columns of the n-gram made of these word ids."""
-    if len(parts) == 2:
-        return [f"shiftleft(cast({parts[0]} as bigint), 32) | (cast({parts[1]} as bigint) & 4294967295L)"]
-    return parts
+    def keys(self, at: np.ndarray, n: int) -> np.ndarray:
+        """64-bit keys of the n-grams that begin at ``at``."""
+        key = self.flat[at]
+        with np.errstate(over="ignore"):
+            for j in range(1, n):
+                key = key * np.uint64(0x9E3779B97F4A7C15) + self.flat[at + j]
+                key = (key ^ (key >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+                key = (key ^ (key >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+                key ^= key >> np.uint64(31)
+        return key.view(np.int64)
+
+
+def _keys(n: int) -> list[str]:
+    return [f"g{j}" for j in range(n)]
 
 
 def exploded(docs: DataFrame, n: int, by_doc: bool) -> DataFrame:
     """N-grams of ``docs`` (doc, text) as rows (doc, g0..), or (g0.., n) without ``by_doc``; n: occurrences.
 
-    Repeated n-grams are combined within a slice of texts for orders 1 and 2; with ``by_doc``
-    words are combined within a document (and have n), longer n-grams are a row an occurrence.
+    Without ``by_doc`` repeated n-grams are combined within a slice of texts, else they are a row
+    an occurrence (words have n, always 1).
     """
-    keys = _keys(n)
-    kind = "long" if n == 2 else "int"
-    fields = ([f"doc {docs.schema['doc'].dataType.simpleString()}"] if by_doc else []) + [f"{k} {kind}" for k in keys] + (["n int"] if n == 1 or not by_doc else [])
+    counted = n == 1 or not by_doc
+    fields = ([f"doc {docs.schema['doc'].dataType.simpleString()}"] if by_doc else []) + [f"{k} long" for k in _keys(n)] + (["n int"] if counted else [])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            ids = [word_ids(t) for t in texts(part, "text")]
-            size = np.array([max(0, len(x) - n + 1) for x in ids])
-            doc = np.repeat(np.arange(len(ids)), size)
-            columns = [np.concatenate([x[j:j + k] for x, k in zip(ids, size)]) for j in range(n)]
-            count = np.ones(len(doc), dtype=np.int32)
-            if n == 2:
-                columns = [columns[0].astype(np.int64) << 32 | columns[1].astype(np.int64) & 0xFFFFFFFF]
-            if n == 1 and by_doc:
-                both, count = np.unique(doc.astype(np.int64) << 32 | columns[0].astype(np.int64) & 0xFFFFFFFF, return_counts=True)
-                doc, columns = both >> 32, [(both & 0xFFFFFFFF).astype(np.uint32).view(np.int32)]
-            elif n <= 2 and not by_doc:
-                columns[0], count = np.unique(columns[0], return_counts=True)
-            out = [pa.array(c) for c in columns]
-            if n == 1 or not by_doc:
-                out.append(pa.array(count.astype(np.int32)))
+            s = _Slice(part)
+            at, count = s.starts(n), None
+            if not by_doc:
+                _, first, count = np.unique(s.keys(at, n), return_index=True, return_counts=True)
+                at = at[first]
+            out = [pa.array(c) for c in s.words(at, n)]
+            if counted:
+                out.append(pa.array(np.ones(len(at), np.int32) if count is None else count.astype(np.int32)))
             if by_doc:
-                out.insert(0, part.column("doc").take(pa.array(doc, pa.int64())))
+                out.insert(0, part.column("doc").take(pa.array(s.text[at], pa.int64())))
             yield pa.RecordBatch.from_arrays(out, [f.split()[0] for f in fields])
 
     return docs.select("doc", "text").mapInArrow(run, ", ".join(fields))
 
 
+def keyed_counts(docs: DataFrame, n: int) -> DataFrame:
+    """(key, n) of the n-grams of ``docs`` (doc, text), combined within a slice of texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            s = _Slice(part)
+            key, count = np.unique(s.keys(s.starts(n), n), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(count.astype(np.int32))], ["key", "n"])
+
+    return docs.select("text").mapInArrow(run, "key long, n int")
+
+
+def keyed_terms(docs: DataFrame, n: int, order: int) -> DataFrame:
+    """(doc, key, w) of the n-grams whose log count times w is a term of the telescoped score."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            s = _Slice(part)
+            at = s.starts(n)
+            whole = s.length[at] == n if n < order else np.ones(len(at), dtype=bool)  # a shorter text's one term
+            if n < order:
+                inner = (s.place[at] > 0) & (s.place[at] + order <= s.length[at]) if n == order - 1 else np.zeros(len(at), dtype=bool)
+                at, whole = at[whole | inner], whole[whole | inner]
+            out = [part.column("doc").take(pa.array(s.text[at], pa.int64())), pa.array(s.keys(at, n)), pa.array(np.where(whole, 1, -1).astype(np.int8))]
+            yield pa.RecordBatch.from_arrays(out, ["doc", "key", "w"])
+
+    return docs.select("doc", "text").mapInArrow(run, f"doc {docs.schema['doc'].dataType.simpleString()}, key long, w tinyint")
+
+
+def lengths(docs: DataFrame) -> DataFrame:
+    """(doc, size): words of every row of ``docs`` (doc, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "text"):
+            size = [len(t.encode("utf-8", "replace").split()) for t in texts(part, "text")]
+            yield pa.RecordBatch.from_arrays([part.column("doc"), pa.array(size, pa.int64())], ["doc", "size"])
+
+    return docs.select("doc", "text").mapInArrow(run, f"doc {docs.schema['doc'].dataType.simpleString()}, size long")
+
+
+def whole_sums(docs: DataFrame, order: int, alpha: float) -> list[DataFrame]:
+    """Tables (doc, v, n) that add up to the scores against tables of every n-gram."""
+    sizes = materialize(lengths(docs), "lm-sizes")
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    steps = sum((F.when(F.col("size") > i, float(order - 1 - i)).otherwise(0.0) for i in range(order - 1)), F.lit(0.0))
+    unigrams = F.col("size") if order == 1 else F.least(F.col("size"), F.lit(1))
+    fixed = steps * math.log(alpha) - unigrams * math.log(max(total, 1))
+    sums = [sizes.select("doc", fixed.alias("v"), F.col("size").alias("n"))]
+    for n in range(order, 0, -1):
+        terms = keyed_terms(docs, n, order)
+        if n < order - 1:  # texts of n words only
+            terms = materialize(terms, f"lm-terms-{n}")
+            if terms.isEmpty():
+                discard(terms)
+                continue
+        counts = keyed_counts(docs, n).groupBy("key").agg(F.sum("n").alias("c")).where("c > 1")
+        table = materialize(counts.select("key", F.log("c").alias("v")), f"lm-log-{n}")
+        found = terms.join(table.hint("shuffle_hash"), "key")
+        sums.append(materialize(found.groupBy("doc").agg(F.sum(F.col("v") * F.col("w")).alias("v"), F.lit(0).cast("long").alias("n")), f"lm-sum-{n}"))
+        discard(table)
+        if n < order - 1:
+            discard(terms)
+    return sums
+
+
 def count_tables(docs: DataFrame, order: int = 2, min_count: int = 2, alpha: float = 0.4) -> tuple[list[DataFrame], int]:
     """Per order the table (g0.., c, s, v), for the last one (g0.., v), and the number of tokens.
 
@@ -105,11 +197,10 @@ def count_tables(docs: DataFrame, order: int = 2, min_count: int = 2, alpha: flo
     tables.append(first)
     for n in range(2, order + 1):
         counts = materialize(exploded(docs, n, False).groupBy(*_keys(n)).agg(F.sum("n").alias("c")).where(F.col("c") >= min_count), f"lm-{n}")
-        lower, parts = tables[-1], _parts(n)
-        context = [F.expr(x).alias(f"x{j}") for j, x in enumerate(_key_of(parts[:-1]))]
-        suffix = [F.expr(x).alias(f"y{j}") for j, x in enumerate(_key_of(parts[1:]))]
+        lower, own = tables[-1], _keys(n - 1)
+        context = [F.col(f"g{j}").alias(f"x{j}") for j in range(n - 1)]
+        suffix = [F.col(f"g{j + 1}").alias(f"y{j}") for j in range(n - 1)]
         rows = counts.select("*", *context, *suffix)
-        own = _keys(n - 1)
         by_context = lower.select(*[F.col(k).alias(f"x{j}") for j, k in enumerate(own)], F.col("c").alias("cc"))
         by_suffix = lower.select(*[F.col(k).alias(f"y{j}") for j, k in enumerate(own)], F.col("s").alias("ss"))
         joined = rows.join(by_context.hint("shuffle_hash"), [f"x{j}" for j in range(len(own))]).join(by_suffix.hint("shuffle_hash"), [f"y{j}" for j in range(len(own))])
@@ -120,6 +211,21 @@ def count_tables(docs: DataFrame, order: int = 2, min_count: int = 2, alpha: flo
     return tables, total
 
 
+def pruned_sums(docs: DataFrame, order: int, min_count: int, alpha: float) -> list[DataFrame]:
+    """Tables (doc, v, n) that add up to the scores against the tables of ``count_tables``."""
+    tables, _ = count_tables(docs, order, min_count, alpha)
+    sums = []
+    for n, table in enumerate(tables, start=1):
+        found = exploded(docs, n, True).join(table.select(*_keys(n), "v").hint("shuffle_hash"), _keys(n))
+        if n == 1:  # every word is a unigram of the table
+            summed = found.groupBy("doc").agg(F.sum(F.col("v") * F.col("n")).alias("v"), F.sum("n").alias("n"))
+        else:
+            summed = found.groupBy("doc").agg(F.sum("v").alias("v"), F.lit(0).cast("long").alias("n"))
+        sums.append(materialize(summed, f"lm-sum-{n}"))
+        discard(table)
+    return sums
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = 2, min_count: int = 2, alpha: float = 0.4) -> DataFrame:
     """(doc_id, n_tokens, log_score, per_token, perplexity) for every row of ``docs``.
 
@@ -130,16 +236,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     other columns are ignored.
     """
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
-    tables, _ = count_tables(rows, order, min_count, alpha)
-    sums = []
-    for n, table in enumerate(tables, start=1):
-        found = exploded(rows, n, True).join(table.select(*_keys(n), "v").hint("shuffle_hash"), _keys(n))
-        if n == 1:  # every word is a unigram of the table
-            summed = found.groupBy("doc").agg(F.sum(F.col("v") * F.col("n")).alias("v"), F.sum("n").alias("n"))
-        else:
-            summed = found.groupBy("doc").agg(F.sum("v").alias("v"), F.lit(0).cast("long").alias("n"))
-        sums.append(materialize(summed, f"lm-sum-{n}"))
-        discard(table)
+    sums = whole_sums(rows, order, alpha) if min_count <= 1 else pruned_sums(rows, order, min_count, alpha)
     parts = sums[0]
     for more in sums[1:]:
         parts = parts.unionByName(more)

@@ -67,7 +67,7 @@ def op9_bottom_k_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lm_scoring.score(read_table(spark, sf_dir, "documents"), min_count=1)
+    return lm_scoring.score(read_table(spark, sf_dir, "documents"), order=3, min_count=1)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

@@ -141,10 +141,10 @@ def test_sketches_merge_and_estimate(spark):
     assert r.same and abs(r.n - 2996) < 900 and r.inside > 0.7 and abs(r.alike - 0.5) < 0.15
 
 
-def _backoff(docs, order, least=2, alpha=0.4):
+def _backoff(docs, order, least=2, alpha=0.4, ident=zlib.crc32):
     ids = {}
     for key, text in docs:
-        ids.setdefault(key, []).append([zlib.crc32(w) for w in (text or "").encode().lower().split()])
+        ids.setdefault(key, []).append([ident(w) for w in (text or "").encode().lower().split()])
     count = Counter(tuple(x[i:i + n]) for many in ids.values() for x in many for n in range(1, order + 1) for i in range(len(x) - n + 1))
     total = sum(c for g, c in count.items() if len(g) == 1)
 
@@ -178,10 +178,22 @@ def test_backoff_scores_odd_rows(odd, empty):
     assert lm_scoring.score(empty).collect() == []
 
 
-def test_backoff_query_counts_every_bigram(spark, documents):
-    want = _backoff([(r.doc_id, r.text) for r in documents.collect()], 2, least=1)
+def test_backoff_query_counts_every_ngram(spark, documents):
+    want = _backoff([(r.doc_id, r.text) for r in documents.collect()], 3, least=1, ident=bytes)
     got = queries.op10_stupid_backoff(spark, "/root/testdata/sf0.001").collect()
     assert len(got) == documents.count()
     for r in got:
         n, s = want[r.doc_id]
         assert r.n_tokens == n and abs(r.log_score - s) < 1e-4 * max(1, abs(s))
+
+
+def test_backoff_tells_words_apart_that_share_a_crc(spark, odd):
+    assert zlib.crc32(b"plumless") == zlib.crc32(b"buckeroo")
+    twins = [(100, "plumless one two"), (101, "buckeroo one three"), (102, "plumless"), (103, "Buckeroo one two two one"), (104, "one two")]
+    rows = twins + [(r.doc_id, r.text) for r in odd.collect()]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for order, least in ((1, 1), (2, 1), (3, 1), (4, 1), (2, 2), (3, 2)):
+        want = _backoff(rows, order, least, ident=bytes)
+        for r in lm_scoring.score(df, order=order, min_count=least).collect():
+            n, s = want[r.doc_id]
+            assert r.n_tokens == n and abs(r.log_score - s) < 1e-5 * max(1, abs(s))
