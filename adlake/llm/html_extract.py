@@ -31,16 +31,20 @@ BLOCK_TAGS = frozenset((
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th "
     "thead tr ul").split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW_TAGS = "script|style|noscript|template|textarea|select|svg|iframe|object|title|math|canvas|audio|video"
+RAW_TAGS = "script|style|title|textarea|template|noscript|iframe"
+#: Inline elements that part the words around them.
+EMBEDDED_TAGS = frozenset("svg object canvas audio video select".split())
 #: A start tag on the left ends open elements on the right, up to the given parents.
 CLOSES = {
     "li": (("li",), ("ul", "ol", "menu")), "dt": (("dt", "dd"), ("dl",)), "dd": (("dt", "dd"), ("dl",)), "tr": (("tr", "td", "th"), ("table",)),
     "td": (("td", "th"), ("tr",)), "th": (("td", "th"), ("tr",)), "option": (("option",), ())}
 
+#: Quotes count only where a value begins; an unquoted value ends at white space or >.
+_ATTRS = r"""(?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)?+|[^=>]++)*+"""
 _TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<({RAW_TAGS})\b(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?/][^>]*+>|[^<]++|<", re.S | re.I)
-_ATTR = re.compile(r"""\b(class|id|role|data-main|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
+    rf"<!--.*?(?:-->|\Z)|<({RAW_TAGS})(?=[\s/>]){_ATTRS}>.*?(?:</\1(?=[\s/>])[^>]*+>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/>]*)({_ATTRS})>|<[!?/][^>]*+>|[^<]++|<", re.S | re.I)
+_ATTR = re.compile(r"""\b(class|id|role|data-main|hidden)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*)))?""", re.I)
 _NAME = re.compile(r"[a-z]+")
 
 
@@ -98,6 +102,8 @@ def blocks(page: str) -> list[Block]:
                 text.append(" ")
             continue
         tag = tag.lower()
+        if tag in EMBEDDED_TAGS:
+            text.append(" ")
         if m.group(2):
             at = last((tag,), ())
             if at is not None:

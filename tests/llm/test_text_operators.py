@@ -140,6 +140,22 @@ def test_html_extraction(spark):
     assert len(html_extract.extract(odd).collect()) == 5 and html_extract.extract(odd.where("false")).collect() == []
 
 
+def test_html_blocks_lose_no_text():
+    for tag in ("svg", "math", "object", "canvas", "video", "audio", "select"):
+        for own in (f"<{tag}/>", f"<{tag} src=x/>", f"<{tag}>"):
+            assert [b.text for b in html_extract.blocks(f"<article><p>one {own} two</p><p>three</p></article>")] == ["one two", "three"], own
+    cut = lambda page: " ".join(b.text for b in html_extract.blocks(page))
+    assert cut("<p>so <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds</p>") == "so x=2 holds"
+    assert cut("<p>a<svg><text>b</text></svg>c <select><option>d<option>e</select> f</p>") == "a b c d e f"
+    assert cut("<p>a <b title=it's>bold</b> c</p><p>don't</p><p>e</p>") == "a bold c don't e"
+    assert cut("""<p>a <b title="x>'y" alt = '>"'>b</b> <i "q>c</i> <a href='z>d</a></p>""") == "a b c d"
+    assert cut("<title>t</title><script>a < '</b>'</script ><style-guide>one</style-guide><iframe src=x>y</iframe><p>two<noscript>n") == "one two"
+    crf = html_extract.train(html_extract.labelled_pages())
+    page = "<nav><a href=/a>home</a></nav><article><p>" + "long winter road " * 9 + "<svg/> and <math><mi>n</mi></math> more.</p><p>" + "the open field " * 9 + "ends.</p></article>"
+    cut = html_extract.blocks(page)
+    assert [b.text for b, y in zip(cut, crf.viterbi(html_extract.features(cut))) if y] == [("long winter road " * 9 + "and n more.").strip(), "the open field " * 9 + "ends."]
+
+
 def _rule(host, path):
     fits = [(len(r), r, v) for r, v in url_filter.RULES
             for h, p in [(r.partition("/")[0], "/" + r.partition("/")[2])] if (host == h or host.endswith("." + h)) and path.startswith(p)]
