@@ -99,6 +99,26 @@ def test_forest_rejects_junk_and_keeps_good(spark):
         assert np.mean(good) > 0.93 and np.mean([not r.kept for r in rows if not r.quality]) > least
 
 
+def test_forests_reject_stuttered_words(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    stuttered = (1847, 2667, 4974, 7628, 7695)  # labelled bad, no symbols, no marks, ordinary capitals
+    rows = quality_rules.judge(docs.join(labels, "doc_id", "left_semi"), labels).join(labels, "doc_id").collect()
+    by = {r.doc_id: r for r in rows}
+    assert not any(by[i].kept or by[i].base_failed for i in stuttered)
+    assert np.mean([r.kept for r in rows if r.quality and not r.base_failed]) >= 0.998
+    assert np.mean([not r.kept for r in rows if not r.quality]) > 0.99
+
+
+def test_every_rule_statistic_has_a_feature():
+    row = dict(zip([*quality_rules.BASE, *quality_rules.EXTRA], quality_rules.statistics("aa aa bb! Cc\n#x yy\n#x yy\n zz zz")))
+    assert (row["n_lines"], row["n_stutter"]) == (4, 2)
+    for name in (*quality_rules.BASE, "n_stutter"):
+        other = row | {name: row[name] + 3}
+        one, two = (quality_rules.features(np.array([list(r.values())])) for r in (row, other))
+        assert (one != two).any(), name
+    assert sorted(k for g in quality_rules.GROUPS for k in g) == list(range(one.shape[1]))
+
+
 def test_classifier_odd_rows(odd, empty, labels):
     got = quality_classifier.judge(odd, labels).collect()
     assert len(got) == odd.count() and all(0 <= r.p_good <= 1 for r in got if r.p_good is not None)
