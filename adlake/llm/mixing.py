@@ -5,8 +5,10 @@ gives every document posteriors over the domains. Nonnegative rates r, one a doc
 fitted so that the expected tokens of each domain, sum(r * tokens * posterior), match its target.
 
 The fit is projected gradient least squares from r = 1. Residuals are weighted with the inverse
-of the token-weighted Gram matrix of the posteriors, so a step solves the unclipped problem and
-the few further ones only repair clipping at zero. A document's rate depends on its posteriors
+of the token-weighted Gram matrix of the posteriors, so a plain step solves the unclipped problem.
+Later ones choose between the plain step, which always comes closer, and steps with the Gram matrix
+of the rows whose rate is positive, which solve the problem for those. The fit ends when targets
+are met or a plain step moves no rate, and says how far from the targets it ended. A document's rate depends on its posteriors
 and on the sequence of step vectors alone, so a pass is one aggregate over the table of
 posteriors and only (domains) numbers reach the driver; no rate table is rewritten.
 """
@@ -63,13 +65,20 @@ class Mix:
             out[at:at + len(some)] = softmax(x[:len(some)] @ self.weights)
         return out
 
-    def rate(self, p: str = "p") -> Column:
+    def exact_rate(self, p: str = "p") -> Column:
         """Rate of a row with posteriors in the array column ``p``."""
         r = F.lit(1.0)
         for g in self.steps:
-            move = sum((F.col(p)[d] * F.lit(float(v)) for d, v in enumerate(g)), F.lit(0.0))
-            r = F.greatest(F.lit(0.0), r - move)
-        return F.round(r, 6)
+            r = moved(r, p, g)
+        return r
+
+    def rate(self, p: str = "p") -> Column:
+        return F.round(self.exact_rate(p), 6)
+
+
+def moved(rate: Column, p: str, step: list[float]) -> Column:
+    """``rate`` after a projected step."""
+    return F.greatest(F.lit(0.0), rate - sum((F.col(p)[d] * F.lit(float(v)) for d, v in enumerate(step)), F.lit(0.0)))
 
 
 def train(docs: DataFrame, labelled: DataFrame, domains: list[str], max_labelled: int = 4000) -> Mix:
@@ -113,29 +122,47 @@ def with_posteriors(docs: DataFrame, mix: Mix, text_col: str = "text") -> DataFr
     return docs.mapInArrow(run, f"{schema}, _t long, _p array<double>")
 
 
-def fit(posteriors: DataFrame, mix: Mix, targets: dict[str, float], total: float | None = None, max_steps: int = 25, tolerance: float = 1e-6) -> Mix:
+def fit(posteriors: DataFrame, mix: Mix, targets: dict[str, float], total: float | None = None, max_steps: int = 40, tolerance: float = 1e-6) -> Mix:
     """Find the steps; ``posteriors`` has (_t, _p). ``total``: tokens to aim at, by default those there are.
 
     Shares are scaled to one. A domain that no document belongs to can't be reached; the others
-    are then matched as well as least squares allows.
+    are then matched as well as least squares allows. ``mix.residual`` is the largest miss of a
+    domain as a share of all tokens.
     """
     n = len(mix.domains)
     p = [F.col("_p")[d] for d in range(n)]
-    gram = [F.sum(F.col("_t") * p[a] * p[b]) for a in range(n) for b in range(n)]
-    first = posteriors.agg(F.sum("_t"), *gram).first()
+
+    def sums(rate: Column) -> list[Column]:
+        """Tokens of each domain, and the Gram matrix of rows with a positive rate."""
+        free = F.col("_t") * (rate > 0).cast("int")
+        return [*(F.sum(rate * F.col("_t") * p[d]) for d in range(n)), *(F.sum(free * p[a] * p[b]) for a in range(n) for b in range(n))]
+
+    first = posteriors.agg(F.sum("_t"), *sums(F.lit(1.0))).first()
     if not first[0]:
         return mix
     share = np.array([targets[d] for d in mix.domains], dtype=float)
     goal = share / share.sum() * (first[0] if total is None else total)
-    g = np.array(first[1:], dtype=float).reshape(n, n)
-    inverse = np.linalg.pinv(g + 1e-9 * np.trace(g) / n * np.eye(n))
-    for k in range(max_steps + 1):
-        rated = posteriors.withColumn("_r", mix.rate("_p") * F.col("_t"))
-        now = np.array(rated.agg(*[F.sum(F.col("_r") * p[d]) for d in range(n)]).first(), dtype=float)
-        before, mix.residual = mix.residual, float(np.abs(now - goal).max() / goal.sum())
-        if mix.residual < tolerance or k == max_steps or k > 1 and mix.residual > 0.99 * before:
-            break  # met, or as close as least squares comes
-        mix.steps.append([float(v) for v in inverse @ (now - goal)])
+    now, free = np.array(first[1:n + 1], dtype=float), np.array(first[n + 1:], dtype=float).reshape(n, n)
+    floor = 1e-9 * np.trace(free) / n
+    inverse = np.linalg.pinv(free + floor * np.eye(n))
+    mix.residual = float(np.abs(now - goal).max() / goal.sum())
+    while mix.residual >= tolerance and len(mix.steps) < max_steps:
+        plain = inverse @ (now - goal)
+        newton = np.linalg.pinv(free + (1e-9 * np.trace(free) / n + 1e-6 * floor) * np.eye(n)) @ (now - goal)
+        tried = [[float(v) for v in step] for step in (plain, newton, newton / 4)]
+        rated = posteriors.select("_t", "_p", mix.exact_rate("_p").alias("_r"))
+        rated = rated.select("*", *[moved(F.col("_r"), "_p", step).alias(f"_r{k}") for k, step in enumerate(tried)])
+        got = rated.agg(F.sum(F.col("_t") * F.pow(F.col("_r0") - F.col("_r"), 2)), *[c for k in range(len(tried)) for c in sums(F.col(f"_r{k}"))]).first()
+        if (got[0] / first[0]) ** 0.5 < 0.1 * tolerance:
+            break  # the projected gradient is zero: as close as least squares comes
+        ends = np.array(got[1:], dtype=float).reshape(len(tried), n + n * n)
+        misses = [float(d @ inverse @ d) for d in ends[:, :n] - goal]
+        best = int(np.argmin(misses))
+        if misses[best] >= float((now - goal) @ inverse @ (now - goal)):
+            break  # nothing closer in double precision
+        mix.steps.append(tried[best])
+        now, free = ends[best, :n], ends[best, n:].reshape(n, n)
+        mix.residual = float(np.abs(now - goal).max() / goal.sum())
     return mix
 
 
@@ -156,7 +183,9 @@ def copies(rate: Column, id_col: Column) -> Column:
 
 
 def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, **options) -> DataFrame:
-    """(doc_id, n_tokens, p_<domain>..., rate, copies) for every row of ``docs``.
+    """(doc_id, n_tokens, p_<domain>..., rate, copies, residual) for every row of ``docs``.
+
+    residual, the same in every row, is the largest miss of a domain's target as a share of all tokens.
 
     Null and empty texts have no tokens and uniform-looking posteriors; they get a rate like any
     other. Repeated rows stay repeated; an empty table gives no rows; other columns are ignored.
@@ -164,7 +193,8 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
     mix, table = solve(docs, labelled, targets, **options)
     return table.select(
         "doc_id", F.col("_t").alias("n_tokens"), *[F.col("_p")[d].alias(f"p_{name}") for d, name in enumerate(mix.domains)],
-        mix.rate("_p").alias("rate"), copies(mix.rate("_p"), F.col("doc_id")).alias("copies"))
+        mix.rate("_p").alias("rate"), copies(mix.rate("_p"), F.col("doc_id")).alias("copies"),
+        F.lit(mix.residual).alias("residual"))
 
 
 def apply(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, **options) -> DataFrame:

@@ -142,6 +142,21 @@ def test_mixing_meets_targets(spark, odd, empty, labels):
     assert mixing.apply(odd, queries.domain_labels(odd, labels)).columns == odd.columns
 
 
+def test_mixing_reaches_targets_with_soft_posteriors(spark, odd, labels):
+    rng = np.random.default_rng(0)
+    names = ["a", "b", "c", "d"]
+    for alpha in (0.5, 1.0):
+        p, t = rng.dirichlet([alpha] * 4, 5000), rng.integers(1, 2000, 5000)
+        df = spark.createDataFrame([(int(n), [float(v) for v in x]) for n, x in zip(t, p)], "_t long, _p array<double>").coalesce(2).cache()
+        mix = mixing.fit(df, mixing.Mix(names, None), {"a": 0.1, "b": 0.1, "c": 0.1, "d": 0.7})
+        r = np.array([x[0] for x in df.select(mix.rate("_p")).collect()])
+        assert np.abs((r * t) @ p / t.sum() - [0.1, 0.1, 0.1, 0.7]).max() < 1e-5 and mix.residual < 1e-6
+    one = mixing.rates(odd, queries.domain_labels(odd, labels), {"en": 0.5, "fr": 0.5}).collect()  # no row is French
+    total = sum(r.n_tokens for r in one)
+    miss = max(abs(sum(r.rate * r.n_tokens * r[f"p_{d}"] for r in one) / total - 0.5) for d in ("en", "fr"))
+    assert len({r.residual for r in one}) == 1 and abs(one[0].residual - miss) < 1e-4
+
+
 def test_html_extraction(spark):
     crf = html_extract.train(html_extract.labelled_pages())
     right = n = 0
