@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from adlake.llm import byte_bpe, fingerprints, html_extract, lm_scoring, mixing, quality_classifier, quality_rules, simhash, token_counts, url_filter
+from adlake.llm import (
+    byte_bpe, fingerprints, html_extract, language_id, lm_scoring, mixing, quality_classifier, quality_rules, simhash, spelling, token_counts, url_filter, whitening)
 from adlake.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -70,10 +71,23 @@ def op10_stupid_backoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score(read_table(spark, sf_dir, "documents"), order=3, min_count=1)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op12_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_soft_mixing, op3_prefix_token_counts, op4_isolation_rules, op5_crf_html_extraction, op6_byte_bpe,
-        op7_url_filter, op8_cotraining_quality, op9_bottom_k_fingerprints, op10_stupid_backoff)}
+        op7_url_filter, op8_cotraining_quality, op9_bottom_k_fingerprints, op10_stupid_backoff,
+        op11_spelling_variants, op12_language_id, op13_embedding_whitening)}
 
-#: None of the ten can be stated in SQL (hashes, trained models, tokenizers); tests compare them with brute force.
+#: None of them can be stated in SQL (hashes, trained models, tokenizers); tests compare them with brute force.
 ORACLES: dict[str, str] = {}
