@@ -32,6 +32,8 @@ MAX_ROWS = 4000
 FOLDS = 4
 HELD_OUT = 2
 UNKNOWN = "und"
+#: Places that ids are hashed to for the sample, and how many times the rows wanted are ranked.
+PLACES, SPARE = 1 << 40, 4
 #: Bytes of a text whose n-grams are counted at a time.
 CHUNK = 1 << 20
 #: Languages up to which every bipartition is a bit.
@@ -163,17 +165,20 @@ def training_profiles(docs: DataFrame, max_rows: int = MAX_ROWS, id_col: str = "
     """Profiles, languages and validation marks of at most ``max_rows`` rows (one a language at least) that may be learnt from.
 
     Rows with an id, a text with a letter and a language, the held-out remainder left out. An id
-    with several rows gives its smallest (language, text). The languages and the chosen ids are
+    with several rows gives its smallest (language, text), so repeated ids can make the sample smaller. The languages and the chosen ids are
     collected; their number is bounded by ``max_rows`` or the number of languages.
     """
     rows = docs.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     usable = rows.where("doc IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL").where(~held_out(F.col("doc")))
-    names = [r["lang"] for r in usable.select("lang").distinct().collect()]
-    if not names:
+    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
+    if not sizes:
         return np.zeros((0, DIMENSION)), [], np.zeros(0, bool)
-    each = max(max_rows // len(names), 1)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc", F.lit(11)), "doc")
-    ids = usable.select("lang", "doc").distinct().withColumn("at", F.row_number().over(order)).where(F.col("at") <= each)
+    each = max(max_rows // len(sizes), 1)
+    place = F.pmod(F.xxhash64("doc", F.lit(11)), F.lit(PLACES))
+    # only about SPARE times the rows wanted of a language are ranked, so no task ranks a share of all rows
+    near = F.create_map(*[F.lit(v) for lang, n in sizes.items() for v in (lang, min(PLACES, -(-SPARE * each * PLACES // n)))])
+    ranked = usable.select("lang", "doc", place.alias("place")).where(F.col("place") < near[F.col("lang")]).distinct()
+    ids = ranked.withColumn("at", F.row_number().over(Window.partitionBy("lang").orderBy("place", "doc"))).where(F.col("at") <= each)
     chosen = among(usable, sorted({r["doc"] for r in ids.select("doc").collect()}), "doc")
     single = chosen.groupBy("doc").agg(F.min(F.struct("lang", "text")).alias("r")).select("doc", "r.*", F.crc32(F.col("doc").cast("string").cast("binary")).alias("h"))
 
