@@ -7,8 +7,10 @@ of :mod:`adlake.sources.io` (partition overwrite of the window only).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from adlake.functions.columns import blank_key
@@ -36,6 +38,27 @@ def assert_unique_source(source: DataFrame, keys: Sequence[str], blank_keys: Seq
         raise DuplicateSourceKeys(f"MERGE source has duplicate keys on {list(keys)}")
 
 
+#: Start of the error that a job raises when one of its MERGE keys has several source rows.
+DUPLICATE_MATCH = "MERGE must match at most one source row per key"
+
+
+def unique_by(source: DataFrame, key: str, shown: Sequence[str]) -> DataFrame:
+    """``source`` with a check in its plan: the job that reads it fails when ``key`` repeats.
+
+    The count runs in the partitioning and order that a sort-merge join on ``key`` needs, so a
+    MERGE gets it without a shuffle or sort of its own.
+    """
+    n = F.count(F.lit(1)).over(W.partitionBy(key))
+    text = F.concat(F.lit(f"{DUPLICATE_MATCH}: "), F.to_json(F.struct(*[F.col(c) for c in shown])))
+    return source.withColumn("__n", n).withColumn("__s", F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))).drop("__n")
+
+
+def merge_key(keys: Sequence[str], blank_keys: Sequence[str], prefix: str) -> Column:
+    """The keys as one comparable value: blank keys as ``IFNULL(k, '')``, null equal to null."""
+    return F.struct(*[(blank_key(F.col(f"{prefix}{k}")) if k in blank_keys else F.col(f"{prefix}{k}")).alias(f"k{i}")
+                      for i, k in enumerate(keys)])
+
+
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], blank_keys: Sequence[str] = (),
            keep_if_null: Sequence[str] = (), keep_old_first: Sequence[str] = (), least: Sequence[str] = (),
            greatest: Sequence[str] = (), window: Window | None = None, date_col: str | None = None,
@@ -50,27 +73,30 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], blank_keys
     (``COALESCE(s, t)``), ``keep_old_first`` (``COALESCE(t, s)``), ``least``
     and ``greatest`` (NULL-safe: a NULL side is ignored). Columns not in
     ``update_cols`` (when given) keep the target value.
+
+    A key with several source rows fails the job that computes the result
+    (``DUPLICATE_MATCH``), before anything is written; rows that cannot match
+    (NULL in a strict key) are exempt and all inserted. Repeated target rows
+    of a key are each updated.
     """
     cols = target.columns
     src = source.select(*[F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
                           for c in cols])
+    untouched = []
     if window is not None and date_col is not None:
         inside = window.contains(F.col(date_col))
-        t_in, t_out = target.filter(inside), target.filter(~inside | F.col(date_col).isNull())
-    else:
-        t_in, t_out = target, None
-    t = t_in.select(*[F.col(c).alias(f"__t_{c}") for c in cols], F.lit(True).alias("__t"))
-    s = src.select(*[F.col(c).alias(f"__s_{c}") for c in cols], F.lit(True).alias("__s"))
-    cond = []
-    for k in keys:
-        tk, sk = F.col(f"__t_{k}"), F.col(f"__s_{k}")
-        if k in blank_keys:
-            cond.append(blank_key(tk) == blank_key(sk))
-        elif strict_keys:
-            cond.append(tk == sk)
-        else:
-            cond.append(tk.eqNullSafe(sk))
-    j = t.join(s, on=cond, how="full_outer")
+        untouched.append(target.filter(~inside | F.col(date_col).isNull()))
+        target = target.filter(inside)
+    plain = [k for k in keys if k not in blank_keys] if strict_keys else []
+    if plain:  # a NULL in a plain key never matches: no join, and no task that gathers such rows
+        known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in plain])
+        untouched += [target.filter(~known), src.filter(~known)]
+        target, src = target.filter(known), src.filter(known)
+    t = target.select(*[F.col(c).alias(f"__t_{c}") for c in cols], F.lit(True).alias("__t"))
+    s = src.select(*[F.col(c).alias(f"__s_{c}") for c in cols])
+    t = t.withColumn("__tk", merge_key(keys, blank_keys, "__t_"))
+    s = unique_by(s.withColumn("__sk", merge_key(keys, blank_keys, "__s_")), "__sk", [f"__s_{k}" for k in keys])
+    j = t.join(s, on=F.col("__tk") == F.col("__sk"), how="full_outer")
     matched = F.col("__t").isNotNull() & F.col("__s").isNotNull()
     out = []
     for c in cols:
@@ -95,7 +121,9 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], blank_keys
             v = F.when(matched, upd).when(F.col("__s").isNotNull(), sc).otherwise(tc)
         out.append(v.alias(c))
     merged = j.select(*out)
-    return merged if t_out is None else t_out.unionByName(merged)
+    for rest in untouched:
+        merged = merged.unionByName(rest)
+    return merged
 
 
 def insert_if_absent(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
