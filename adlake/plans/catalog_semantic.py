@@ -93,6 +93,19 @@ QUERIES_SQ = {
                             {"member": "AdsCampaign.campaignName", "operator": "contains", "values": ["SHEET"]}]},
                     {"member": "AdsCampaign.sourceTier", "operator": "notEquals", "values": ["demo"]},
                     {"member": "AdsCampaign.clicks", "operator": "gt", "values": ["500"]}]},
+    "sq_filters_nested": {
+        "measures": ["AdsCampaign.spend", "AdsCampaign.clicks"],
+        "dimensions": ["AdsCampaign.channelKey"],
+        "timeDimensions": [{"dimension": "AdsCampaign.reportDate", "granularity": "month",
+                            "dateRange": ["1996-01-01", "1998-12-31"]}],
+        "filters": [{"and": [
+            {"or": [{"member": "AdsCampaign.channelKey", "operator": "equals", "values": ["META"]},
+                    {"and": [{"member": "AdsCampaign.channelKey", "operator": "notEquals", "values": ["META"]},
+                             {"member": "AdsCampaign.reportDate", "operator": "gt", "values": ["1997-03-10"]}]}]},
+            {"or": [{"member": "AdsCampaign.clicks", "operator": "gt", "values": ["3000"]},
+                    {"and": [{"member": "AdsCampaign.impressions", "operator": "lte", "values": ["100000"]},
+                             {"member": "AdsCampaign.spend", "operator": "gte", "values": ["10"]}]}]},
+            {"or": []}]}]},
     "sq_join": {
         "measures": ["AdsCampaign.spend", "AdsCampaign.clicks"],
         "dimensions": ["Branch.branchName", "Channel.channelName"],

@@ -15,9 +15,12 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, DoubleType, NumericType, TimestampNTZType, TimestampType
 
 from adlake.functions.columns import micros_to_double, safe_ratio
 
@@ -197,43 +200,90 @@ def _out(member: str, gran: str | None = None) -> str:
     return member.replace(".", "__") + (f"__{gran}" if gran else "")
 
 
-def _filter_expr(f: dict, dim_col: Callable[[str], Column], measure_names: set) -> tuple[Column | None, bool]:
-    """(Column, is_post_aggregate) for a filter tree node."""
-    if "and" in f or "or" in f:
-        parts = [_filter_expr(x, dim_col, measure_names) for x in (f.get("and") or f.get("or"))]
-        post = any(p for _, p in parts)
-        cols = [c for c, _ in parts]
-        acc = cols[0]
-        for c in cols[1:]:
-            acc = (acc & c) if "and" in f else (acc | c)
-        return acc, post
+#: Filter operators: how they compare, and whether values are needed.
+COMPARISONS = {"gt": "__gt__", "gte": "__ge__", "lt": "__lt__", "lte": "__le__",
+               "afterDate": "__gt__", "afterOrOnDate": "__ge__", "beforeDate": "__lt__", "beforeOrOnDate": "__le__"}
+DATE_OPERATORS = ("afterDate", "afterOrOnDate", "beforeDate", "beforeOrOnDate", "inDateRange", "notInDateRange")
+
+
+class FilterError(ValueError):
+    """A filter tree that has no meaning as a row filter followed by a group filter."""
+
+
+def _dates(member: str, op: str, values: list) -> list[Column]:
+    try:
+        return [F.lit(_dt.date.fromisoformat(str(v)[:10])) for v in values]
+    except ValueError as e:
+        raise FilterError(f"{op} on {member} takes ISO dates, not {values}") from e
+
+
+def _leaf(f: dict, x: Column, kind: DataType, numeric: bool) -> Column:
+    """One condition on ``x``. No values: ``equals`` and ``contains`` admit nothing, their negations everything."""
     member, op, values = f["member"], f.get("operator", "equals"), list(f.get("values") or [])
-    post = member in measure_names
-    x = F.col(_out(member)) if post else dim_col(member)
-    if op == "equals":
-        e = x.isin(values)
-    elif op == "notEquals":
-        e = x.isNull() | ~x.isin(values)
-    elif op == "contains":
-        e = None
-        for v in values:
-            c = F.instr(F.lower(x), str(v).lower()) > 0
-            e = c if e is None else (e | c)
-    elif op == "notContains":
-        e = x.isNull()
-        for v in values:
-            e = e | ~(F.instr(F.lower(x), str(v).lower()) > 0)
-    elif op in ("gt", "gte", "lt", "lte"):
-        v = F.lit(float(values[0]))
-        xd = x.cast("double")
-        e = {"gt": xd > v, "gte": xd >= v, "lt": xd < v, "lte": xd <= v}[op]
-    elif op == "set":
-        e = x.isNotNull()
-    elif op == "notSet":
-        e = x.isNull()
+    dated = isinstance(kind, (DateType, TimestampType, TimestampNTZType))
+    if op in ("set", "notSet"):
+        return x.isNotNull() if op == "set" else x.isNull()
+    if op in DATE_OPERATORS and not dated:
+        raise FilterError(f"{op} needs a time dimension, {member} is none")
+    if op in COMPARISONS:
+        if len(values) != 1:
+            raise FilterError(f"{op} on {member} takes one value, not {len(values)}")
+        if dated:
+            return getattr(x.cast("date"), COMPARISONS[op])(_dates(member, op, values)[0])
+        try:
+            return getattr(x.try_cast("double"), COMPARISONS[op])(F.lit(float(values[0])))
+        except ValueError as e:
+            raise FilterError(f"{op} on {member} takes a number, not {values[0]!r}") from e
+    if op in ("inDateRange", "notInDateRange"):
+        if len(values) not in (1, 2):
+            raise FilterError(f"{op} on {member} takes one date or a pair")
+        lo, hi = (_dates(member, op, values) * 2)[:2]
+        inside = x.cast("date").between(lo, hi)
+        return inside if op == "inDateRange" else x.isNull() | ~inside
+    if op in ("equals", "notEquals"):
+        wanted = _dates(member, op, values) if dated else [float(v) for v in values] if numeric else [str(v) for v in values]
+        hit = (x.cast("date") if dated else x.cast("double") if numeric else x).isin(wanted) if wanted else F.lit(False)
+    elif op in ("contains", "notContains"):
+        text = F.lower(x.cast("string"))
+        hit = reduce(or_, [F.contains(text, F.lit(str(v).lower())) for v in values], F.lit(False))
     else:
-        raise ValueError(f"unsupported filter operator {op!r}")
-    return e, post
+        raise FilterError(f"unsupported filter operator {op!r}")
+    return hit if op in ("equals", "contains") else x.isNull() | ~hit
+
+
+def split_filters(filters: list, row: Callable[[str], tuple[Column, DataType]], group: Callable[[str], Column],
+                  measures: set) -> tuple[Column | None, Column | None]:
+    """A filter list as (condition on rows, condition on groups), either None if there is none.
+
+    Conditions on dimensions go to the rows, those on measures to the groups. ``and`` is divided
+    between the two at any depth; an ``or`` must lie on one side, since neither stage alone can
+    decide it. Empty groups put no condition.
+    """
+    def both(parts: list, how) -> Column | None:
+        parts = [p for p in parts if p is not None]
+        return reduce(how, parts) if parts else None
+
+    def walk(f: dict) -> tuple[Column | None, Column | None]:
+        if "and" in f or "or" in f:
+            rows, groups = [], []
+            if f.get("and"):
+                r, g = zip(*map(walk, f["and"]))
+                rows, groups = [both(r, and_)], [both(g, and_)]
+            if f.get("or"):
+                r, g = zip(*map(walk, f["or"]))
+                if any(x is not None for x in r) and any(x is not None for x in g):
+                    raise FilterError(f"or cannot mix dimensions and measures: {', '.join(_filter_members(f['or']))}")
+                rows.append(both(r, or_))
+                groups.append(both(g, or_))
+            return both(rows, and_), both(groups, and_)
+        if not isinstance(f.get("member"), str):
+            raise FilterError(f"a filter needs a member, and, or or: {f}")
+        if f["member"] in measures:
+            return None, _leaf(f, group(f["member"]), DoubleType(), True)
+        x, kind = row(f["member"])
+        return _leaf(f, x, kind, isinstance(kind, NumericType)), None
+
+    return walk({"and": list(filters)}) if filters else (None, None)
 
 
 def _filter_members(filters: list) -> list[str]:
@@ -286,12 +336,15 @@ def semantic_query(q: dict, sources: dict[str, DataFrame], today: _dt.date,
         cube, name = _split(member)
         return reg[cube].dimensions[name]() if cube == base_name else F.col(f"__{cube}__{name}")
 
-    pre, post = [], []
-    for f in q.get("filters") or []:
-        e, is_post = _filter_expr(f, dim_col, set(measures) | set(hidden))
-        (post if is_post else pre).append(e)
-    for e in pre:
-        df = df.filter(e)
+    def typed(member: str) -> tuple[Column, DataType]:
+        cube, name = _split(member)
+        if name not in reg[cube].dimensions:
+            raise FilterError(f"unknown member {member}")
+        return dim_col(member), df.select(dim_col(member)).schema[0].dataType
+
+    on_rows, on_groups = split_filters(q.get("filters") or [], typed, lambda m: F.col(_out(m)), set(measures) | set(hidden))
+    if on_rows is not None:
+        df = df.filter(on_rows)
     keys = [dim_col(m).alias(_out(m)) for m in dims]
     keys += [granularity(dim_col(t["dimension"]), t["granularity"]).alias(_out(t["dimension"], t["granularity"]))
              for t in tds if t.get("granularity")]
@@ -305,8 +358,8 @@ def semantic_query(q: dict, sources: dict[str, DataFrame], today: _dt.date,
         out = df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
     else:
         out = df.select(*keys).distinct()
-    for e in post:
-        out = out.filter(e)
+    if on_groups is not None:
+        out = out.filter(on_groups)
     out = out.drop(*[_out(m) for m in hidden])
     order = q.get("order")
     if order:
@@ -314,7 +367,10 @@ def semantic_query(q: dict, sources: dict[str, DataFrame], today: _dt.date,
         cols = []
         for member, direction in items:
             grain = next((t["granularity"] for t in tds if t["dimension"] == member and t.get("granularity")), None)
-            c = F.col(_out(member, grain) if grain and member not in dims else _out(member))
+            name = _out(member, grain) if grain and member not in dims else _out(member)
+            if name not in out.columns:
+                raise ValueError(f"order by {member}, which the query does not select")
+            c = F.col(name)
             cols.append(c.desc_nulls_last() if str(direction).lower() == "desc" else c.asc_nulls_last())
         out = out.orderBy(*cols)
     offset = int(q.get("offset") or 0)
