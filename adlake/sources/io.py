@@ -3,12 +3,14 @@
 Tables are Parquet folders partitioned by their date column. Writes replace
 only the partitions a load touches (dynamic partition overwrite), staged first
 under the session's checkpoint folder because a path cannot be overwritten
-while it is being read.
+while it is being read, and journalled beside the table so that a killed job
+leaves the old or the new window.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -63,6 +65,7 @@ def scan_window(df: DataFrame, date_col: str, window: Window | None) -> DataFram
 
 
 def read_table(spark: SparkSession, path: str, spec: TableSpec, window: Window | None = None) -> DataFrame:
+    recover(spark, path)
     df = spark.read.parquet(path)
     if spec.require_partition_filter:
         return scan_window(df, spec.date_col, window)
@@ -110,42 +113,107 @@ def remove_path(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def _stage(spark: SparkSession, df: DataFrame, spec: TableSpec) -> tuple[DataFrame, str]:
-    """Materialise ``df`` under the checkpoint folder; cuts lineage to the target. Returns the copy and its folder."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/stage-{spec.name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
 def _existing_dates(spark: SparkSession, path: str, spec: TableSpec, window: Window) -> list[_dt.date]:
     if not path_exists(spark, path):
         return []
+    p, fs = _fs(spark, path)
+    if not any(s.getPath().getName().startswith(f"{spec.date_col}=") for s in fs.listStatus(p)):
+        return []  # a table without any partition yet
     cur = spark.read.parquet(path)
     return [r[0] for r in cur.filter(window.contains(spec.date_col)).select(spec.date_col).distinct().collect()]
 
 
+JOURNAL = "_journal"
+
+
+def _write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file under another name and rename it, so it is there whole or not at all."""
+    p, fs = _fs(spark, f"{path}.part")
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if not fs.rename(p, _fs(spark, path)[0]):
+        raise OSError(f"could not write {path}")
+
+
+def pending_swaps(spark: SparkSession, path: str) -> list[str]:
+    """Journal entries of partition swaps of the table at ``path`` that have not ended, oldest first."""
+    p, fs = _fs(spark, f"{path.rstrip('/')}/{JOURNAL}")
+    if not fs.exists(p):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(p)]
+    return [f"{path.rstrip('/')}/{JOURNAL}/{n}" for n in sorted(names) if n.endswith(".json")]
+
+
+def _apply_swap(spark: SparkSession, path: str, entry: str) -> None:
+    """Carry out one journal entry from its staged copy; doing it again gives the same table."""
+    todo = json.loads(spark.read.text(entry, wholetext=True).first()[0])
+    if todo["dates"]:
+        staged = spark.read.schema(StructType.fromJson(todo["schema"])).parquet(todo["stage"])
+        (staged.sortWithinPartitions(todo["date_col"], *todo["cluster_by"]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(todo["date_col"]).parquet(path))
+    for d in todo["gone"]:
+        remove_path(spark, f"{path.rstrip('/')}/{todo['date_col']}={d}")
+    remove_path(spark, entry)  # from here on the swap is done
+    remove_path(spark, todo["stage"])
+
+
+def recover(spark: SparkSession, path: str) -> int:
+    """Finish the partition swaps that an earlier job began and did not end; returns their number.
+
+    Readers and writers of a table call this first: whatever the moment of a kill, they see the
+    old window (nothing was journalled yet) or the new one.
+    """
+    entries = pending_swaps(spark, path)
+    for entry in entries:
+        _apply_swap(spark, path, entry)
+    return len(entries)
+
+
+def swap_partitions(spark: SparkSession, rows: DataFrame, path: str, spec: TableSpec, old_dates: Sequence[_dt.date]) -> None:
+    """Replace the partitions ``old_dates`` and those that ``rows`` has with ``rows``, all or nothing.
+
+    ``rows`` may read the table itself: it is staged in the shared folder, laid out as it will be
+    written. Then a journal entry beside the table names the staged copy, the partitions to
+    replace and those left empty; from that moment the new state holds, and a job that dies while
+    it replaces them is finished by :func:`recover`.
+    """
+    stage = f"{checkpoint_dir(spark).rstrip('/')}/stage-{spec.name}-{uuid.uuid4().hex}"
+    try:
+        layout(rows, spec).write.mode("overwrite").parquet(stage)
+        staged = spark.read.schema(rows.schema).parquet(stage)
+        dates = {r[0] for r in staged.select(spec.date_col).distinct().collect()}  # one row a partition
+        todo = {"stage": stage, "date_col": spec.date_col, "cluster_by": list(spec.cluster_by), "dates": sorted(d.isoformat() for d in dates),
+                "gone": sorted(d.isoformat() for d in set(old_dates) - dates), "schema": json.loads(rows.schema.json())}
+        entry = f"{path.rstrip('/')}/{JOURNAL}/{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex}.json"
+        _write_text(spark, entry, json.dumps(todo))
+    except BaseException:
+        remove_path(spark, stage)  # nothing was journalled, the old state holds
+        raise
+    _apply_swap(spark, path, entry)
+
+
 def write_window(spark: SparkSession, new_state: DataFrame, path: str, spec: TableSpec,
                  window: Window) -> None:
-    """Replace the window's partitions of the table at ``path`` with ``new_state``.
+    """Replace the window's partitions of the table at ``path`` with ``new_state``, all or nothing.
+
+    ``new_state`` may read the table itself (it usually does: a MERGE). Partitions of the window
+    that end up empty are removed. A swap that an earlier job left unfinished is finished first.
+    """
+    recover(spark, path)
+    swap_partitions(spark, new_state.filter(window.contains(spec.date_col)), path, spec, _existing_dates(spark, path, spec, window))
+
+
+def rewrite_partitions(spark: SparkSession, new_state: DataFrame, path: str, spec: TableSpec, dates: Sequence[_dt.date]) -> None:
+    """Replace just the listed date partitions with ``new_state``, all or nothing; the others are neither read nor written.
 
-    ``new_state`` may read the table itself (it usually does: a MERGE), so it
-    is staged first. Partitions of the window that end up empty are removed
-    explicitly, since dynamic overwrite only replaces partitions it writes.
+    ``new_state`` should read the table partition by partition, so that the dates reach its scan.
     """
-    part = new_state.filter(window.contains(spec.date_col))
-    staged, stage = _stage(spark, part, spec)
-    before = set(_existing_dates(spark, path, spec, window))
-    (layout(staged, spec).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(spec.date_col).parquet(path))
-    after = {r[0] for r in staged.select(spec.date_col).distinct().collect()}
-    gone = before - after
-    if gone:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        for d in gone:
-            p = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{spec.date_col}={d.isoformat()}")
-            p.getFileSystem(conf).delete(p, True)
-    remove_path(spark, stage)
+    recover(spark, path)
+    if dates:
+        swap_partitions(spark, new_state.filter(F.col(spec.date_col).isin(sorted(dates))), path, spec, dates)
 
 
 def truncate_load_guarded(spark: SparkSession, rows: DataFrame, path: str) -> None:
@@ -159,6 +227,7 @@ def append_table(rows: DataFrame, path: str, spec: TableSpec) -> None:
     """Append landed rows; an empty payload writes nothing."""
     if rows.isEmpty():
         return
+    recover(rows.sparkSession, path)
     layout(rows, spec).write.mode("append").partitionBy(spec.date_col).parquet(path)
 
 
@@ -166,6 +235,7 @@ def purge_partitions_before(spark: SparkSession, path: str, spec: TableSpec, cut
     """Retention by partition: delete date partitions older than ``cutoff``."""
     if not path_exists(spark, path):
         return 0
+    recover(spark, path)
     cur = spark.read.parquet(path)
     old = [r[0] for r in cur.filter(F.col(spec.date_col) < F.lit(cutoff)).select(spec.date_col).distinct().collect()]
     jvm = spark.sparkContext._jvm
