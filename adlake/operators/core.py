@@ -10,21 +10,25 @@ from pyspark.sql import functions as F
 from adlake.functions.columns import (blank_key, customer_key, last_non_null, load_ts,
                                       strip_account_prefix, sum0)
 from adlake.operators.dedup import latest_by
-from adlake.operators.joins import (best_effective_lookup, bounded_broadcast, effective_lookup, fits,
-                                    keyword_rank, keyword_rule_match, resolve_effective_segments)
+from adlake.operators.joins import (Segments, best_effective_lookup, bounded_broadcast, build_segments, effective_lookup,
+                                    keyword_rank, keyword_rule_match)
 from adlake.session import Window
 
 UNKNOWN = "UNKNOWN"
 MAP_PRIORITY = ("effective_start_date", "updated_at")
 
 
-def account_segments(account_map: DataFrame) -> DataFrame:
-    """Non-overlapping (channel, account) -> branch segments; newest start wins."""
-    return resolve_effective_segments(account_map, ["channel_key", "account_id_norm"], ["branch_id"],
-                                      priority=MAP_PRIORITY)
+def account_segments(account_map: DataFrame | Segments) -> Segments:
+    """Non-overlapping (channel, account) -> branch segments; newest start wins.
+
+    Facts take a map or these segments; a plan of several facts builds them once.
+    """
+    if isinstance(account_map, Segments):
+        return account_map
+    return build_segments(account_map, ["channel_key", "account_id_norm"], ["branch_id"], priority=MAP_PRIORITY)
 
 
-def branch_by_account(facts: DataFrame, account_map: DataFrame, date_col: str,
+def branch_by_account(facts: DataFrame, account_map: DataFrame | Segments, date_col: str,
                       out_col: str = "branch_id") -> DataFrame:
     """Effective-dated account -> branch lookup; NULL end is open, default UNKNOWN.
 
@@ -32,10 +36,9 @@ def branch_by_account(facts: DataFrame, account_map: DataFrame, date_col: str,
     the newest update. The overlap is resolved on the (small) map side, so
     every fact row matches at most one segment and needs no deduplication.
     """
-    small = fits(account_map)
-    seg = account_segments(account_map).withColumnRenamed("branch_id", "__seg_branch")
-    out = effective_lookup(facts, seg, [F.col("channel_key"), F.col("account_id_norm")],
-                           ["channel_key", "account_id_norm"], date_col, ["__seg_branch"], small=small)
+    seg = account_segments(account_map)
+    out = effective_lookup(facts, seg.rows.withColumnRenamed("branch_id", "__seg_branch"), [F.col("channel_key"), F.col("account_id_norm")],
+                           ["channel_key", "account_id_norm"], date_col, ["__seg_branch"], small=seg.small)
     return out.withColumn(out_col, F.coalesce(F.col("__seg_branch"), F.lit(UNKNOWN))).drop("__seg_branch")
 
 
@@ -170,10 +173,10 @@ def fact_action(stg_action: DataFrame, account_map: DataFrame, w: Window) -> Dat
                          "action_type"], ["load_ts"], blank_keys=["ad_group_id", "ad_id"])
 
 
-def map_segments(m: DataFrame, keys: Sequence[str], value_cols=("branch_id",)) -> DataFrame:
+def map_segments(m: DataFrame, keys: Sequence[str], value_cols=("branch_id",)) -> Segments:
     """Segments of a governance map, carrying the priority columns."""
     m = m.withColumn("__es", F.col("effective_start_date")).withColumn("__up", F.col("updated_at"))
-    return resolve_effective_segments(m, list(keys), list(value_cols) + ["__es", "__up"], priority=MAP_PRIORITY)
+    return build_segments(m, list(keys), list(value_cols) + ["__es", "__up"], priority=MAP_PRIORITY)
 
 
 def fact_web_event(stg_web: DataFrame, property_map: DataFrame, w: Window) -> DataFrame:
@@ -181,8 +184,7 @@ def fact_web_event(stg_web: DataFrame, property_map: DataFrame, w: Window) -> Da
     s = stg_web.filter(w.contains("event_date"))
     seg = map_segments(property_map, ["property_id"])
     return best_effective_lookup(s, [(seg, [F.col("property_id")], ["property_id"])], "event_date",
-                                 ["branch_id"], ["__es", "__up"], default={"branch_id": UNKNOWN},
-                                 small=fits(property_map)).drop("__es", "__up")
+                                 ["branch_id"], ["__es", "__up"], default={"branch_id": UNKNOWN}).drop("__es", "__up")
 
 
 def fact_order_line(stg_orders: DataFrame, fever_map: DataFrame, sales_map: DataFrame,
@@ -205,7 +207,7 @@ def fact_order_line(stg_orders: DataFrame, fever_map: DataFrame, sales_map: Data
         (map_segments(sales_map, ["source_system"]), [F.when(is_sales, F.col("source_system"))], ["source_system"]),
     ]
     out = best_effective_lookup(s, lookups, "order_date", ["branch_id"], ["__es", "__up"],
-                                default={"branch_id": UNKNOWN}, small=fits(fever_map) and fits(sales_map))
+                                default={"branch_id": UNKNOWN})
     return out.drop("__es", "__up", "customer_email_hash", "customer_phone_hash")
 
 
@@ -222,7 +224,7 @@ def fact_survey(stg_survey: DataFrame, survey_map: DataFrame, w: Window) -> Data
          ["survey_source"]),
     ]
     out = best_effective_lookup(s, lookups, "response_date", ["branch_id"], ["__es", "__up"],
-                                default={"branch_id": UNKNOWN}, small=fits(survey_map))
+                                default={"branch_id": UNKNOWN})
     return out.drop("__es", "__up", "customer_email_hash", "customer_phone_hash")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as _dt
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -36,6 +37,36 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> Data
     return F.broadcast(df) if fits(df, max_rows) else df
 
 
+#: Days are counted from far enough back that every SQL date is a number from 0 below 2 ** LEVELS.
+DAY_ZERO, LEVELS = 1 << 20, 22
+
+
+def day_number(c: Column) -> Column:
+    return F.unix_date(c) + F.lit(DAY_ZERO)
+
+
+def dyadic_ranges(first: Column, last: Column) -> Column:
+    """The days ``first`` to ``last`` (day numbers) as an array of ranges (level, place).
+
+    A range of level L covers the 2 ** L days from place * 2 ** L on. The ranges don't overlap and
+    there are two a level at most, so an interval of n days has O(log n) of them.
+    """
+    def of_level(n: Column) -> Column:
+        size = F.pow(F.lit(2), n).cast("long")
+        low, high = F.ceil(first / size).cast("int"), F.floor((last + 1) / size).cast("int")
+        pick = lambda c, place: F.when((low < high) & (c % 2 == 1), F.struct(n.alias("level"), place.alias("place")))
+        return F.array(pick(low, low), pick(high, high - 1))
+
+    levels = F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), of_level)
+    return F.filter(F.flatten(levels), lambda x: x.isNotNull())
+
+
+def covering_ranges(day: Column) -> Column:
+    """All (level, place) whose range holds a day: one a level."""
+    return F.transform(F.sequence(F.lit(0), F.lit(LEVELS - 1)), lambda n: F.struct(
+        n.alias("level"), F.floor(day / F.pow(F.lit(2), n)).cast("int").alias("place")))
+
+
 def resolve_effective_segments(mapping: DataFrame, keys: Sequence[str], value_cols: Sequence[str],
                                start_col: str = "effective_start_date",
                                end_col: str = "effective_end_date",
@@ -43,35 +74,57 @@ def resolve_effective_segments(mapping: DataFrame, keys: Sequence[str], value_co
                                active_col: str | None = "is_active") -> DataFrame:
     """Turn an effective-dated map with overlaps into non-overlapping segments.
 
-    A NULL end is open. Where mappings overlap, the one with the greatest
-    ``priority`` (e.g. newest start, then newest update) wins. The result has
-    ``keys``, ``seg_start``, ``seg_end`` (inclusive) and ``value_cols``; each
-    date of each key falls into at most one segment, so a fact joined to it
-    needs no post-join deduplication (no shuffle of the fact side).
+    A NULL end is open, a NULL start matches no date. Where mappings overlap,
+    the one with the greatest ``priority`` (e.g. newest start, then newest
+    update; ties: the greatest values) wins. The result has ``keys``,
+    ``seg_start``, ``seg_end`` (inclusive) and ``value_cols``; each date of
+    each key falls into at most one segment, so a fact joined to it needs no
+    post-join deduplication (no shuffle of the fact side).
+
+    Segments begin where a mapping begins or has ended. The best mapping of
+    each such day comes from a dyadic index: every mapping is cut into
+    O(log days) aligned ranges, a range keeps its best mapping only, and a day
+    looks its 22 ranges up by equality. So n mappings of one key cost
+    O(n log days) rows, spread by range, and no two mappings are compared.
 
     The work is on the small map side only.
     """
     m = mapping
     if active_col:
         m = m.filter(F.col(active_col) == F.lit(True))
-    m = m.select(*keys, F.col(start_col).alias("__s"),
-                 F.coalesce(F.col(end_col), F.lit(OPEN_END)).alias("__e"),
-                 *value_cols,
-                 F.struct(*[F.col(p) if isinstance(p, str) else p for p in priority]).alias("__p"))
-    bounds = (m.select(*keys, F.col("__s").alias("__b"))
-               .unionByName(m.filter(F.col("__e") < F.lit(OPEN_END))
-                             .select(*keys, F.date_add("__e", 1).alias("__b")))
-               .distinct())
-    wk = W.partitionBy(*keys).orderBy("__b")
-    segs = bounds.select(*keys, F.col("__b").alias("seg_start"),
-                         F.date_sub(F.lead("__b").over(wk), 1).alias("__next"))
-    segs = segs.withColumn("seg_end", F.coalesce("__next", F.lit(OPEN_END))).drop("__next")
-    cand = segs.join(m, on=list(keys), how="inner").filter(
-        (F.col("__s") <= F.col("seg_start")) & (F.col("__e") >= F.col("seg_start")))
-    packed = F.struct(*[F.col(v) for v in value_cols])
-    best = (cand.groupBy(*keys, "seg_start", "seg_end")
-                .agg(F.max_by(packed, F.col("__p")).alias("__v")))
-    return best.select(*keys, "seg_start", "seg_end", *[F.col(f"__v.{v}").alias(v) for v in value_cols])
+    best = F.struct(F.struct(*[F.col(p) if isinstance(p, str) else p for p in priority]).alias("p"),
+                    F.struct(*[F.col(v) for v in value_cols]).alias("v"))
+    m = m.filter(F.col(start_col).isNotNull()).select(
+        *keys, F.col(start_col).alias("__s"), F.coalesce(F.col(end_col), F.lit(OPEN_END)).alias("__e"), best.alias("__b"))
+    days = F.filter(F.array(F.col("__s"), F.when(F.col("__e") < F.lit(OPEN_END), F.date_add("__e", 1))), lambda d: d.isNotNull())
+    nothing = F.lit(None).cast(m.schema["__b"].dataType)
+    entries = F.transform(dyadic_ranges(day_number(F.col("__s")), day_number(F.col("__e"))), lambda r: F.struct(
+        r["level"].alias("level"), r["place"].alias("place"), F.lit(None).cast("date").alias("day"), F.col("__b").alias("best")))
+    probes = F.flatten(F.transform(days, lambda d: F.transform(covering_ranges(day_number(d)), lambda r: F.struct(
+        r["level"].alias("level"), r["place"].alias("place"), d.alias("day"), nothing.alias("best")))))
+    rows = m.select(*keys, F.inline(F.concat(entries, probes)))
+    of_range = F.max("best").over(W.partitionBy(*keys, "level", "place"))
+    found = rows.withColumn("best", of_range).filter(F.col("day").isNotNull()).groupBy(*keys, "day").agg(F.max("best").alias("best"))
+    follows = F.lead("day").over(W.partitionBy(*keys).orderBy("day"))  # a key has no more rows than there are days
+    segs = found.withColumn("seg_end", F.coalesce(F.date_sub(follows, 1), F.lit(OPEN_END))).filter(F.col("best").isNotNull())
+    return segs.select(*keys, F.col("day").alias("seg_start"), "seg_end", *[F.col(f"best.v.{v}").alias(v) for v in value_cols])
+
+
+@dataclass(frozen=True)
+class Segments:
+    """Resolved segments of a map, with whether its size was checked to be broadcast. Build once, hand to every lookup."""
+
+    rows: DataFrame
+    small: bool
+
+
+def build_segments(mapping: DataFrame, *args, **kwargs) -> Segments:
+    """:func:`resolve_effective_segments` of a map whose size is looked at once.
+
+    A map within the bound is resolved in one partition, which needs no shuffle at all.
+    """
+    small = fits(mapping)
+    return Segments(resolve_effective_segments(mapping.coalesce(1) if small else mapping, *args, **kwargs), small)
 
 
 def effective_lookup(facts: DataFrame, segments: DataFrame, fact_keys: Sequence[Column],
@@ -172,11 +225,11 @@ def keyword_rule_match(names: DataFrame, name_col: str, rules: DataFrame,
 
 def best_effective_lookup(facts: DataFrame, lookups, date_col: str | Column,
                           value_cols: Sequence[str], priority_cols: Sequence[str],
-                          default: dict | None = None, small: bool = False) -> DataFrame:
+                          default: dict | None = None) -> DataFrame:
     """Resolve one value set per fact row from several effective-dated lookups.
 
     ``lookups`` is a list of ``(segments, fact_key_columns, segment_key_names)``
-    (segments from :func:`resolve_effective_segments`, carrying
+    (segments from :func:`build_segments`, carrying
     ``priority_cols`` among their value columns). Each lookup matches a fact
     row at most once; the match with the greatest priority wins and earlier
     lookups win ties. This expresses OR-joins and wildcard keys as equi-joins,
@@ -185,10 +238,10 @@ def best_effective_lookup(facts: DataFrame, lookups, date_col: str | Column,
     carried = list(value_cols) + [p for p in priority_cols if p not in value_cols]
     out = facts
     for i, (seg, fkeys, skeys) in enumerate(lookups):
-        seg_i = seg.select(*skeys, "seg_start", "seg_end", F.lit(True).alias(f"__l{i}_hit"),
+        seg_i = seg.rows.select(*skeys, "seg_start", "seg_end", F.lit(True).alias(f"__l{i}_hit"),
                            *[F.col(v).alias(f"__l{i}_{v}") for v in carried])
         out = effective_lookup(out, seg_i, fkeys, list(skeys), date_col,
-                               [f"__l{i}_hit"] + [f"__l{i}_{v}" for v in carried], small)
+                               [f"__l{i}_hit"] + [f"__l{i}_{v}" for v in carried], seg.small)
     win = F.lit(None).cast("int")
     best = None
     for i in range(len(lookups)):

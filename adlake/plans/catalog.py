@@ -94,6 +94,10 @@ class Ctx:
     def gov(self):
         return self._memo("gov", lambda: fx.governance(self.spark, self.sf))
 
+    def accounts(self):
+        """Segments of the account map, built once for all facts of a plan."""
+        return self._memo("accounts", lambda: core.account_segments(self.gov["account_map"]))
+
     def stg_perf(self):
         r = self.raws
         return self._memo("stg_perf", lambda: staging.stg_ads_performance(
@@ -107,7 +111,7 @@ class Ctx:
     def fact_mkt(self):
         g = self.gov
         return self._memo("fact_mkt", lambda: core.fact_marketing(
-            self.stg_perf(), g["account_map"], g["rules"], g["dim_branch"], self.w, TIE))
+            self.stg_perf(), self.accounts(), g["rules"], g["dim_branch"], self.w, TIE))
 
     def dim_campaign(self):
         r = self.raws
@@ -120,7 +124,7 @@ class Ctx:
 
     def fact_action(self):
         return self._memo("fact_action", lambda: core.fact_action(
-            self.stg_action(), self.gov["account_map"], self.w))
+            self.stg_action(), self.accounts(), self.w))
 
     def stg_web(self):
         return self._memo("stg_web", lambda: staging.stg_web_event(fx.ga4_raw(self.spark, self.sf), self.w, NOW))
@@ -172,7 +176,7 @@ def q_branch_by_account(spark, sf):
     c = ctx(spark, sf)
     f = c.stg_perf().select("channel_key", "account_id_norm", "campaign_id", "ad_group_id", "ad_group_name",
                             "ad_id", "stat_date", "load_ts", *TIE)
-    return finish(core.branch_by_account(f, c.gov["account_map"], "stat_date"))
+    return finish(core.branch_by_account(f, c.accounts(), "stat_date"))
 
 
 @query("branch_by_rule")
@@ -329,7 +333,7 @@ class BCtx(Ctx):
         return self._memo("stg_bd", lambda: BD.stg_breakdown(m, g, self.w, NOW))
 
     def fact_bd(self):
-        return self._memo("fact_bd", lambda: BD.fact_breakdown(self.stg_bd(), self.gov["account_map"], self.w))
+        return self._memo("fact_bd", lambda: BD.fact_breakdown(self.stg_bd(), self.accounts(), self.w))
 
     def geo_map(self):
         def mk():
@@ -449,7 +453,7 @@ from adlake.operators import asset as AS  # noqa: E402
 
 def _asset_fact(c: Ctx):
     raw = fx.with_load_times(fx.view(c.spark, c.sf, "fx_asset_raw"))
-    return AS.fact_asset(AS.stg_asset(raw, c.w, NOW, TIE), c.gov["account_map"], c.w)
+    return AS.fact_asset(AS.stg_asset(raw, c.w, NOW, TIE), c.accounts(), c.w)
 
 
 @query("stg_asset")
@@ -476,7 +480,7 @@ def q_enrich_branch(spark, sf):
     old_map = g["account_map"].filter(F.col("updated_seq") == 1)
     old_rules = g["rules"].filter(F.col("rule_id").isin("R1", "R2", "R3"))
     old = core.fact_marketing(c.stg_perf(), old_map, old_rules, g["dim_branch"], c.w, TIE)
-    return finish(core.enrich_branch(old, g["account_map"], g["rules"], c.w, naver_rows=c.stg_perf()))
+    return finish(core.enrich_branch(old, c.accounts(), g["rules"], c.w, naver_rows=c.stg_perf()))
 
 
 @query("geo_display_name")

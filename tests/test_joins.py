@@ -1,11 +1,13 @@
 """Latest-wins, effective-dated segments and keyword rules."""
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from adlake.operators.dedup import latest_by
-from adlake.operators.joins import keyword_rank, resolve_effective_segments
+from adlake.operators.joins import dyadic_ranges, keyword_rank, resolve_effective_segments
 from adlake.operators import core
 
 D = dt.date
@@ -30,6 +32,68 @@ def test_segments_resolve_overlap_newest_start(spark):
                    (D(2020, 7, 1), D(9999, 12, 31), "B2")]
 
 
+def brute_best(rows, key, day):
+    live = [(r[2] or D(1, 1, 1), r[5], r[1]) for r in rows if r[0] == key and r[4] and r[2] is not None and r[2] <= day <= (r[3] or D(9999, 12, 31))]
+    return max(live)[2] if live else None
+
+
+@pytest.mark.parametrize("seed", range(3))
+@pytest.mark.parametrize("single", [True, False])
+def test_segments_equal_brute_force_on_every_day(spark, seed, single):
+    rng, base = random.Random(seed), D(1969, 12, 1)
+    rows = []
+    for k in ("a", "b", None):
+        for i in range(25):
+            s = base + dt.timedelta(days=rng.randrange(90))
+            rows.append((k, f"B{i}", s, rng.choice([None, s + dt.timedelta(days=rng.randrange(-2, 40))]), rng.random() < 0.9, i))
+    rows += [("c", "X", D(1, 1, 1), D(1, 1, 2), True, 0), ("c", "Y", D(9999, 12, 30), D(9999, 12, 31), True, 0), ("d", "Z", None, None, True, 0)]
+    m = spark.createDataFrame(rows, "k string, branch_id string, effective_start_date date, effective_end_date date, is_active boolean, u int")
+    seg = resolve_effective_segments(m.coalesce(1) if single else m.repartition(5), ["k"], ["branch_id"], priority=["effective_start_date", "u"]).collect()
+    for k in ("a", "b", "c", "d"):
+        own = sorted((r.seg_start, r.seg_end, r.branch_id) for r in seg if r.k == k)
+        assert all(x[1] < y[0] for x, y in zip(own, own[1:]))
+        for day in [base + dt.timedelta(days=i) for i in range(-3, 140)] + [D(1, 1, 1), D(1, 1, 3), D(9999, 12, 30), D(9999, 12, 31)]:
+            got = [b for s, e, b in own if s <= day <= e]
+            assert got == ([brute_best(rows, k, day)] if brute_best(rows, k, day) else []), (k, day)
+
+
+def test_dyadic_ranges_tile_the_interval(spark):
+    rng = random.Random(4)
+    wide = (329_414, 3_981_472)  # the first and last day of SQL dates
+    pairs = [(0, 0), (5, 4), wide] + [tuple(sorted(rng.sample(range(1 << 12), 2))) for _ in range(40)]
+    rows = spark.createDataFrame(pairs, "f int, l int").select("f", "l", dyadic_ranges(F.col("f"), F.col("l")).alias("r")).collect()
+    for f, l, r in rows:
+        days = [d for x in r for d in range(x.place << x.level, (x.place + 1) << x.level)]
+        assert sorted(days) == list(range(f, l + 1))
+        assert len(r) <= 44
+
+
+def test_many_mappings_of_one_key_make_no_pairs(spark):
+    n = 100_000
+    m = spark.range(n).select(F.lit("hot").alias("k"), F.concat(F.lit("B"), F.col("id")).alias("branch_id"), F.lit(True).alias("is_active"),
+                              F.date_add(F.lit(D(1900, 1, 1)), (F.col("id") % 40000).cast("int")).alias("effective_start_date"), F.col("id").alias("u"))
+    m = m.withColumn("effective_end_date", F.date_add("effective_start_date", (F.col("u") % 20000).cast("int")))
+    seg = resolve_effective_segments(m, ["k"], ["branch_id"], priority=["u"])
+    assert "Join" not in seg._jdf.queryExecution().optimizedPlan().toString()
+    assert seg.count() <= 2 * n
+    got = {r.seg_start: r.branch_id for r in seg.where("seg_start BETWEEN '1950-01-01' AND '1950-01-10'").collect()}
+    for day, branch in got.items():
+        k = (day - D(1900, 1, 1)).days
+        live = [u for u in range(n) if u % 40000 <= k <= u % 40000 + u % 20000]
+        assert branch == f"B{max(live)}"
+
+
+def test_segments_are_built_once_and_handed_in(spark):
+    amap = spark.createDataFrame([("META", "1", "V1", D(2020, 1, 1), None, True, None)],
+                                 "channel_key string, account_id_norm string, branch_id string, effective_start_date date, "
+                                 "effective_end_date date, is_active boolean, updated_at timestamp")
+    seg = core.account_segments(amap)
+    assert core.account_segments(seg) is seg and seg.small
+    assert "Exchange" not in seg.rows._jdf.queryExecution().executedPlan().toString()
+    facts = spark.createDataFrame([("META", "1", D(2021, 1, 1))], "channel_key string, account_id_norm string, stat_date date")
+    assert core.branch_by_account(facts, seg, "stat_date").first().branch_id == core.branch_by_account(facts, amap, "stat_date").first().branch_id == "V1"
+
+
 def test_branch_by_account_unknown_and_inactive(spark):
     amap = spark.createDataFrame([
         ("META", "1", "V1", D(2020, 1, 1), D(2020, 1, 31), True, None),
