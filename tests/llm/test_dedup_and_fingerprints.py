@@ -9,6 +9,8 @@ from collections import Counter
 import xxhash
 from pyspark.sql import functions as F
 
+import pytest
+
 from adlake.llm import components, fingerprints, lm_scoring, queries, simhash
 
 
@@ -163,19 +165,36 @@ def test_backoff_scores_match_brute_force(documents):
     rows = [(r.doc_id, r.text) for r in documents.collect()]
     for order in (2, 3):
         want = _backoff(rows, order)
-        for r in lm_scoring.score(documents, order=order).collect():
+        for r in lm_scoring.score(documents, order=order, min_count=2).collect():
             n, s = want[r.doc_id]
             assert r.n_tokens == n and abs(r.log_score - s) < 1e-4 * max(1, abs(s))
 
 
 def test_backoff_scores_odd_rows(odd, empty):
-    got = lm_scoring.score(odd).collect()
-    want = _backoff([(r.doc_id, r.text) for r in odd.collect()], 2)
-    assert len(got) == odd.count()
+    for order, least in ((2, 2), (1, 1), (2, 1), (3, 1), (4, 1)):
+        got = lm_scoring.score(odd, order=order, min_count=least).collect()
+        want = _backoff([(r.doc_id, r.text) for r in odd.collect()], order, least)
+        assert len(got) == odd.count()
+        for r in got:
+            n, s = want[r.doc_id]
+            assert r.n_tokens == n and abs(r.log_score - s) < 1e-3 * max(1, abs(s)) and (r.per_token is None) == (n == 0)
+        assert lm_scoring.score(empty, order=order, min_count=least).collect() == []
+
+
+@pytest.mark.parametrize("often", [3, 40, 1000])
+def test_backoff_in_many_parts_and_frequent_ngrams(spark, monkeypatch, often):
+    common = " ".join(["the same pair of words"] * 30)
+    rows = [(f"d{i % 37}", f"{common if i % 3 else ''} w{i % 7} x{i % 11} y{i % 5} " * (i % 4)) for i in range(60)] + [(None, common), ("one", "x1"), ("two", "x1 the")]
+    monkeypatch.setattr(lm_scoring, "PART_GRAMS", 500)
+    monkeypatch.setattr(lm_scoring, "PACKED_GRAMS", 300)
+    monkeypatch.setattr(lm_scoring, "FREQUENT", often)
+    df = spark.createDataFrame(rows, "doc_id string, text string").repartition(3)
+    want = _backoff(rows, 3, least=1, ident=bytes)
+    got = lm_scoring.score(df).collect()
+    assert len(got) == len(rows)
     for r in got:
         n, s = want[r.doc_id]
-        assert r.n_tokens == n and abs(r.log_score - s) < 1e-3 * max(1, abs(s)) and (r.per_token is None) == (n == 0)
-    assert lm_scoring.score(empty).collect() == []
+        assert r.n_tokens == n and abs(r.log_score - s) < 1e-6 * max(1, abs(s))
 
 
 def test_backoff_query_counts_every_ngram(spark, documents):
