@@ -155,7 +155,10 @@ def effective_lookup(facts: DataFrame, segments: DataFrame, fact_keys: Sequence[
     return out
 
 
-RULE_CASE_MAX = 2_000
+#: Rules up to which matching is one CASE expression; beyond, names are joined to a gram index of the rules. Both rank alike.
+RULE_CASE_MAX = 64
+#: Length of the grams that keywords are indexed by.
+GRAM = 3
 
 
 def keyword_rank(rules: DataFrame, text: Column, order: Sequence[Column], value_col: str = "branch_id",
@@ -195,10 +198,12 @@ def keyword_rule_match(names: DataFrame, name_col: str, rules: DataFrame,
     """Best rule per distinct name: ``lower(name)`` contains ``lower(keyword)``.
 
     Ranking is priority ascending (NULL first), longer keyword first, newest
-    update, then rule id. The join runs on *distinct* names only: each name is
-    expanded into its substrings of the lengths that rules actually use (their
-    number is bounded by the longest keyword) and joined on equality, so no
-    name is compared with every rule.
+    update, then rule id. The join runs on *distinct* names only, over a gram
+    index: each keyword is filed under one of its 3-character grams, the one
+    that fewest names contain (a shorter keyword under itself), each name looks
+    up its own distinct grams by equality, and only the keywords met there are
+    tested with ``contains``. A name has as many grams as characters, however
+    many rules there are, and no name is compared with every rule.
     Returns ``name_col`` plus ``value_cols`` (names with no rule are absent).
     """
     r = rules
@@ -208,19 +213,29 @@ def keyword_rule_match(names: DataFrame, name_col: str, rules: DataFrame,
     if priority is None:
         priority = [F.col("priority").isNull().alias("pn"), (-F.col("priority")).alias("p0"), F.length(keyword_col).alias("p1"),
                     F.col("updated_at").alias("p2"), (F.col("rule_id")).alias("p3")]
-    r = r.select(F.lower(F.col(keyword_col)).alias("__kw"), *value_cols,
-                 F.struct(*priority).alias("__p"))
-    n = names.select(F.col(name_col)).distinct().withColumn("__lname", F.lower(F.coalesce(F.col(name_col), F.lit(""))))
-    lens = sorted(x["len"] for x in r.select(F.length("__kw").alias("len")).distinct().collect())
-    subs = (n.withColumn("__len", F.explode(F.array(*[F.lit(x) for x in lens]) if lens else F.expr("cast(array() as array<int>)")))
-             .filter(F.length("__lname") >= F.col("__len"))
-             .withColumn("__pos", F.explode(F.sequence(F.lit(1), F.length("__lname") - F.col("__len") + 1)))
-             .withColumn("__kw", F.substring(F.col("__lname"), F.col("__pos"), F.col("__len")))
-             .select(name_col, "__kw").distinct())
-    cand = subs.join(r, "__kw", "inner")
     packed = F.struct(*[F.col(v) for v in value_cols])
-    best = cand.groupBy(name_col).agg(F.max_by(packed, F.col("__p")).alias("__v"))
-    return best.select(name_col, *[F.col(f"__v.{v}").alias(v) for v in value_cols])
+    # rules of one keyword: only the best can win
+    r = r.groupBy(F.lower(F.col(keyword_col)).alias("__kw")).agg(F.max(F.struct(F.struct(*priority).alias("p"), packed.alias("v"))).alias("__b"))
+    n = names.select(F.col(name_col)).distinct().withColumn("__lname", F.lower(F.coalesce(F.col(name_col), F.lit(""))))
+    sizes = [x["n"] for x in r.select(F.least(F.length("__kw"), F.lit(GRAM)).alias("n")).distinct().collect()]  # at most GRAM values
+    looked_up = F.array_distinct(F.flatten(F.array(*[grams(F.col("__lname"), size) for size in sorted(sizes)])) if sizes
+                                 else F.array().cast("array<string>"))
+    of_name = n.select(name_col, "__lname", F.explode(looked_up).alias("__g"))
+    of_rule = r.select("__kw", F.explode(F.array_distinct(grams(F.col("__kw"), F.least(F.length("__kw"), F.lit(GRAM))))).alias("__g"))
+    spread = of_name.groupBy("__g").agg(F.count(F.lit(1)).alias("__n"))
+    filed = of_rule.join(spread, "__g").groupBy("__kw").agg(  # a keyword with a gram no name has is lost here only if it can't match
+        F.min(F.struct("__n", "__g")).alias("__key")).select("__kw", F.col("__key.__g").alias("__g"))
+    cand = of_name.join(filed.join(r, "__kw"), "__g").filter(F.contains(F.col("__lname"), F.col("__kw")))
+    best = cand.groupBy(name_col).agg(F.max("__b").alias("__b"))
+    return best.select(name_col, *[F.col(f"__b.v.{v}").alias(v) for v in value_cols])
+
+
+def grams(text: Column, size: int | Column) -> Column:
+    """All substrings of ``text`` with ``size`` characters, in place order; none if it is shorter."""
+    size = F.lit(size) if isinstance(size, int) else size
+    count = F.length(text) - size + 1
+    return F.when(count > 0, F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda i: F.substring(text, i, size))).otherwise(
+        F.array().cast("array<string>"))
 
 
 def best_effective_lookup(facts: DataFrame, lookups, date_col: str | Column,

@@ -119,3 +119,32 @@ def test_keyword_rank_priority_then_length(spark):
     out = core.branch_by_rule(names, rules, "n")
     got = {r.n: r.branch_id for r in out.collect()}
     assert got == {"Red Ring": "V2", "red plate": "V4", "blue": "UNKNOWN", None: "UNKNOWN"}
+
+
+def _rules(spark, n, seed=0):
+    rng = random.Random(seed)
+    words = ["ab", "a", "rä", "ring", "red", "blue ring", "%_x", "ümlaut"]
+    rows = [(f"R{i:06d}", f"V{i % 17}", words[i] if i < len(words) else "".join(rng.choices("abcdering ", k=rng.randrange(1, 9))).strip() or "q",
+             rng.choice([None, 1, 2, 3]), rng.random() < 0.9, dt.datetime(2024, 1, 1 + i % 28)) for i in range(n)]
+    return rows, spark.createDataFrame(rows, "rule_id string, branch_id string, match_keyword string, priority int, is_active boolean, updated_at timestamp")
+
+
+def _brute_rule(rows, name):
+    live = [(p is None, -(p or 0), len(k), u, i, b) for i, b, k, p, a, u in rows if a and k and k.lower() in (name or "").lower()]
+    return max(live)[-1] if live else "UNKNOWN"
+
+
+@pytest.mark.parametrize("n", [0, 10, 64, 65, 2000, 100_000])
+def test_rules_match_alike_at_every_number(spark, n):
+    rng = random.Random(n)
+    rows, rules = _rules(spark, n)
+    names = ["Red Ring", "RÄ", "", None, "a", "x", "100%_x", "blue ring of ümlauts"] + ["".join(rng.choices("abcderingXYZ ", k=rng.randrange(1, 30))) for _ in range(60)]
+    df = spark.createDataFrame([(x,) for x in names], "n string")
+    got = {r.n: r.branch_id for r in core.branch_by_rule(df, rules, "n").collect()}
+    assert got == {x: _brute_rule(rows, x) for x in names}
+
+
+def test_no_long_case_in_the_plan(spark):
+    _, rules = _rules(spark, 2000)
+    plan = core.branch_by_rule(spark.createDataFrame([("a",)], "n string"), rules, "n")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("CASE WHEN") < 20 and "Cartesian" not in plan and "instr" not in plan
