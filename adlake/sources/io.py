@@ -172,8 +172,8 @@ def recover(spark: SparkSession, path: str) -> int:
     return len(entries)
 
 
-def swap_partitions(spark: SparkSession, rows: DataFrame, path: str, spec: TableSpec, old_dates: Sequence[_dt.date]) -> None:
-    """Replace the partitions ``old_dates`` and those that ``rows`` has with ``rows``, all or nothing.
+def swap_partitions(spark: SparkSession, rows: DataFrame, path: str, spec: TableSpec, old_values: Sequence) -> None:
+    """Replace the partitions ``old_values`` and those that ``rows`` has with ``rows``, all or nothing.
 
     ``rows`` may read the table itself: it is staged in the shared folder, laid out as it will be
     written. Then a journal entry beside the table names the staged copy, the partitions to
@@ -185,8 +185,8 @@ def swap_partitions(spark: SparkSession, rows: DataFrame, path: str, spec: Table
         layout(rows, spec).write.mode("overwrite").parquet(stage)
         staged = spark.read.schema(rows.schema).parquet(stage)
         dates = {r[0] for r in staged.select(spec.date_col).distinct().collect()}  # one row a partition
-        todo = {"stage": stage, "date_col": spec.date_col, "cluster_by": list(spec.cluster_by), "dates": sorted(d.isoformat() for d in dates),
-                "gone": sorted(d.isoformat() for d in set(old_dates) - dates), "schema": json.loads(rows.schema.json())}
+        todo = {"stage": stage, "date_col": spec.date_col, "cluster_by": list(spec.cluster_by), "dates": sorted(map(str, dates)),
+                "gone": sorted(map(str, set(old_values) - dates)), "schema": json.loads(rows.schema.json())}
         entry = f"{path.rstrip('/')}/{JOURNAL}/{_dt.datetime.now(_dt.timezone.utc):%Y%m%d%H%M%S%f}-{uuid.uuid4().hex}.json"
         _write_text(spark, entry, json.dumps(todo))
     except BaseException:
@@ -206,14 +206,14 @@ def write_window(spark: SparkSession, new_state: DataFrame, path: str, spec: Tab
     swap_partitions(spark, new_state.filter(window.contains(spec.date_col)), path, spec, _existing_dates(spark, path, spec, window))
 
 
-def rewrite_partitions(spark: SparkSession, new_state: DataFrame, path: str, spec: TableSpec, dates: Sequence[_dt.date]) -> None:
-    """Replace just the listed date partitions with ``new_state``, all or nothing; the others are neither read nor written.
+def rewrite_partitions(spark: SparkSession, new_state: DataFrame, path: str, spec: TableSpec, values: Sequence) -> None:
+    """Replace just the listed partitions with ``new_state``, all or nothing; the others are neither read nor written.
 
-    ``new_state`` should read the table partition by partition, so that the dates reach its scan.
+    ``new_state`` should read the table partition by partition, so that the values reach its scan.
     """
     recover(spark, path)
-    if dates:
-        swap_partitions(spark, new_state.filter(F.col(spec.date_col).isin(sorted(dates))), path, spec, dates)
+    if values:
+        swap_partitions(spark, new_state.filter(F.col(spec.date_col).isin(sorted(values))), path, spec, values)
 
 
 def truncate_load_guarded(spark: SparkSession, rows: DataFrame, path: str) -> None:
