@@ -134,15 +134,28 @@ def stg_ads_action(meta: DataFrame, google: DataFrame, action_map: DataFrame, w:
                        F.max("load_ts").alias("load_ts")))
 
 
+WEB_KEYS = ["event_date", "property_id", "source", "medium", "campaign", "event_name"]
+
+
 def stg_web_event(ga4: DataFrame, w: Window, now=None) -> DataFrame:
-    """Daily web rollup: exact distinct users and sessions, event rows."""
-    return (ga4.filter(w.contains("event_date"))
-               .groupBy("event_date", "property_id", "source", "medium", "campaign", "event_name")
-               .agg(F.count_distinct("user_pseudo_id").alias("users"),
-                    F.count_distinct("session_id").alias("sessions"),
-                    F.count(F.lit(1)).alias("event_count"),
-                    F.lit(None).cast("bigint").alias("event_value_micros"),
-                    F.max(load_ts(now)).alias("load_ts")))
+    """Daily web rollup: exact distinct users and sessions, event rows.
+
+    Distincts are taken in two levels. Events are first reduced to a row per key, user and
+    session (combined in the map tasks), then to a row per key and user and one per key and
+    session, and these are counted by key. No row is copied per distinct count, and a key that
+    holds much of the events is spread over the tasks by its users and sessions until only
+    counts are left.
+    """
+    visits = (ga4.filter(w.contains("event_date")).groupBy(*WEB_KEYS, "user_pseudo_id", "session_id")
+              .agg(F.count(F.lit(1)).alias("n"), F.max(load_ts(now)).alias("load_ts")))
+    by_user = visits.groupBy(*WEB_KEYS, "user_pseudo_id").agg(F.sum("n").alias("n"), F.max("load_ts").alias("load_ts"))
+    by_session = visits.groupBy(*WEB_KEYS, "session_id").agg(F.max("load_ts").alias("load_ts"))
+    some = lambda c: F.col(c).isNotNull().cast("bigint")  # noqa: E731 - a null is no user or session
+    rows = by_user.select(*WEB_KEYS, some("user_pseudo_id").alias("users"), F.lit(0).cast("bigint").alias("sessions"), "n", "load_ts").unionByName(
+        by_session.select(*WEB_KEYS, F.lit(0).cast("bigint").alias("users"), some("session_id").alias("sessions"), F.lit(0).cast("bigint").alias("n"), "load_ts"))
+    return rows.groupBy(*WEB_KEYS).agg(
+        F.sum("users").alias("users"), F.sum("sessions").alias("sessions"), F.sum("n").alias("event_count"),
+        F.lit(None).cast("bigint").alias("event_value_micros"), F.max("load_ts").alias("load_ts"))
 
 
 ORDER_COLUMNS = ["order_source", "source_system", "order_id", "order_line_id", "order_ts", "order_date",

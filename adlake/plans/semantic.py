@@ -18,11 +18,13 @@ from dataclasses import dataclass, field
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, DoubleType, NumericType, TimestampNTZType, TimestampType
 
 from adlake.functions.columns import micros_to_double, safe_ratio
+from adlake.session import Window
+from adlake.sources import io
 
 MAX_ROWS = 10_000
 GRANULARITIES = ("day", "week", "month", "year")
@@ -131,6 +133,33 @@ def channel_cube_source(channel_map: DataFrame) -> DataFrame:
     return mapped.unionByName(fixed).distinct()
 
 
+# ------------------------------------------------------------------ stored marts
+#: Partition column of stored marts: the first day of the report date's month.
+MART_PARTITION = "report_month"
+
+
+def refresh_mart(spark: SparkSession, cube: str, mart: DataFrame, path: str, w: Window) -> None:
+    """Replace the stored mart's months of a refresh window with ``mart``, all or nothing.
+
+    The window must cover whole months, since a month is replaced as one; the mart's plan is
+    restricted to it, so its facts are read for the window only. Rows without a report date have
+    no place in a stored mart and are dropped, as every report-date range drops them.
+    """
+    last = w.end + _dt.timedelta(days=1)
+    if w.start.day != 1 or last.day != 1:
+        raise ValueError(f"a refresh window covers whole months, not {w.start} to {w.end}")
+    spec = io.TableSpec(f"mart-{cube}", MART_PARTITION, cluster_by=("report_date",), require_partition_filter=False)
+    months = Window(w.start, w.end.replace(day=1))
+    rows = mart.filter(w.contains("report_date")).withColumn(MART_PARTITION, F.trunc("report_date", "month"))
+    io.write_window(spark, rows, path, spec, months)
+
+
+def stored_mart(spark: SparkSession, path: str) -> DataFrame:
+    """A mart kept by :func:`refresh_mart`, as a cube's source: a query's report-date range prunes its partitions."""
+    io.recover(spark, path)
+    return spark.read.parquet(path)
+
+
 # ------------------------------------------------------------------ contract
 def _members(q: dict) -> list[str]:
     out = list(q.get("measures") or []) + list(q.get("dimensions") or []) + list(q.get("segments") or [])
@@ -318,6 +347,8 @@ def semantic_query(q: dict, sources: dict[str, DataFrame], today: _dt.date,
         cube, name = _split(t["dimension"])
         if t.get("dateRange") and cube == base_name:
             lo, hi = date_range(t["dateRange"], today)
+            if MART_PARTITION in df.columns and name == base.time_dimension:  # a stored mart: whole months first
+                df = df.filter(F.col(MART_PARTITION).between(F.lit(lo.replace(day=1)), F.lit(hi.replace(day=1))))
             df = df.filter(reg[cube].dimensions[name]().between(F.lit(lo), F.lit(hi)))
     # Many-to-one joins for dimension members of joined cubes.
     filtered = _filter_members(q.get("filters") or [])
