@@ -196,6 +196,16 @@ def q_stg_ads_performance_from_payloads(spark, sf):
         N.norm_naver_perf(n["stats"], n["campaigns"], n["adgroups"], W, RUN, NOW, NOW), ALL_TIME, NOW, STAGED_TIES))
 
 
+@query("stg_breakdown_from_payloads")
+def q_stg_breakdown_from_payloads(spark, sf):
+    """Breakdown payloads of both channels, unpivoted, collapsed and staged."""
+    from adlake.operators.breakdown import stg_breakdown
+    from adlake.session import ALL_TIME
+    p = fx.breakdown_payloads(spark, sf)
+    google = N.google_breakdown_raw(N.norm_google_breakdown(p["google"], W, RUN, NOW, NOW))
+    return finish(stg_breakdown(N.norm_meta_breakdown(p["meta"], RUN, NOW, NOW), google, ALL_TIME, NOW))
+
+
 @query("stg_asset_from_payloads")
 def q_stg_asset_from_payloads(spark, sf):
     """Google asset payloads, normalised and staged."""

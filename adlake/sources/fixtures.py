@@ -669,6 +669,24 @@ def breakdown_wide(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {"meta": meta, "google": google}
 
 
+def breakdown_payloads(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Landed breakdown answers: Meta insights as JSON, Google rows as JSON with the key they were asked for."""
+    w = breakdown_wide(spark, sf_dir)
+    meta = w["meta"].select(F.to_json(F.struct(
+        "account_id", "campaign_id", "campaign_name", _date_txt("stat_date").alias("date_start"), "age", "gender", "country", "region", "attribution_setting",
+        F.col("impressions").cast("string").alias("impressions"), F.concat(F.col("clicks").cast("string"), F.lit(".2")).alias("clicks"),
+        _micros_text("spend_micros").alias("spend"))).alias("payload"))
+    row = F.struct(
+        F.struct(F.col("campaign_id").alias("id"), F.col("campaign_name").alias("name")).alias("campaign"),
+        F.struct(_date_txt("stat_date").alias("date"), F.col("geo_target_region")).alias("segments"),
+        F.struct(F.struct(F.col("age_range").alias("type")).alias("age_range"), F.struct(F.trim("gender").alias("type")).alias("gender")).alias("ad_group_criterion"),
+        F.struct(F.col("geo_target_country").alias("country_criterion_id")).alias("user_location_view"),
+        F.struct("impressions", "clicks", "cost_micros", "conversions", (F.col("conversion_value_micros") / F.lit(1e6)).alias("conversions_value")).alias("metrics"))
+    keys = F.array(*[F.lit(k) for k in ("age_range", "gender", "geo_target_country", "geo_target_region")])
+    google = w["google"].select("customer_id", F.to_json(row).alias("payload")).select("customer_id", F.explode(keys).alias("breakdown_key"), "payload")
+    return {"meta": meta, "google": google}
+
+
 # ---------------------------------------------------------------- landed payloads
 def _date_txt(c):
     return F.date_format(F.col(c), "yyyy-MM-dd")

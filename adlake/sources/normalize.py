@@ -62,7 +62,7 @@ def norm_meta_perf(payload: DataFrame, ingestion_id: str, now, extract_ts) -> Da
         F.lit(None).cast("string").alias("campaign_type"),
         i("adset_id").alias("ad_group_id"), i("adset_name").alias("ad_group_name"),
         i("ad_id").alias("ad_id"), i("ad_name").alias("ad_name"),
-        F.to_date(i("date_start")).alias("stat_date"), i("attribution_setting").alias("attribution_setting"),
+        F.try_to_date(i("date_start")).alias("stat_date"), i("attribution_setting").alias("attribution_setting"),
         int_via_float(i("impressions")).alias("impressions"), int_via_float(i("clicks")).alias("clicks"),
         int_via_float(i("inline_link_clicks")).alias("link_clicks"),
         i("spend").alias("spend"), money_text_to_micros(i("spend")).alias("spend_micros"),
@@ -82,7 +82,7 @@ def norm_google_perf(payload: DataFrame, ingestion_id: str, now, extract_ts) ->
         F.when(F.col("r.ad_group").isNotNull(), F.coalesce(F.col("r.ad_group.id"), F.lit(""))).alias("ad_group_id"),
         F.when(F.col("r.ad_group").isNotNull(), F.coalesce(F.col("r.ad_group.name"), F.lit(""))).alias("ad_group_name"),
         F.col("r.ad_group_ad.ad.id").alias("ad_id"), F.col("r.ad_group_ad.ad.name").alias("ad_name"),
-        F.to_date(F.col("r.segments.date")).alias("stat_date"),
+        F.try_to_date(F.col("r.segments.date")).alias("stat_date"),
         F.when(m.isNotNull(), F.coalesce(m.impressions, F.lit(0))).alias("impressions"),
         F.when(m.isNotNull(), F.coalesce(m.clicks, F.lit(0))).alias("clicks"),
         F.coalesce(m.cost_micros, F.lit(0)).alias("cost_micros"),
@@ -112,7 +112,7 @@ def norm_google_action(payload: DataFrame, ingestion_id: str, now, extract_ts, w
     out = p.select(
         *_ctx_cols(ingestion_id, now, extract_ts), "customer_id",
         F.col("r.campaign.id").alias("campaign_id"), F.col("r.campaign.name").alias("campaign_name"),
-        F.coalesce(F.to_date(F.when(F.coalesce(seg.date, F.lit("")) != "", seg.date)), F.lit(w.end)).alias("stat_date"),
+        F.coalesce(F.try_to_date(F.when(F.coalesce(seg.date, F.lit("")) != "", seg.date)), F.lit(w.end)).alias("stat_date"),
         res.alias("conversion_action_resource_name"), resource_tail(res).alias("conversion_action_id"),
         F.when(name != "", name).alias("conversion_action_name"), F.when(cat != "", cat).alias("conversion_action_category"),
         atype.alias("action_type_raw"), count.alias("action_count"),
@@ -211,6 +211,87 @@ def norm_naver_perf(stats: DataFrame, campaigns: DataFrame, adgroups: DataFrame,
         F.col("s.ctr").alias("ctr"), F.col("s.avgCpc").alias("avg_cpc"), F.col("payload").alias("source_payload"))
 
 
+META_BREAKDOWN = META_INSIGHT[:-1] + ",age:string,gender:string,country:string,region:string>"
+GOOGLE_BREAKDOWN = ("struct<campaign:struct<id:string,name:string>,segments:struct<date:string,geo_target_region:string>,"
+                    "ad_group_criterion:struct<age_range:struct<type:string>,gender:struct<type:string>>,"
+                    "user_location_view:struct<country_criterion_id:string>,"
+                    "metrics:struct<impressions:bigint,clicks:bigint,cost_micros:bigint,conversions:double,conversions_value:double>>")
+
+# Countries (United States, Canada, Mexico) whose regions are kept; all others count as "others".
+REGION_COUNTRIES = ["geoTargetConstants/2840", "geoTargetConstants/2124", "geoTargetConstants/2484"]
+
+# The view each Google breakdown is queried from.
+BREAKDOWN_VIEWS = {
+    "age_range": "age_range_view",
+    "gender": "gender_view",
+    "geo_target_country": "user_location_view",
+    "geo_target_region": "user_location_view",
+}
+
+
+def norm_meta_breakdown(payload: DataFrame, ingestion_id: str, now, extract_ts) -> DataFrame:
+    """Meta campaign insights -> one row for each breakdown key an insight has a value of.
+
+    A payload whose request named two breakdowns (age and gender) gives two rows; blank values
+    give none. The ad-group columns repeat the campaign. An unreadable payload gives no rows.
+    """
+    p = parsed(payload.select("payload"), "payload", META_BREAKDOWN, "i")
+    i = lambda n: F.col(f"i.{n}")
+    keys = ["age", "gender", "country", "region"]
+    pairs = F.array(*[F.struct(F.lit(k).alias("k"), i(k).alias("v")) for k in keys])
+    rows = p.withColumn("b", F.explode(F.filter(pairs, lambda x: F.trim(F.coalesce(x["v"], F.lit(""))) != "")))
+    return rows.select(
+        *_ctx_cols(ingestion_id, now, extract_ts), strip_account_prefix(i("account_id")).alias("account_id"), i("account_name").alias("account_name"),
+        i("campaign_id").alias("campaign_id"), i("campaign_name").alias("campaign_name"),
+        i("campaign_id").alias("ad_group_id"), i("campaign_name").alias("ad_group_name"),
+        F.try_to_date(i("date_start")).alias("stat_date"), F.col("b.k").alias("breakdown_key"), F.col("b.v").alias("breakdown_value"),
+        *[i(k).alias(k) for k in keys], i("attribution_setting").alias("attribution_setting"),
+        int_via_float(i("impressions")).alias("impressions"), int_via_float(i("clicks")).alias("clicks"),
+        int_via_float(i("inline_link_clicks")).alias("link_clicks"), decimal_half_up(i("spend")).alias("spend"),
+        money_text_to_micros(i("spend")).alias("spend_micros"),
+        *[F.to_json(i(c)).alias(f"{c}_json") for c in ("actions", "action_values", "conversions", "conversion_values")],
+        F.col("payload").alias("source_payload"))
+
+
+def geo_constant(value: Column) -> Column:
+    """``geoTargetConstants/<id>`` of an id in digits; other text stays, blank text is null."""
+    t = F.trim(value)
+    return F.when(t.rlike("^[0-9]+$"), F.concat(F.lit("geoTargetConstants/"), t)).when(t != "", t)
+
+
+def norm_google_breakdown(payload: DataFrame, w: Window, ingestion_id: str, now, extract_ts) -> DataFrame:
+    """Google breakdown rows (customer_id, breakdown_key, payload) -> long breakdown rows, not yet collapsed.
+
+    The key says which query a payload answers. Rows without a campaign or a value are dropped; a
+    region outside the kept countries, or none, is "others"; a missing date is the window's end.
+    """
+    p = parsed(payload.select("customer_id", "breakdown_key", "payload"), "payload", GOOGLE_BREAKDOWN, "r")
+    m, key = F.col("r.metrics"), F.col("breakdown_key")
+    country = geo_constant(F.col("r.user_location_view.country_criterion_id"))
+    region = F.when(country.isin(REGION_COUNTRIES), geo_constant(F.col("r.segments.geo_target_region")))
+    value = (F.when(key == "age_range", F.col("r.ad_group_criterion.age_range.type"))
+              .when(key == "gender", F.col("r.ad_group_criterion.gender.type"))
+              .when(key == "geo_target_country", country)
+              .when(key == "geo_target_region", F.coalesce(region, F.lit("others"))))
+    view = F.create_map(*[F.lit(x) for kv in BREAKDOWN_VIEWS.items() for x in kv])
+    date = F.col("r.segments.date")
+    rows = p.withColumn("v", value).filter((F.coalesce(F.col("r.campaign.id"), F.lit("")) != "") & (F.coalesce("v", F.lit("")) != ""))
+    return rows.select(
+        *_ctx_cols(ingestion_id, now, extract_ts), "customer_id", F.col("r.campaign.id").alias("campaign_id"),
+        F.coalesce(F.col("r.campaign.name"), F.lit("")).alias("campaign_name"),
+        F.coalesce(F.try_to_date(F.when(date != "", date)), F.lit(w.end)).alias("stat_date"), "breakdown_key", F.col("v").alias("breakdown_value"),
+        *[F.when(key == k, F.col("v")).alias(k) for k in BREAKDOWN_VIEWS],
+        F.coalesce(m.impressions, F.lit(0)).alias("impressions"), F.coalesce(m.clicks, F.lit(0)).alias("clicks"),
+        F.coalesce(m.cost_micros, F.lit(0)).alias("cost_micros"), F.coalesce(m.conversions, F.lit(0.0)).alias("conversions"),
+        F.coalesce(m.conversions_value, F.lit(0.0)).alias("conversions_value"), view[key].alias("source_view"), F.col("payload").alias("source_payload"))
+
+
+def google_breakdown_raw(rows: DataFrame) -> DataFrame:
+    """The collapsed raw table of :func:`norm_google_breakdown` rows, with the value in micros; a grain keeps its smallest payload."""
+    out = agg_google_breakdown(rows.withColumn("ingest_seq", F.col("source_payload")))
+    return out.withColumn("conversion_value_micros", (F.col("conversions_value") * 1_000_000).cast("bigint"))
+
+
 def agg_google_breakdown(rows: DataFrame, order_col: str = "ingest_seq") -> DataFrame:
     """Collapse duplicate breakdown grains: sums, latest timestamps, first row's
     other fields, value to 6 places HALF_UP. One partial aggregation, no sort."""
@@ -256,7 +337,7 @@ def norm_google_creative(payload: DataFrame, w: Window, ingestion_id: str, now,
     none = F.lit(None).cast("string")
     return p.filter(ad.isNotNull()).select(
         *_ctx_cols(ingestion_id, now, extract_ts),
-        F.coalesce(F.to_date(F.when(F.coalesce(F.col("r.segments.date"), F.lit("")) != "", F.col("r.segments.date"))),
+        F.coalesce(F.try_to_date(F.when(F.coalesce(F.col("r.segments.date"), F.lit("")) != "", F.col("r.segments.date"))),
                    F.lit(w.end)).alias("collected_date"), "customer_id",
         F.col("r.campaign.id").alias("campaign_id"), F.col("r.ad_group.id").alias("ad_group_id"),
         F.coalesce(ad.id, F.lit("")).alias("ad_id"), F.coalesce(ad.id, F.lit("")).alias("creative_id"),
@@ -282,7 +363,7 @@ def norm_google_asset(ad_rows: DataFrame | None, pmax_rows: DataFrame | None, w:
         res = F.coalesce(v.asset, F.lit(""))
         return p.select(
             *_ctx_cols(ingestion_id, now, extract_ts),
-            F.coalesce(F.to_date(F.when(F.coalesce(F.col("r.segments.date"), F.lit("")) != "", F.col("r.segments.date"))),
+            F.coalesce(F.try_to_date(F.when(F.coalesce(F.col("r.segments.date"), F.lit("")) != "", F.col("r.segments.date"))),
                        F.lit(w.end)).alias("stat_date"), "customer_id",
             F.col("r.campaign.id").alias("campaign_id"),
             F.col("r.campaign.advertising_channel_type").alias("campaign_channel_type"),
