@@ -89,5 +89,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_url_filter, op8_cotraining_quality, op9_bottom_k_fingerprints, op10_stupid_backoff,
         op11_spelling_variants, op12_language_id, op13_embedding_whitening)}
 
-#: None of them can be stated in SQL (hashes, trained models, tokenizers); tests compare them with brute force.
+#: None is given SQL: hashes, trained models, tokenizers and iterations that DuckDB has no counterpart of. Tests in
+#: tests/llm compare them with brute force, the tokenizers' libraries or held-out rows.
 ORACLES: dict[str, str] = {}

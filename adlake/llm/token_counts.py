@@ -258,7 +258,9 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048, id_col
     """(doc_id, n_bytes, n_tokens, over_limit, fit_chars) for every row of ``docs``.
 
     ``fit_chars``: length, in code points, of the longest prefix of the normalised text with at
-    most ``limit`` tokens, read off the prefix table (null unless the text is over the limit).
+    most ``limit`` tokens (null unless the text is over the limit). Totals add up the last entries of
+    the words' prefix tables, which are remembered; the entries of the word that crosses the limit
+    place the cut. ``prefix_tables`` gives the whole table of a text.
     Null text counts as empty: no bytes, no tokens. Repeated rows stay repeated, an empty table
     gives no rows, other columns are ignored.
     """
