@@ -221,7 +221,9 @@ def q_mart_branch_channel_daily(spark, sf):
 def q_dim_account(spark, sf):
     c = ctx(spark, sf)
     r = c.raws
-    return finish(core.dim_account(r["meta"], r["google"], r["tiktok"], r["naver"], c.w, NOW))
+    made = fx.with_load_times(fx.view(spark, sf, "fx_creative")).withColumnsRenamed({"account_id_norm": "account_id", "valid_date": "collected_date"})
+    naver = made.filter(F.col("asset_type") == "VIDEO").withColumn("account_id", F.concat(F.lit("n-"), F.col("account_id")))
+    return finish(core.dim_account(r["meta"], r["google"], r["tiktok"], r["naver"], c.w, NOW, meta_creative=made, naver_creative=naver))
 
 
 @query("dim_ad_current")
