@@ -75,6 +75,12 @@ def among(df: DataFrame, ids: list, id_col: str = "doc_id") -> DataFrame:
     return df.join(F.broadcast(wanted), id_col, "left_semi")
 
 
+def numbered(docs: DataFrame, *cols: str) -> tuple[DataFrame, list[str]]:
+    """``docs`` with its columns renamed to c0, c1, ... (no name clashes then), and what ``cols`` are called in it."""
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    return docs.toDF(*names), [names[docs.columns.index(c)] for c in cols]
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that ``column`` holds about ``limit`` bytes in each piece (one row at least)."""
     for batch in batches:

@@ -25,8 +25,9 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from adlake.llm.common import materialize, slices, texts
+from adlake.llm.common import materialize, numbered, slices, texts
 from adlake.llm.components import connected_components
 
 BITS = 64
@@ -53,14 +54,25 @@ def fingerprint(text: str, shingle_words: int) -> int:
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
     """(doc_id, fp) for every row; null or empty text gives fp 0. Repeated rows stay repeated."""
-    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    return _fingerprinted(rows, "text", "fp", shingle_words, [0])
+
+
+def _fingerprinted(docs: DataFrame, text_col: str, name: str, shingle_words: int, kept: list[int]) -> DataFrame:
+    """The columns of ``docs`` at the places ``kept`` and the fingerprint of each row's text."""
+    fields = [docs.schema.fields[k] for k in kept]
+    names = [f.name for f in fields] + [name]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "text"):
-            fp = pa.array([fingerprint(t, shingle_words) for t in texts(part, "text")], pa.int64())
-            yield pa.RecordBatch.from_arrays([part.column(0), fp], ["doc_id", "fp"])
+        for part in slices(batches, text_col):
+            fp = pa.array([fingerprint(t, shingle_words) for t in texts(part, text_col)], pa.int64())
+            yield pa.RecordBatch.from_arrays([*(part.column(k) for k in kept), fp], names)
+
+    return docs.mapInArrow(run, StructType([*fields, StructField(name, LongType())]))
+
 
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
+def _hex(fp: Column) -> Column:
+    return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
 def _rotated(fp: Column, bits: int) -> Column:
@@ -107,10 +119,11 @@ def links(distinct_fps: DataFrame, max_distance: int = 2, segments: int = 16, bu
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3,
                     max_distance: int = 2, segments: int = 16, bucket_limit: int = 256) -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``docs``.
+    """(doc_id, fingerprint, component_id, group_fingerprint) for every row of ``docs``.
 
     ``fingerprint`` is 16 lowercase hex digits; ``component_id`` the smallest doc_id reachable
-    over links, the row's own included. Rows without a word have fingerprint zero and link like
+    over links, the row's own included; ``group_fingerprint`` a fingerprint of the component, the
+    same for all its rows, which names it also where no row has an id. Rows without a word have fingerprint zero and link like
     any other; null text counts as empty. Repeated rows each get a row. A null doc_id is kept
     and never becomes a component_id unless its whole component has no other id. An empty table
     gives no rows; other columns of ``docs`` are ignored.
@@ -120,18 +133,30 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     roots = connected_components(links(classes.select("fp"), max_distance, segments, bucket_limit))
     linked = classes.join(roots, classes["fp"] == roots["vertex"])
     smallest = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    named = linked.join(smallest, "root").select("fp", F.col("component_id").alias("linked_id"))
-    whole = classes.join(named, "fp", "left").select("fp", F.coalesce("linked_id", "first_id").alias("component_id"))
-    return fps.join(whole, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    named = linked.join(smallest, "root").select("fp", "root", F.col("component_id").alias("linked_id"))
+    whole = classes.join(named, "fp", "left").select(
+        "fp", F.coalesce("linked_id", "first_id").alias("component_id"), F.coalesce("root", "fp").alias("group"))
+    return fps.join(whole, "fp").select("doc_id", _hex(F.col("fp")).alias("fingerprint"), "component_id", _hex(F.col("group")).alias("group_fingerprint"))
 
 
-def keep_one_per_group(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The row of ``docs`` that heads each group (its doc_id is the component_id), all columns.
+def keep_one_per_group(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
+    """One row of ``docs`` for each group of ``near_duplicates``, all columns.
 
-    Rows that repeat a doc_id keep one copy, the first by text. Rows without a doc_id all stay:
-    nothing names the group they belong to.
+    It is the row whose doc_id is the component_id; rows that repeat that id keep one copy, the
+    first by text. A group without any doc_id keeps its first row by text: its rows are found by
+    their fingerprints, made again with ``shingle_words``. Any column names may occur in ``docs``.
     """
-    heads = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_head")).distinct()
-    found = docs.join(heads, docs[id_col] == F.col("_head"))
-    first = found.withColumn("_nth", F.row_number().over(W.partitionBy("_head").orderBy(text_col))).where("_nth = 1").select(*docs.columns)
-    return first.unionByName(docs.where(F.col(id_col).isNull()))
+    rows, (i, text) = numbered(docs, id_col, text_col)
+    heads = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("head")).distinct()
+    named = _first(rows.join(heads, F.col(i) == F.col("head")), "head", text).drop("head")
+
+    without = _fingerprinted(rows.where(F.col(i).isNull()), text, "fp", shingle_words, list(range(len(rows.columns))))
+    nameless = groups.where("doc_id IS NULL AND component_id IS NULL").select("fingerprint", "group_fingerprint").distinct()
+    without = _first(without, "fp", text).join(nameless, _hex(F.col("fp")) == F.col("fingerprint"))
+    without = _first(without, "group_fingerprint", text, "fp").select(*rows.columns)
+    return named.unionByName(without).toDF(*docs.columns)
+
+
+def _first(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """The first row of each key; only one a key and map task is shuffled."""
+    return rows.withColumn("nth", F.row_number().over(W.partitionBy(key).orderBy(*order))).where("nth = 1").drop("nth")
