@@ -22,8 +22,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from adlake.llm.common import among, materialize, slices, texts
+from adlake.llm.common import among, materialize, numbered, slices, texts
 from adlake.llm.linear import multinomial, softmax
 
 DIMENSION = 1024
@@ -118,8 +119,7 @@ def with_posteriors(docs: DataFrame, mix: Mix, text_col: str = "text") -> DataFr
             p = pa.array(list(model.posteriors(own)), pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([*part.columns, pa.array(n, pa.int64()), p], [*names, "_t", "_p"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, f"{schema}, _t long, _p array<double>")
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("_t", LongType()), StructField("_p", ArrayType(DoubleType()))]))
 
 
 def fit(posteriors: DataFrame, mix: Mix, targets: dict[str, float], total: float | None = None, max_steps: int = 40, tolerance: float = 1e-6) -> Mix:
@@ -197,9 +197,14 @@ def rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None
         F.lit(mix.residual).alias("residual"))
 
 
-def apply(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, **options) -> DataFrame:
-    """``docs`` mixed: each row as often as its copies say. Texts are classified again in place, not shuffled."""
-    mix, _ = solve(docs, labelled, targets, **options)
-    full = with_posteriors(docs, mix)
-    many = full.withColumn("_n", copies(mix.rate("_p"), F.col("doc_id"))).where("_n > 0")
-    return many.withColumn("_i", F.explode(F.expr("sequence(1L, _n)"))).select(*docs.columns)
+def apply(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None = None, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """``docs`` mixed: each row as often as its copies say. Texts are classified again in place, not shuffled.
+
+    Null and empty texts are rated like any other, rows without an id share one rounding, each of
+    several equal rows is copied by itself, an empty table stays empty. All columns of ``docs``
+    come back, whatever their names.
+    """
+    mix, _ = solve(docs, labelled, targets, id_col=id_col, text_col=text_col, **options)
+    rows, (i, text) = numbered(docs, id_col, text_col)
+    many = with_posteriors(rows, mix, text).withColumn("n", copies(mix.rate("_p"), F.col(i))).where("n > 0")
+    return many.select(*rows.columns, F.explode(F.expr("sequence(1L, n)")).alias("n")).drop("n").toDF(*docs.columns)
