@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from adlake.llm.common import materialize
 
@@ -88,15 +89,23 @@ def successors(keys: DataFrame, width: int = BUCKET_IDS, direct: int = 10_000) -
     return whole.join(F.broadcast(least), F.lit(True)).select("k", F.coalesce("next_k", "least").alias("next_k"))  # one row
 
 
-def with_next(docs: DataFrame, sketched: bool = True, width: int = BUCKET_IDS) -> DataFrame:
+def with_next(docs: DataFrame, sketched: bool = True, width: int = BUCKET_IDS, k: int = K) -> DataFrame:
     """(doc_id, text, s, next_text, next_s): every row beside the next one by ascending doc_id, the first after the last.
 
-    Rows of the same id follow each other by text; rows without an id come before all others.
-    Texts are shuffled once, by bucket of ids; the first row of the next bucket is added to each
-    bucket, so no window spans more than ``width`` ids. Null text reads as empty.
+    Rows of the same id follow each other by text; rows without an id come before all others, in
+    the order of their texts' hashes: they are numbered down from the smallest id by hash, so they
+    spread over buckets like rows with ids (equal texts without an id stay together). Texts are
+    shuffled once, by bucket of ids; the first row of the next bucket is added to each bucket, so no
+    window spans more than ``width`` ids. Null text reads as empty. Ids are integers.
     """
-    low = docs.agg(F.min("doc_id").alias("m")).first()["m"]
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.coalesce(F.col("doc_id").cast("long"), F.lit((low or 0) - 1).cast("long")).alias("k"))
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        raise ValueError(f"ids are integers, not {docs.schema['doc_id'].dataType.simpleString()}")
+    known = docs.agg(F.min("doc_id").alias("low"), F.count_if(F.col("doc_id").isNull()).alias("without")).first()
+    number, text = F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))
+    if known["without"]:
+        share = F.shiftrightunsigned(F.xxhash64(text), 11) / F.lit(2.0 ** 53)  # from 0 to below 1
+        number = F.coalesce(number, F.floor(share * known["without"]) + F.lit((known["low"] or 0) - known["without"]))
+    rows = docs.select("doc_id", text.alias("text"), number.alias("k"))
     rows = rows.withColumn("b", _floor_div("k", width))
     heads = materialize(rows.groupBy("b").agg(F.min("k").alias("k")), "next-heads")
     follow = successors(heads.select(F.col("b").alias("k")), width)
@@ -106,7 +115,7 @@ def with_next(docs: DataFrame, sketched: bool = True, width: int = BUCKET_IDS) -
     both = rows.withColumn("ghost", F.lit(0)).unionByName(ghosts.select(F.lit(None).cast(docs.schema["doc_id"].dataType).alias("doc_id"), "text", "k", "b", F.lit(1).alias("ghost")))
     dealt = both.repartition("b")
     if sketched:
-        dealt = dealt.withColumn("w", words(F.col("text"))).withColumn("s", sketch("w")).drop("w")
+        dealt = dealt.withColumn("w", words(F.col("text"))).withColumn("s", sketch("w", k)).drop("w")
     w = W.partitionBy("b").orderBy("ghost", "k", "text")
     cols = ["text", *(["s"] if sketched else [])]
     near = dealt.select("doc_id", *cols, "ghost", *[F.lead(c).over(w).alias(f"next_{c}") for c in cols])
@@ -119,9 +128,10 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     The edited text replaces the last floor(n_chars / 2) code points by as many of the next
     document's first ones (or all it has). Null text counts as empty; an empty text has an empty
     fingerprint, alike only to another empty one. A single row follows itself. Repeated rows each
-    get a row and follow each other. An empty table gives no rows; other columns are ignored.
+    get a row and follow each other. An empty table gives no rows; other columns are ignored. Ids
+    that are not integers raise a ValueError.
     """
-    rows = with_next(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
+    rows = with_next(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), k=k)
     edited = rows.withColumn("n", F.length("text")).withColumn(
         "edited", F.expr("concat(substring(text, 1, n - n div 2), substring(next_text, 1, cast(n div 2 as int)))"))
     both = edited.select(
