@@ -1,8 +1,8 @@
 """URL filter: host/path rules first, then logistic regression on hashed character n-grams.
 
 Everything here is DataFrame and SQL expressions. The model is fitted inside one expression:
-a fold of stochastic gradient steps over the labelled URL table, which is small by contract (at
-most ``MAX_LABELLED`` rows). Only the weight vector (``DIMENSION`` doubles) comes to the driver;
+a fold of stochastic gradient steps over the labelled URL table, which is small (a sample of
+``max_labelled`` rows of a longer one). Only the weight vector (``DIMENSION`` doubles) comes to the driver;
 it goes back into the plan as a literal, so scoring is one projection without join or shuffle.
 """
 
@@ -13,7 +13,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DIMENSION = 1024
+DIMENSION = 2048
 MAX_LABELLED = 2000
 EPOCHS = 30
 RATE, SHRINK = 0.8, 0.0005
@@ -22,28 +22,31 @@ GRAMS = (3, 4)
 #: Longest rule wins; a rule is a host, then a path prefix.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 
-#: Labelled URL table: what advertising, gambling, pill and spam hosts look like, and what others do.
-_BLOCKED_HOSTS = (
-    "spam-farm.example.org", "www.cheap-pills.example.com", "www.casino-win.example.org", "ads-track.example.org",
-    "m.free-bets.example.com", "casino-bonus.example.com", "pills-online.example.org", "www.spam-links.example.com",
-    "track-ads.example.com", "cheap-loans.example.org", "free-casino.example.com", "bets-win.example.org",
-    "click-track.example.com", "adserver.example.org", "buy-pills.example.com", "poker-win.example.com",
-    "free-spins.example.org", "www.win-prizes.example.com", "link-farm.example.com", "m.spam-mail.example.org",
-    "banner-ads.example.com", "xxx-adult.example.org", "cheap-viagra.example.com", "www.bets-now.example.org",
-    "adult-x.example.com", "m.adult-cams.example.org", "www.x-videos.example.com", "casino-x.example.org")
-_ALLOWED_HOSTS = (
-    "www.library.example.org", "blog.garden.example.com", "news.example.com", "m.weather.example.org", "thther.example.org",
-    "therin.example.com", "blog.tiontion.example.com", "www.ththen.example.com", "ththed.example.org", "university.example.org",
-    "docs.python.example.org", "blog.theres.example.com", "www.therti.example.org", "shop.books.example.com", "city.example.org",
-    "museum.example.com", "www.kitchen.example.com", "m.sports.example.org", "forum.music.example.com", "science.example.org",
-    "blog.travel.example.com", "www.ththwh.example.org", "therea.example.com", "history.example.org",
-    "ththble.example.com", "tionble.example.org", "m.therou.example.com", "blog.ththan.example.org", "www.sustainable-table.example.com",
-    "open-data.example.org", "m.table.example.com", "blog.tionsh.example.org", "therst.example.com", "www.nation.example.org")
-_PATHS = ("/en/825", "/en/25", "/fr/450/", "/es/77.html", "/de/963", "")
-LABELLED_URLS = tuple(
-    (f"{('http', 'https')[(i + j) % 2]}://{host}{path}", verdict)
-    for hosts, verdict in ((_BLOCKED_HOSTS, "block"), (_ALLOWED_HOSTS, "allow"))
-    for i, host in enumerate(hosts) for j, path in enumerate(_PATHS) if (i + j) % 3 == 0)
+#: Labelled URL table: hosts joined from words of gambling, pill, advertising, spam, loan, adult and piracy sites, and of others.
+_BLOCKED_WORDS = (
+    "casino bets poker slots jackpot lottery gambling roulette pills pharmacy viagra meds diet ads adserver track click banner popup spam links bulk adult "
+    "porn sex xxx cams escort loans payday cash win prizes free bonus cheap crack warez torrent replica betting tracker pill dating hot").split()
+_ALLOWED_WORDS = (
+    "weather mother father brother northern southern education nation station library fashion garden kitchen museum history science university college "
+    "school music theatre cinema travel mountain river forest ocean island bridge street village city county parliament council justice health hospital "
+    "doctor nursing research chemistry physics biology mathematics engineering software python linux database network security archive journal review "
+    "gazette herald tribune times daily weekly morning evening sports football cricket cycling running swimming chess recipes bakery coffee wine farm "
+    "books poetry letters language grammar dictionary translation culture tradition religion church temple heritage painting gallery photo design "
+    "furniture table gardening flowers animals birds fishing boating railway airport transport climate energy solar water fire market bakers tailor "
+    "studio workshop festival concert orchestra guitar piano family children parents teacher student lesson exam career office company industry trade "
+    "finance insurance economy policy government election court lawyer police army navy harbour shipping cargo hotel camping hiking winter summer spring "
+    "autumn north south east west world global local regional national public private open free-software mobile cloud server web data digital").split()
+_PREFIXES, _ENDINGS, _PATHS = ("", "www.", "m.", "blog.", "news.", "shop."), ("com", "org", "net"), ("/", "", "/en/12", "/news/2021.html", "/fr/7/", "/about", "/de/31", "/es/450")
+
+
+def _composed(words: list[str], verdict: str, joined: int) -> list[tuple[str, str]]:
+    """Each word alone and joined with ``joined`` others further on, below changing prefixes, endings and paths."""
+    hosts = [*words, *(f"{w}-{words[(k + 11 * j) % len(words)]}" for j in range(1, joined + 1) for k, w in enumerate(words))]
+    return [(f"{('http', 'https')[k % 2]}://{_PREFIXES[k % 6]}{host}.example.{_ENDINGS[k % 3]}{_PATHS[(k // 6 + k) % 8]}", verdict) for k, host in enumerate(hosts)]
+
+
+#: There are fewer unwanted words, so each is joined twice.
+LABELLED_URLS = (*_composed(_BLOCKED_WORDS, "block", 2), *_composed(_ALLOWED_WORDS, "allow", 1))
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -76,15 +79,17 @@ def buckets() -> Column:
     return F.expr(f"array_distinct(concat(array(0), {', '.join(parts)}))")
 
 
-def fit(labelled: DataFrame) -> list[float]:
+def fit(labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> list[float]:
     """Weights of the model; ``labelled`` has (url, verdict block/allow). Other verdicts and null urls are ignored.
 
-    Without usable rows all weights are zero and every url is allowed.
+    Of a longer table ``max_labelled`` rows, chosen by a hash of the url, are learnt. Repeated rows
+    count once; a url labelled both ways counts once as each. Without usable rows all weights are
+    zero and every url is allowed.
     """
     rows = split_url(labelled.select("url", "verdict").where("url IS NOT NULL AND verdict IN ('block', 'allow')").distinct())
     dense = rows.select(
         F.xxhash64("url").alias("order"), "url", F.when(F.col("verdict") == "block", 1.0).otherwise(0.0).alias("y"), buckets().alias("b")
-    ).orderBy("order", "url", "y").limit(MAX_LABELLED).select(
+    ).orderBy("order", "url", "y").limit(max_labelled).select(
         "order", "y", F.expr(
             f"transform(sequence(0, {DIMENSION - 1}), d -> if(array_contains(b, d), 1 / sqrt(size(b)), 0D))").alias("x"))
     packed = dense.agg(F.array_sort(F.collect_list(F.struct("order", "y", "x"))).alias("rows"))
@@ -106,7 +111,7 @@ def rule_columns(rules: tuple[tuple[str, str], ...]) -> tuple[Column, Column]:
 
 
 def judge(pages: DataFrame, labelled: DataFrame, rules: tuple[tuple[str, str], ...] = RULES,
-          id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+          id_col: str = "page_id", url_col: str = "url", max_labelled: int = MAX_LABELLED) -> DataFrame:
     """(page_id, host, path, rule, verdict, score) for every row of ``pages``.
 
     ``verdict`` is the rule's, else ``block`` where the model's probability ``score`` exceeds one
@@ -114,7 +119,7 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: tuple[tuple[str, str], .
     on the empty name. Repeated rows stay repeated; an empty table gives no rows; other columns
     are ignored, also those named host, path, rule or verdict.
     """
-    weights = F.from_json(F.lit(json.dumps(fit(labelled))), "array<double>")
+    weights = F.from_json(F.lit(json.dumps(fit(labelled, max_labelled))), "array<double>")
     name, verdict = rule_columns(rules)
     rows = split_url(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")))
     scored = rows.withColumn("b", buckets()).withColumn("w", weights).withColumn(

@@ -1,12 +1,15 @@
 """Pages in unseen layouts, and tables whose columns clash with the operators' own or whose rows lack ids."""
 
 import itertools
+import math
+import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
-from adlake.llm import fingerprints, html_extract, mixing, simhash
+from adlake.llm import fingerprints, html_extract, mixing, simhash, url_filter
 
 
 @pytest.fixture(scope="module")
@@ -105,3 +108,38 @@ def test_fingerprints_take_k_and_rows_without_id_spread(spark):
     assert len(seen) == 40 and all(follow[texts[i]] == texts[i + 1] for i in range(25, 39)) and follow[texts[39]] in texts[:25]
     with pytest.raises(ValueError, match="integers"):
         fingerprints.fingerprint_edits(docs.select(F.col("doc_id").cast("string"), "text"))
+
+
+def _url_score(weights, url):
+    """The model's probability, counted anew: hashed grams of host and path, logistic of their scaled sum."""
+    host, path = re.match(r"[^:]*://([^/?#]*)([^?#]*)", url).groups()
+    found = {0}
+    for side, text in (("h", f"^{host.lower()}$"), ("p", path)):
+        for n in url_filter.GRAMS:
+            for i in range(len(text) - n + 1):
+                h = xxhash.xxh64_intdigest(side + text[i:i + n], 42)
+                found.add(1 + (h - (h >> 63 << 64)) % (url_filter.DIMENSION - 1))
+    return 1 / (1 + math.exp(-sum(weights[i] for i in found) / math.sqrt(len(found))))
+
+
+def test_url_scores_on_hosts_the_table_does_not_have(spark):
+    labelled = url_filter.labelled_urls(spark)
+    blocked = ["casino-win", "free-bets", "cheap-pills", "ads-track", "hot-cams", "poker-bonus", "cheap-viagra", "adult-porn", "payday-cash"]
+    ordinary = ["mountain-weather", "the-village-school", "northern-herald", "chess-lessons", "physicsreview", "old-bridge", "riverside-cafe", "parents-association"]
+    urls = [f"https://www.{h}.example.org/en/{k}" for k, h in enumerate(blocked + ordinary)]
+    known = {u.split("://")[1].split("/")[0] for u, _ in url_filter.LABELLED_URLS}
+    assert not known & {u.split("://")[1].split("/")[0] for u in urls}
+    weights = url_filter.fit(labelled)
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = sorted(url_filter.judge(pages, labelled, rules=()).collect())
+    assert all(abs(r.score - _url_score(weights, urls[r.page_id])) < 1e-12 for r in got)
+    judged = [r.verdict for r in got]
+    assert judged[:len(blocked)].count("block") >= 8 and judged[len(blocked):].count("allow") >= 7, judged
+
+
+def test_url_labelled_both_ways_and_a_bounded_sample(spark):
+    both = spark.createDataFrame([("http://a.example.org/", "block"), ("http://a.example.org/", "allow"), (None, "block"), ("http://b", "other")], "url string, verdict string")
+    pages = spark.createDataFrame([(1, "http://a.example.org/")], "page_id long, url string")
+    assert abs(url_filter.judge(pages, both, rules=()).collect()[0].score - 0.5) < 0.2
+    assert url_filter.fit(both.where("verdict = 'other'")) == [0.0] * url_filter.DIMENSION
+    assert url_filter.fit(url_filter.labelled_urls(spark), max_labelled=3) != url_filter.fit(url_filter.labelled_urls(spark), max_labelled=5)

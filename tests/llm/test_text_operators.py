@@ -199,7 +199,7 @@ def _rule(host, path):
 
 def test_url_rules_and_verdicts(spark):
     urls = [None, "", "no scheme", "http://NET/x", "http://a.example.net/en/1?q#f", "https://example.net/EN/", "http://b.example.com/de/", "http://x.org/fr/9",
-            "http://notnet/", "http://net", "http://q.net?x://y/", "://net/", "http://casino-win.example.com/en/1", "http://thther.example.com/en/676"]
+            "http://notnet/", "http://net", "http://q.net?x://y/", "://net/", "http://casino-win.example.com/en/1", "http://weather.example.com/en/676"]
     df = spark.createDataFrame([(i, u, "x") for i, u in enumerate(urls + urls[:2])], "page_id long, url string, host string")
     got = url_filter.judge(df, url_filter.labelled_urls(spark)).collect()
     assert len(got) == len(urls) + 2
