@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 DIMENSION = 2048
 MAX_LABELLED = 2000
-EPOCHS = 30
+EPOCHS = 15
 RATE, SHRINK = 0.8, 0.0005
 GRAMS = (3, 4)
 
@@ -90,10 +90,10 @@ def fit(labelled: DataFrame, max_labelled: int = MAX_LABELLED) -> list[float]:
     dense = rows.select(
         F.xxhash64("url").alias("order"), "url", F.when(F.col("verdict") == "block", 1.0).otherwise(0.0).alias("y"), buckets().alias("b")
     ).orderBy("order", "url", "y").limit(max_labelled).select(
-        "order", "y", F.expr(
+        "order", "y", "b", F.expr(
             f"transform(sequence(0, {DIMENSION - 1}), d -> if(array_contains(b, d), 1 / sqrt(size(b)), 0D))").alias("x"))
-    packed = dense.agg(F.array_sort(F.collect_list(F.struct("order", "y", "x"))).alias("rows"))
-    logit = "aggregate(zip_with(w, r.x, (a, b) -> a * b), 0D, (s, v) -> s + v)"
+    packed = dense.agg(F.array_sort(F.collect_list(F.struct("order", "y", "x", "b"))).alias("rows"))
+    logit = "aggregate(r.b, 0D, (s, i) -> s + w[i]) / sqrt(size(r.b))"
     step = (f"transform(array(r.y - 1 / (1 + exp(-{logit}))), e -> "
             f"zip_with(w, r.x, (a, b) -> a + {RATE}D * (e * b - {SHRINK}D * a)))[0]")
     fold = f"aggregate(flatten(array_repeat(rows, {EPOCHS})), array_repeat(0D, {DIMENSION}), (w, r) -> {step})"
