@@ -232,3 +232,14 @@ def test_pipeline_stages(spark, odd, empty, labels, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         out = stage(spark, out, str(tmp_path))
     assert out.columns[:2] == ["doc_id", "n_tokens"]
+
+
+def test_rules_count_every_labelled_row(spark):
+    """A threshold follows from all labelled rows, however many, and no label is left out of the counts."""
+    kinds = np.arange(60_000) % 3 == 0
+    rows = spark.createDataFrame([(bool(k), True, [int(i), 0, 0]) for i, k in enumerate(kinds)], "good boolean, passed boolean, steps array<int>")
+    found = quality_rules.calibrate(rows, 3, 0.002)
+    good = np.flatnonzero(kinds)
+    assert round(found[0] * quality_rules.GRID) - 1 >= np.sort(good)[-41]  # 40 of 20,000 may lie above
+    assert (good >= round(found[0] * quality_rules.GRID)).sum() <= 40
+    assert "max_labelled" not in quality_rules.fit.__code__.co_varnames
