@@ -17,3 +17,13 @@ def test_no_views_are_landed_for_base_tables_alone(spark, monkeypatch):
     assert not landed
     fx.register(spark, SF_SMALL, ["fx_web"])
     assert landed == ["fx_web"]
+
+
+def test_shuffles_begin_with_partitions_in_proportion_to_the_input(spark, monkeypatch):
+    own = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(fx, "TASK_BYTES", 1000)
+    fx.size_shuffles(spark, SF_SMALL)
+    assert int(spark.conf.get(fx._INITIAL)) > own
+    monkeypatch.undo()
+    fx.size_shuffles(spark, SF_SMALL)
+    assert spark.conf.get(fx._INITIAL, None) is None
