@@ -148,3 +148,32 @@ def test_no_long_case_in_the_plan(spark):
     _, rules = _rules(spark, 2000)
     plan = core.branch_by_rule(spark.createDataFrame([("a",)], "n string"), rules, "n")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("CASE WHEN") < 20 and "Cartesian" not in plan and "instr" not in plan
+
+
+def test_campaign_days_are_dealt_once(spark):
+    """Staged rows go through fact keys and keyword rules without another shuffle; long rule lists give the same branches."""
+    from adlake.operators import joins, staging
+    from adlake.session import ALL_TIME
+    day, ts = dt.date(2024, 1, 1), dt.datetime(2024, 1, 1)
+    rows = [(ch, "1", camp, g, n, ad, None, day, 1, 1, 1, 1.0, 1, "t", ts) for ch, camp, g, n, ad in (
+        ("NAVER_ADS", "c", "g", "red one", "a"), ("NAVER_ADS", "c", "g", "blue", "b"), ("NAVER_ADS", None, "g", "red", "a"),
+        ("NAVER_ADS", "c", None, "blue", "a"), ("NAVER_ADS", "c", "", "none", "b"), ("META", "c", "g", "red", "a"), (None, "c", "g", "red", "a"))]
+    stg = spark.createDataFrame(rows, "channel_key string, account_id_norm string, campaign_id string, ad_group_id string, ad_group_name string, "
+                                "ad_id string, currency_code string, stat_date date, impressions long, clicks long, spend_micros long, "
+                                "conversion_count double, conversion_value_micros long, source_table string, load_ts timestamp")
+    accounts = spark.createDataFrame([("META", "1", "V9", day, None, True, ts)], "channel_key string, account_id_norm string, branch_id string, "
+                                     "effective_start_date date, effective_end_date date, is_active boolean, updated_at timestamp")
+    branches = spark.createDataFrame([("V1", "EUR")], "branch_id string, currency string")
+    some = [("R1", "V1", "red", 1, True, ts), ("R2", "V2", "BLUE", 2, True, ts)]
+    filler = [(f"F{i}", "V5", f"zz{i:05d}x", 9, True, ts) for i in range(joins.RULE_CASE_MAX)]
+    found = []
+    for rules in (some, some + filler):
+        r = spark.createDataFrame(rules, "rule_id string, branch_id string, match_keyword string, priority int, is_active boolean, updated_at timestamp")
+        fact = core.fact_marketing(stg.repartition(*staging.PERF_DEALT), accounts, r, branches, ALL_TIME)
+        found.append(sorted((x.channel_key, x.campaign_id or "", x.ad_group_id or "", x.ad_id, x.branch_id) for x in fact.collect()))
+        if rules is some:
+            assert fact._jdf.queryExecution().sparkPlan().toString().count("SortMergeJoin") == 0
+            assert fact._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1].count("Exchange hashpartitioning") == 2
+    assert found[0] == found[1] == sorted([
+        ("META", "c", "g", "a", "V9"), ("NAVER_ADS", "", "g", "a", "UNKNOWN"), ("NAVER_ADS", "c", "", "a", "V2"), ("NAVER_ADS", "c", "", "b", "V2"),
+        ("NAVER_ADS", "c", "g", "a", "V1"), ("NAVER_ADS", "c", "g", "b", "V1")])
