@@ -35,7 +35,7 @@ EXTRA = ("n_upper", "n_lower", "n_marks", "n_lines", "n_stutter")
 PRIOR_WORDS, PRIOR_LETTERS, PRIOR_LINES = 10, 400, 5
 #: Columns of ``features`` that share a forest.
 GROUPS = ((0, 1, 2), (3, 4, 5), (6,))
-#: Scores are counted, and thresholds set, in steps of 1 / GRID.
+#: Scores are counted in steps of 1 / GRID before those near a threshold are told apart.
 GRID = 1 << 16
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
@@ -174,37 +174,42 @@ def grow_forest(x: np.ndarray, trees: int = 200, sample: int = 256, seed: int =
     return Forest(**out, norm=float(_expected_path(np.array([sample]))[0]))
 
 
-def _levels(counts: dict[int, int], max_false_reject: float, steps: int) -> tuple[list[int], int, int]:
-    """(cuts, rows between two cuts, rows that may be rejected) of the scores of good rows, counted by GRID step.
-
-    Cut k is the step of the row that k * unit rows of larger score precede, so the cuts fall.
-    """
-    limit = int(max_false_reject * sum(counts.values()))
-    unit = max(1, limit // steps)
-    cuts, before = [], 0
-    for step in sorted(counts, reverse=True):
-        before += counts[step]
-        while len(cuts) * unit < before and len(cuts) * unit <= 2 * limit:
-            cuts.append(step)
-    return cuts, unit, limit
+def _exact(good: DataFrame, forest: int, ranks: list[int], counts: dict[int, int]) -> list[float]:
+    """The scores of ``good`` in one forest that ``ranks`` rows (ascending) precede from above; ``counts`` has its rows by GRID step."""
+    steps = sorted(counts, reverse=True)
+    start = np.cumsum([0, *(counts[s] for s in steps)])  # rows above each step
+    wanted = sorted({steps[i] for i in np.searchsorted(start, ranks, side="right") - 1})
+    score = F.col("scores")[forest]
+    rows = good.where(F.floor(score * GRID).isin(wanted)).groupBy(score.alias("score")).count().collect()
+    above, found = {s: int(start[i]) for i, s in enumerate(steps)}, []
+    for r in sorted(rows, key=lambda r: -r["score"]):
+        step = int(np.floor(r["score"] * GRID))
+        found.append((above[step], r["score"]))
+        above[step] += r["count"]
+    at = np.searchsorted([n for n, _ in found], ranks, side="right") - 1
+    return [found[i][1] for i in at]
 
 
 def calibrate(scored: DataFrame, forests: int, max_false_reject: float, steps: int = 8) -> np.ndarray:
     """Threshold of each forest above which rows are rejected, counted over every row of ``scored``.
 
-    ``scored`` has (good, passed, steps): label, base rules, and the GRID step of the score in each
-    forest. Of the good rows that ``passed`` the base rules at most a share of ``max_false_reject``
-    lies above any threshold. All start above every such row; the one that rejects most further
-    bad rows for each good row given up is lowered, until none helps or the share is used up. Only
-    counts reach the driver: of the GRID steps, and of rows between the same candidate thresholds.
+    ``scored`` has (good, passed, scores): label, base rules, and the score in each forest. Of the
+    good rows that ``passed`` the base rules at most a share of ``max_false_reject`` lies above any
+    threshold. All start above every such row; the one that rejects most further bad rows for each
+    good row given up is lowered, until none helps or the share is used up. Only counts reach the
+    driver: of GRID steps, of the scores in those with a candidate, and of rows between candidates.
     """
     passed = scored.where("passed")
-    found = passed.where("good").select(F.posexplode("steps").alias("forest", "step")).groupBy("forest", "step").count().collect()
+    found = passed.where("good").select(F.posexplode(F.transform("scores", lambda s: F.floor(s * GRID))).alias("forest", "step")).groupBy(
+        "forest", "step").count().collect()
     if not found or scored.where("NOT good").isEmpty():
         return np.ones(forests)  # nothing to calibrate against: the forests reject nothing
-    levels = [_levels({r["step"]: r["count"] for r in found if r["forest"] == k}, max_false_reject, steps) for k in range(forests)]
-    unit, limit = levels[0][1:]
-    above = F.array(*[sum((F.lit(c) >= F.col("steps")[k]).cast("int") for c in cuts) for k, (cuts, *_) in enumerate(levels)])
+    n_good = sum(r["count"] for r in found if r["forest"] == 0)
+    limit = int(max_false_reject * n_good)
+    unit = max(1, limit // steps)
+    ranks = [r for r in range(0, 2 * limit + 1, unit) if r < n_good]
+    levels = [_exact(passed.where("good"), k, ranks, {r["step"]: r["count"] for r in found if r["forest"] == k}) for k in range(forests)]
+    above = F.array(*[sum((F.lit(c) >= F.col("scores")[k]).cast("int") for c in cuts) for k, cuts in enumerate(levels)])
     rows = passed.groupBy("good", above.alias("above")).count().collect()
     # a row lies above its forest's cuts from number ``first`` on
     first, good, n = np.array([r["above"] for r in rows]), np.array([r["good"] for r in rows]), np.array([r["count"] for r in rows])
@@ -216,7 +221,7 @@ def calibrate(scored: DataFrame, forests: int, max_false_reject: float, steps: i
     while True:
         caught, best = rejected(at, ~good), None
         for k in range(forests):
-            for more in range(1, len(levels[k][0]) - at[k]):
+            for more in range(1, len(levels[k]) - at[k]):
                 tried = at.copy()
                 tried[k] += more
                 if rejected(tried, good) > limit:
@@ -225,7 +230,7 @@ def calibrate(scored: DataFrame, forests: int, max_false_reject: float, steps: i
                 if gain > 0 and (best is None or gain > best[0]):
                     best = (gain, tried)
         if best is None:
-            return np.array([(cuts[a] + 1) / GRID for (cuts, *_), a in zip(levels, at)])
+            return np.array([cuts[a] for cuts, a in zip(levels, at)])
         at = best[1]
 
 
@@ -237,10 +242,10 @@ class Rules:
     thresholds: np.ndarray | None = None
 
     def verdicts(self, stat: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(base_failed, kept, anomaly) for rows of BASE + EXTRA; anomaly: the largest score in units of its threshold, rejected from 1 on."""
+        """(base_failed, kept, anomaly) for rows of BASE + EXTRA; anomaly: the largest score in units of its threshold, rejected above 1."""
         failed = _base_failed(stat)
         score = (forest_scores(self.forests, features(stat)) / self.thresholds).max(axis=1) if self.forests and len(stat) else np.zeros(len(stat))
-        return failed, ~failed & (score < 1), score
+        return failed, ~failed & (score <= 1), score
 
 
 def _base_failed(stat: np.ndarray) -> np.ndarray:
@@ -276,18 +281,19 @@ def _fit(stats: DataFrame, labels: DataFrame, max_false_reject: float = 0.002, t
     drawn = labelled.orderBy(F.xxhash64("doc_id"), "doc_id", *names).limit(trees * sample).toArrow()
     if not drawn.num_rows:
         return Rules()
-    x = features(np.stack([drawn.column(n).to_numpy() for n in names], axis=1))
+    stat = np.stack([drawn.column(n).to_numpy() for n in names], axis=1)
+    x = features(stat[np.lexsort((*stat.T, np.array(drawn.column("doc_id").to_pylist())))])  # the order decides the trees
     forests = tuple(grow_forest(x[:, list(group)], trees, sample, seed=7 + k) for k, group in enumerate(GROUPS))
     shared = stats.sparkSession.sparkContext.broadcast(forests)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
             stat = _rows(part)
-            steps = np.floor(forest_scores(shared.value, features(stat)) * GRID).astype(np.int32)
+            scores = forest_scores(shared.value, features(stat))
             yield pa.RecordBatch.from_arrays(
-                [part.column("good"), pa.array(~_base_failed(stat)), pa.array(list(steps), pa.list_(pa.int32()))], ["good", "passed", "steps"])
+                [part.column("good"), pa.array(~_base_failed(stat)), pa.array(list(scores), pa.list_(pa.float64()))], ["good", "passed", "scores"])
 
-    scored = materialize(labelled.mapInArrow(run, "good boolean, passed boolean, steps array<int>"), "rule-scores")
+    scored = materialize(labelled.mapInArrow(run, "good boolean, passed boolean, scores array<double>"), "rule-scores")
     try:
         return Rules(forests, calibrate(scored, len(forests), max_false_reject))
     finally:

@@ -235,11 +235,11 @@ def test_pipeline_stages(spark, odd, empty, labels, tmp_path):
 
 
 def test_rules_count_every_labelled_row(spark):
-    """A threshold follows from all labelled rows, however many, and no label is left out of the counts."""
-    kinds = np.arange(60_000) % 3 == 0
-    rows = spark.createDataFrame([(bool(k), True, [int(i), 0, 0]) for i, k in enumerate(kinds)], "good boolean, passed boolean, steps array<int>")
+    """Thresholds follow from all labelled rows, however many: 40 of 20,000 good ones may lie above."""
+    rng = np.random.default_rng(3)
+    kinds, scores = np.arange(60_000) % 3 == 0, rng.uniform(0.3, 0.9, 60_000)
+    rows = spark.createDataFrame([(bool(k), True, [float(s), 0.5, 0.5]) for s, k in zip(scores, kinds)], "good boolean, passed boolean, scores array<double>")
     found = quality_rules.calibrate(rows, 3, 0.002)
-    good = np.flatnonzero(kinds)
-    assert round(found[0] * quality_rules.GRID) - 1 >= np.sort(good)[-41]  # 40 of 20,000 may lie above
-    assert (good >= round(found[0] * quality_rules.GRID)).sum() <= 40
+    assert found.tolist() == [np.sort(scores[kinds])[-41], 0.5, 0.5]
+    assert quality_rules.calibrate(rows.where("good"), 3, 0.002).tolist() == [1, 1, 1]
     assert "max_labelled" not in quality_rules.fit.__code__.co_varnames
