@@ -238,14 +238,19 @@ for _name in S2.KEYS:
 from adlake.sources import sheets as SH  # noqa: E402
 
 
+#: Columns (folders) of which each pair of values is one sheet.
+SHEET = ("branch_id", "year")
+
+
 def _write_sheets(spark, sf):
-    """Per-branch CSV sheets (spend, impressions, clicks, CR) landed in the shared folder.
+    """CSV sheets a branch and year (spend, impressions, clicks, CR) landed in the shared folder.
 
-    Rows come from the external-sheet view in order-key order; some rows are
-    short, have a blank channel, an unparsable date or a ` 0:00:00` suffix.
+    Rows come from the external-sheet view, in order-key order within a sheet; some rows are
+    short, have a blank channel, an unparsable date or a ` 0:00:00` suffix. All rows of a
+    date are in one sheet, so the last of a key is the last in order-key order.
     """
     base = _shared(spark, "sheets")
-    e = fx.external_raw(spark, sf)
+    e = fx.external_raw(spark, sf).withColumn("year", F.year("date"))
     k = F.col("okey")
     date_txt = (F.when(k % 31 == 0, F.lit("n/a"))
                  .when(k % 2 == 0, F.concat(F.date_format("date", "yyyy-MM-dd"), F.lit(" 0:00:00")))
@@ -264,12 +269,11 @@ def _write_sheets(spark, sf):
     ]:
         line = F.when(k % short_mod == 0, F.concat_ws(",", date_txt, code)).otherwise(
             F.concat_ws(",", date_txt, code, *cells))
-        rows = e.withColumn("okey", F.col("order_key")).select("branch_id", "okey", line.alias("value"))
-        heads = rows.select("branch_id").distinct().select("branch_id", F.lit(-1).cast("bigint").alias("okey"),
-                                                           F.lit(header).alias("value"))
+        rows = e.withColumn("okey", F.col("order_key")).select(*SHEET, "okey", line.alias("value"))
+        heads = rows.select(*SHEET).distinct().select(*SHEET, F.lit(-1).cast("bigint").alias("okey"), F.lit(header).alias("value"))
         path = f"{base}/{name}"
-        (rows.unionByName(heads).repartition("branch_id").sortWithinPartitions("branch_id", "okey")
-             .select("branch_id", "value").write.partitionBy("branch_id").text(path))
+        (rows.unionByName(heads).repartition(*SHEET).sortWithinPartitions(*SHEET, "okey")
+             .select(*SHEET, "value").write.partitionBy(*SHEET).text(path))
         paths[name] = path
     return paths
 
@@ -277,13 +281,13 @@ def _write_sheets(spark, sf):
 @query("read_metric_sheet")
 def q_read_metric_sheet(spark, sf):
     p = _write_sheets(spark, sf)
-    return SH.read_metric_sheet(spark, p["spend"]).drop("__idx")
+    return SH.read_metric_sheet(spark, p["spend"]).drop("__idx", "year")
 
 
 @query("read_cr_sheet")
 def q_read_cr_sheet(spark, sf):
     p = _write_sheets(spark, sf)
-    return SH.read_cr_sheet(spark, p["cr"]).drop("__idx")
+    return SH.read_cr_sheet(spark, p["cr"]).drop("__idx", "year")
 
 
 @query("combine_metric_sheets")

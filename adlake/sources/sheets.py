@@ -78,15 +78,29 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     """(record, first, __idx, partition columns): the CSV records of all files below ``path``.
 
     A record ends at a line break outside quotes. Files are read in blocks by line, wherever a
-    block begins; each line says what it does to an open and to a closed quote, these maps are
-    composed within blocks and then over the blocks of a file, and only lines of records with
-    several lines are shuffled together. ``first`` marks a file's first record; ``__idx`` sorts
-    records by file name and place. Line breaks inside a cell come back as line feeds.
+    block begins. In a file where no line leaves a quote open each line is a record: one aggregate a
+    file finds these, and their lines are not shuffled. In the others each line says what it does to
+    an open and to a closed quote, these maps are composed within blocks and then over the blocks of
+    a file, and only lines of records with several lines are shuffled together. ``first`` marks a
+    file's first record; ``__idx`` sorts records by file name and place. Line breaks inside a cell
+    come back as line feeds.
     """
     raw = spark.read.text(path)
     extra = [c for c in raw.columns if c != "value"]  # e.g. a branch_id partition folder
     lines = raw.select("value", *extra, F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_name").alias("__name"),
                        F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__line"))
+    opens = F.col("value").contains('"') & F.col("value").rlike(_OPENS)
+    files = lines.groupBy("__file").agg(F.max(opens).alias("__quoted"), F.min(F.when(F.col("__block") == 0, F.col("__line"))).alias("__head"))
+    lines = lines.join(F.broadcast(files), "__file")  # a row a file
+    place = lambda start: F.struct("__name", "__file", start["__block"].alias("block"), start["__line"].alias("line")).alias("__idx")
+    plain = lines.where(~F.col("__quoted")).withColumn("__start", F.struct("__block", "__line")).select(
+        *extra, F.col("value").alias("record"), F.coalesce(F.col("__line") == F.col("__head"), F.lit(False)).alias("first"), place(F.col("__start")))
+    return plain.unionByName(_quoted_records(lines.where("__quoted").drop("__quoted", "__head"), extra).select(
+        *extra, "record", F.col("__first").alias("first"), place(F.col("__start"))))
+
+
+def _quoted_records(lines: DataFrame, extra: list[str]) -> DataFrame:
+    """(record, __first, __start, __file, __name, ``extra``) of lines among which quoted cells may go on over line breaks."""
     lines = lines.withColumn("__opens", F.col("value").rlike(_OPENS)).withColumn(
         "__stays", F.col("value").rlike(_STAYS) | F.col("value").rlike(_REOPENS))
     block = ["__file", "__block"]
@@ -113,8 +127,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     parts = lines.where(~F.col("__starts") | F.col("__in"))
     several = parts.groupBy(*shown).agg(F.max("__first").alias("__first"), F.array_join(F.transform(
         F.array_sort(F.collect_list(F.struct("__block", "__line", "value"))), lambda x: x["value"]), "\n").alias("record"))
-    return single.unionByName(several).select(*extra, "record", F.col("__first").alias("first"), F.struct(
-        "__name", "__file", F.col("__start.__block").alias("block"), F.col("__start.__line").alias("line")).alias("__idx"))
+    return single.unionByName(several)
 
 
 def csv_cells(record: Column) -> Column:
@@ -125,14 +138,15 @@ def csv_cells(record: Column) -> Column:
     def plain(cell: Column) -> Column:
         return F.when(cell.startswith('"'), F.concat(F.replace(F.regexp_extract(cell, inner, 1), F.lit('""'), F.lit('"')), F.regexp_extract(cell, inner, 2))).otherwise(cell)
 
-    return F.when(record == "", F.array().cast("array<string>")).otherwise(F.transform(cells, plain))
+    return F.when(record == "", F.array().cast("array<string>")).when(~record.contains('"'), F.split(record, ",", -1)).otherwise(F.transform(cells, plain))
 
 
 def _read_rows(spark: SparkSession, path: str, ncols: int) -> DataFrame:
     """Cells c0.. of every record as text, with their number, place and whether it is the file's first record."""
     records = csv_records(spark, path)
     extra = [c for c in records.columns if c not in ("record", "first", "__idx")]
-    return records.withColumn("cells", csv_cells(F.col("record"))).select(
+    # a one-element generator: filters on cells don't repeat the cutting
+    return records.select("*", F.explode(F.array(csv_cells(F.col("record")))).alias("cells")).select(
         *extra, "__idx", "first", F.size("cells").alias("__n"), *[F.try_element_at("cells", F.lit(i + 1)).alias(f"c{i}") for i in range(ncols)])
 
 
@@ -155,9 +169,9 @@ def sheet_rows(raw: DataFrame, ncols: int) -> DataFrame:
     named = F.upper(strip(F.coalesce("c0", F.lit("")))) == "DATE"
     fail = F.raise_error(F.concat(F.lit("SheetHeader: the first cell is not DATE in "), F.col("__idx.__file")))
     date = F.when(F.col("first") & ~named, fail.cast("date")).when(~F.col("first"), _parse_date(F.col("c0")))
-    # one condition, date first: no part of it can pass over the header's check
-    kept = F.when(date.isNull(), F.lit(False)).otherwise((F.col("__n") >= ncols) & (strip(F.coalesce("c1", F.lit(""))) != ""))
-    return raw.filter(kept).withColumn("date", date).drop("first")
+    # one condition, date first: no part of it can pass over the header's check; a one-element generator parses a date once
+    kept = F.when(F.col("date").isNull(), F.lit(False)).otherwise((F.col("__n") >= ncols) & (strip(F.coalesce("c1", F.lit(""))) != ""))
+    return raw.select("*", F.explode(F.array(date)).alias("date")).filter(kept).drop("first")
 
 
 def read_metric_sheet(spark: SparkSession, path: str) -> DataFrame:

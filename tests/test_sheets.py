@@ -112,3 +112,34 @@ def test_several_branches_and_an_empty_file(spark, tmp_path):
     (tmp_path / "branch_id=B3" / "s.csv").write_text("")
     got = sorted((r["branch_id"], r["channel_code"]) for r in SH.read_metric_sheet(spark, str(tmp_path)).collect())
     assert got == [("B1", "a\nB1"), ("B2", "a\nB2")]
+
+
+def test_files_with_and_without_line_breaks_in_cells_read_alike(spark, tmp_path):
+    texts = {"a.csv": HEAD + "2024-01-01,META,1\n\n2024-01-02,5\" pipe,2\n", "b.csv": HEAD + '2024-01-01,"two\nlines",3\n2024-01-02,META,4\n',
+             "c.csv": HEAD + '2024-01-03,"x, y","$1,000.50"\n'}
+    for name, text in texts.items():
+        write(tmp_path, text, name)
+    got, first = cells(spark, str(tmp_path))
+    want = [list(csv.reader(io.StringIO(t))) for t in texts.values()]
+    assert got == [r for rows in want for r in rows]
+    assert first == [k == 0 for rows in want for k in range(len(rows))]
+
+
+def test_lines_of_plain_files_are_not_shuffled(spark, tmp_path):
+    path = write(tmp_path, HEAD + "".join(f"2024-01-{d:02d},META,{d}\n" for d in range(1, 29)))
+    lines = SH.csv_records(spark, path)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    children = [k for k, x in enumerate(lines) if x.startswith((":- ", "+- "))]
+    branch = lines[children[0]:children[1]]
+    assert branch and not any("Window" in x for x in branch)
+
+
+def test_a_branch_is_written_as_one_sheet_a_year(spark, tmp_path):
+    from pathlib import Path
+
+    from adlake.plans.catalog_writes import _write_sheets
+    for metric, path in _write_sheets(spark, "/root/testdata/sf0.001").items():
+        files = [f for f in Path(path.removeprefix("file:")).rglob("part-*") if f.suffix == ".txt"]
+        assert len(files) == len({f.parent for f in files}) > len({f.parent.parent for f in files}), metric
+        for f in files:
+            assert [line.startswith("DATE,") for line in f.read_text().splitlines()].count(True) == 1
+            assert f.read_text().startswith("DATE,")
