@@ -401,20 +401,24 @@ def norm_tiktok_creative(ads: DataFrame, w: Window, ingestion_id: str, now, extr
 
 def norm_naver_creative(ads: DataFrame, adgroups: DataFrame, w: Window, ingestion_id: str, now,
                         extract_ts, order_col: str = "ingest_seq") -> DataFrame:
-    """Naver ads -> creative rows; campaign from the ad, else from its ad group."""
+    """Naver ads -> creative rows; campaign from the ad, else from its ad group.
+
+    An ad's columns are picked before the lookup, so the join moves those a reader wants and not
+    the parsed payload.
+    """
     p = parsed(ads.select("customer_id", "payload"), "payload", NAVER_AD, "a")
-    a = _naver_adgroups(adgroups, order_col).drop("__aname")
-    ag = first_nonblank(F.col("a.nccAdgroupId"), F.col("a.adgroupId"))
-    p = p.withColumn("__ag", ag)
-    p = p.join(a, (p.customer_id == a.__ac) & (p.__ag == a.__aid), "left")
     ad_id = first_nonblank(F.col("a.nccAdId"), F.col("a.adId"), F.col("a.id"))
-    camp = F.coalesce(first_nonblank(F.col("a.nccCampaignId"), F.col("a.campaignId")),
-                      F.when(F.col("__acid") != "", F.col("__acid")))
-    return p.select(
-        *_ctx_cols(ingestion_id, now, extract_ts), F.lit(w.end).alias("collected_date"),
-        F.col("customer_id").alias("account_id"), camp.alias("campaign_id"), F.col("__ag").alias("ad_group_id"),
-        ad_id.alias("ad_id"), ad_id.alias("creative_id"),
+    p = p.select(
+        F.col("customer_id").alias("account_id"), first_nonblank(F.col("a.nccCampaignId"), F.col("a.campaignId")).alias("__camp"),
+        first_nonblank(F.col("a.nccAdgroupId"), F.col("a.adgroupId")).alias("ad_group_id"), ad_id.alias("ad_id"),
         first_nonblank(F.col("a.adName"), F.col("a.name")).alias("creative_name"),
         first_nonblank(F.col("a.type"), F.col("a.adType")).alias("ad_type"),
         F.col("a.ad.headline").alias("headline"), F.col("a.ad.description").alias("body_text"),
         F.col("a.ad.image.url").alias("thumbnail_url"), F.col("payload").alias("source_payload"))
+    a = _naver_adgroups(adgroups, order_col).drop("__aname")
+    p = p.join(a, (p.account_id == a.__ac) & (p.ad_group_id == a.__aid), "left")
+    return p.select(
+        *_ctx_cols(ingestion_id, now, extract_ts), F.lit(w.end).alias("collected_date"), "account_id",
+        F.coalesce("__camp", F.when(F.col("__acid") != "", F.col("__acid"))).alias("campaign_id"), "ad_group_id", "ad_id",
+        F.col("ad_id").alias("creative_id"), "creative_name", "ad_type", "headline", "body_text", "thumbnail_url",
+        "source_payload")
