@@ -167,16 +167,27 @@ def stg_creative_snapshot(meta: DataFrame | None, w: Window, now=None, google: D
 ASSET_TIEBREAK = ("asset_url", "video_id", "thumbnail_url", "image_hash")
 
 
-def _asset_rows(df, channel, account, kind, seq, url, thumb, image_hash, video, w, now, src=0):
-    nul = F.lit(None)
-    c = lambda x: (F.col(x) if isinstance(x, str) else x).cast("string")
+_ASSET = ("struct<asset_type:string,asset_seq:int,asset_url:string,thumbnail_url:string,image_hash:string,video_id:string,"
+          "width:bigint,height:bigint,duration_sec:bigint,__src:int>")
+
+
+def _one(kind, seq, url=None, thumb=None, image_hash=None, video=None, width=None, height=None, duration=None, src=0) -> Column:
+    """One asset; columns by name or expression, None for none."""
+    vals = [F.lit(kind) if isinstance(kind, str) else kind, F.lit(seq) if isinstance(seq, int) else seq,
+            *[F.col(x) if isinstance(x, str) else F.lit(None) if x is None else x for x in (url, thumb, image_hash, video, width, height, duration)], F.lit(src)]
+    names = ("asset_type", "asset_seq", "asset_url", "thumbnail_url", "image_hash", "video_id", "width", "height", "duration_sec", "__src")
+    return F.struct(*[v.alias(n) for v, n in zip(vals, names)]).cast(_ASSET)
+
+
+def _asset_rows(df: DataFrame, channel: str, account: str, assets: Column, w: Window, now) -> DataFrame:
+    """A row an element of ``assets``, which is built once a row of ``df``."""
     return df.filter(w.contains("collected_date")).select(
         F.lit(channel).alias("channel_key"), F.col(account).alias("account_id_norm"), "ad_id", "creative_id",
-        F.lit(kind).alias("asset_type"), (F.lit(seq) if isinstance(seq, int) else seq).cast("int").alias("asset_seq"),
-        c(url).alias("asset_url"), c(thumb).alias("thumbnail_url"), c(image_hash).alias("image_hash"),
-        c(video).alias("video_id"), nul.cast("bigint").alias("width"), nul.cast("bigint").alias("height"),
-        nul.cast("bigint").alias("duration_sec"), F.col("collected_date").cast("timestamp").alias("valid_from_ts"),
-        load_ts(now).alias("load_ts"), F.lit(src).alias("__src"))
+        F.col("collected_date").cast("timestamp").alias("valid_from_ts"), load_ts(now).alias("load_ts"),
+        F.explode(assets).alias("__a")).select(
+        "channel_key", "account_id_norm", "ad_id", "creative_id", *[F.col(f"__a.{c}").alias(c) for c in (
+            "asset_type", "asset_seq", "asset_url", "thumbnail_url", "image_hash", "video_id", "width", "height", "duration_sec")],
+        "valid_from_ts", "load_ts", F.col("__a.__src").alias("__src"))
 
 
 def stg_creative_asset(meta: DataFrame | None, w: Window, now=None, google: DataFrame | None = None,
@@ -184,44 +195,24 @@ def stg_creative_asset(meta: DataFrame | None, w: Window, now=None, google: Data
     """Creative assets: Meta JSON assets (1-based position) plus fallback IMAGE #1 /
     VIDEO #2 rows, Google image urls and video ids (positions), TikTok image #1
     and video #2. A row is kept if it has any url, video, thumbnail or hash;
-    on a key tie a Meta JSON asset wins over the fallback row."""
-    nul = F.lit(None)
+    on a key tie a Meta JSON asset wins over the fallback row. Each channel is
+    read once: all assets of a creative come out of one array."""
+    none = F.array().cast(f"array<{_ASSET}>")
     parts = []
     if meta is not None:
-        m = meta.filter(w.contains("collected_date"))
-        js = (m.select(F.col("account_id"), "ad_id", "creative_id", "collected_date", "thumbnail_url",
-                       "ingestion_ts", "source_extract_ts",
-                       F.posexplode(F.from_json("assets_json", ASSET_JSON)).alias("__off", "a")))
-        parts.append(js.select(
-            F.lit("META").alias("channel_key"), F.col("account_id").alias("account_id_norm"), "ad_id", "creative_id",
-            F.upper(F.coalesce(F.when(F.col("a.asset_type") != "", F.col("a.asset_type")), F.lit("IMAGE")))
-             .alias("asset_type"),
-            (F.col("__off") + 1).cast("int").alias("asset_seq"),
-            F.coalesce("a.asset_url", "a.url").alias("asset_url"),
-            F.coalesce("a.thumbnail_url", "thumbnail_url").alias("thumbnail_url"),
-            F.col("a.image_hash").alias("image_hash"), F.col("a.video_id").alias("video_id"),
-            F.col("a.width").try_cast("bigint").alias("width"), F.col("a.height").try_cast("bigint").alias("height"),
-            F.col("a.duration").try_cast("bigint").alias("duration_sec"),
-            F.col("collected_date").cast("timestamp").alias("valid_from_ts"),
-            load_ts(now).alias("load_ts"), F.lit(1).alias("__src")))
-        parts.append(_asset_rows(m, "META", "account_id", "IMAGE", 1, "permanent_image_url", "thumbnail_url",
-                                 "image_hash", nul, w, now))
-        parts.append(_asset_rows(m, "META", "account_id", "VIDEO", 2, nul, "thumbnail_url", nul, "video_id", w, now))
+        js = F.transform(F.from_json("assets_json", ASSET_JSON), lambda a, i: _one(
+            F.upper(F.coalesce(F.when(a.asset_type != "", a.asset_type), F.lit("IMAGE"))), i + 1, F.coalesce(a.asset_url, a.url),
+            F.coalesce(a.thumbnail_url, F.col("thumbnail_url")), a.image_hash, a.video_id, a.width.try_cast("bigint"), a.height.try_cast("bigint"),
+            a.duration.try_cast("bigint"), src=1))
+        parts.append(_asset_rows(meta, "META", "account_id", F.concat(F.coalesce(js, none), F.array(
+            _one("IMAGE", 1, "permanent_image_url", "thumbnail_url", "image_hash"), _one("VIDEO", 2, thumb="thumbnail_url", video="video_id"))), w, now))
     if google is not None:
-        g = google.filter(w.contains("collected_date"))
-        gi = g.select("customer_id", "ad_id", "creative_id", "collected_date", "ingestion_ts", "source_extract_ts",
-                      F.posexplode(F.coalesce("image_urls", F.array().cast("array<string>"))).alias("__off", "__v"))
-        gv = g.select("customer_id", "ad_id", "creative_id", "collected_date", "ingestion_ts", "source_extract_ts",
-                      F.posexplode(F.coalesce("youtube_video_ids", F.array().cast("array<string>"))).alias("__off", "__v"))
-        parts.append(_asset_rows(gi, "GOOGLE_ADS", "customer_id", "IMAGE", F.col("__off") + 1, "__v", nul, nul, nul,
-                                 w, now))
-        parts.append(_asset_rows(gv, "GOOGLE_ADS", "customer_id", "VIDEO", F.col("__off") + 1, nul, nul, nul, "__v",
-                                 w, now))
+        parts.append(_asset_rows(google, "GOOGLE_ADS", "customer_id", F.concat(
+            F.coalesce(F.transform("image_urls", lambda v, i: _one("IMAGE", i + 1, v)), none),
+            F.coalesce(F.transform("youtube_video_ids", lambda v, i: _one("VIDEO", i + 1, video=v)), none)), w, now))
     if tiktok is not None:
-        parts.append(_asset_rows(tiktok, "TIKTOK_ADS", "advertiser_id", "IMAGE", 1, "image_url", "thumbnail_url", nul,
-                                 nul, w, now))
-        parts.append(_asset_rows(tiktok, "TIKTOK_ADS", "advertiser_id", "VIDEO", 2, "video_url", "thumbnail_url", nul,
-                                 "video_id", w, now))
+        parts.append(_asset_rows(tiktok, "TIKTOK_ADS", "advertiser_id", F.array(
+            _one("IMAGE", 1, "image_url", "thumbnail_url"), _one("VIDEO", 2, "video_url", "thumbnail_url", video="video_id")), w, now))
     u = parts[0]
     for p_ in parts[1:]:
         u = u.unionByName(p_)

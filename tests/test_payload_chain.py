@@ -85,3 +85,30 @@ def test_blended_rows_of_one_source_leave_the_others_null(spark):
     dim = spark.createDataFrame([("b", "Branch", "EUR")], "branch_id string, branch_name string, currency string")
     got = {(r.branch_id, r.currency_code): (r.ad_spend_native_micros, r.ad_conversion_value_native_micros, r.orders, r.users) for r in marts.mart_blended_daily(mc, mb, mw, ms, dim).collect()}
     assert got == {("b", "EUR"): (5, None, None, 3), ("b", "USD"): (None, None, 2, 3), (None, None): (None, None, None, None)}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_naver_lookup_moves_picked_columns_only(spark):
+    from adlake.sources import normalize as N
+    ads = spark.createDataFrame([("1", '{"adId":"9","nccAdgroupId":"g","adName":"n"}')], "customer_id string, payload string")
+    groups = spark.createDataFrame([("1", 1, '{"nccAdgroupId":"g","nccCampaignId":"c"}')], "customer_id string, ingest_seq int, payload string")
+    out = N.norm_naver_creative(ads, groups, Window.of("2024-01-01", "2024-01-31"), "r", None, None)
+    assert [tuple(r) for r in out.select("account_id", "campaign_id", "ad_group_id", "ad_id", "creative_name").collect()] == [("1", "c", "g", "9", "n")]
+    lines = _plan(out.select("account_id", "campaign_id", "ad_id")).split("\n")
+    left = lines[next(k for k, x in enumerate(lines) if "Join LeftOuter" in x) + 1]
+    assert "Project [" in left and left.split("Project [", 1)[1].count("AS ") + left.count(",") <= 8
+    assert not any(x.strip().startswith("a#") for x in left.split("Project [", 1)[1].split(","))
+
+
+def test_creative_assets_read_each_channel_once(spark):
+    from adlake.operators import creative as CR
+    from adlake.sources import normalize as N
+    w = Window.of("2024-01-01", "2024-01-31")
+    g = spark.createDataFrame([("1", '{"ad_group_ad":{"ad":{"id":"9","image_ad":{"image_url":"i"},"video_ad":{"video":{"asset":"x/assets/7"}}}}}')],
+                              "customer_id string, payload string")
+    out = CR.stg_creative_asset(None, w, google=N.norm_google_creative(g, w, "r", None, None))
+    assert sorted((r["asset_type"], r["asset_seq"], r["asset_url"], r["video_id"]) for r in out.collect()) == [("IMAGE", 1, "i", None), ("VIDEO", 1, None, "7")]
+    assert _plan(out).count("from_json") == 1
