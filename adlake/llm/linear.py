@@ -75,8 +75,7 @@ def softmax(z: np.ndarray) -> np.ndarray:
 
 
 def multinomial(x: np.ndarray, y: np.ndarray, classes: int, l2: float = 1e-3, steps: int = 150, rate: float = 0.5) -> np.ndarray:
-    """(features + 1) x classes weights of a softmax regression, full-batch Adagrad."""
-    x = np.column_stack([x, np.ones(len(x))])
+    """Weights (a row a column of ``x``, which ends with the constant 1) of a softmax regression, full-batch Adagrad."""
     w, seen, target = np.zeros((x.shape[1], classes)), np.full((x.shape[1], classes), 1e-8), np.eye(classes)[y]
     for _ in range(steps):
         g = x.T @ (softmax(x @ w) - target) / len(x) + l2 * w

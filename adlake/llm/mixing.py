@@ -37,12 +37,21 @@ TARGETS = {"en": 0.55, "fr": 0.18, "de": 0.15, "es": 0.12}
 
 def text_features(text: str) -> np.ndarray:
     """Hashed byte-pair histogram of a whole text (A-Z lower-cased), square-rooted and scaled to length one."""
+    return _scaled(pair_counts(text))
+
+
+def pair_counts(text: str) -> np.ndarray:
+    """Counts of the hashed byte pairs of a whole text (A-Z lower-cased)."""
     b = np.frombuffer(text.encode("utf-8", "replace").lower(), dtype=np.uint8)
     if len(b) < 2:
-        return np.zeros(DIMENSION)
+        return np.zeros(DIMENSION, dtype=np.int64)
     pairs = (b[:-1].astype(np.uint32) << 8 | b[1:]) * np.uint32(2654435761) >> np.uint32(22)
-    x = np.sqrt(np.bincount(pairs, minlength=DIMENSION).astype(float))
-    return x / np.linalg.norm(x)
+    return np.bincount(pairs, minlength=DIMENSION)
+
+
+def _scaled(counts: np.ndarray) -> np.ndarray:
+    x = np.sqrt(counts.astype(float))
+    return x / (np.linalg.norm(x) or 1.0)
 
 
 @dataclass
@@ -95,15 +104,27 @@ def train(docs: DataFrame, labelled: DataFrame, domains: list[str], max_labelled
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
-            x = [text_features(t) for t in texts(part, "text")]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(x, pa.list_(pa.float64()))], ["doc_id", "x"])
+            # only the pairs that occur: a row is a few KB on its way to the driver
+            n = [pair_counts(t) for t in texts(part, "text")]
+            at = [np.flatnonzero(row) for row in n]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), pa.array(at, pa.list_(pa.int16())), pa.array([row[a] for row, a in zip(n, at)], pa.list_(pa.int64()))], ["doc_id", "at", "n"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = among(docs.select("doc_id", "text"), list(chosen)).mapInArrow(run, f"doc_id {kind}, x array<double>").toArrow().to_pylist()
-    if not got:
+    got = among(docs.select("doc_id", "text"), list(chosen)).mapInArrow(run, f"doc_id {kind}, at array<short>, n array<long>").toArrow()
+    if not got.num_rows:
         return Mix(domains, None)
-    got.sort(key=lambda r: (r["doc_id"], r["x"][:8]))
-    return Mix(domains, multinomial(np.array([r["x"] for r in got]), np.array([chosen[r["doc_id"]] for r in got]), len(domains)))
+    ids, x = got.column("doc_id").to_pylist(), np.ones((got.num_rows, DIMENSION + 1))
+    k = 0
+    for batch in got.to_batches():  # straight into the matrix, no Python numbers
+        for at, n in zip(batch.column("at"), batch.column("n")):
+            counts = np.zeros(DIMENSION, dtype=np.int64)
+            counts[at.values.to_numpy()] = n.values.to_numpy()
+            x[k, :-1] = _scaled(counts)
+            k += 1
+    del got
+    order = sorted(range(len(ids)), key=lambda i: (ids[i], x[i, :8].tolist()))
+    return Mix(domains, multinomial(x[order], np.array([chosen[ids[i]] for i in order]), len(domains)))
 
 
 def with_posteriors(docs: DataFrame, mix: Mix, text_col: str = "text") -> DataFrame:

@@ -174,10 +174,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = 14_000, max_pool
         for part in slices(batches, "text"):
             rows, meta = _featured(part, None, memo)
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(rows, pa.list_(pa.int64())), pa.array(list(meta), pa.list_(pa.float64()))], ["doc_id", "c", "m"])
+                [part.column("doc_id"), pa.array(rows, pa.list_(pa.int32())), pa.array(list(meta), pa.list_(pa.float64()))], ["doc_id", "c", "m"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    got = among(docs, list(chosen)).mapInArrow(run, f"doc_id {kind}, c array<long>, m array<double>").toArrow().combine_chunks()
+    got = among(docs, list(chosen)).mapInArrow(run, f"doc_id {kind}, c array<int>, m array<double>").toArrow().combine_chunks()
     ids = got.column("doc_id").to_pylist()
     order = sorted(range(len(ids)), key=ids.__getitem__)
     unique = [k for before, k in zip([None, *order], order) if before is None or ids[before] != ids[k]]

@@ -266,3 +266,23 @@ def test_whitening_odd_rows(spark):
     assert sorted(r["component"] for r in whitening.whiten(narrow).collect()) == [1, 1, 1]
     huge = spark.createDataFrame([(1, [1e30, 1.0]), (2, [-1e30, 2.0]), (3, [0.0, 3.0])], "vec_id long, embedding array<double>")
     assert {r["deviation"] for r in whitening.whiten(huge).where("vec_id < 3").collect()} == {None}
+
+
+def test_mixing_trains_from_counts_without_python_numbers(spark):
+    import tracemalloc
+
+    import numpy as np
+
+    from adlake.llm import mixing
+    from adlake.llm.linear import multinomial
+    n = 1500
+    text = [f"{'the cat and the' if k % 2 else 'der hund und die'} {k * 7919} words" for k in range(n)]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(text)], "doc_id long, text string")
+    labelled = spark.createDataFrame([(k, "en" if k % 2 else "de") for k in range(n)], "doc_id long, domain string")
+    tracemalloc.start()
+    mix = mixing.train(docs, labelled, ["de", "en"])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    x = np.array([np.append(mixing.text_features(t), 1) for t in text])
+    assert np.allclose(mix.weights, multinomial(x, np.arange(n) % 2, 2))
+    assert peak < 4 * x.nbytes
