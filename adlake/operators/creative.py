@@ -121,6 +121,9 @@ def _snapshot_rows(df: DataFrame, channel: str, account: str, name_cols: dict, h
         F.col("collected_date").cast("timestamp").alias("valid_from_ts"), load_ts(now).alias("load_ts"))
 
 
+SNAPSHOT_KEY = ("channel_key", "account_id_norm", "ad_id", "creative_id", "valid_from_ts")
+
+
 def stg_creative_snapshot(meta: DataFrame | None, w: Window, now=None, google: DataFrame | None = None,
                           tiktok: DataFrame | None = None, naver: DataFrame | None = None,
                           tiebreak: Sequence[str] = ("content_hash",)) -> DataFrame:
@@ -160,8 +163,7 @@ def stg_creative_snapshot(meta: DataFrame | None, w: Window, now=None, google: D
     for p_ in parts[1:]:
         u = u.unionByName(p_)
     u = u.filter(_nonblank(F.col("creative_id")) & _nonblank(F.col("ad_id")))
-    return latest_by(u, ["channel_key", "account_id_norm", "ad_id", "creative_id", "valid_from_ts"], ["load_ts"],
-                     list(tiebreak))
+    return latest_by(u, SNAPSHOT_KEY, ["load_ts"], list(tiebreak), hashed=True)
 
 
 ASSET_TIEBREAK = ("asset_url", "video_id", "thumbnail_url", "image_hash")

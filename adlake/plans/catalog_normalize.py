@@ -91,8 +91,7 @@ def q_norm_meta_creative(spark, sf):
 def _channel_creatives(spark, sf):
     g = N.norm_google_creative(fx.google_creative_payloads(spark, sf), W, RUN, NOW, NOW)
     t = N.norm_tiktok_creative(fx.tiktok_ad_payloads(spark, sf), W, RUN, NOW, NOW)
-    n = N.norm_naver_creative(fx.naver_ad_payloads(spark, sf), fx.naver_payloads(spark, sf)["adgroups"], W, RUN,
-                              NOW, NOW)
+    n = N.norm_naver_creative(fx.naver_ad_payloads(spark, sf), fx.naver_adgroup_payloads(spark, sf), W, RUN, NOW, NOW)
     return g, t, n
 
 
@@ -157,8 +156,7 @@ def q_norm_tiktok_creative(spark, sf):
 
 @query("norm_naver_creative")
 def q_norm_naver_creative(spark, sf):
-    groups = fx.naver_payloads(spark, sf)["adgroups"]
-    return finish(N.norm_naver_creative(fx.naver_ad_payloads(spark, sf), groups, W, RUN, NOW, NOW),
+    return finish(N.norm_naver_creative(fx.naver_ad_payloads(spark, sf), fx.naver_adgroup_payloads(spark, sf), W, RUN, NOW, NOW),
                   drop=("ingestion_id", "source_payload"))
 
 
