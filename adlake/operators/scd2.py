@@ -35,18 +35,20 @@ def scd2(staged: DataFrame, history: DataFrame | None, keys: Sequence[str], chan
     chg = F.col(change) if isinstance(change, str) else change
     cols = list(keys) + [valid_from] + list(attrs)
     s = staged.withColumn("__chg", blank_key(chg)).withColumn("__src", F.lit(1))
-    s = latest_by(s, list(keys) + [valid_from], [*order, "__chg"], [a for a in attrs if a not in order])
+    s = latest_by(s, list(keys) + [valid_from], [*order, "__chg"], [a for a in attrs if a not in order], hashed=True)
     s = s.select(*cols, "__chg", "__src")
     if history is not None:
         h = history.withColumn("__chg", blank_key(chg)).withColumn("__src", F.lit(0)).select(*cols, "__chg", "__src")
-        s = latest_by(s.unionByName(h), list(keys) + [valid_from], ["__src"])
-    w = W.partitionBy(*keys).orderBy(valid_from)
+        s = latest_by(s.unionByName(h), list(keys) + [valid_from], ["__src"], hashed=True)
+    # The hash leads the sort: keys that begin with a channel are alike in their first column.
+    s = s.withColumn("__kh", F.hash(*keys))
+    w = W.partitionBy("__kh", *keys).orderBy(valid_from)
     s = s.withColumn("__prev", F.lag("__chg").over(w))
     s = s.filter(F.col("__prev").isNull() | (F.col("__prev") != F.col("__chg")))
     nxt = F.lead(valid_from).over(w)
     end = nxt - F.expr("INTERVAL 1 SECOND") if grain == "second" else F.date_sub(nxt, 1)
     return (s.withColumn(valid_to, end).withColumn("is_current", nxt.isNull())
-             .drop("__chg", "__src", "__prev"))
+             .drop("__chg", "__src", "__prev", "__kh"))
 
 
 def asset_fingerprint(url="asset_url", video="video_id", image_hash="image_hash", thumb="thumbnail_url") -> Column:
