@@ -90,3 +90,11 @@ def test_campaign_sums_need_no_shuffle_of_their_own(spark, sf):
     """With a small account map rows lie by campaign and day; only the names join deals the sums out again."""
     staged = dealt(plan(spark, QUERIES["fact_campaign_daily"](spark, sf)))
     assert staged and all(len(above) == 1 and "campaign_id" in above[0] for _, above in staged)
+
+
+def test_inputs_of_the_blended_mart_are_not_landed(spark, sf, monkeypatch):
+    landed = []
+    real = fx._land
+    monkeypatch.setattr(fx, "_land", lambda spark, sf, name, df: landed.append(name) or real(spark, sf, name, df))
+    got = rows(QUERIES["mart_blended_daily"](spark, sf))
+    assert len(got) and not landed
