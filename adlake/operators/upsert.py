@@ -7,7 +7,7 @@ of :mod:`adlake.sources.io` (partition overwrite of the window only).
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -42,13 +42,13 @@ def assert_unique_source(source: DataFrame, keys: Sequence[str], blank_keys: Seq
 DUPLICATE_MATCH = "MERGE must match at most one source row per key"
 
 
-def unique_by(source: DataFrame, key: str, shown: Sequence[str]) -> DataFrame:
-    """``source`` with a check in its plan: the job that reads it fails when ``key`` repeats.
+def unique_by(source: DataFrame, key: Sequence[str], shown: Sequence[str]) -> DataFrame:
+    """``source`` with a check in its plan: the job that reads it fails when ``key`` (columns) repeats.
 
     The count runs in the partitioning and order that a sort-merge join on ``key`` needs, so a
     MERGE gets it without a shuffle or sort of its own.
     """
-    n = F.count(F.lit(1)).over(W.partitionBy(key))
+    n = F.count(F.lit(1)).over(W.partitionBy(*key))
     text = F.concat(F.lit(f"{DUPLICATE_MATCH}: "), F.to_json(F.struct(*[F.col(c) for c in shown])))
     return source.withColumn("__n", n).withColumn("__s", F.when(F.col("__n") == 1, F.lit(True)).otherwise(F.raise_error(text).cast("boolean"))).drop("__n")
 
@@ -62,7 +62,7 @@ def merge_key(keys: Sequence[str], blank_keys: Sequence[str], prefix: str) -> Co
 def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], blank_keys: Sequence[str] = (),
            keep_if_null: Sequence[str] = (), keep_old_first: Sequence[str] = (), least: Sequence[str] = (),
            greatest: Sequence[str] = (), window: Window | None = None, date_col: str | None = None,
-           strict_keys: bool = False, update_cols: Sequence[str] | None = None) -> DataFrame:
+           strict_keys: bool = False, update_cols: Sequence[str] | None = None, dealt: Sequence[str] = ()) -> DataFrame:
     """MERGE ``source`` into ``target`` and return the new target.
 
     Matching is on ``keys`` (``blank_keys`` compared as ``IFNULL(k, '')``;
@@ -78,10 +78,27 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], blank_keys
     (``DUPLICATE_MATCH``), before anything is written; rows that cannot match
     (NULL in a strict key) are exempt and all inserted. Repeated target rows
     of a key are each updated.
+
+    ``dealt`` names plain keys that both sides have been dealt by already: rows that have them are
+    matched where they are (see ``share_shuffles``), rows with a NULL in one are merged by themselves.
     """
     cols = target.columns
     src = source.select(*[F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
                           for c in cols])
+    if not set(dealt) <= set(keys) - set(blank_keys):
+        raise ValueError(f"rows can be dealt by keys that are compared as they are only, not by {list(dealt)}")
+    merge = partial(_merge, keys=keys, blank_keys=blank_keys, keep_if_null=keep_if_null, keep_old_first=keep_old_first, least=least,
+                    greatest=greatest, window=window, date_col=date_col, strict_keys=strict_keys, update_cols=update_cols)
+    if not dealt:
+        return merge(target, src)
+    known = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in dealt])
+    return merge(target.filter(known), src.filter(known), dealt=dealt).unionByName(merge(target.filter(~known), src.filter(~known)))
+
+
+def _merge(target: DataFrame, src: DataFrame, keys, blank_keys, keep_if_null, keep_old_first, least, greatest, window, date_col, strict_keys,
+           update_cols, dealt: Sequence[str] = ()) -> DataFrame:
+    """``upsert`` of a source with the target's columns, in which no row has a NULL in a key of ``dealt``."""
+    cols = target.columns
     untouched = []
     if window is not None and date_col is not None:
         inside = window.contains(F.col(date_col))
@@ -94,9 +111,11 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], blank_keys
         target, src = target.filter(known), src.filter(known)
     t = target.select(*[F.col(c).alias(f"__t_{c}") for c in cols], F.lit(True).alias("__t"))
     s = src.select(*[F.col(c).alias(f"__s_{c}") for c in cols])
-    t = t.withColumn("__tk", merge_key(keys, blank_keys, "__t_"))
-    s = unique_by(s.withColumn("__sk", merge_key(keys, blank_keys, "__s_")), "__sk", [f"__s_{k}" for k in keys])
-    j = t.join(s, on=F.col("__tk") == F.col("__sk"), how="full_outer")
+    rest = [k for k in keys if k not in dealt]
+    t = t.withColumn("__tk", merge_key(rest, blank_keys, "__t_") if rest else F.lit(0))
+    s = s.withColumn("__sk", merge_key(rest, blank_keys, "__s_") if rest else F.lit(0))
+    s = unique_by(s, [*(f"__s_{k}" for k in dealt), "__sk"], [f"__s_{k}" for k in keys])
+    j = t.join(s, on=[*(F.col(f"__t_{k}") == F.col(f"__s_{k}") for k in dealt), F.col("__tk") == F.col("__sk")], how="full_outer")
     matched = F.col("__t").isNotNull() & F.col("__s").isNotNull()
     out = []
     for c in cols:

@@ -27,7 +27,7 @@ def _perf_batches(c: Ctx):
     """(batch-1 stg rows, batch-2 stg rows): even loads vs all loads, changed."""
     r = c.raws
     even = {k: v.filter(F.col("load_seq") % 2 == 0) for k, v in r.items()}
-    t = staging.stg_ads_performance(even["meta"], even["google"], even["tiktok"], even["naver"], c.w, NOW, TIE)
+    t = staging.stg_ads_performance(even["meta"], even["google"], even["tiktok"], even["naver"], c.w, NOW, TIE, c.dealt())
     t = t.withColumn("currency_code", F.when(F.col("tie1") % 5 == 0, F.lit("EUR")))
     s = c.stg_perf().withColumn("impressions", F.col("impressions") + 1)
     return t, s
@@ -35,10 +35,11 @@ def _perf_batches(c: Ctx):
 
 @query("upsert")
 def q_upsert(spark, sf):
-    t, s = _perf_batches(ctx(spark, sf))
+    c = ctx(spark, sf)
+    t, s = _perf_batches(c)
     out = U.upsert(t.drop(*TIE, "load_ts"), s.drop(*TIE, "load_ts"), PERF_KEYS,
                    blank_keys=["ad_group_name", "currency_code"], keep_if_null=["ad_group_name", "currency_code"],
-                   window=ALL_TIME, date_col="stat_date")
+                   window=ALL_TIME, date_col="stat_date", dealt=c.dealt())
     return finish(out)
 
 

@@ -3,9 +3,12 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from adlake.operators import joins
+from adlake.operators import upsert as U
 from adlake.plans.registry import QUERIES
+from adlake.session import share_shuffles
 from adlake.sources import fixtures as fx
 
 DAY = dt.datetime(1996, 5, 6)
@@ -98,3 +101,28 @@ def test_inputs_of_the_blended_mart_are_not_landed(spark, sf, monkeypatch):
     monkeypatch.setattr(fx, "_land", lambda spark, sf, name, df: landed.append(name) or real(spark, sf, name, df))
     got = rows(QUERIES["mart_blended_daily"](spark, sf))
     assert len(got) and not landed
+
+
+SCHEMA = "k string, g string, n string, v int"
+
+
+def test_dealt_rows_are_merged_where_they_are(spark):
+    share_shuffles(spark)
+    t = spark.createDataFrame([("1", "a", None, 1), ("1", None, "x", 2), (None, "a", "x", 3), ("2", "b", None, 4)], SCHEMA).repartition("k")
+    s = spark.createDataFrame([("1", "a", "", 10), ("1", None, "x", 20), (None, "a", "x", 30), (None, None, "x", 40), ("3", None, None, 50)], SCHEMA).repartition("k")
+    out = U.upsert(t, s, ["k", "g", "n"], blank_keys=["n"], dealt=["k"])
+    assert rows(out) == rows(U.upsert(t, s, ["k", "g", "n"], blank_keys=["n"]))
+    assert len(rows(out)) == 6
+    found = dealt(plan(spark, out))  # rows without the key they are dealt by are merged by themselves
+    assert len(found) == 4 and [len(above) for _, above in found] == [0, 0, 1, 1]
+
+
+def test_repeated_source_keys_of_dealt_rows_fail_the_job(spark):
+    t = spark.createDataFrame([("1", "a", "x", 1)], SCHEMA)
+    for twice in ([("1", "a", "x", 2)] * 2, [(None, "a", "x", 2)] * 2):
+        with pytest.raises(Exception, match=U.DUPLICATE_MATCH):
+            U.upsert(t, spark.createDataFrame(twice, SCHEMA), ["k", "g", "n"], blank_keys=["n"], dealt=["k"]).collect()
+    same = spark.createDataFrame([("1", "a", None, 5), ("1", "a", "", 6)], SCHEMA)
+    with pytest.raises(ValueError, match="dealt"):
+        U.upsert(t, same, ["k", "g", "n"], blank_keys=["n"], dealt=["n"])
+    assert rows(U.upsert(t, t.withColumn("v", F.lit(9)), ["k"], dealt=["k"])) == rows(t.withColumn("v", F.lit(9)))
