@@ -126,10 +126,12 @@ SNAPSHOT_KEY = ("channel_key", "account_id_norm", "ad_id", "creative_id", "valid
 
 def stg_creative_snapshot(meta: DataFrame | None, w: Window, now=None, google: DataFrame | None = None,
                           tiktok: DataFrame | None = None, naver: DataFrame | None = None,
-                          tiebreak: Sequence[str] = ("content_hash",)) -> DataFrame:
+                          tiebreak: Sequence[str] = ("content_hash",), dealt: Sequence[str] = ()) -> DataFrame:
     """Creative snapshots of the four channels with channel-specific content
     hashes; validity from midnight of the collected date; latest row per
-    (channel, account, ad, creative, valid_from), ties broken by content hash."""
+    (channel, account, ad, creative, valid_from), ties broken by content hash. With
+    ``dealt`` rows are dealt by these columns of the key once, for a history of them
+    that follows: it then needs no further shuffle. Hashes travel as bytes."""
     none = F.lit(None)
     parts = []
     if meta is not None:
@@ -162,8 +164,9 @@ def stg_creative_snapshot(meta: DataFrame | None, w: Window, now=None, google: D
     u = parts[0]
     for p_ in parts[1:]:
         u = u.unionByName(p_)
-    u = u.filter(_nonblank(F.col("creative_id")) & _nonblank(F.col("ad_id")))
-    return latest_by(u, SNAPSHOT_KEY, ["load_ts"], list(tiebreak), hashed=True)
+    u = u.filter(_nonblank(F.col("creative_id")) & _nonblank(F.col("ad_id"))).withColumn("content_hash", F.unhex("content_hash"))
+    out = latest_by(u.repartition(*dealt) if dealt else u, SNAPSHOT_KEY, ["load_ts"], list(tiebreak), hashed=True)
+    return out.withColumn("content_hash", F.lower(F.hex("content_hash")))
 
 
 ASSET_TIEBREAK = ("asset_url", "video_id", "thumbnail_url", "image_hash")

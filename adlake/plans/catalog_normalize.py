@@ -221,10 +221,11 @@ def _history(df):
 @query("scd2_creative_from_staging")
 def q_scd2_creative_from_staging(spark, sf):
     """Creative history of the staged snapshots of all four channels."""
-    from adlake.operators.scd2 import scd2_creative
+    from adlake.operators.scd2 import KEYS, scd2_creative
     from adlake.session import ALL_TIME
     g, t, n = _channel_creatives(spark, sf)
-    return _history(scd2_creative(CR.stg_creative_snapshot(_meta_creatives(spark, sf), ALL_TIME, google=g, tiktok=t, naver=n)))
+    return _history(scd2_creative(CR.stg_creative_snapshot(
+        _meta_creatives(spark, sf), ALL_TIME, google=g, tiktok=t, naver=n, dealt=KEYS["scd2_creative"])))
 
 
 @query("scd2_creative_asset_from_staging")

@@ -103,6 +103,13 @@ def test_inputs_of_the_blended_mart_are_not_landed(spark, sf, monkeypatch):
     assert len(got) and not landed
 
 
+def test_a_history_of_staged_creatives_deals_them_once(spark, sf):
+    df = QUERIES["scd2_creative_from_staging"](spark, sf)
+    staged = dealt(plan(spark, df))
+    assert len(staged) == 1 and "creative_id" in staged[0][0] and not staged[0][1]
+    assert {r.content_hash for r in df.collect()} and all(len(r.content_hash) == 64 and r.content_hash == r.content_hash.lower() for r in df.collect())
+
+
 SCHEMA = "k string, g string, n string, v int"
 
 
