@@ -142,19 +142,28 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one_per_group(docs: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3) -> DataFrame:
     """One row of ``docs`` for each group of ``near_duplicates``, all columns.
 
-    It is the row whose doc_id is the component_id; rows that repeat that id keep one copy, the
-    first by text. A group without any doc_id keeps its first row by text: its rows are found by
-    their fingerprints, made again with ``shingle_words``. Any column names may occur in ``docs``.
+    It is the row whose doc_id is the component_id; rows that repeat that id keep one copy a group, the
+    first by text. A group without any doc_id keeps its first row by text. The rows of such a group, and
+    those of an id that occurs in several groups, are found by their fingerprints, made again with
+    ``shingle_words``. Any column names may occur in ``docs``.
     """
     rows, (i, text) = numbered(docs, id_col, text_col)
-    heads = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("head")).distinct()
-    named = _first(rows.join(heads, F.col(i) == F.col("head")), "head", text).drop("head")
+    named = groups.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("head")).agg(
+        F.max(F.col("doc_id") == F.col("component_id")).alias("first"),
+        (F.min("group_fingerprint") < F.max("group_fingerprint")).alias("several")).where("first").drop("first")
+    found = rows.join(named, F.col(i) == F.col("head"))
+    named = _first(found.where("NOT several"), "head", text).select(*rows.columns)
+
+    heads = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("head"), "fingerprint", "group_fingerprint").distinct()
+    several = _fingerprinted(found.where("several"), text, "fp", shingle_words, list(range(len(rows.columns))))
+    several = several.join(heads, (F.col(i) == F.col("head")) & (_hex(F.col("fp")) == F.col("fingerprint")))
+    several = _first(several, "group_fingerprint", text, "fp").select(*rows.columns)
 
     without = _fingerprinted(rows.where(F.col(i).isNull()), text, "fp", shingle_words, list(range(len(rows.columns))))
     nameless = groups.where("doc_id IS NULL AND component_id IS NULL").select("fingerprint", "group_fingerprint").distinct()
     without = _first(without, "fp", text).join(nameless, _hex(F.col("fp")) == F.col("fingerprint"))
     without = _first(without, "group_fingerprint", text, "fp").select(*rows.columns)
-    return named.unionByName(without).toDF(*docs.columns)
+    return named.unionByName(several).unionByName(without).toDF(*docs.columns)
 
 
 def _first(rows: DataFrame, key: str, *order: str) -> DataFrame:

@@ -216,3 +216,13 @@ def test_backoff_tells_words_apart_that_share_a_crc(spark, odd):
         for r in lm_scoring.score(df, order=order, min_count=least).collect():
             n, s = want[r.doc_id]
             assert r.n_tokens == n and abs(r.log_score - s) < 1e-5 * max(1, abs(s))
+
+
+def test_an_id_in_several_groups_loses_no_group(spark):
+    """Id 5 repeats: its first text belongs to the group of id 3, its second and third begin groups of their own."""
+    a, b, c = ("alpha one two three four five six seven", "beta uno dos tres cuatro cinco seis siete", "gamma un deux trois quatre cinq six sept")
+    rows = [(3, a, 1), (5, a, 2), (5, b, 3), (5, b, 4), (5, c, 5), (7, b, 6), (8, "delta eins zwei drei vier fuenf sechs", 7), (None, c, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    got = simhash.keep_one_per_group(docs, simhash.near_duplicates(docs))
+    assert got.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == sorted([(3, a), (5, b), (5, c), (8, rows[6][1])])
